@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The ranking jobs this package rebuilds are batch jobs over a complete dump: a
+fixed number of global steps over the whole graph, then a total order.  There
+is no stream source, watermark, window or per-key state to carry, so nothing
+here is built on Structured Streaming.  A streaming caller can still rank each
+micro-batch's complete dump with ``foreachBatch`` and ``surfrank.rank_pages``.
+"""
