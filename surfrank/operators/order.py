@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from surfrank.session import checkpoint_dir
+
 _LOCAL_INDEX_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
@@ -20,13 +21,15 @@ def with_position(ordered: DataFrame, name: str = "pos") -> DataFrame:
     No single-partition window: every row gets (partition id, index within the
     partition); the per-partition row counts (one row per partition, so bounded
     by the partition count) are turned into offsets and broadcast back.  The
-    tagged rows are cached so both passes see the same range partitions.
+    tagged rows are written once with a reliable checkpoint, so both passes read
+    the same rows even if an executor is lost (the tags are not recomputable).
     """
+    checkpoint_dir(ordered.sparkSession)
     tagged = ordered.select(
         "*",
         F.spark_partition_id().alias("_pid"),
         (F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_INDEX_MASK))).alias("_idx"),
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    ).checkpoint(eager=True)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_off"))

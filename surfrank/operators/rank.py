@@ -59,9 +59,21 @@ def shares(state: DataFrame) -> DataFrame:
     )
 
 
-def contributions(edges_df: DataFrame, share_df: DataFrame) -> DataFrame:
+def contributions(edges_df: DataFrame, share_df: DataFrame, with_src: bool = False) -> DataFrame:
     """One row per distinct link: (dst, c) with c = mult * rank(src)/outdeg(src)."""
-    return edges_df.join(share_df, "src").select("dst", (F.col("mult") * F.col("share")).alias("c"))
+    cols = ["src", "dst"] if with_src else ["dst"]
+    return edges_df.join(share_df, "src").select(*cols, (F.col("mult") * F.col("share")).alias("c"))
+
+
+def zero_mass(nodes_df: DataFrame) -> DataFrame:
+    """(id, c = 0.0) for every vertex, so vertices without in-links keep a row."""
+    return nodes_df.select("id", F.lit(0.0).alias("c"))
+
+
+def contribution_sums_with_zero(contrib: DataFrame, nodes_df: DataFrame) -> DataFrame:
+    """Bag union of link shares and zero rows, summed per vertex: (id, s)."""
+    shares_in = contrib.select(F.col("dst").alias("id"), "c")
+    return shares_in.unionByName(zero_mass(nodes_df)).groupBy("id").agg(F.sum("c").alias("s"))
 
 
 def contribution_sums(contrib: DataFrame) -> DataFrame:
@@ -86,6 +98,12 @@ class RankLayout:
     n_vertices: int
     n_hot: int
 
+    def edges(self) -> DataFrame:
+        """All edges (src, dst, mult), cold and hot."""
+        if self.hot_edges is None:
+            return self.cold_edges
+        return self.cold_edges.unionByName(self.hot_edges)
+
     def release(self) -> None:
         for df in (self.nodes, self.cold_edges, self.hot_edges):
             if df is not None:

@@ -83,20 +83,21 @@ def hot_threshold(n_links: int, num_partitions: int, hot_factor: int, hot_floor:
     return max(int(hot_floor), math.ceil(n_links / max(1, hot_factor * num_partitions)))
 
 
-def build_layout(
-    pages: DataFrame,
-    preset: Preset,
-    stats: GraphStats,
+def layout_from_graph(
+    nodes_df: DataFrame,
+    edges_df: DataFrame,
+    n_lines: int,
+    n_links: int,
     num_partitions: int,
     hot_factor: int = DEFAULT_HOT_FACTOR,
     hot_floor: int = DEFAULT_HOT_FLOOR,
     storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
 ) -> RankLayout:
-    """Cache the node table by ``id`` and the edges by ``src`` (cold) or ``dst`` (hot)."""
+    """Cache ``nodes(id, outdeg)`` by ``id`` and the edges by ``src`` (cold) or ``dst`` (hot)."""
     p = num_partitions
-    threshold = hot_threshold(stats.n_links, p, hot_factor, hot_floor)
+    threshold = hot_threshold(n_links, p, hot_factor, hot_floor)
     nodes = (
-        G.nodes(pages, preset)
+        nodes_df.select("id", "outdeg")
         .repartition(p, "id")
         .withColumn("hot", F.col("outdeg") > F.lit(threshold))
         .persist(storage)
@@ -104,17 +105,32 @@ def build_layout(
     row = nodes.agg(F.count(F.lit(1)).alias("v"), F.sum(F.col("hot").cast("long")).alias("h")).first()
     n_vertices, n_hot = int(row["v"]), int(row["h"] or 0)
     bound = hot_factor * p
-    if n_hot > max(bound, 0) and threshold > hot_floor:
+    if n_hot > bound and threshold > hot_floor:
         raise AssertionError(f"hot-source bound violated: {n_hot} > {bound}")
 
-    edges = G.edges(pages, preset)
+    edges_df = edges_df.select("src", "dst", "mult")
     if n_hot == 0:
-        cold, hot = edges.repartition(p, "src").persist(storage), None
+        cold, hot = edges_df.repartition(p, "src").persist(storage), None
     else:
         hot_ids = F.broadcast(nodes.where(F.col("hot")).select(F.col("id").alias("src")))
-        cold = edges.join(hot_ids, "src", "left_anti").repartition(p, "src").persist(storage)
-        hot = edges.join(hot_ids, "src", "left_semi").repartition(p, "dst").persist(storage)
-    return RankLayout(nodes, cold, hot, p, stats.n_lines, n_vertices, n_hot)
+        cold = edges_df.join(hot_ids, "src", "left_anti").repartition(p, "src").persist(storage)
+        hot = edges_df.join(hot_ids, "src", "left_semi").repartition(p, "dst").persist(storage)
+    return RankLayout(nodes, cold, hot, p, n_lines, n_vertices, n_hot)
+
+
+def build_layout(
+    pages: DataFrame,
+    preset: Preset,
+    stats: GraphStats,
+    num_partitions: int,
+    hot_factor: int = DEFAULT_HOT_FACTOR,
+    hot_floor: int = DEFAULT_HOT_FLOOR,
+) -> RankLayout:
+    """Layout of the graph parsed from page lines."""
+    return layout_from_graph(
+        G.nodes(pages, preset), G.edges(pages, preset), stats.n_lines, stats.n_links,
+        num_partitions, hot_factor, hot_floor,
+    )
 
 
 def iterate(
@@ -123,9 +139,13 @@ def iterate(
     iterations: int,
     checkpoint_every: int | None = 5,
     checkpoint_last: bool = True,
+    start: DataFrame | None = None,
 ) -> Iterator[tuple[int, DataFrame]]:
-    """Yield (i, state_i) for i = 0..iterations.  Checkpoints cut the lineage."""
-    state = initial_rank(layout.nodes, consts)
+    """Yield (i, state_i) for i = 0..iterations.  Checkpoints cut the lineage.
+
+    ``start`` (id, outdeg, hot, rank) resumes from given ranks; default 1/N everywhere.
+    """
+    state = initial_rank(layout.nodes, consts) if start is None else start
     yield 0, state
     for i in range(1, max(0, iterations) + 1):
         state = rank_step(layout, state, consts)
@@ -190,10 +210,85 @@ def rank_pages(
         layout = build_layout(pages, preset, stats, p, hot_factor, hot_floor)
         parsed.unpersist()
         consts = RankConstants.of(alpha, stats.n_lines, preset.alpha_precision)
-        state = None
-        for i, state in iterate(layout, consts, iterations, checkpoint_every):
-            if trace is not None:
-                trace.append((i, state))
-        if iterations <= 0:
-            state = state.checkpoint(eager=True)
+        state = _run(layout, consts, iterations, checkpoint_every, trace)
     return RankResult(state, layout, stats.n_lines)
+
+
+def _run(layout, consts, iterations, checkpoint_every, trace, start=None) -> DataFrame:
+    state = None
+    for i, state in iterate(layout, consts, iterations, checkpoint_every, start=start):
+        if trace is not None:
+            trace.append((i, state))
+    if iterations <= 0:
+        state = state.checkpoint(eager=True)
+    return state
+
+
+def resume_from_records(
+    records: DataFrame,
+    n_lines: int,
+    iterations: int,
+    alpha: float = 0.15,
+    alpha_precision: str = "double",
+    num_partitions: int | None = None,
+    checkpoint_every: int | None = 5,
+    hot_factor: int = DEFAULT_HOT_FACTOR,
+    hot_floor: int = DEFAULT_HOT_FLOOR,
+    trace: list | None = None,
+) -> RankResult:
+    """Continue a ranking from graph-state records (S2 -> I1).  N is a job parameter."""
+    from surfrank.sources.state import graph_from_records
+
+    spark = records.sparkSession
+    p = _partitions(spark, num_partitions)
+    checkpoint_dir(spark)
+    with job_conf(spark, job_settings(p)):
+        records = records.persist(StorageLevel.MEMORY_AND_DISK)
+        nodes_df, edges_df, ranks = graph_from_records(records)
+        n_links = int(records.agg(F.sum(F.size("adjacencyList")).alias("k")).first()["k"] or 0)
+        layout = layout_from_graph(nodes_df, edges_df, n_lines, n_links, p, hot_factor, hot_floor)
+        start = layout.nodes.join(ranks, "id", "left")
+        consts = RankConstants.of(alpha, n_lines, alpha_precision)
+        state = _run(layout, consts, iterations, checkpoint_every, trace, start=start)
+        records.unpersist()
+    return RankResult(state, layout, n_lines)
+
+
+def run_job(
+    spark: SparkSession,
+    input_path: str | list[str],
+    output_path: str,
+    iterations: int,
+    alpha: float = 0.15,
+    preset: str | Preset = "mapreduce",
+    num_partitions: int | None = None,
+    checkpoint_every: int | None = 5,
+    write_count: bool = False,
+    keep_state: bool = False,
+    mode: str = "errorifexists",
+) -> RankResult:
+    """Whole job: text in, ranking out.
+
+    Writes ``<output>/ranking`` in the preset's text form, and optionally
+    ``<output>/count`` (``Total Pages-<N>``) and ``<output>/rank-<i>`` graph-state
+    records after every step (I2).
+    """
+    from surfrank.sources.sinks import write_ranked
+    from surfrank.sources.state import state_records, write_state
+    from surfrank.sources.text import write_count as write_count_file
+
+    preset = get_preset(preset)
+    base = output_path.rstrip("/")
+    lines = read_lines(spark, input_path)
+    trace: list | None = [] if keep_state else None
+    result = rank_pages(
+        lines, iterations, alpha, preset, num_partitions, checkpoint_every, trace=trace
+    )
+    if write_count:
+        write_count_file(lines, f"{base}/count", mode)
+    if keep_state:
+        edges_all = result.layout.edges()
+        for i, state in trace[1:]:
+            write_state(state_records(state, edges_all), f"{base}/rank-{i}", mode)
+    write_ranked(result.ranked(), f"{base}/ranking", preset.output_format, mode)
+    return result
