@@ -4,7 +4,7 @@ Every query reads the driver tables, derives page lines from them (see
 ``surfrank.fixtures``: WP part graph, WH web-page graph, WD dirty lines) and
 runs one operator of the ranking engine over the whole derived input.  Each
 has a DuckDB twin built from the same lines with independent SQL
-(``surfrank.oracle``).  Ranks are compared at 12 decimals; outputs with an
+(``surfrank.oracle``).  Doubles are reported on a 2**-40 grid; outputs with an
 order carry a ``pos`` column so an order-insensitive hash still checks order.
 """
 
@@ -33,13 +33,18 @@ from surfrank.sources import state as ST  # noqa: E402
 from surfrank.sources import text as TX  # noqa: E402
 
 ALPHA = 0.15
-DIGITS = O.RANK_DIGITS
+SCALE = float(O.RANK_SCALE)
 SEP = "\u001f"  # joins link lists into one comparable string
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
 
+def _q(c: F.Column) -> F.Column:
+    """Quantise a double to the 2**-40 grid shared with the SQL twins."""
+    return F.round(c * F.lit(SCALE)) / F.lit(SCALE)
+
+
 def _r(c: str) -> F.Column:
-    return F.round(F.col(c), DIGITS)
+    return _q(F.col(c))
 
 
 def _lines(spark, sf, fx):
@@ -293,7 +298,7 @@ def q_split_state(spark, sf):
         "key",
         F.coalesce("n_structure", F.lit(0)).alias("n_structure"),
         F.coalesce("n_messages", F.lit(0)).alias("n_messages"),
-        F.round(F.coalesce("msg_sum", F.lit(0.0)), DIGITS).alias("msg_sum"),
+        _q(F.coalesce("msg_sum", F.lit(0.0))).alias("msg_sum"),
     )
 
 

@@ -20,7 +20,15 @@ LINK_RE_NEWLINE_DOT = r"\[\[([^\n]*?)\]\]"
 TEXT_RE = "<text.*?>(.*?)</text>"
 # ---------------------------------------------------------------------------
 
-RANK_DIGITS = 12
+# Reported values are quantised to a binary grid of 2**-40 (about 9e-13).  A
+# decimal rounding would put exactly representable decimal ranks (common with
+# small N) on its ties, where last-bit summation noise flips the result.
+RANK_SCALE = 2**40
+
+
+def q(expr: str) -> str:
+    """SQL twin of ``surfrank`` output quantisation."""
+    return f"(round(({expr}) * {RANK_SCALE}::DOUBLE) / {RANK_SCALE}::DOUBLE)"
 
 
 def _tabs(expr: str) -> str:
@@ -153,7 +161,7 @@ LEFT JOIN (SELECT e.dst AS id, sum(e.mult * (r.rank / r.outdeg)) AS s
 def ranks_sql(fx: str, preset: str, iterations: int, alpha: float = 0.15, title: str = "title") -> str:
     ch = Chain()
     last = rank_ctes(ch, fx, preset, iterations, alpha)
-    return ch.sql(f"SELECT id AS {title}, round(rank, {RANK_DIGITS}) AS rank FROM {last}")
+    return ch.sql(f"SELECT id AS {title}, {q("rank")} AS rank FROM {last}")
 
 
 def _plain(preset: str, **opts) -> Preset:
@@ -186,7 +194,7 @@ def _records_sql(fx: str) -> str:
 FROM (SELECT title, unnest(kept) AS dst FROM {pre}_pages) GROUP BY title""",
     )
     return ch.sql(
-        f"""SELECT r.id AS title, round(r.rank, {RANK_DIGITS}) AS pageRank, r.outdeg AS n_links,
+        f"""SELECT r.id AS title, {q("r.rank")} AS pageRank, r.outdeg AS n_links,
        coalesce(l.links, '') AS links, true AS isNode
 FROM {last} r LEFT JOIN {pre}_lists l ON r.id = l.title"""
     )
@@ -199,7 +207,7 @@ def _trace_sql(fx: str, preset: str, iterations: int, alpha: float) -> str:
     return ch.sql(
         _union(
             [
-                f"SELECT {i}::BIGINT AS iteration, id, round(rank, {RANK_DIGITS}) AS rank FROM {pre}_r{i}"
+                f"SELECT {i}::BIGINT AS iteration, id, {q("rank")} AS rank FROM {pre}_r{i}"
                 for i in range(iterations + 1)
             ]
         )
@@ -213,7 +221,7 @@ def _multi_ranks_sql(runs, alpha: float, label: str) -> str:
     for value, fx, preset, its in runs:
         last = rank_ctes(ch, fx, preset, its, alpha)
         lit = f"'{value}'" if isinstance(value, str) else f"{value}::BIGINT"
-        parts.append(f"SELECT {lit} AS {label}, id AS title, round(rank, {RANK_DIGITS}) AS rank FROM {last}")
+        parts.append(f"SELECT {lit} AS {label}, id AS title, {q("rank")} AS rank FROM {last}")
     return ch.sql(_union(parts))
 
 
@@ -226,8 +234,7 @@ JOB_RUNS = {
 
 def all_queries(alpha: float = 0.15, sep: str = "\u001f") -> dict[str, str]:
     assert sep == "\u001f", "oracle joins link lists with chr(31)"
-    d = RANK_DIGITS
-    q: dict[str, str] = {}
+    out: dict[str, str] = {}
     regex_plain = _plain("mapreduce", normalize_tabs=False)
     slice_plain = _plain("rdd_py")
     strict_plain = _plain("rdd_py", on_bad_title="skip")
@@ -236,47 +243,47 @@ def all_queries(alpha: float = 0.15, sep: str = "\u001f") -> dict[str, str]:
     mr = get_preset("mapreduce")
 
     # sources / sinks
-    q["scan_lines"] = _q_lines_only(["wp"], lambda fx: f"SELECT value FROM {fx}_lines")
-    q["page_count"] = _q_lines_only(
+    out["scan_lines"] = _q_lines_only(["wp"], lambda fx: f"SELECT value FROM {fx}_lines")
+    out["page_count"] = _q_lines_only(
         ["wp", "wh", "wd"], lambda fx: f"SELECT '{fx}' AS fixture, count(*)::BIGINT AS n_lines FROM {fx}_lines"
     )
-    q["sink_count_line"] = _q_lines_only(
+    out["sink_count_line"] = _q_lines_only(
         ["wd"], lambda fx: f"SELECT 'Total Pages-' || count(*) AS value, count(*)::BIGINT AS n_lines FROM {fx}_lines"
     )
 
     # extraction
-    q["title_regex"] = _q_lines_only(["wd"], lambda fx: f"SELECT value, {title_sql(regex_plain)} AS title FROM {fx}_lines")
-    q["title_positional"] = _q_lines_only(
+    out["title_regex"] = _q_lines_only(["wd"], lambda fx: f"SELECT value, {title_sql(regex_plain)} AS title FROM {fx}_lines")
+    out["title_positional"] = _q_lines_only(
         ["wd"],
         lambda fx: f"SELECT value, {title_sql(slice_plain)} AS title_slice, "
         f"{title_sql(strict_plain)} AS title_strict FROM {fx}_lines",
     )
-    q["outlinks"] = _q_lines_only(
+    out["outlinks"] = _q_lines_only(
         ["wd", "wp"],
         lambda fx: f"SELECT value, len({java_links})::BIGINT AS n_links, {_joined(java_links)} AS links, "
         f"len({py_links})::BIGINT AS n_links_py FROM {fx}_lines",
     )
-    q["normalize_tabs"] = _q_lines_only(
+    out["normalize_tabs"] = _q_lines_only(
         ["wd"],
         lambda fx: f"SELECT value, {title_sql(mr)} AS title, {_joined(links_sql(mr))} AS links "
         f"FROM {fx}_lines WHERE instr(value, chr(9)) > 0",
     )
     scoped = links_sql(_plain("rdd_jvm", text_scope=True))
-    q["outlinks_text_scope"] = _q_lines_only(
+    out["outlinks_text_scope"] = _q_lines_only(
         ["wp", "wd"],
         lambda fx: f"SELECT value, len({scoped})::BIGINT AS n_links, {_joined(scoped)} AS links FROM {fx}_lines",
     )
     ch = Chain()
     pre = graph_ctes(ch, "wd", "mapreduce")
-    q["parse_pages"] = ch.sql(
+    out["parse_pages"] = ch.sql(
         f"SELECT title, len(outlinks)::BIGINT AS n_links, {_joined('outlinks')} AS links FROM {pre}_pages"
     )
 
     # graph
     ch = Chain()
     pre = graph_ctes(ch, "wd", "mapreduce")
-    q["adjacency_mr"] = ch.sql(f"SELECT src, dst, mult FROM {pre}_edges")
-    q["edges_mr"] = ch.sql(
+    out["adjacency_mr"] = ch.sql(f"SELECT src, dst, mult FROM {pre}_edges")
+    out["edges_mr"] = ch.sql(
         f"""SELECT key, value, count(*) AS n FROM (
   SELECT title AS key, unnest(outlinks) AS value FROM {pre}_pages WHERE len(outlinks) > 0
   UNION ALL SELECT unnest(outlinks) AS key, '' AS value FROM {pre}_pages
@@ -286,24 +293,24 @@ GROUP BY key, value"""
     ch = Chain()
     a = graph_ctes(ch, "wd", "mapreduce")
     b = graph_ctes(ch, "wd", "rdd_py")
-    q["vertices"] = ch.sql(
+    out["vertices"] = ch.sql(
         f"SELECT 'mapreduce' AS preset, id FROM {a}_nodes UNION ALL SELECT 'rdd_py' AS preset, id FROM {b}_nodes"
     )
-    q["out_degree"] = ch.sql(
+    out["out_degree"] = ch.sql(
         f"SELECT 'mapreduce' AS preset, id, outdeg FROM {a}_nodes "
         f"UNION ALL SELECT 'rdd_py' AS preset, id, outdeg FROM {b}_nodes"
     )
-    q["dangling_nodes"] = ch.sql(
+    out["dangling_nodes"] = ch.sql(
         f"SELECT 'mapreduce' AS preset, id FROM {a}_nodes WHERE outdeg = 0 "
         f"UNION ALL SELECT 'rdd_py' AS preset, id FROM {b}_nodes WHERE outdeg = 0"
     )
-    q["zero_mass"] = ch.sql(f"SELECT id, 0.0::DOUBLE AS mass FROM {b}_nodes")
+    out["zero_mass"] = ch.sql(f"SELECT id, 0.0::DOUBLE AS mass FROM {b}_nodes")
     ch = Chain()
     pre = graph_ctes(ch, "wp", "mapreduce")
-    q["edge_multiplicity"] = ch.sql(f"SELECT src, dst, mult FROM {pre}_edges")
+    out["edge_multiplicity"] = ch.sql(f"SELECT src, dst, mult FROM {pre}_edges")
     ch = Chain()
     pre = graph_ctes(ch, "wh", "rdd_py")
-    q["adjacency"] = ch.sql(
+    out["adjacency"] = ch.sql(
         f"SELECT title, link, count(*) AS mult FROM (SELECT title, unnest(outlinks) AS link FROM {pre}_pages) "
         "GROUP BY title, link"
     )
@@ -311,63 +318,63 @@ GROUP BY key, value"""
     # one step
     ch = Chain()
     rank_ctes(ch, "wd", "mapreduce", 0, alpha)
-    q["initial_rank"] = ch.sql(f"SELECT id, round(rank, {d}) AS rank FROM wd_mapreduce_r0")
+    out["initial_rank"] = ch.sql(f"SELECT id, {q("rank")} AS rank FROM wd_mapreduce_r0")
     ch = Chain()
     rank_ctes(ch, "wp", "mapreduce", 0, alpha)
     p = "wp_mapreduce"
-    q["contributions"] = ch.sql(
-        f"""SELECT e.src, e.dst, round(e.mult * (r.rank / r.outdeg), {d}) AS c
+    out["contributions"] = ch.sql(
+        f"""SELECT e.src, e.dst, {q("e.mult * (r.rank / r.outdeg)")} AS c
 FROM {p}_edges e JOIN {p}_r0 r ON e.src = r.id"""
     )
-    q["adjacency_with_rank"] = ch.sql(
-        f"SELECT e.src, e.dst, e.mult, round(r.rank, {d}) AS rank FROM {p}_edges e JOIN {p}_r0 r ON e.src = r.id"
+    out["adjacency_with_rank"] = ch.sql(
+        f"SELECT e.src, e.dst, e.mult, {q("r.rank")} AS rank FROM {p}_edges e JOIN {p}_r0 r ON e.src = r.id"
     )
-    q["rank_sum"] = ch.sql(
-        f"""SELECT id, round(sum(c), {d}) AS s FROM (
+    out["rank_sum"] = ch.sql(
+        f"""SELECT id, {q("sum(c)")} AS s FROM (
   SELECT e.dst AS id, e.mult * (r.rank / r.outdeg) AS c FROM {p}_edges e JOIN {p}_r0 r ON e.src = r.id
   UNION ALL SELECT id, 0.0::DOUBLE AS c FROM {p}_nodes)
 GROUP BY id"""
     )
-    q["rank_step"] = ranks_sql("wd", "mapreduce", 1, alpha, title="id")
-    q["rank_float32"] = ranks_sql("wh", "rdd_jvm", 3, alpha, title="id")
+    out["rank_step"] = ranks_sql("wd", "mapreduce", 1, alpha, title="id")
+    out["rank_float32"] = ranks_sql("wh", "rdd_jvm", 3, alpha, title="id")
 
     # state records
-    q["initial_state"] = _records_sql("wp")
-    q["state_lines"] = _records_sql("wd")
-    q["ranks_from_state"] = ranks_sql("wd", "mapreduce", 1, alpha)
-    q["state_roundtrip"] = ranks_sql("wd", "mapreduce", 4, alpha)
+    out["initial_state"] = _records_sql("wp")
+    out["state_lines"] = _records_sql("wd")
+    out["ranks_from_state"] = ranks_sql("wd", "mapreduce", 1, alpha)
+    out["state_roundtrip"] = ranks_sql("wd", "mapreduce", 4, alpha)
     ch = Chain()
     rank_ctes(ch, "wd", "mapreduce", 0, alpha)
     p = "wd_mapreduce"
     msgs = f"""SELECT e.dst AS key, e.mult, r.rank / r.outdeg AS share
 FROM {p}_edges e JOIN {p}_r0 r ON e.src = r.id"""
-    q["rank_messages"] = ch.sql(
-        f"SELECT key, round(share, {d}) AS share, sum(mult)::BIGINT AS n FROM ({msgs}) GROUP BY key, round(share, {d})"
+    out["rank_messages"] = ch.sql(
+        f"SELECT key, {q("share")} AS share, sum(mult)::BIGINT AS n FROM ({msgs}) GROUP BY key, {q("share")}"
     )
-    q["split_state"] = ch.sql(
+    out["split_state"] = ch.sql(
         f"""SELECT n.id AS key, 1::BIGINT AS n_structure, coalesce(m.n_messages, 0)::BIGINT AS n_messages,
-       round(coalesce(m.msg_sum, 0.0), {d}) AS msg_sum
+       {q("coalesce(m.msg_sum, 0.0)")} AS msg_sum
 FROM {p}_nodes n LEFT JOIN (
   SELECT key, sum(mult)::BIGINT AS n_messages, sum(mult * share) AS msg_sum FROM ({msgs}) GROUP BY key) m
 ON n.id = m.key"""
     )
 
     # loop, order, sinks, whole jobs
-    q["rank_10"] = ranks_sql("wp", "mapreduce", 10, alpha)
-    q["rank_10_hot_sources"] = q["rank_10"]
+    out["rank_10"] = ranks_sql("wp", "mapreduce", 10, alpha)
+    out["rank_10_hot_sources"] = out["rank_10"]
     ch = Chain()
     last = rank_ctes(ch, "wp", "mapreduce", 10, alpha)
-    q["ranked"] = ch.sql(
-        f"""SELECT row_number() OVER (ORDER BY round(rank, {d}) DESC, id) AS pos, id AS title,
-       round(rank, {d}) AS rank FROM {last}"""
+    out["ranked"] = ch.sql(
+        f"""SELECT row_number() OVER (ORDER BY {q("rank")} DESC, id) AS pos, id AS title,
+       {q("rank")} AS rank FROM {last}"""
     )
-    q["rank_trace"] = _trace_sql("wp", "mapreduce", 3, alpha)
-    q["rank_partitions"] = _multi_ranks_sql(
+    out["rank_trace"] = _trace_sql("wp", "mapreduce", 3, alpha)
+    out["rank_partitions"] = _multi_ranks_sql(
         [(1, "wp", "mapreduce", 5), (7, "wp", "mapreduce", 5)], alpha, "num_partitions"
     )
-    q["sink_ranked_tsv"] = ranks_sql("wd", "mapreduce", 4, alpha)
-    q["sink_tuple_py"] = ranks_sql("wd", "rdd_py", 4, alpha)
-    q["sink_tuple_jvm"] = ranks_sql("wh", "rdd_jvm", 4, alpha)
+    out["sink_ranked_tsv"] = ranks_sql("wd", "mapreduce", 4, alpha)
+    out["sink_tuple_py"] = ranks_sql("wd", "rdd_py", 4, alpha)
+    out["sink_tuple_jvm"] = ranks_sql("wh", "rdd_jvm", 4, alpha)
     for preset, runs in JOB_RUNS.items():
-        q[f"job_{preset}"] = _multi_ranks_sql([(fx, fx, preset, its) for fx, its in runs], alpha, "fixture")
-    return q
+        out[f"job_{preset}"] = _multi_ranks_sql([(fx, fx, preset, its) for fx, its in runs], alpha, "fixture")
+    return out
