@@ -98,6 +98,10 @@ class RankLayout:
     n_vertices: int
     n_hot: int
 
+    def hot_ids(self) -> DataFrame:
+        """Ids of hot sources as ``src`` (at most hot_factor * P rows)."""
+        return self.nodes.where(F.col("hot")).select(F.col("id").alias("src"))
+
     def edges(self) -> DataFrame:
         """All edges (src, dst, mult), cold and hot."""
         if self.hot_edges is None:
@@ -111,13 +115,18 @@ class RankLayout:
 
 
 def rank_step(layout: RankLayout, state: DataFrame, consts: RankConstants) -> DataFrame:
-    """state(id, outdeg, hot, rank) -> the same columns after one step (J2 as a left join)."""
+    """state(id, outdeg, hot, rank) -> the same columns after one step (J2 as a left join).
+
+    The previous state is read once, for the shares; the update's left side is
+    the loop-invariant node table, so each step adds one shuffle and one
+    reference to its predecessor.
+    """
     share = shares(state)
     cold = contribution_sums(contributions(layout.cold_edges, share)).withColumnRenamed("s", "s_cold")
-    joined = state.drop("rank").join(cold, "id", "left")
+    joined = layout.nodes.join(cold, "id", "left")
     total = F.coalesce(F.col("s_cold"), F.lit(0.0))
     if layout.hot_edges is not None:
-        hot_share = F.broadcast(shares(state.where(F.col("hot"))))
+        hot_share = F.broadcast(share.join(F.broadcast(layout.hot_ids()), "src", "left_semi"))
         hot = contribution_sums(contributions(layout.hot_edges, hot_share)).withColumnRenamed("s", "s_hot")
         joined = joined.join(hot, "id", "left")
         total = total + F.coalesce(F.col("s_hot"), F.lit(0.0))

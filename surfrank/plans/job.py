@@ -140,18 +140,29 @@ def iterate(
     checkpoint_every: int | None = 5,
     checkpoint_last: bool = True,
     start: DataFrame | None = None,
+    storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
 ) -> Iterator[tuple[int, DataFrame]]:
-    """Yield (i, state_i) for i = 0..iterations.  Checkpoints cut the lineage.
-
-    ``start`` (id, outdeg, hot, rank) resumes from given ranks; default 1/N everywhere.
+    """Yield (i, state_i) for i = 0..iterations.
+
+    Every state is cached, so the next step's plan sees it as one leaf (a step
+    reads its predecessor in more than one place when hot sources exist; without
+    the cache the plan tree would double each step).  Reliable checkpoints every
+    ``checkpoint_every`` steps cut the lineage; cached states older than the
+    last checkpoint are released.  ``start`` (id, outdeg, hot, rank) resumes
+    from given ranks; the default is 1/N everywhere.
     """
     state = initial_rank(layout.nodes, consts) if start is None else start
     yield 0, state
+    cached: list[DataFrame] = []
     for i in range(1, max(0, iterations) + 1):
-        state = rank_step(layout, state, consts)
+        state = rank_step(layout, state, consts).persist(storage)
+        cached.append(state)
         last = i == iterations
         if (checkpoint_every and i % checkpoint_every == 0) or (last and checkpoint_last):
             state = state.checkpoint(eager=True)
+            for df in cached:
+                df.unpersist()
+            cached = []
         yield i, state
 
 
