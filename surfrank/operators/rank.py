@@ -60,9 +60,15 @@ def shares(state: DataFrame) -> DataFrame:
 
 
 def contributions(edges_df: DataFrame, share_df: DataFrame, with_src: bool = False) -> DataFrame:
-    """One row per distinct link: (dst, c) with c = mult * rank(src)/outdeg(src)."""
+    """One row per distinct link: (dst, c) with c = mult * rank(src)/outdeg(src).
+
+    Hash join with the shares as build side: a task hashes its V/P shares and
+    streams its E/P edges, so the edges (the largest table) are never sorted.
+    """
     cols = ["src", "dst"] if with_src else ["dst"]
-    return edges_df.join(share_df, "src").select(*cols, (F.col("mult") * F.col("share")).alias("c"))
+    return edges_df.join(share_df.hint("shuffle_hash"), "src").select(
+        *cols, (F.col("mult") * F.col("share")).alias("c")
+    )
 
 
 def zero_mass(nodes_df: DataFrame) -> DataFrame:
@@ -123,11 +129,11 @@ def rank_step(layout: RankLayout, state: DataFrame, consts: RankConstants) -> Da
     """
     share = shares(state)
     cold = contribution_sums(contributions(layout.cold_edges, share)).withColumnRenamed("s", "s_cold")
-    joined = layout.nodes.join(cold, "id", "left")
+    joined = layout.nodes.join(cold.hint("shuffle_hash"), "id", "left")
     total = F.coalesce(F.col("s_cold"), F.lit(0.0))
     if layout.hot_edges is not None:
         hot_share = F.broadcast(share.join(F.broadcast(layout.hot_ids()), "src", "left_semi"))
         hot = contribution_sums(contributions(layout.hot_edges, hot_share)).withColumnRenamed("s", "s_hot")
-        joined = joined.join(hot, "id", "left")
+        joined = joined.join(hot.hint("shuffle_hash"), "id", "left")
         total = total + F.coalesce(F.col("s_hot"), F.lit(0.0))
     return joined.select("id", "outdeg", "hot", update(consts, total).alias("rank"))

@@ -22,7 +22,7 @@ Scale notes
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -104,8 +104,9 @@ def layout_from_graph(
     )
     row = nodes.agg(F.count(F.lit(1)).alias("v"), F.sum(F.col("hot").cast("long")).alias("h")).first()
     n_vertices, n_hot = int(row["v"]), int(row["h"] or 0)
+    # sum of hot out-degrees <= n_links and each exceeds T >= n_links / (hot_factor * P)
     bound = hot_factor * p
-    if n_hot > bound and threshold > hot_floor:
+    if n_hot > bound:
         raise AssertionError(f"hot-source bound violated: {n_hot} > {bound}")
 
     edges_df = edges_df.select("src", "dst", "mult")
@@ -141,6 +142,7 @@ def iterate(
     checkpoint_last: bool = True,
     start: DataFrame | None = None,
     storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+    on_state: Callable[[int, DataFrame], None] | None = None,
 ) -> Iterator[tuple[int, DataFrame]]:
     """Yield (i, state_i) for i = 0..iterations.
 
@@ -149,7 +151,8 @@ def iterate(
     the cache the plan tree would double each step).  Reliable checkpoints every
     ``checkpoint_every`` steps cut the lineage; cached states older than the
     last checkpoint are released.  ``start`` (id, outdeg, hot, rank) resumes
-    from given ranks; the default is 1/N everywhere.
+    from given ranks; the default is 1/N everywhere.  ``on_state(i, state)``
+    runs while state i is cached (e.g. to write it out, I2).
     """
     state = initial_rank(layout.nodes, consts) if start is None else start
     yield 0, state
@@ -157,6 +160,8 @@ def iterate(
     for i in range(1, max(0, iterations) + 1):
         state = rank_step(layout, state, consts).persist(storage)
         cached.append(state)
+        if on_state is not None:
+            on_state(i, state)
         last = i == iterations
         if (checkpoint_every and i % checkpoint_every == 0) or (last and checkpoint_last):
             state = state.checkpoint(eager=True)
@@ -199,6 +204,8 @@ def rank_pages(
     hot_factor: int = DEFAULT_HOT_FACTOR,
     hot_floor: int = DEFAULT_HOT_FLOOR,
     trace: list | None = None,
+    on_state: Callable[[int, DataFrame], None] | None = None,
+    layout_sink: list | None = None,
 ) -> RankResult:
     """Rank every vertex of the page graph described by ``lines``.
 
@@ -220,14 +227,16 @@ def rank_pages(
         pages = G.parsed_ok(parsed)
         layout = build_layout(pages, preset, stats, p, hot_factor, hot_floor)
         parsed.unpersist()
+        if layout_sink is not None:
+            layout_sink.append(layout)
         consts = RankConstants.of(alpha, stats.n_lines, preset.alpha_precision)
-        state = _run(layout, consts, iterations, checkpoint_every, trace)
+        state = _run(layout, consts, iterations, checkpoint_every, trace, on_state=on_state)
     return RankResult(state, layout, stats.n_lines)
 
 
-def _run(layout, consts, iterations, checkpoint_every, trace, start=None) -> DataFrame:
+def _run(layout, consts, iterations, checkpoint_every, trace, start=None, on_state=None) -> DataFrame:
     state = None
-    for i, state in iterate(layout, consts, iterations, checkpoint_every, start=start):
+    for i, state in iterate(layout, consts, iterations, checkpoint_every, start=start, on_state=on_state):
         if trace is not None:
             trace.append((i, state))
     if iterations <= 0:
@@ -286,20 +295,26 @@ def run_job(
     """
     from surfrank.sources.sinks import write_ranked
     from surfrank.sources.state import state_records, write_state
-    from surfrank.sources.text import write_count as write_count_file
+    from surfrank.sources.text import write_count_value
 
     preset = get_preset(preset)
     base = output_path.rstrip("/")
     lines = read_lines(spark, input_path)
-    trace: list | None = [] if keep_state else None
+    layout_box: list[RankLayout] = []
+
+    def keep(i: int, state: DataFrame) -> None:
+        # written while the state is cached; the layout exists once the loop runs
+        write_state(state_records(state, layout_box[0].edges()), f"{base}/rank-{i}", mode)
+
+    def capture(i: int, state: DataFrame) -> None:
+        if keep_state:
+            keep(i, state)
+
     result = rank_pages(
-        lines, iterations, alpha, preset, num_partitions, checkpoint_every, trace=trace
+        lines, iterations, alpha, preset, num_partitions, checkpoint_every,
+        on_state=capture if keep_state else None, layout_sink=layout_box,
     )
     if write_count:
-        write_count_file(lines, f"{base}/count", mode)
-    if keep_state:
-        edges_all = result.layout.edges()
-        for i, state in trace[1:]:
-            write_state(state_records(state, edges_all), f"{base}/rank-{i}", mode)
+        write_count_value(spark, result.n_lines, f"{base}/count", mode)
     write_ranked(result.ranked(), f"{base}/ranking", preset.output_format, mode)
     return result

@@ -42,6 +42,12 @@ def write_count(lines: DataFrame, path: str, mode: str = "errorifexists") -> Non
     count_line(lines).write.mode(mode).text(path)
 
 
+def write_count_value(spark: SparkSession, n_lines: int, path: str, mode: str = "errorifexists") -> None:
+    """Write ``Total Pages-<N>`` for an N already computed by the job (no second scan of the input)."""
+    row = spark.createDataFrame([(f"{COUNT_KEY}{COUNT_SEPARATOR}{int(n_lines)}",)], "value string")
+    row.write.mode(mode).text(path)
+
+
 def parse_count(c: str = "value") -> F.Column:
     """``Total Pages-<N>`` -> N; any other record fails the job (S3)."""
     key = F.substring_index(c, COUNT_SEPARATOR, 1)
