@@ -59,14 +59,18 @@ def shares(state: DataFrame) -> DataFrame:
     )
 
 
-def contributions(edges_df: DataFrame, share_df: DataFrame, with_src: bool = False) -> DataFrame:
+def contributions(
+    edges_df: DataFrame, share_df: DataFrame, with_src: bool = False, hint: str | None = "shuffle_hash"
+) -> DataFrame:
     """One row per distinct link: (dst, c) with c = mult * rank(src)/outdeg(src).
 
     Hash join with the shares as build side: a task hashes its V/P shares and
     streams its E/P edges, so the edges (the largest table) are never sorted.
+    ``hint=None`` keeps the caller's own hint (the hot path broadcasts its shares).
     """
     cols = ["src", "dst"] if with_src else ["dst"]
-    return edges_df.join(share_df.hint("shuffle_hash"), "src").select(
+    build = share_df.hint(hint) if hint else share_df
+    return edges_df.join(build, "src").select(
         *cols, (F.col("mult") * F.col("share")).alias("c")
     )
 
@@ -133,7 +137,9 @@ def rank_step(layout: RankLayout, state: DataFrame, consts: RankConstants) -> Da
     total = F.coalesce(F.col("s_cold"), F.lit(0.0))
     if layout.hot_edges is not None:
         hot_share = F.broadcast(share.join(F.broadcast(layout.hot_ids()), "src", "left_semi"))
-        hot = contribution_sums(contributions(layout.hot_edges, hot_share)).withColumnRenamed("s", "s_hot")
+        hot = contribution_sums(contributions(layout.hot_edges, hot_share, hint=None)).withColumnRenamed(
+            "s", "s_hot"
+        )
         joined = joined.join(hot.hint("shuffle_hash"), "id", "left")
         total = total + F.coalesce(F.col("s_hot"), F.lit(0.0))
     return joined.select("id", "outdeg", "hot", update(consts, total).alias("rank"))
