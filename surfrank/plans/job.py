@@ -83,6 +83,23 @@ def hot_threshold(n_links: int, num_partitions: int, hot_factor: int, hot_floor:
     return max(int(hot_floor), math.ceil(n_links / max(1, hot_factor * num_partitions)))
 
 
+def _materialise(df: DataFrame, storage: StorageLevel, reliable: bool) -> DataFrame:
+    """Cache ``df`` now; with ``reliable`` also write it to the checkpoint folder.
+
+    A reliable copy keeps the hash layout and turns the recovery of a lost
+    cached block into a read of one checkpoint file instead of a re-parse of
+    the input; the checkpointed frame is cached again for the steps.
+    """
+    df = df.persist(storage)
+    if not reliable:
+        df.count()
+        return df
+    cp = df.checkpoint(eager=True).persist(storage)
+    cp.count()
+    df.unpersist()
+    return cp
+
+
 def layout_from_graph(
     nodes_df: DataFrame,
     edges_df: DataFrame,
@@ -92,15 +109,19 @@ def layout_from_graph(
     hot_factor: int = DEFAULT_HOT_FACTOR,
     hot_floor: int = DEFAULT_HOT_FLOOR,
     storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+    reliable: bool = False,
 ) -> RankLayout:
-    """Cache ``nodes(id, outdeg)`` by ``id`` and the edges by ``src`` (cold) or ``dst`` (hot)."""
+    """Materialise ``nodes(id, outdeg, hot)`` by ``id`` and the edges by ``src`` (cold) or ``dst`` (hot).
+
+    Everything is materialised before returning, so the caller may release the
+    parsed input right after.
+    """
     p = num_partitions
     threshold = hot_threshold(n_links, p, hot_factor, hot_floor)
-    nodes = (
-        nodes_df.select("id", "outdeg")
-        .repartition(p, "id")
-        .withColumn("hot", F.col("outdeg") > F.lit(threshold))
-        .persist(storage)
+    nodes = _materialise(
+        nodes_df.select("id", "outdeg").repartition(p, "id").withColumn("hot", F.col("outdeg") > F.lit(threshold)),
+        storage,
+        reliable,
     )
     row = nodes.agg(F.count(F.lit(1)).alias("v"), F.sum(F.col("hot").cast("long")).alias("h")).first()
     n_vertices, n_hot = int(row["v"]), int(row["h"] or 0)
@@ -111,11 +132,11 @@ def layout_from_graph(
 
     edges_df = edges_df.select("src", "dst", "mult")
     if n_hot == 0:
-        cold, hot = edges_df.repartition(p, "src").persist(storage), None
+        cold, hot = _materialise(edges_df.repartition(p, "src"), storage, reliable), None
     else:
         hot_ids = F.broadcast(nodes.where(F.col("hot")).select(F.col("id").alias("src")))
-        cold = edges_df.join(hot_ids, "src", "left_anti").repartition(p, "src").persist(storage)
-        hot = edges_df.join(hot_ids, "src", "left_semi").repartition(p, "dst").persist(storage)
+        cold = _materialise(edges_df.join(hot_ids, "src", "left_anti").repartition(p, "src"), storage, reliable)
+        hot = _materialise(edges_df.join(hot_ids, "src", "left_semi").repartition(p, "dst"), storage, reliable)
     return RankLayout(nodes, cold, hot, p, n_lines, n_vertices, n_hot)
 
 
@@ -126,11 +147,12 @@ def build_layout(
     num_partitions: int,
     hot_factor: int = DEFAULT_HOT_FACTOR,
     hot_floor: int = DEFAULT_HOT_FLOOR,
+    reliable: bool = False,
 ) -> RankLayout:
     """Layout of the graph parsed from page lines."""
     return layout_from_graph(
         G.nodes(pages, preset), G.edges(pages, preset), stats.n_lines, stats.n_links,
-        num_partitions, hot_factor, hot_floor,
+        num_partitions, hot_factor, hot_floor, reliable=reliable,
     )
 
 
@@ -206,13 +228,16 @@ def rank_pages(
     trace: list | None = None,
     on_state: Callable[[int, DataFrame], None] | None = None,
     layout_sink: list | None = None,
+    reliable_graph: bool = True,
 ) -> RankResult:
     """Rank every vertex of the page graph described by ``lines``.
 
     ``lines`` has one page per row in ``column``.  ``alpha`` is the random-jump
     probability.  The steps run eagerly (checkpointed); the returned object's
     ``ranked()`` is a lazy, globally ordered DataFrame.  When ``trace`` is a
-    list, (iteration, state) pairs are appended to it.
+    list, (iteration, state) pairs are appended to it.  ``reliable_graph``
+    also writes the node and edge tables to the checkpoint folder once, so a
+    lost executor never forces a re-parse of the input.
     """
     preset = get_preset(preset)
     spark = lines.sparkSession
@@ -225,7 +250,7 @@ def rank_pages(
             parsed.unpersist()
             raise ValueError("empty input: no lines to rank (page count job failed)")
         pages = G.parsed_ok(parsed)
-        layout = build_layout(pages, preset, stats, p, hot_factor, hot_floor)
+        layout = build_layout(pages, preset, stats, p, hot_factor, hot_floor, reliable=reliable_graph)
         parsed.unpersist()
         if layout_sink is not None:
             layout_sink.append(layout)

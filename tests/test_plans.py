@@ -68,3 +68,9 @@ def test_graph_build_uses_partial_aggregation(spark):
     assert "partial_sum" in nodes_plan
     above_parse = nodes_plan.split("InMemoryTableScan [title")[0]
     assert above_parse.count("Exchange") == 1  # vertex closure + out-degree in one aggregate
+
+
+def test_cache_only_graph_keeps_layout(spark):
+    plan, res = step_plan(spark, reliable_graph=False)
+    top = without_cached_builds(plan)
+    assert top.count("Exchange hashpartitioning") == 1

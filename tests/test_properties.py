@@ -87,3 +87,9 @@ def test_presets_agree_on_clean_input(lines_df):
     assert mr == pytest.approx(py, abs=1e-15)
     assert jvm == pytest.approx(mr, rel=1e-6)
     assert jvm != mr  # float32 alpha really is used
+
+
+def test_cache_only_graph_same_ranks(wp):
+    a = as_dict(rank_pages(wp, 4, 0.15))
+    b = as_dict(rank_pages(wp, 4, 0.15, reliable_graph=False))
+    assert a == pytest.approx(b, abs=1e-15)
