@@ -61,7 +61,7 @@ def test_scan_prunes_to_needed_columns(spark):
 
 
 def test_graph_build_uses_partial_aggregation(spark):
-    res = job.rank_pages(X.lines(spark, SF, "wp"), 1, 0.15)
+    res = job.rank_pages(X.lines(spark, SF, "wp"), 1, 0.15, reliable_graph=False)
     plan = res.layout.cold_edges._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
     nodes_plan = res.layout.nodes._jdf.queryExecution().executedPlan().toString()
