@@ -45,12 +45,25 @@ class GraphStats:
     n_links: int
 
 
-def _partitions(spark: SparkSession, num_partitions: int | None) -> int:
+LINKS_PER_PARTITION = 2_000_000
+
+
+def _partitions(spark: SparkSession, num_partitions: int | None, n_links: int | None = None) -> int:
+    """P for the job: explicit, else sized from the link total.
+
+    About ``LINKS_PER_PARTITION`` link occurrences per partition, at least the
+    cluster's default parallelism, at most ``spark.sql.shuffle.partitions``.
+    """
     if num_partitions is not None:
         if num_partitions < 1:
             raise ValueError("num_partitions must be >= 1")
         return int(num_partitions)
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if n_links is None:
+        return cap
+    floor = max(1, int(spark.sparkContext.defaultParallelism))
+    want = max(floor, math.ceil(n_links / LINKS_PER_PARTITION))
+    return max(1, min(cap, want))
 
 
 def job_settings(num_partitions: int) -> dict[str, str]:
@@ -83,21 +96,25 @@ def hot_threshold(n_links: int, num_partitions: int, hot_factor: int, hot_floor:
     return max(int(hot_floor), math.ceil(n_links / max(1, hot_factor * num_partitions)))
 
 
-def _materialise(df: DataFrame, storage: StorageLevel, reliable: bool) -> DataFrame:
-    """Cache ``df`` now; with ``reliable`` also write it to the checkpoint folder.
+def _materialise(df: DataFrame, key: str, p: int, storage: StorageLevel, reliable: bool) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` into P partitions and cache it now.
 
-    A reliable copy keeps the hash layout and turns the recovery of a lost
-    cached block into a read of one checkpoint file instead of a re-parse of
-    the input; the checkpointed frame is cached again for the steps.
+    With ``reliable`` the rows are first written as a Parquet table in the
+    shared checkpoint folder and read back, so recovering a lost cached block
+    means re-reading that table, never re-parsing the input.  (A ``checkpoint()``
+    would also keep the layout, but a checkpointed leaf stops matching its cache
+    entry once a step joins the node table with data derived from it.)
     """
-    df = df.persist(storage)
-    if not reliable:
-        df.count()
-        return df
-    cp = df.checkpoint(eager=True).persist(storage)
-    cp.count()
-    df.unpersist()
-    return cp
+    if reliable:
+        from surfrank.session import scratch_path
+
+        spark = df.sparkSession
+        path = scratch_path(spark, f"graph-{key}")
+        df.write.parquet(path)
+        df = spark.read.parquet(path)
+    df = df.repartition(p, key).persist(storage)
+    df.count()
+    return df
 
 
 def layout_from_graph(
@@ -118,10 +135,8 @@ def layout_from_graph(
     """
     p = num_partitions
     threshold = hot_threshold(n_links, p, hot_factor, hot_floor)
-    nodes = _materialise(
-        nodes_df.select("id", "outdeg").repartition(p, "id").withColumn("hot", F.col("outdeg") > F.lit(threshold)),
-        storage,
-        reliable,
+    nodes = _materialise(nodes_df.select("id", "outdeg"), "id", p, storage, reliable).withColumn(
+        "hot", F.col("outdeg") > F.lit(threshold)
     )
     row = nodes.agg(F.count(F.lit(1)).alias("v"), F.sum(F.col("hot").cast("long")).alias("h")).first()
     n_vertices, n_hot = int(row["v"]), int(row["h"] or 0)
@@ -132,11 +147,11 @@ def layout_from_graph(
 
     edges_df = edges_df.select("src", "dst", "mult")
     if n_hot == 0:
-        cold, hot = _materialise(edges_df.repartition(p, "src"), storage, reliable), None
+        cold, hot = _materialise(edges_df, "src", p, storage, reliable), None
     else:
         hot_ids = F.broadcast(nodes.where(F.col("hot")).select(F.col("id").alias("src")))
-        cold = _materialise(edges_df.join(hot_ids, "src", "left_anti").repartition(p, "src"), storage, reliable)
-        hot = _materialise(edges_df.join(hot_ids, "src", "left_semi").repartition(p, "dst"), storage, reliable)
+        cold = _materialise(edges_df.join(hot_ids, "src", "left_anti"), "src", p, storage, reliable)
+        hot = _materialise(edges_df.join(hot_ids, "src", "left_semi"), "dst", p, storage, reliable)
     return RankLayout(nodes, cold, hot, p, n_lines, n_vertices, n_hot)
 
 
@@ -241,14 +256,14 @@ def rank_pages(
     """
     preset = get_preset(preset)
     spark = lines.sparkSession
-    p = _partitions(spark, num_partitions)
     checkpoint_dir(spark)
+    parsed = G.parse_pages(lines, preset, column).persist(StorageLevel.MEMORY_AND_DISK)
+    stats = graph_stats(parsed, preset)
+    if stats.n_lines == 0 and preset.on_empty == "error":
+        parsed.unpersist()
+        raise ValueError("empty input: no lines to rank (page count job failed)")
+    p = _partitions(spark, num_partitions, stats.n_links)
     with job_conf(spark, job_settings(p)):
-        parsed = G.parse_pages(lines, preset, column).persist(StorageLevel.MEMORY_AND_DISK)
-        stats = graph_stats(parsed, preset)
-        if stats.n_lines == 0 and preset.on_empty == "error":
-            parsed.unpersist()
-            raise ValueError("empty input: no lines to rank (page count job failed)")
         pages = G.parsed_ok(parsed)
         layout = build_layout(pages, preset, stats, p, hot_factor, hot_floor, reliable=reliable_graph)
         parsed.unpersist()
@@ -285,12 +300,12 @@ def resume_from_records(
     from surfrank.sources.state import graph_from_records
 
     spark = records.sparkSession
-    p = _partitions(spark, num_partitions)
     checkpoint_dir(spark)
+    records = records.persist(StorageLevel.MEMORY_AND_DISK)
+    n_links = int(records.agg(F.sum(F.size("adjacencyList")).alias("k")).first()["k"] or 0)
+    p = _partitions(spark, num_partitions, n_links)
     with job_conf(spark, job_settings(p)):
-        records = records.persist(StorageLevel.MEMORY_AND_DISK)
         nodes_df, edges_df, ranks = graph_from_records(records)
-        n_links = int(records.agg(F.sum(F.size("adjacencyList")).alias("k")).first()["k"] or 0)
         layout = layout_from_graph(nodes_df, edges_df, n_lines, n_links, p, hot_factor, hot_floor)
         start = layout.nodes.join(ranks, "id", "left")
         consts = RankConstants.of(alpha, n_lines, alpha_precision)
