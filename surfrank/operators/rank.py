@@ -107,6 +107,7 @@ class RankLayout:
     n_lines: int
     n_vertices: int
     n_hot: int
+    written: tuple[str, ...] = ()  # tables this layout wrote to the checkpoint folder
 
     def hot_ids(self) -> DataFrame:
         """Ids of hot sources as ``src`` (at most hot_factor * P rows)."""
@@ -118,10 +119,18 @@ class RankLayout:
             return self.cold_edges
         return self.cold_edges.unionByName(self.hot_edges)
 
-    def release(self) -> None:
+    def release(self, delete_written: bool = True) -> None:
+        """Unpersist the tables and delete the copies this layout wrote (exact paths only)."""
         for df in (self.nodes, self.cold_edges, self.hot_edges):
             if df is not None:
                 df.unpersist()
+        if delete_written and self.written:
+            spark = self.nodes.sparkSession
+            jvm = spark.sparkContext._jvm
+            hconf = spark.sparkContext._jsc.hadoopConfiguration()
+            for path in self.written:
+                jpath = jvm.org.apache.hadoop.fs.Path(path)
+                jpath.getFileSystem(hconf).delete(jpath, True)
 
 
 def rank_step(layout: RankLayout, state: DataFrame, consts: RankConstants) -> DataFrame:

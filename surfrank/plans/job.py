@@ -96,7 +96,9 @@ def hot_threshold(n_links: int, num_partitions: int, hot_factor: int, hot_floor:
     return max(int(hot_floor), math.ceil(n_links / max(1, hot_factor * num_partitions)))
 
 
-def _materialise(df: DataFrame, key: str, p: int, storage: StorageLevel, reliable: bool) -> DataFrame:
+def _materialise(
+    df: DataFrame, key: str, p: int, storage: StorageLevel, reliable: bool, written: list[str]
+) -> DataFrame:
     """Hash-partition ``df`` by ``key`` into P partitions and cache it now.
 
     With ``reliable`` the rows are first written as a Parquet table in the
@@ -111,6 +113,7 @@ def _materialise(df: DataFrame, key: str, p: int, storage: StorageLevel, reliabl
         spark = df.sparkSession
         path = scratch_path(spark, f"graph-{key}")
         df.write.parquet(path)
+        written.append(path)
         df = spark.read.parquet(path)
     df = df.repartition(p, key).persist(storage)
     df.count()
@@ -134,8 +137,9 @@ def layout_from_graph(
     parsed input right after.
     """
     p = num_partitions
+    written: list[str] = []
     threshold = hot_threshold(n_links, p, hot_factor, hot_floor)
-    nodes = _materialise(nodes_df.select("id", "outdeg"), "id", p, storage, reliable).withColumn(
+    nodes = _materialise(nodes_df.select("id", "outdeg"), "id", p, storage, reliable, written).withColumn(
         "hot", F.col("outdeg") > F.lit(threshold)
     )
     row = nodes.agg(F.count(F.lit(1)).alias("v"), F.sum(F.col("hot").cast("long")).alias("h")).first()
@@ -147,12 +151,12 @@ def layout_from_graph(
 
     edges_df = edges_df.select("src", "dst", "mult")
     if n_hot == 0:
-        cold, hot = _materialise(edges_df, "src", p, storage, reliable), None
+        cold, hot = _materialise(edges_df, "src", p, storage, reliable, written), None
     else:
         hot_ids = F.broadcast(nodes.where(F.col("hot")).select(F.col("id").alias("src")))
-        cold = _materialise(edges_df.join(hot_ids, "src", "left_anti"), "src", p, storage, reliable)
-        hot = _materialise(edges_df.join(hot_ids, "src", "left_semi"), "dst", p, storage, reliable)
-    return RankLayout(nodes, cold, hot, p, n_lines, n_vertices, n_hot)
+        cold = _materialise(edges_df.join(hot_ids, "src", "left_anti"), "src", p, storage, reliable, written)
+        hot = _materialise(edges_df.join(hot_ids, "src", "left_semi"), "dst", p, storage, reliable, written)
+    return RankLayout(nodes, cold, hot, p, n_lines, n_vertices, n_hot, tuple(written))
 
 
 def build_layout(

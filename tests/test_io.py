@@ -89,3 +89,16 @@ def test_run_job_writes_all_outputs(spark, lines_df, scratch):
     assert len(read_parts(f"{out}/rank-2")) == 9
     ranking = [ast.literal_eval(l) for l in read_parts(f"{out}/ranking")]
     assert len(ranking) == 9 and ranking == sorted(ranking, key=lambda p: (-p[1], p[0]))
+
+
+def test_layout_release_deletes_only_its_tables(lines_df):
+    import os
+
+    res = rank_pages(lines_df(CLEAN), 1, 0.15)
+    paths = [p.replace("file:", "") for p in res.layout.written]
+    assert paths and all(os.path.exists(p) for p in paths)
+    ranks_before = {r.title: r.rank for r in res.ranks().collect()}
+    res.layout.release()
+    assert not any(os.path.exists(p) for p in paths)
+    # the final state is its own checkpoint and stays readable
+    assert {r.title: r.rank for r in res.ranks().collect()} == ranks_before
