@@ -97,7 +97,7 @@ def hot_threshold(n_links: int, num_partitions: int, hot_factor: int, hot_floor:
 
 
 def _materialise(
-    df: DataFrame, key: str, p: int, storage: StorageLevel, reliable: bool, written: list[str]
+    df: DataFrame, key: str, p: int, storage: StorageLevel, reliable: bool, written: list[str], count: bool = True
 ) -> DataFrame:
     """Hash-partition ``df`` by ``key`` into P partitions and cache it now.
 
@@ -116,7 +116,8 @@ def _materialise(
         written.append(path)
         df = spark.read.parquet(path)
     df = df.repartition(p, key).persist(storage)
-    df.count()
+    if count:
+        df.count()
     return df
 
 
@@ -139,9 +140,9 @@ def layout_from_graph(
     p = num_partitions
     written: list[str] = []
     threshold = hot_threshold(n_links, p, hot_factor, hot_floor)
-    nodes = _materialise(nodes_df.select("id", "outdeg"), "id", p, storage, reliable, written).withColumn(
-        "hot", F.col("outdeg") > F.lit(threshold)
-    )
+    # materialised by the aggregate right below
+    nodes = _materialise(nodes_df.select("id", "outdeg"), "id", p, storage, reliable, written, count=False)
+    nodes = nodes.withColumn("hot", F.col("outdeg") > F.lit(threshold))
     row = nodes.agg(F.count(F.lit(1)).alias("v"), F.sum(F.col("hot").cast("long")).alias("h")).first()
     n_vertices, n_hot = int(row["v"]), int(row["h"] or 0)
     # sum of hot out-degrees <= n_links and each exceeds T >= n_links / (hot_factor * P)
@@ -262,15 +263,16 @@ def rank_pages(
     spark = lines.sparkSession
     checkpoint_dir(spark)
     parsed = G.parse_pages(lines, preset, column).persist(StorageLevel.MEMORY_AND_DISK)
-    stats = graph_stats(parsed, preset)
-    if stats.n_lines == 0 and preset.on_empty == "error":
+    try:
+        stats = graph_stats(parsed, preset)
+        if stats.n_lines == 0 and preset.on_empty == "error":
+            raise ValueError("empty input: no lines to rank (page count job failed)")
+        p = _partitions(spark, num_partitions, stats.n_links)
+        with job_conf(spark, job_settings(p)):
+            layout = build_layout(G.parsed_ok(parsed), preset, stats, p, hot_factor, hot_floor, reliable_graph)
+    finally:
         parsed.unpersist()
-        raise ValueError("empty input: no lines to rank (page count job failed)")
-    p = _partitions(spark, num_partitions, stats.n_links)
     with job_conf(spark, job_settings(p)):
-        pages = G.parsed_ok(parsed)
-        layout = build_layout(pages, preset, stats, p, hot_factor, hot_floor, reliable=reliable_graph)
-        parsed.unpersist()
         if layout_sink is not None:
             layout_sink.append(layout)
         consts = RankConstants.of(alpha, stats.n_lines, preset.alpha_precision)

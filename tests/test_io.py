@@ -102,3 +102,23 @@ def test_layout_release_deletes_only_its_tables(lines_df):
     assert not any(os.path.exists(p) for p in paths)
     # the final state is its own checkpoint and stays readable
     assert {r.title: r.rank for r in res.ranks().collect()} == ranks_before
+
+
+def test_command_line(scratch):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    src, out = scratch(), scratch()
+    os.makedirs(src)
+    with open(os.path.join(src, "in.txt"), "w", encoding="utf-8") as fh:
+        fh.write("\n".join(CLEAN) + "\n")
+    env = dict(os.environ, PYTHONPATH=root)
+    subprocess.run(
+        [sys.executable, "-m", "surfrank", src, out, "1", "0.15", "--count", "--partitions", "3"],
+        check=True, env=env, cwd=root, capture_output=True, timeout=300,
+    )
+    ranking = [line.split("\t")[0] for line in read_parts(f"{out}/ranking")]
+    assert ranking == ["C", "A", "B", "E", "D"]
+    assert read_parts(f"{out}/count") == ["Total Pages-5"]
