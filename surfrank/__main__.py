@@ -15,13 +15,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("input")
     ap.add_argument("output")
     ap.add_argument("iterations", type=int)
-    ap.add_argument("alpha", type=float, help="random jump probability")
+    ap.add_argument("alpha", help="random jump probability (kept as text: exact for float32 arithmetic)")
     ap.add_argument("--preset", default="mapreduce", choices=sorted(PRESETS))
     ap.add_argument("--partitions", type=int, default=None)
     ap.add_argument("--checkpoint-every", type=int, default=5)
     ap.add_argument("--count", action="store_true", help="also write <output>/count")
     ap.add_argument("--keep-state", action="store_true", help="also write <output>/rank-<i>")
     args = ap.parse_args(argv)
+    float(args.alpha)  # validate early
     spark = SparkSession.builder.appName("surfrank").getOrCreate()
     run_job(
         spark, args.input, args.output, args.iterations, args.alpha, args.preset,

@@ -23,6 +23,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def float32_of(text: str | float) -> np.float32:
+    """Nearest float32 to a decimal literal, ties to even (as a JVM ``parseFloat``).
+
+    Going through a double first (``np.float32(float(text))``) can round twice.
+    """
+    from decimal import Decimal
+
+    dec = Decimal(repr(text) if isinstance(text, float) else str(text).strip())
+    guess = np.float32(float(dec))
+    best = None
+    for c in (np.nextafter(guess, np.float32(-np.inf)), guess, np.nextafter(guess, np.float32(np.inf))):
+        err = abs(Decimal(float(c)) - dec)
+        even = (int(c.view(np.uint32)) & 1) == 0
+        key = (err, not even)
+        if best is None or key < best[0]:
+            best = (key, c)
+    return np.float32(best[1])
+
+
 @dataclass(frozen=True)
 class RankConstants:
     """Plan literals of the update: ``rank' = jump + keep * s``."""
@@ -32,15 +51,17 @@ class RankConstants:
     keep: float
 
     @staticmethod
-    def of(alpha: float, n_lines: int, precision: str = "double") -> "RankConstants":
+    def of(alpha: float | str, n_lines: int, precision: str = "double") -> "RankConstants":
+        """``alpha`` may be given as text, which keeps its exact decimal value for float32."""
         n = int(n_lines)
         initial = 1.0 / n if n else float("nan")
         if precision == "double":
-            return RankConstants(initial, alpha / n if n else float("nan"), 1.0 - alpha)
+            a = float(alpha)
+            return RankConstants(initial, a / n if n else float("nan"), 1.0 - a)
         if precision == "float32":
             # float32 alpha: alpha/N is float/long -> float, 1-alpha is float; both
             # are then widened to double and combined with the double sum.
-            a32 = np.float32(alpha)
+            a32 = float32_of(alpha)
             jump = float(a32 / np.float32(n)) if n else float("nan")
             keep = float(np.float32(1.0) - a32)
             return RankConstants(initial, jump, keep)

@@ -238,7 +238,7 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def rank_pages(
     lines: DataFrame,
     iterations: int = 10,
-    alpha: float = 0.15,
+    alpha: float | str = 0.15,
     preset: str | Preset = "mapreduce",
     num_partitions: int | None = None,
     checkpoint_every: int | None = 5,
@@ -294,7 +294,7 @@ def resume_from_records(
     records: DataFrame,
     n_lines: int,
     iterations: int,
-    alpha: float = 0.15,
+    alpha: float | str = 0.15,
     alpha_precision: str = "double",
     num_partitions: int | None = None,
     checkpoint_every: int | None = 5,
@@ -325,7 +325,7 @@ def run_job(
     input_path: str | list[str],
     output_path: str,
     iterations: int,
-    alpha: float = 0.15,
+    alpha: float | str = 0.15,
     preset: str | Preset = "mapreduce",
     num_partitions: int | None = None,
     checkpoint_every: int | None = 5,

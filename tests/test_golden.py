@@ -60,3 +60,17 @@ def test_zero_and_negative_iterations_return_initial(lines_df):
     for it in (0, -3):
         got = ranks(rank_pages(lines_df(CLEAN), it, 0.15))
         assert got == pytest.approx({k: 0.2 for k in "ABCDE"})
+
+
+def test_float32_alpha_is_parsed_like_the_jvm():
+    import numpy as np
+
+    from surfrank.operators.rank import RankConstants, float32_of
+
+    assert float32_of("0.15") == np.float32(0.15)
+    # a literal just below a float32 midpoint: parsing through a double rounds it up
+    s = "1.00000017881393432617187499"
+    assert float32_of(s) == np.float32(1.0000001) != np.float32(float(s))
+    c = RankConstants.of("0.15", 992, "float32")
+    assert c.jump == float(np.float32(0.15) / np.float32(992))
+    assert c.keep == float(np.float32(1) - np.float32(0.15))
