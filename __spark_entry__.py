@@ -325,7 +325,7 @@ def q_rank_trace(spark, sf):
 
 def q_rank_partitions(spark, sf):
     out = None
-    for n in (1, 7):
+    for n in (2, 7):
         res = _rank(spark, sf, "wp", "mapreduce", 5, num_partitions=n)
         df = _ranks_out(res).select(F.lit(n).cast("long").alias("num_partitions"), "title", "rank")
         out = df if out is None else out.unionByName(df)

@@ -370,7 +370,7 @@ ON n.id = m.key"""
     )
     out["rank_trace"] = _trace_sql("wp", "mapreduce", 3, alpha)
     out["rank_partitions"] = _multi_ranks_sql(
-        [(1, "wp", "mapreduce", 5), (7, "wp", "mapreduce", 5)], alpha, "num_partitions"
+        [(2, "wp", "mapreduce", 5), (7, "wp", "mapreduce", 5)], alpha, "num_partitions"
     )
     out["sink_ranked_tsv"] = ranks_sql("wd", "mapreduce", 4, alpha)
     out["sink_tuple_py"] = ranks_sql("wd", "rdd_py", 4, alpha)
