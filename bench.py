@@ -1,7 +1,7 @@
 """Benchmark: prints one JSON line with the headline timings.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 4),
-BENCH_RUNS (default 3, median reported).  The page lines of each fixture are
+BENCH_RUNS (default 5, median reported).  The page lines of each fixture are
 written once as text (not timed); every timed run then starts from the text
 files, as a real job would.
 
@@ -65,7 +65,7 @@ def timed(fn, runs: int) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "4"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     scratch = tempfile.mkdtemp(prefix="surfrank-bench-")
     spark = session(cpus, scratch)
 

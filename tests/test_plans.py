@@ -1,6 +1,5 @@
 """Physical plan shape of a step: one exchange, partial sums, no Python, no re-shuffle of cached tables."""
 
-from pyspark.sql import functions as F
 
 from surfrank import fixtures as X
 from surfrank.operators.rank import RankConstants, rank_step
