@@ -70,7 +70,9 @@ def title_positional(line: Column | str, on_bad_title: str = "slice") -> Column:
     good = F.substring(line, start + 1, end - start)
     if on_bad_title == "error":
         return F.when(ok, good).otherwise(
-            F.raise_error(F.concat(F.lit("unparsable page title in line: "), F.substr(line, F.lit(1), F.lit(200))))
+            F.raise_error(
+                F.concat(F.lit("unparsable page title in a line of "), F.length(line).cast("string"), F.lit(" characters"))
+            )
         )
     if on_bad_title == "skip":
         return F.when(ok, good)
