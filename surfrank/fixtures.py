@@ -21,7 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def wp_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part graph: part P links to the part on the next line of each order it appears in."""
+    """Part graph: part P links to the part on the next line of each order it appears in.
+
+    The input format is one page per line, so a part's links are concatenated
+    into its one line here (this builds the test input; the engine itself never
+    gathers a page's links into a row).
+    """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     a = li.alias("a")
     b = li.alias("b")

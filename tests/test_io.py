@@ -122,3 +122,20 @@ def test_command_line(scratch):
     ranking = [line.split("\t")[0] for line in read_parts(f"{out}/ranking")]
     assert ranking == ["C", "A", "B", "E", "D"]
     assert read_parts(f"{out}/count") == ["Total Pages-5"]
+
+
+def test_line_source_endings_compression_and_folders(spark, scratch):
+    import gzip
+    import os
+
+    folder = scratch()
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.txt"), "wb") as fh:
+        fh.write(b"<title>A</title>[[B]]\r<title>B</title>[[A]]\r\n<title>C</title>\n\n")
+    with gzip.open(os.path.join(folder, "b.txt.gz"), "wb") as fh:
+        fh.write("<title>é</title>[[A]]\n".encode("utf-8"))
+    lines = sorted(r.value for r in TX.read_lines(spark, folder).collect())
+    assert lines == ["", "<title>A</title>[[B]]", "<title>B</title>[[A]]", "<title>C</title>", "<title>é</title>[[A]]"]
+    res = rank_pages(TX.read_lines(spark, folder), 1, 0.15)
+    assert res.n_lines == 5
+    assert {r.title for r in res.ranks().collect()} == {"A", "B", "C", "é"}
