@@ -23,6 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def wp_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part graph: part P links to the part on the next line of each order it appears in.
 
+    Every linked pair of every order is used.  Only parts with ``p_size <= 25``
+    get a page line of their own; the others still occur as link targets, which
+    is how the graph gets vertices that have no page (semantics, not sampling).
     The input format is one page per line, so a part's links are concatenated
     into its one line here (this builds the test input; the engine itself never
     gathers a page's links into a row).
@@ -85,7 +88,9 @@ select replace(replace(regexp_replace(html, '<a href="/([^"]*)">', '[[\\1]]', 'g
 from pages
 """
 
-# Dirty lines: one parsing case per doc_id % 12 (the same CASE text runs in both engines).
+# Dirty lines: every document yields one line; doc_id % 12 only picks which
+# parsing case that line exercises, and the other moduli pick link targets
+# (the same CASE text runs in both engines).
 WD_CASE = """case doc_id % 12
  when 0 then ''
  when 1 then 'no heading here [[D'||(doc_id+1)||']]'
