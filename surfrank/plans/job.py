@@ -1,9 +1,11 @@
 """Whole ranking jobs: lines -> graph -> k steps -> ordered ranking.
 
-Jobs per run: one pass over the parsed lines for N (and the link total), one
-that builds and caches the node table, one per checkpoint, and the caller's
-final action.  Each step adds exactly one shuffle (the contribution sums by
-target), because the node state and the regular edges share one hash layout.
+Jobs per run: one pass over the parsed lines for N and the link total; the
+graph build (node and edge tables written once to the checkpoint folder, read
+back hash-partitioned and cached); one job per state checkpoint; then the
+caller's final action (global sort, sink).  Each step adds exactly one shuffle
+(the contribution sums by target), because the node table, the state and the
+regular edges share one hash layout.
 
 Scale notes
 -----------
@@ -14,9 +16,10 @@ Scale notes
   out-degrees add up to at most ``total_links``, there are at most
   ``hot_factor * P`` hot sources: the broadcast of their shares is bounded by
   the partition count, not by the data.  The count is also checked.
-* Lineage is cut by reliable checkpoints every ``checkpoint_every`` steps (and
-  after the last one) into ``spark.checkpoint.dir``; a lost executor replays at
-  most ``checkpoint_every`` steps.
+* The graph tables are written tables in ``spark.checkpoint.dir``; the state's
+  lineage is cut by reliable checkpoints every ``checkpoint_every`` steps (and
+  after the last one).  A lost executor costs a table re-read plus at most
+  ``checkpoint_every`` replayed steps, never a re-parse of the input.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from surfrank.operators import graph as G
 from surfrank.operators.order import order_ranked
 from surfrank.operators.rank import RankConstants, RankLayout, initial_rank, rank_step
 from surfrank.plans.presets import Preset, get_preset
-from surfrank.session import checkpoint_dir, job_conf
+from surfrank.session import checkpoint_dir, job_conf, scratch_path
 
 DEFAULT_HOT_FACTOR = 4
 DEFAULT_HOT_FLOOR = 1_000_000
@@ -108,8 +111,6 @@ def _materialise(
     entry once a step joins the node table with data derived from it.)
     """
     if reliable:
-        from surfrank.session import scratch_path
-
         spark = df.sparkSession
         path = scratch_path(spark, f"graph-{key}")
         df.write.parquet(path)
