@@ -28,3 +28,25 @@ def test_existing_sink_path_is_refused(lines_df, scratch):
     write_ranked(res.ranked(), path)
     with pytest.raises(Exception, match="already exists"):
         write_ranked(res.ranked(), path)
+
+
+def test_checkpoint_folder_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    from surfrank.session import checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc))
+
+
+def test_checkpoint_folder_is_read_from_the_session(spark):
+    from surfrank.session import checkpoint_dir
+
+    assert checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+
+
+def test_no_parsable_line_gives_empty_ranking(lines_df):
+    res = rank_pages(lines_df(["no heading [[x]]", "", "still none"]), 3, 0.15, "mapreduce")
+    assert res.n_lines == 3 and res.ranked().count() == 0
