@@ -93,3 +93,23 @@ def test_cache_only_graph_same_ranks(wp):
     a = as_dict(rank_pages(wp, 4, 0.15))
     b = as_dict(rank_pages(wp, 4, 0.15, reliable_graph=False))
     assert a == pytest.approx(b, abs=1e-15)
+
+
+def test_losing_the_graph_caches_recomputes_from_written_tables(spark, wp):
+    from surfrank.operators.rank import RankConstants
+    from surfrank.plans import job
+    from surfrank.session import job_conf
+
+    ref = as_dict(rank_pages(wp, 4, 0.15))
+    res = rank_pages(wp, 0, 0.15)
+    layout = res.layout
+    for df in (layout.nodes, layout.cold_edges):
+        df.unpersist()  # as if every cached block were lost
+    with job_conf(spark, job.job_settings(layout.num_partitions)):
+        plan = layout.cold_edges._jdf.queryExecution().executedPlan().toString()
+        assert "parquet" in plan.lower() and "text" not in plan.lower()
+        state = None
+        for _, state in job.iterate(layout, RankConstants.of(0.15, res.n_lines), 4, 2):
+            pass
+        got = {r.id: r.rank for r in state.collect()}
+    assert got == pytest.approx(ref, abs=1e-15)
