@@ -99,27 +99,37 @@ def hot_threshold(n_links: int, num_partitions: int, hot_factor: int, hot_floor:
     return max(int(hot_floor), math.ceil(n_links / max(1, hot_factor * num_partitions)))
 
 
-def _materialise(
-    df: DataFrame, key: str, p: int, storage: StorageLevel, reliable: bool, written: list[str], count: bool = True
-) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` into P partitions and cache it now.
-
-    With ``reliable`` the rows are first written as a Parquet table in the
-    shared checkpoint folder and read back, so recovering a lost cached block
-    means re-reading that table, never re-parsing the input.  (A ``checkpoint()``
-    would also keep the layout, but a checkpointed leaf stops matching its cache
-    entry once a step joins the node table with data derived from it.)
+def _cache(df: DataFrame, key: str, p: int, storage: StorageLevel) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` into P partitions and mark it cached."""
+    return df.repartition(p, key).persist(storage)
+
+
+def _write_graph(nodes_df: DataFrame, edges_df: DataFrame, written: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Write both graph tables in one job to the shared checkpoint folder and read them back.
+
+    Recovering a lost cached block then means re-reading a written table, never
+    re-parsing the input.  (A ``checkpoint()`` would also keep the layout, but a
+    checkpointed leaf stops matching its cache entry once a step joins the node
+    table with data derived from it.)  Both aggregations run as stages of the
+    same write job.
     """
-    if reliable:
-        spark = df.sparkSession
-        path = scratch_path(spark, f"graph-{key}")
-        df.write.parquet(path)
-        written.append(path)
-        df = spark.read.parquet(path)
-    df = df.repartition(p, key).persist(storage)
-    if count:
-        df.count()
-    return df
+    spark = nodes_df.sparkSession
+    path = scratch_path(spark, "graph")
+    none = F.lit(None).cast("string")
+    tagged = nodes_df.select(
+        F.col("id").alias("a"), none.alias("b"), F.col("outdeg").alias("n"), F.lit("nodes").alias("t")
+    ).unionByName(
+        edges_df.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("mult").alias("n"), F.lit("edges").alias("t"))
+    )
+    tagged.write.partitionBy("t").parquet(path)
+    written.append(path)
+    # explicit schema: an empty side writes no folder; the tag filter prunes to one folder
+    back = spark.read.schema("a string, b string, n long, t string").parquet(path)
+    nodes_back = back.where(F.col("t") == "nodes").select(F.col("a").alias("id"), F.col("n").alias("outdeg"))
+    edges_back = back.where(F.col("t") == "edges").select(
+        F.col("a").alias("src"), F.col("b").alias("dst"), F.col("n").alias("mult")
+    )
+    return nodes_back, edges_back
 
 
 def layout_from_graph(
@@ -140,10 +150,12 @@ def layout_from_graph(
     """
     p = num_partitions
     written: list[str] = []
+    nodes_df, edges_df = nodes_df.select("id", "outdeg"), edges_df.select("src", "dst", "mult")
+    if reliable:
+        nodes_df, edges_df = _write_graph(nodes_df, edges_df, written)
     threshold = hot_threshold(n_links, p, hot_factor, hot_floor)
-    # materialised by the aggregate right below
-    nodes = _materialise(nodes_df.select("id", "outdeg"), "id", p, storage, reliable, written, count=False)
-    nodes = nodes.withColumn("hot", F.col("outdeg") > F.lit(threshold))
+    nodes = _cache(nodes_df, "id", p, storage).withColumn("hot", F.col("outdeg") > F.lit(threshold))
+    # this aggregate also fills the node cache
     row = nodes.agg(F.count(F.lit(1)).alias("v"), F.sum(F.col("hot").cast("long")).alias("h")).first()
     n_vertices, n_hot = int(row["v"]), int(row["h"] or 0)
     # sum of hot out-degrees <= n_links and each exceeds T >= n_links / (hot_factor * P)
@@ -151,13 +163,14 @@ def layout_from_graph(
     if n_hot > bound:
         raise AssertionError(f"hot-source bound violated: {n_hot} > {bound}")
 
-    edges_df = edges_df.select("src", "dst", "mult")
     if n_hot == 0:
-        cold, hot = _materialise(edges_df, "src", p, storage, reliable, written), None
+        cold, hot = _cache(edges_df, "src", p, storage), None
+        cold.count()
     else:
         hot_ids = F.broadcast(nodes.where(F.col("hot")).select(F.col("id").alias("src")))
-        cold = _materialise(edges_df.join(hot_ids, "src", "left_anti"), "src", p, storage, reliable, written)
-        hot = _materialise(edges_df.join(hot_ids, "src", "left_semi"), "dst", p, storage, reliable, written)
+        cold = _cache(edges_df.join(hot_ids, "src", "left_anti"), "src", p, storage)
+        hot = _cache(edges_df.join(hot_ids, "src", "left_semi"), "dst", p, storage)
+        cold.select(F.lit(1)).unionByName(hot.select(F.lit(1))).count()  # fills both caches in one job
     return RankLayout(nodes, cold, hot, p, n_lines, n_vertices, n_hot, tuple(written))
 
 
