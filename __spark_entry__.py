@@ -25,7 +25,7 @@ from surfrank.functions import extract as E  # noqa: E402
 from surfrank.operators import graph as G  # noqa: E402
 from surfrank.operators import rank as K  # noqa: E402
 from surfrank.operators.order import order_ranked, with_position  # noqa: E402
-from surfrank.plans.job import rank_pages, resume_from_records, run_job  # noqa: E402
+from surfrank.plans.job import rank_pages, ranking_output, resume_from_records, run_job  # noqa: E402
 from surfrank.plans.presets import get_preset  # noqa: E402
 from surfrank.session import scratch_path  # noqa: E402
 from surfrank.sources import sinks as SK  # noqa: E402
@@ -361,7 +361,7 @@ def _job(spark, sf, preset):
         TX.write_lines(_lines(spark, sf, fx), src)
         dst = scratch_path(spark, f"job-{preset}")
         run_job(spark, src, dst, its, ALPHA, preset)
-        back = SK.read_ranked(spark, f"{dst}/ranking", get_preset(preset).output_format)
+        back = SK.read_ranked(spark, ranking_output(dst, preset), get_preset(preset).output_format)
         df = back.select(F.lit(fx).alias("fixture"), "title", _r("rank").alias("rank"))
         out = df if out is None else out.unionByName(df)
     return out

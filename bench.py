@@ -104,7 +104,7 @@ def main() -> None:
         def go():
             counter[0] += 1
             out = os.path.join(scratch, f"job-{counter[0]}")
-            res = run_job(spark, inputs[fx], out, 10, 0.15, preset)
+            res = run_job(spark, inputs[fx], out, 10, 0.15, preset)  # count + sort (MR) or pairs
             res.layout.release()
 
         return go

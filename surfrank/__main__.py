@@ -10,23 +10,37 @@ from surfrank.plans.job import run_job
 from surfrank.plans.presets import PRESETS
 
 
+USAGE = """positional arguments, as in the two familiar forms:
+  <input> <output> <iterations> <reducers> <alpha>   (reducers = partitions)
+  <input> <output> <iterations> <alpha>"""
+
+
 def main(argv: list[str] | None = None) -> None:
-    ap = argparse.ArgumentParser(prog="surfrank", description="Rank the pages of a line-oriented wiki dump.")
-    ap.add_argument("input")
-    ap.add_argument("output")
-    ap.add_argument("iterations", type=int)
-    ap.add_argument("alpha", help="random jump probability (kept as text: exact for float32 arithmetic)")
+    ap = argparse.ArgumentParser(
+        prog="surfrank",
+        description="Rank the pages of a line-oriented wiki dump.",
+        epilog=USAGE,
+        formatter_class=argparse.RawDescriptionHelpFormatter,
+    )
+    ap.add_argument("args", nargs="+", metavar="ARG")
     ap.add_argument("--preset", default="mapreduce", choices=sorted(PRESETS))
     ap.add_argument("--partitions", type=int, default=None)
-    ap.add_argument("--checkpoint-every", type=int, default=5)
-    ap.add_argument("--count", action="store_true", help="also write <output>/count")
-    ap.add_argument("--keep-state", action="store_true", help="also write <output>/rank-<i>")
-    args = ap.parse_args(argv)
-    float(args.alpha)  # validate early
+    ap.add_argument("--checkpoint-every", type=int, default=5, help="0 = only after the last step")
+    ap.add_argument("--keep-state", action="store_true", help="mapreduce layout: also write parse/ and rank-<i>/")
+    ns = ap.parse_args(argv)
+    if len(ns.args) == 5:
+        src, dst, iterations, reducers, alpha = ns.args
+        partitions = int(reducers)
+    elif len(ns.args) == 4:
+        src, dst, iterations, alpha = ns.args
+        partitions = ns.partitions
+    else:
+        ap.error("expected 4 or 5 positional arguments")
+    float(alpha)  # validate early; the text itself is kept (exact for float32 arithmetic)
     spark = SparkSession.builder.appName("surfrank").getOrCreate()
     run_job(
-        spark, args.input, args.output, args.iterations, args.alpha, args.preset,
-        args.partitions, args.checkpoint_every or None, args.count, args.keep_state,
+        spark, src, dst, int(iterations), alpha, ns.preset, partitions,
+        ns.checkpoint_every or None, ns.keep_state,
     )
 
 

@@ -334,6 +334,12 @@ def resume_from_records(
     return RankResult(state, layout, n_lines)
 
 
+def ranking_output(output_path: str, preset: str | Preset) -> str:
+    """Where ``run_job`` writes the ranking: ``<output>/sort`` for the MR preset, ``<output>`` otherwise."""
+    base = output_path.rstrip("/")
+    return f"{base}/sort" if get_preset(preset).name == "mapreduce" else base
+
+
 def run_job(
     spark: SparkSession,
     input_path: str | list[str],
@@ -343,15 +349,15 @@ def run_job(
     preset: str | Preset = "mapreduce",
     num_partitions: int | None = None,
     checkpoint_every: int | None = 5,
-    write_count: bool = False,
     keep_state: bool = False,
     mode: str = "errorifexists",
 ) -> RankResult:
-    """Whole job: text in, ranking out.
+    """Whole job: text in, ranking out (I6-I8), with the output layout of each preset.
 
-    Writes ``<output>/ranking`` in the preset's text form, and optionally
-    ``<output>/count`` (``Total Pages-<N>``) and ``<output>/rank-<i>`` graph-state
-    records after every step (I2).
+    * ``mapreduce``: ``<output>/count`` (``Total Pages-<N>``) and ``<output>/sort``
+      (``title<TAB>rank``); with ``keep_state`` also ``<output>/parse`` (initial
+      graph-state records) and ``<output>/rank-<i>`` after every step (I2).
+    * ``rdd_jvm`` / ``rdd_py``: the ranking itself at ``<output>`` in the pair form.
     """
     from surfrank.sources.sinks import write_ranked
     from surfrank.sources.state import state_records, write_state
@@ -359,6 +365,9 @@ def run_job(
 
     preset = get_preset(preset)
     base = output_path.rstrip("/")
+    mr_layout = preset.name == "mapreduce"
+    if keep_state and not mr_layout:
+        raise ValueError("per-step state files belong to the mapreduce output layout")
     lines = read_lines(spark, input_path)
     layout_box: list[RankLayout] = []
 
@@ -366,15 +375,14 @@ def run_job(
         # written while the state is cached; the layout exists once the loop runs
         write_state(state_records(state, layout_box[0].edges()), f"{base}/rank-{i}", mode)
 
-    def capture(i: int, state: DataFrame) -> None:
-        if keep_state:
-            keep(i, state)
-
+    trace: list | None = [] if keep_state else None
     result = rank_pages(
         lines, iterations, alpha, preset, num_partitions, checkpoint_every,
-        on_state=capture if keep_state else None, layout_sink=layout_box,
+        trace=trace, on_state=keep if keep_state else None, layout_sink=layout_box,
     )
-    if write_count:
+    if mr_layout:
         write_count_value(spark, result.n_lines, f"{base}/count", mode)
-    write_ranked(result.ranked(), f"{base}/ranking", preset.output_format, mode)
+        if keep_state:
+            write_state(state_records(trace[0][1], result.layout.edges()), f"{base}/parse", mode)
+    write_ranked(result.ranked(), ranking_output(base, preset), preset.output_format, mode)
     return result

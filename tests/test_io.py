@@ -80,15 +80,28 @@ def test_state_records_split_large_pages(spark, lines_df):
     assert {r.id: r.outdeg for r in nodes.collect()}["H"] == 50
 
 
-def test_run_job_writes_all_outputs(spark, lines_df, scratch):
+def test_run_job_mapreduce_layout(spark, lines_df, scratch):
     src = scratch()
     TX.write_lines(lines_df(DIRTY), src)
     out = scratch()
-    run_job(spark, src, out, 2, 0.15, "rdd_py", write_count=True, keep_state=True)
+    run_job(spark, src, out, 2, 0.15, "mapreduce", keep_state=True)
     assert read_parts(f"{out}/count") == ["Total Pages-8"]
-    assert len(read_parts(f"{out}/rank-2")) == 9
-    ranking = [ast.literal_eval(l) for l in read_parts(f"{out}/ranking")]
+    assert len(read_parts(f"{out}/parse")) == 7 and len(read_parts(f"{out}/rank-2")) == 7
+    parse = {line.split("\t", 1)[0]: line for line in read_parts(f"{out}/parse")}
+    assert '"pageRank":0.125' in parse["A"]
+    pairs = [(t, float(r)) for t, r in (line.split("\t") for line in read_parts(f"{out}/sort"))]
+    assert len(pairs) == 7 and pairs == sorted(pairs, key=lambda p: (-p[1], p[0]))
+
+
+def test_run_job_rdd_layout(spark, lines_df, scratch):
+    src = scratch()
+    TX.write_lines(lines_df(DIRTY), src)
+    out = scratch()
+    run_job(spark, src, out, 2, 0.15, "rdd_py")
+    ranking = [ast.literal_eval(line) for line in read_parts(out)]
     assert len(ranking) == 9 and ranking == sorted(ranking, key=lambda p: (-p[1], p[0]))
+    with pytest.raises(ValueError):
+        run_job(spark, src, scratch(), 2, 0.15, "rdd_py", keep_state=True)
 
 
 def test_layout_release_deletes_only_its_tables(lines_df):
@@ -115,13 +128,21 @@ def test_command_line(scratch):
     with open(os.path.join(src, "in.txt"), "w", encoding="utf-8") as fh:
         fh.write("\n".join(CLEAN) + "\n")
     env = dict(os.environ, PYTHONPATH=root)
+    # five arguments: <input> <output> <iterations> <reducers> <alpha>
     subprocess.run(
-        [sys.executable, "-m", "surfrank", src, out, "1", "0.15", "--count", "--partitions", "3"],
+        [sys.executable, "-m", "surfrank", src, out, "1", "3", "0.15"],
         check=True, env=env, cwd=root, capture_output=True, timeout=300,
     )
-    ranking = [line.split("\t")[0] for line in read_parts(f"{out}/ranking")]
+    ranking = [line.split("\t")[0] for line in read_parts(f"{out}/sort")]
     assert ranking == ["C", "A", "B", "E", "D"]
     assert read_parts(f"{out}/count") == ["Total Pages-5"]
+    # four arguments: <input> <output> <iterations> <alpha>, Python pair form
+    out2 = scratch()
+    subprocess.run(
+        [sys.executable, "-m", "surfrank", src, out2, "1", "0.15", "--preset", "rdd_py"],
+        check=True, env=env, cwd=root, capture_output=True, timeout=300,
+    )
+    assert [ast.literal_eval(line)[0] for line in read_parts(out2)] == ["C", "A", "B", "E", "D"]
 
 
 def test_line_source_endings_compression_and_folders(spark, scratch):
