@@ -31,7 +31,10 @@ def state_records(state: DataFrame, edges_df: DataFrame, chunk_links: int = DEFA
     c = int(chunk_links)
     deg = state.select(F.col("id").alias("src"), "outdeg")
     pieces = F.sequence(F.lit(0), ((F.col("mult") + (c - 1)) / c).cast("long").cast("int") - 1)
-    e = edges_df.join(deg, "src").select("src", "dst", "mult", "outdeg", F.explode(pieces).alias("piece"))
+    # both sides grow with the graph: shuffle-based joins only, never a broadcast
+    e = edges_df.join(deg.hint("shuffle_hash"), "src").select(
+        "src", "dst", "mult", "outdeg", F.explode(pieces).alias("piece")
+    )
     reps = F.least(F.lit(c).cast("long"), F.col("mult") - F.col("piece") * c).cast("int")
     n_chunks = F.greatest(F.lit(1).cast("long"), ((F.col("outdeg") + (c - 1)) / c).cast("long"))
     chunk = F.pmod(F.xxhash64("dst", "piece"), n_chunks)
@@ -41,7 +44,7 @@ def state_records(state: DataFrame, edges_df: DataFrame, chunk_links: int = DEFA
         .agg(F.flatten(F.collect_list("run")).alias("adjacencyList"))
     )
     empty = F.array().cast("array<string>")
-    return state.join(lists, state.id == lists.src, "left").select(
+    return state.join(lists.hint("merge"), state.id == lists.src, "left").select(
         F.col("id").alias("title"),
         F.col("rank").alias("pageRank"),
         F.coalesce(F.col("adjacencyList"), empty).alias("adjacencyList"),
@@ -111,7 +114,7 @@ def tagged_records(records: DataFrame) -> DataFrame:
     )
     deg = records.groupBy("title").agg(F.sum(F.size("adjacencyList")).alias("deg"))
     msgs = (
-        records.join(deg, "title")
+        records.join(deg.hint("shuffle_hash"), "title")
         .select(
             F.explode("adjacencyList").alias("key"),
             (F.col("pageRank") / F.col("deg")).alias("pageRank"),
