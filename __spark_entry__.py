@@ -222,7 +222,7 @@ def q_adjacency_with_rank(spark, sf):
     p, _, edges, nodes, n = _graph(spark, sf, "wp", "mapreduce")
     state = K.initial_rank(nodes, K.RankConstants.of(ALPHA, n))
     ranks = state.select(F.col("id").alias("src"), "rank")
-    return edges.join(ranks, "src", "inner").select("src", "dst", "mult", _r("rank").alias("rank"))
+    return edges.join(ranks.hint("shuffle_hash"), "src", "inner").select("src", "dst", "mult", _r("rank").alias("rank"))
 
 
 def q_rank_sum(spark, sf):
