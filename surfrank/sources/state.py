@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType, StructField, StructType
 
+# --- fixed values: field names of the graph-state record ------------------
 NODE_SCHEMA = StructType(
     [
         StructField("pageRank", DoubleType()),
@@ -22,6 +23,7 @@ NODE_SCHEMA = StructType(
         StructField("isNode", BooleanType()),
     ]
 )
+# ---------------------------------------------------------------------------
 
 DEFAULT_CHUNK_LINKS = 100_000
 
