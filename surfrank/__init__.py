@@ -4,7 +4,7 @@ Reads line-oriented wiki-style page dumps, builds a weighted link graph and
 ranks every vertex with a fixed number of random-surfer steps.
 """
 
-from surfrank.plans.job import RankResult, rank_pages, read_lines
+from surfrank.plans.job import RankResult, rank_pages, ranking_output, read_lines, resume_from_records, run_job
 from surfrank.plans.presets import MAPREDUCE, PRESETS, RDD_JVM, RDD_PY, Preset, get_preset
 
 __all__ = [
@@ -16,5 +16,8 @@ __all__ = [
     "RankResult",
     "get_preset",
     "rank_pages",
+    "ranking_output",
     "read_lines",
+    "resume_from_records",
+    "run_job",
 ]
