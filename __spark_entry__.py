@@ -247,7 +247,7 @@ def q_rank_float32(spark, sf):
 # ---------------------------------------------------------------- state records
 def _records(spark, sf, fx, preset, iterations):
     res = _rank(spark, sf, fx, preset, iterations)
-    return ST.state_records(res.state, res.layout.edges()), res
+    return ST.layout_records(res.state, res.layout), res
 
 
 def _records_out(records):
@@ -288,16 +288,16 @@ def q_state_roundtrip(spark, sf):
 
 
 def q_rank_messages(spark, sf):
-    records, _ = _records(spark, sf, "wd", "mapreduce", 0)
-    _, msgs = ST.split_tagged(ST.tagged_records(records))
-    return msgs.groupBy("key", _r("pageRank").alias("share")).agg(F.count(F.lit(1)).alias("n"))
+    res = _rank(spark, sf, "wd", "mapreduce", 0)
+    _, msgs = ST.split_tagged(ST.tagged_state(res.state, res.layout))
+    return msgs.groupBy("key", _r("pageRank").alias("share")).agg(F.sum("n").alias("n"))
 
 
 def q_split_state(spark, sf):
-    records, _ = _records(spark, sf, "wd", "mapreduce", 0)
-    structure, msgs = ST.split_tagged(ST.tagged_records(records))
+    res = _rank(spark, sf, "wd", "mapreduce", 0)
+    structure, msgs = ST.split_tagged(ST.tagged_state(res.state, res.layout))
     s = structure.groupBy("key").agg(F.count(F.lit(1)).alias("n_structure"))
-    m = msgs.groupBy("key").agg(F.count(F.lit(1)).alias("n_messages"), F.sum("pageRank").alias("msg_sum"))
+    m = msgs.groupBy("key").agg(F.sum("n").alias("n_messages"), F.sum(F.col("n") * F.col("pageRank")).alias("msg_sum"))
     return s.join(m, "key", "full").select(
         "key",
         F.coalesce("n_structure", F.lit(0)).alias("n_structure"),

@@ -360,7 +360,7 @@ def run_job(
     * ``rdd_jvm`` / ``rdd_py``: the ranking itself at ``<output>`` in the pair form.
     """
     from surfrank.sources.sinks import write_ranked
-    from surfrank.sources.state import state_records, write_state
+    from surfrank.sources.state import layout_records, write_state
     from surfrank.sources.text import write_count_value
 
     preset = get_preset(preset)
@@ -373,7 +373,7 @@ def run_job(
 
     def keep(i: int, state: DataFrame) -> None:
         # written while the state is cached; the layout exists once the loop runs
-        write_state(state_records(state, layout_box[0].edges()), f"{base}/rank-{i}", mode)
+        write_state(layout_records(state, layout_box[0]), f"{base}/rank-{i}", mode)
 
     trace: list | None = [] if keep_state else None
     result = rank_pages(
@@ -383,6 +383,6 @@ def run_job(
     if mr_layout:
         write_count_value(spark, result.n_lines, f"{base}/count", mode)
         if keep_state:
-            write_state(state_records(trace[0][1], result.layout.edges()), f"{base}/parse", mode)
+            write_state(layout_records(trace[0][1], result.layout), f"{base}/parse", mode)
     write_ranked(result.ranked(), ranking_output(base, preset), preset.output_format, mode)
     return result

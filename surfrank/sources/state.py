@@ -1,6 +1,6 @@
 """Graph-state records: ``title<TAB>{"pageRank":..,"adjacencyList":[..],"isNode":..}``.
 
-This is the interchange form of a ranking in progress (K2, S2, P13, P14, A3).
+This is the interchange form of a ranking in progress (K2, S2, P13, P14, A3, G5, F3).
 A record holds one page's rank and its out-links with repeats.  To keep any
 single row bounded, a page with more than ``chunk_links`` link occurrences is
 written as several records with the same title and rank, each carrying a part
@@ -28,30 +28,49 @@ NODE_SCHEMA = StructType(
 DEFAULT_CHUNK_LINKS = 100_000
 
 
-def state_records(state: DataFrame, edges_df: DataFrame, chunk_links: int = DEFAULT_CHUNK_LINKS) -> DataFrame:
-    """(id, outdeg, rank) + (src, dst, mult) -> (title, pageRank, adjacencyList, isNode)."""
+def state_records(
+    state: DataFrame,
+    edges_df: DataFrame,
+    chunk_links: int = DEFAULT_CHUNK_LINKS,
+    hot_edges: DataFrame | None = None,
+) -> DataFrame:
+    """(id, outdeg, rank[, hot]) + (src, dst, mult) -> (title, pageRank, adjacencyList, isNode).
+
+    Each edge picks up its source's rank and out-degree by a shuffle-based join;
+    ``hot_edges`` (edges of hot sources, laid out by target) pick them up from a
+    broadcast of the hot sources only, whose row count is bounded like in the
+    ranking loop.  The rank travels with the edges, so the per-(source, chunk)
+    lists need no second join; vertices without links become records of their own.
+    """
     c = int(chunk_links)
-    deg = state.select(F.col("id").alias("src"), "outdeg")
+    info = state.select(F.col("id").alias("src"), "outdeg", "rank")
+    with_info = edges_df.join(info.hint("shuffle_hash"), "src")
+    if hot_edges is not None:
+        hot_info = F.broadcast(info.join(state.where(F.col("hot")).select(F.col("id").alias("src")), "src", "left_semi"))
+        with_info = with_info.unionByName(hot_edges.join(hot_info, "src"))
     pieces = F.sequence(F.lit(0), ((F.col("mult") + (c - 1)) / c).cast("long").cast("int") - 1)
-    # both sides grow with the graph: shuffle-based joins only, never a broadcast
-    e = edges_df.join(deg.hint("shuffle_hash"), "src").select(
-        "src", "dst", "mult", "outdeg", F.explode(pieces).alias("piece")
-    )
+    e = with_info.select("src", "dst", "mult", "outdeg", "rank", F.explode(pieces).alias("piece"))
     reps = F.least(F.lit(c).cast("long"), F.col("mult") - F.col("piece") * c).cast("int")
     n_chunks = F.greatest(F.lit(1).cast("long"), ((F.col("outdeg") + (c - 1)) / c).cast("long"))
     chunk = F.pmod(F.xxhash64("dst", "piece"), n_chunks)
-    lists = (
-        e.select("src", chunk.alias("chunk"), F.array_repeat("dst", reps).alias("run"))
+    linked = (
+        e.select("src", "rank", chunk.alias("chunk"), F.array_repeat("dst", reps).alias("run"))
         .groupBy("src", "chunk")
-        .agg(F.flatten(F.collect_list("run")).alias("adjacencyList"))
+        .agg(F.first("rank").alias("pageRank"), F.flatten(F.collect_list("run")).alias("adjacencyList"))
+        .select(F.col("src").alias("title"), "pageRank", "adjacencyList", F.lit(True).alias("isNode"))
     )
-    empty = F.array().cast("array<string>")
-    return state.join(lists.hint("merge"), state.id == lists.src, "left").select(
+    dangling = state.where(F.col("outdeg") == 0).select(
         F.col("id").alias("title"),
         F.col("rank").alias("pageRank"),
-        F.coalesce(F.col("adjacencyList"), empty).alias("adjacencyList"),
+        F.array().cast("array<string>").alias("adjacencyList"),
         F.lit(True).alias("isNode"),
     )
+    return linked.unionByName(dangling)
+
+
+def layout_records(state: DataFrame, layout, chunk_links: int = DEFAULT_CHUNK_LINKS) -> DataFrame:
+    """Graph-state records of a ranking state on its layout (cold and hot edges)."""
+    return state_records(state, layout.cold_edges, chunk_links, layout.hot_edges)
 
 
 def record_lines(records: DataFrame) -> DataFrame:
@@ -105,23 +124,33 @@ def graph_from_records(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFr
     return nodes_df, edges_df, ranks
 
 
-def tagged_records(records: DataFrame) -> DataFrame:
-    """Structure records plus one message per link occurrence, in one tagged table.
+def tagged_state(state: DataFrame, layout, chunk_links: int = DEFAULT_CHUNK_LINKS) -> DataFrame:
+    """Structure records plus messages in one tagged table (G5): (key, pageRank, adjacencyList, isNode, n).
 
-    Messages carry ``pageRank = rank / #links`` and an empty list, with ``isNode`` false.
+    Structure rows are the graph-state records (``isNode`` true, ``n`` = 1).
+    Message rows carry ``pageRank = rank / outdeg`` of their source, an empty
+    list and ``isNode`` false; one row stands for the ``n`` = multiplicity
+    identical messages of a link, so nothing is exploded per occurrence.  The
+    messages come from the layout's joins (regular sources co-partitioned, hot
+    sources from a bounded broadcast), so no page's links gather in one task.
     """
+    from surfrank.operators.rank import shares
+
     empty = F.array().cast("array<string>")
-    structure = records.select(
-        F.col("title").alias("key"), "pageRank", "adjacencyList", F.col("isNode")
+    structure = layout_records(state, layout, chunk_links).select(
+        F.col("title").alias("key"), "pageRank", "adjacencyList", "isNode", F.lit(1).cast("long").alias("n")
     )
-    deg = records.groupBy("title").agg(F.sum(F.size("adjacencyList")).alias("deg"))
-    msgs = (
-        records.join(deg.hint("shuffle_hash"), "title")
-        .select(
-            F.explode("adjacencyList").alias("key"),
-            (F.col("pageRank") / F.col("deg")).alias("pageRank"),
-        )
-        .select("key", "pageRank", empty.alias("adjacencyList"), F.lit(False).alias("isNode"))
+    share = shares(state)
+    flows = layout.cold_edges.join(share.hint("shuffle_hash"), "src")
+    if layout.hot_edges is not None:
+        hot_share = F.broadcast(share.join(F.broadcast(layout.hot_ids()), "src", "left_semi"))
+        flows = flows.unionByName(layout.hot_edges.join(hot_share, "src"))
+    msgs = flows.select(
+        F.col("dst").alias("key"),
+        F.col("share").alias("pageRank"),
+        empty.alias("adjacencyList"),
+        F.lit(False).alias("isNode"),
+        F.col("mult").alias("n"),
     )
     return structure.unionByName(msgs)
 

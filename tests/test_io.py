@@ -58,7 +58,7 @@ def test_state_records_roundtrip_and_resume(spark, lines_df, scratch):
     lines = lines_df(DIRTY)
     two = rank_pages(lines, 2, 0.15)
     path = scratch()
-    ST.write_state(ST.state_records(two.state, two.layout.edges()), path)
+    ST.write_state(ST.layout_records(two.state, two.layout), path)
     first = read_parts(path)[0]
     title, payload = first.split("\t", 1)
     assert payload.startswith('{"pageRank":') and '"isNode":true' in payload
@@ -72,7 +72,7 @@ def test_state_records_roundtrip_and_resume(spark, lines_df, scratch):
 def test_state_records_split_large_pages(spark, lines_df):
     hub = "<title>H</title>" + " ".join(f"[[t{i % 7}]]" for i in range(50))
     res = rank_pages(lines_df([hub, "<title>t1</title>[[H]]"]), 0, 0.15)
-    recs = ST.state_records(res.state, res.layout.edges(), chunk_links=8)
+    recs = ST.layout_records(res.state, res.layout, chunk_links=8)
     h = [r for r in recs.collect() if r.title == "H"]
     assert len(h) > 1 and all(len(r.adjacencyList) <= 30 for r in h)
     assert sorted(x for r in h for x in r.adjacencyList) == sorted(f"t{i % 7}" for i in range(50))
@@ -160,3 +160,30 @@ def test_line_source_endings_compression_and_folders(spark, scratch):
     res = rank_pages(TX.read_lines(spark, folder), 1, 0.15)
     assert res.n_lines == 5
     assert {r.title for r in res.ranks().collect()} == {"A", "B", "C", "é"}
+
+
+def test_state_records_with_hot_sources(spark, lines_df):
+    hub = "<title>H</title>" + " ".join(f"[[t{i}]]" for i in range(40)) + " [[t1]] [[t1]]"
+    lines = [hub] + [f"<title>t{i}</title>[[H]] [[t{(i + 1) % 40}]]" for i in range(40)]
+    res = rank_pages(lines_df(lines), 1, 0.15, num_partitions=4, hot_floor=1)
+    assert res.layout.n_hot > 0
+    recs = {r.title: r for r in ST.layout_records(res.state, res.layout).collect()}
+    ranks = {r.title: r.rank for r in res.ranks().collect()}
+    assert set(recs) == set(ranks)
+    assert sorted(recs["H"].adjacencyList) == sorted([f"t{i}" for i in range(40)] + ["t1", "t1"])
+    assert all(recs[t].pageRank == ranks[t] for t in ranks)
+
+
+def test_tagged_state_messages_with_hot_sources(lines_df):
+    from pyspark.sql import functions as F
+
+    hub = "<title>H</title>" + " ".join(f"[[t{i}]]" for i in range(40)) + " [[t1]] [[t1]]"
+    lines = [hub] + [f"<title>t{i}</title>[[H]]" for i in range(40)]
+    for kw in ({}, {"hot_floor": 1}):
+        res = rank_pages(lines_df(lines), 0, 0.15, num_partitions=4, **kw)
+        structure, msgs = ST.split_tagged(ST.tagged_state(res.state, res.layout))
+        got = {r.key: (r.n, r.s) for r in msgs.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("pageRank")).alias("s")).collect()}
+        share = (1 / 41) / 42  # H's rank 1/N spread over its 42 link occurrences
+        assert got["t1"][0] == 3 and got["t1"][1] == pytest.approx(3 * share)
+        assert got["H"] == (40, pytest.approx(40 * (1 / 41)))
+        assert structure.count() == 41
