@@ -217,22 +217,22 @@ def q_zero_mass(spark, sf):
 
 
 def q_contributions(spark, sf):
-    p, _, edges, nodes, n = _graph(spark, sf, "wp", "mapreduce")
-    state = K.initial_rank(nodes, K.RankConstants.of(ALPHA, n))
-    return K.contributions(edges, K.shares(state), with_src=True).select("src", "dst", _r("c").alias("c"))
+    res = _rank(spark, sf, "wp", "mapreduce", 0)
+    flows = K.join_sources(res.layout, K.shares(res.state))
+    return flows.select("src", "dst", _q(F.col("mult") * F.col("share")).alias("c"))
 
 
 def q_adjacency_with_rank(spark, sf):
-    p, _, edges, nodes, n = _graph(spark, sf, "wp", "mapreduce")
-    state = K.initial_rank(nodes, K.RankConstants.of(ALPHA, n))
-    ranks = state.select(F.col("id").alias("src"), "rank")
-    return edges.join(ranks.hint("shuffle_hash"), "src", "inner").select("src", "dst", "mult", _r("rank").alias("rank"))
+    res = _rank(spark, sf, "wp", "mapreduce", 0)
+    ranks = res.state.select(F.col("id").alias("src"), "rank")
+    return K.join_sources(res.layout, ranks).select("src", "dst", "mult", _r("rank").alias("rank"))
 
 
 def q_rank_sum(spark, sf):
-    p, _, edges, nodes, n = _graph(spark, sf, "wp", "mapreduce")
-    state = K.initial_rank(nodes, K.RankConstants.of(ALPHA, n))
-    sums = K.contribution_sums_with_zero(K.contributions(edges, K.shares(state)), nodes)
+    res = _rank(spark, sf, "wp", "mapreduce", 0)
+    flows = K.join_sources(res.layout, K.shares(res.state))
+    contrib = flows.select("dst", (F.col("mult") * F.col("share")).alias("c"))
+    sums = K.contribution_sums_with_zero(contrib, res.layout.nodes)
     return sums.select("id", _r("s").alias("s"))
 
 

@@ -154,6 +154,20 @@ class RankLayout:
                 jpath.getFileSystem(hconf).delete(jpath, True)
 
 
+def join_sources(layout: RankLayout, per_source: DataFrame) -> DataFrame:
+    """All edges (src, dst, mult) joined with a per-source table keyed by ``src``.
+
+    Regular sources meet their edges by a hash join on the shared layout; hot
+    sources (at most hot_factor * P of them) are broadcast to their edges, which
+    are laid out by target.  No source's edges are ever gathered into one task.
+    """
+    out = layout.cold_edges.join(per_source.hint("shuffle_hash"), "src")
+    if layout.hot_edges is not None:
+        hot_part = F.broadcast(per_source.join(F.broadcast(layout.hot_ids()), "src", "left_semi"))
+        out = out.unionByName(layout.hot_edges.join(hot_part, "src"))
+    return out
+
+
 def rank_step(layout: RankLayout, state: DataFrame, consts: RankConstants) -> DataFrame:
     """state(id, outdeg, hot, rank) -> the same columns after one step (J2 as a left join).
 

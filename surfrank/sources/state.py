@@ -134,18 +134,13 @@ def tagged_state(state: DataFrame, layout, chunk_links: int = DEFAULT_CHUNK_LINK
     messages come from the layout's joins (regular sources co-partitioned, hot
     sources from a bounded broadcast), so no page's links gather in one task.
     """
-    from surfrank.operators.rank import shares
+    from surfrank.operators.rank import join_sources, shares
 
     empty = F.array().cast("array<string>")
     structure = layout_records(state, layout, chunk_links).select(
         F.col("title").alias("key"), "pageRank", "adjacencyList", "isNode", F.lit(1).cast("long").alias("n")
     )
-    share = shares(state)
-    flows = layout.cold_edges.join(share.hint("shuffle_hash"), "src")
-    if layout.hot_edges is not None:
-        hot_share = F.broadcast(share.join(F.broadcast(layout.hot_ids()), "src", "left_semi"))
-        flows = flows.unionByName(layout.hot_edges.join(hot_share, "src"))
-    msgs = flows.select(
+    msgs = join_sources(layout, shares(state)).select(
         F.col("dst").alias("key"),
         F.col("share").alias("pageRank"),
         empty.alias("adjacencyList"),
