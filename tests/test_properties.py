@@ -113,3 +113,17 @@ def test_losing_the_graph_caches_recomputes_from_written_tables(spark, wp):
             pass
         got = {r.id: r.rank for r in state.collect()}
     assert got == pytest.approx(ref, abs=1e-15)
+
+
+def test_join_sources_same_rows_with_and_without_hot_split(wp):
+    from surfrank.operators.rank import join_sources, shares
+
+    def rows(**kw):
+        res = rank_pages(wp, 1, 0.15, **kw)
+        flows = join_sources(res.layout, shares(res.state))
+        return res.layout.n_hot, sorted((r.src, r.dst, r.mult, r.share) for r in flows.collect())
+
+    n0, plain = rows()
+    n1, split = rows(hot_floor=1, hot_factor=64)
+    assert n0 == 0 and n1 > 0
+    assert plain == split
