@@ -119,7 +119,7 @@ def test_join_sources_same_rows_with_and_without_hot_split(wp):
     from surfrank.operators.rank import join_sources, shares
 
     def rows(**kw):
-        res = rank_pages(wp, 1, 0.15, **kw)
+        res = rank_pages(wp, 0, 0.15, **kw)  # same initial state; the join alone is compared
         flows = join_sources(res.layout, shares(res.state))
         return res.layout.n_hot, sorted((r.src, r.dst, r.mult, r.share) for r in flows.collect())
 
