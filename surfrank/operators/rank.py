@@ -3,12 +3,12 @@
 ``rank'(v) = alpha/N + (1-alpha) * sum over links u->v of rank(u)/outdeg(u)``;
 dangling vertices send nothing, vertices without in-links get exactly alpha/N.
 
-Physical layout (see ``RankLayout``): the node state is hash-partitioned by
-``id`` and the regular ("cold") edges by ``src`` with the same partition count,
-so the edge/rank join needs no exchange; the only shuffle of a step is the
-partial-summed contributions by ``dst``, whose output is again laid out like
-the node state, so the left join that applies the update needs no exchange
-either.  Sources whose out-degree would make one join task hold a large share
+Physical layout (see ``RankLayout``): the cached node table and every state
+are hash-partitioned by ``id``, the regular ("cold") edges by ``src``, all with
+the same partition count, so the edge/share join needs no exchange; the only
+shuffle of a step is the partial-summed contributions by ``dst``, whose output
+is again laid out like the node table, so the left join that applies the update
+needs no exchange either.  Sources whose out-degree would make one join task hold a large share
 of the edges ("hot" sources) are handled apart: their edges are spread by
 ``dst`` and meet a broadcast of the hot sources' shares, whose row count is
 bounded by construction (see ``surfrank.plans.job``).
