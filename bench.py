@@ -1,7 +1,8 @@
 """Benchmark: prints one JSON line with the headline timings.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 4),
-BENCH_RUNS (default 5, median reported).  The page lines of each fixture are
+BENCH_RUNS (default 5, median reported), BENCH_EVENT_LOG (set: write Spark's
+event log to the scratch folder; summarise with scripts/stage_times.py).  The page lines of each fixture are
 written once as text (not timed); every timed run then starts from the text
 files, as a real job would.
 
@@ -36,8 +37,15 @@ from surfrank.sources.text import read_lines, write_lines  # noqa: E402
 
 
 def session(cpus: int, scratch: str) -> SparkSession:
+    builder = SparkSession.builder
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # stage/task timings for scripts/stage_times.py; written to the scratch folder
+        events = os.path.join(scratch, "events")
+        os.makedirs(events, exist_ok=True)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", events)
+        print(f"event log: {events}", file=sys.stderr)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName("surfrank-bench")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.default.parallelism", str(cpus))
