@@ -61,10 +61,13 @@ def _partitions(spark: SparkSession, num_partitions: int | None, n_links: int |
         if num_partitions < 1:
             raise ValueError("num_partitions must be >= 1")
         return int(num_partitions)
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    floor = max(1, int(spark.sparkContext.defaultParallelism))
+    try:
+        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):  # e.g. a non-numeric setting such as "auto"
+        cap = max(floor, 200)
     if n_links is None:
         return cap
-    floor = max(1, int(spark.sparkContext.defaultParallelism))
     want = max(floor, math.ceil(n_links / LINKS_PER_PARTITION))
     return max(1, min(cap, want))
 

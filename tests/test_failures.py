@@ -50,3 +50,16 @@ def test_checkpoint_folder_is_read_from_the_session(spark):
 def test_no_parsable_line_gives_empty_ranking(lines_df):
     res = rank_pages(lines_df(["no heading [[x]]", "", "still none"]), 3, 0.15, "mapreduce")
     assert res.n_lines == 3 and res.ranked().count() == 0
+
+
+def test_partition_count_rules(spark):
+    from surfrank.plans.job import _partitions
+    from surfrank.session import job_conf
+
+    floor = spark.sparkContext.defaultParallelism
+    assert _partitions(spark, 5, 10**9) == 5
+    with job_conf(spark, {"spark.sql.shuffle.partitions": "64"}):
+        assert _partitions(spark, None, 10) == min(64, floor)
+        assert _partitions(spark, None, 10**9) == 64  # capped by the session setting
+    with pytest.raises(ValueError):
+        _partitions(spark, 0, 10)
