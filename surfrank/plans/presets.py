@@ -35,6 +35,20 @@ class Preset:
     # Text form of the ranked output: "tsv", "tuple_jvm", "tuple_py".
     output_format: str = "tsv"
 
+    def __post_init__(self) -> None:
+        allowed = {
+            "title_mode": ("regex", "positional"),
+            "on_bad_title": ("skip", "error", "slice"),
+            "blank_links": ("marker", "keep"),
+            "alpha_precision": ("double", "float32"),
+            "link_dot": ("java", "newline_only"),
+            "on_empty": ("error", "empty"),
+            "output_format": ("tsv", "tuple_jvm", "tuple_py"),
+        }
+        for field, values in allowed.items():
+            if getattr(self, field) not in values:
+                raise ValueError(f"{field} must be one of {values}, got {getattr(self, field)!r}")
+
     def with_options(self, **kwargs) -> "Preset":
         return replace(self, **kwargs)
 

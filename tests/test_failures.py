@@ -63,3 +63,11 @@ def test_partition_count_rules(spark):
         assert _partitions(spark, None, 10**9) == 64  # capped by the session setting
     with pytest.raises(ValueError):
         _partitions(spark, 0, 10)
+
+
+def test_preset_switches_are_validated():
+    from surfrank.plans.presets import MAPREDUCE
+
+    with pytest.raises(ValueError, match="blank_links"):
+        MAPREDUCE.with_options(blank_links="drop")
+    assert MAPREDUCE.with_options(text_scope=True).text_scope
