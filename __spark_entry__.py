@@ -384,8 +384,10 @@ def q_job_rdd_py(spark, sf):
 
 
 def q_rank_10_hot_sources(spark, sf):
-    # Same ranking with the skew layout forced on: every source above a tiny
-    # out-degree threshold goes through the hot (broadcast-share) path.
+    # Same ranking with the skew layout forced on: sources above a tiny
+    # out-degree threshold go through the hot (broadcast-share) path.  At sf0.01
+    # on 8 partitions this splits WP into 6 hot and 986 regular sources, so both
+    # branches of a step are checked against the same SQL twin as rank_10.
     res = _rank(spark, sf, "wp", "mapreduce", 10, hot_floor=1, hot_factor=64)
     return _ranks_out(res)
 
