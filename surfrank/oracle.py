@@ -148,8 +148,9 @@ def rank_ctes(ch: Chain, fx: str, preset: str | Preset, iterations: int, alpha:
     for i in range(1, iterations + 1):
         ch.add(
             f"{pre}_r{i}",
-            f"""SELECT n.id, n.outdeg, c.jump + c.keepf * coalesce(s.s, 0.0) AS rank
-FROM {pre}_nodes n CROSS JOIN {pre}_consts c
+            f"""SELECT n.id, n.outdeg,
+       (SELECT jump FROM {pre}_consts) + (SELECT keepf FROM {pre}_consts) * coalesce(s.s, 0.0) AS rank
+FROM {pre}_nodes n
 LEFT JOIN (SELECT e.dst AS id, sum(e.mult * (r.rank / r.outdeg)) AS s
            FROM {pre}_edges e JOIN {pre}_r{i - 1} r ON e.src = r.id
            GROUP BY e.dst) s ON n.id = s.id""",
