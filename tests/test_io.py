@@ -202,3 +202,10 @@ def test_resume_from_split_records(spark, lines_df, scratch):
     a = {r.title: r.rank for r in resumed.ranks().collect()}
     b = {r.title: r.rank for r in direct.ranks().collect()}
     assert a == pytest.approx(b, abs=1e-15)
+
+
+def test_state_record_with_escaped_json_parses(spark):
+    line = 'A\t{"pageRank":0.2,"adjacencyList":["\\u003cb\\u003e","x\\u0026y","it\\u0027s","a\\u003db"],"isNode":true}'
+    recs = ST.parse_record_lines(spark.createDataFrame([(line,)], "value string")).collect()
+    assert len(recs) == 1 and recs[0].title == "A" and recs[0].pageRank == 0.2 and recs[0].isNode
+    assert list(recs[0].adjacencyList) == ["<b>", "x&y", "it's", "a=b"]
