@@ -209,3 +209,16 @@ def test_state_record_with_escaped_json_parses(spark):
     recs = ST.parse_record_lines(spark.createDataFrame([(line,)], "value string")).collect()
     assert len(recs) == 1 and recs[0].title == "A" and recs[0].pageRank == 0.2 and recs[0].isNode
     assert list(recs[0].adjacencyList) == ["<b>", "x&y", "it's", "a=b"]
+
+
+def test_other_line_column_and_awkward_titles(spark, scratch):
+    rows = [("<title>a,b (c)</title>[[x\ty]]",), ("<title>x\ty</title>[[a,b (c)]]",)]
+    df = spark.createDataFrame(rows, "body string")
+    res = rank_pages(df, 2, 0.15, "rdd_py", column="body")
+    expected = {r.title: r.rank for r in res.ranks().collect()}
+    assert set(expected) == {"a,b (c)", "x\ty"}
+    for fmt in ("tuple_jvm", "tsv", "tuple_py"):
+        path = scratch()
+        SK.write_ranked(res.ranked(), path, fmt)
+        back = {r.title: r.rank for r in SK.read_ranked(spark, path, fmt).collect()}
+        assert back == expected, fmt
