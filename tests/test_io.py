@@ -222,3 +222,13 @@ def test_other_line_column_and_awkward_titles(spark, scratch):
         SK.write_ranked(res.ranked(), path, fmt)
         back = {r.title: r.rank for r in SK.read_ranked(spark, path, fmt).collect()}
         assert back == expected, fmt
+
+
+def test_parquet_ranking_sink(spark, lines_df, scratch):
+    res = rank_pages(lines_df(CLEAN), 1, 0.15)
+    path = scratch()
+    SK.write_ranked_parquet(res.ranked(), path)
+    back = {r.title: r.rank for r in spark.read.parquet(path).collect()}
+    assert back == {r.title: r.rank for r in res.ranks().collect()}
+    with pytest.raises(Exception, match="already exists"):
+        SK.write_ranked_parquet(res.ranked(), path)
