@@ -44,7 +44,8 @@ def write_count(lines: DataFrame, path: str, mode: str = "errorifexists") -> Non
 
 def write_count_value(spark: SparkSession, n_lines: int, path: str, mode: str = "errorifexists") -> None:
     """Write ``Total Pages-<N>`` for an N already computed by the job (no second scan of the input)."""
-    row = spark.createDataFrame([(f"{COUNT_KEY}{COUNT_SEPARATOR}{int(n_lines)}",)], "value string")
+    # one record, built JVM-side in a one-partition range
+    row = spark.range(0, 1, 1, 1).select(F.lit(f"{COUNT_KEY}{COUNT_SEPARATOR}{int(n_lines)}").alias("value"))
     row.write.mode(mode).text(path)
 
 
