@@ -30,11 +30,16 @@ def test_every_query_has_an_oracle():
     assert set(S.queries()) == set(S.oracle_sql())
 
 
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", ALL)
 def test_query_matches_oracle(spark, con, name):
     df = S.queries()[name](spark, SF)
     res = con.sql(S.oracle_sql()[name])
     assert sorted(df.columns) == sorted(res.columns)
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(res.columns, res.types)}
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(res.columns, res.fetchall())
 
 
