@@ -232,3 +232,17 @@ def test_parquet_ranking_sink(spark, lines_df, scratch):
     assert back == {r.title: r.rank for r in res.ranks().collect()}
     with pytest.raises(Exception, match="already exists"):
         SK.write_ranked_parquet(res.ranked(), path)
+
+
+@pytest.mark.parametrize("args", [["in", "out", "1"], ["in", "out", "1", "2", "3", "4"], ["in", "out", "1", "abc"]])
+def test_command_line_rejects_bad_arguments(args):
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    proc = subprocess.run(
+        [sys.executable, "-m", "surfrank", *args], env=dict(os.environ, PYTHONPATH=root),
+        cwd=root, capture_output=True, timeout=120,
+    )
+    assert proc.returncode != 0
