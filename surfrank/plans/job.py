@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from surfrank.operators import graph as G
 from surfrank.operators.order import order_ranked
-from surfrank.operators.rank import RankConstants, RankLayout, initial_rank, rank_step
+from surfrank.operators.rank import RankConstants, RankLayout, hot_shares, initial_rank, rank_step
 from surfrank.plans.presets import Preset, get_preset
 from surfrank.session import checkpoint_dir, job_conf, scratch_path
 
@@ -205,9 +205,9 @@ def iterate(
 ) -> Iterator[tuple[int, DataFrame]]:
     """Yield (i, state_i) for i = 0..iterations.
 
-    Every state is cached, so the next step's plan sees it as one leaf (a step
-    reads its predecessor in more than one place when hot sources exist; without
-    the cache the plan tree would double each step).  Reliable checkpoints every
+    Every state is cached, and each step reads its predecessor exactly once (the
+    hot sources' shares are checkpointed as a small leaf first), so plans grow
+    by one step per step, never by doubling.  Reliable checkpoints every
     ``checkpoint_every`` steps cut the lineage; cached states older than the
     last checkpoint are released.  ``start`` (id, outdeg, hot, rank) resumes
     from given ranks; the default is 1/N everywhere.  ``on_state(i, state)``
@@ -217,7 +217,11 @@ def iterate(
     yield 0, state
     cached: list[DataFrame] = []
     for i in range(1, max(0, iterations) + 1):
-        state = rank_step(layout, state, consts).persist(storage)
+        hot_share = None
+        if layout.hot_edges is not None:
+            # a few rows (<= hot_factor * P), written so the step reads its predecessor once
+            hot_share = hot_shares(layout, state).checkpoint(eager=True)
+        state = rank_step(layout, state, consts, hot_share).persist(storage)
         cached.append(state)
         if on_state is not None:
             on_state(i, state)

@@ -1,6 +1,8 @@
 """Physical plan shape of a step: one exchange, partial sums, no Python, no re-shuffle of cached tables."""
 
 
+import pytest
+
 from surfrank import fixtures as X
 from surfrank.operators.rank import RankConstants, rank_step
 from surfrank.plans import job
@@ -73,3 +75,19 @@ def test_cache_only_graph_keeps_layout(spark):
     plan, res = step_plan(spark, reliable_graph=False)
     top = without_cached_builds(plan)
     assert top.count("Exchange hashpartitioning") == 1
+
+
+def test_long_runs_keep_plans_linear(spark):
+    # 24 steps without an intermediate checkpoint, hot sources included: each
+    # step reads its predecessor once, so planning stays linear (this would
+    # not finish if the plan doubled per step).
+    import time
+
+    t0 = time.time()
+    res = job.rank_pages(X.lines(spark, SF, "wp"), 24, 0.15, checkpoint_every=None, hot_floor=1, hot_factor=64)
+    assert res.layout.n_hot > 0
+    assert time.time() - t0 < 180
+    ref = job.rank_pages(X.lines(spark, SF, "wp"), 24, 0.15, checkpoint_every=6)
+    a = {r.title: r.rank for r in res.ranks().collect()}
+    b = {r.title: r.rank for r in ref.ranks().collect()}
+    assert a == pytest.approx(b, rel=1e-12)
