@@ -14,6 +14,7 @@ Metrics (seconds):
   job_wp                whole job: text in, 10 steps, global sort, TSV sink
   job_wh_py             whole job on the web-page graph, Python-tuple preset and sink
   ckpt1_wp / ckptnone_wp  10 steps with checkpoint every step / only at the end
+  rank10_wp_hot         rank10_wp with the skew layout forced on (a mix of hot and regular sources)
 The headline value is job_wp.
 """
 
@@ -99,9 +100,9 @@ def main() -> None:
 
         return go
 
-    def rank(iterations, checkpoint_every):
+    def rank(iterations, checkpoint_every, **kw):
         def go():
-            res = rank_pages(read_lines(spark, inputs["wp"]), iterations, 0.15, checkpoint_every=checkpoint_every)
+            res = rank_pages(read_lines(spark, inputs["wp"]), iterations, 0.15, checkpoint_every=checkpoint_every, **kw)
             res.layout.release()
 
         return go
@@ -131,6 +132,7 @@ def main() -> None:
     q["job_wh_py"] = timed(job("wh", "rdd_py"), runs)
     q["ckpt1_wp"] = timed(rank(10, 1), runs)
     q["ckptnone_wp"] = timed(rank(10, None), runs)
+    q["rank10_wp_hot"] = timed(rank(10, 5, hot_floor=1, hot_factor=1024), runs)
     q = {k: round(v, 3) for k, v in q.items()}
     print(
         json.dumps(
