@@ -216,18 +216,21 @@ def iterate(
     state = initial_rank(layout.nodes, consts) if start is None else start
     yield 0, state
     cached: list[DataFrame] = []
+    shallow = True  # the initial state and a checkpointed state are leaves already
     for i in range(1, max(0, iterations) + 1):
         hot_share = None
-        if layout.hot_edges is not None:
+        if layout.hot_edges is not None and not shallow:
             # a few rows (<= hot_factor * P), written so the step reads its predecessor once
             hot_share = hot_shares(layout, state).checkpoint(eager=True)
         state = rank_step(layout, state, consts, hot_share).persist(storage)
+        shallow = False
         cached.append(state)
         if on_state is not None:
             on_state(i, state)
         last = i == iterations
         if (checkpoint_every and i % checkpoint_every == 0) or (last and checkpoint_last):
             state = state.checkpoint(eager=True)
+            shallow = True
             for df in cached:
                 df.unpersist()
             cached = []
