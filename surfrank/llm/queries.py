@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from surfrank.llm import chat, extract_html, langid, mixing, warc
+from surfrank.llm import chat, extract_html, langid, mixing, neardup, substring, warc
 
 
 def queries() -> dict:
@@ -11,9 +11,11 @@ def queries() -> dict:
         "op3_language_id": langid.op3_language_id,
         "op4_mixing": mixing.op4_mixing,
         "op7_chat_formatting": chat.op7_chat_formatting,
+        "op8_substring_dedup": substring.op8_substring_dedup,
+        "op9_minhash_near_dedup": neardup.op9_minhash_near_dedup,
         "op10_html_extraction": extract_html.op10_html_extraction,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.SQL}
+    return {"op2_warc": warc.SQL, "op8_substring_dedup": substring.SQL}
