@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from surfrank.llm import chat, extract_html, langid, mixing, neardup, substring, warc
+from surfrank.llm import chat, decontaminate, extract_html, langid, mixing, neardup, substring, topk, toxicity, warc
 
 
 def queries() -> dict:
     return {
+        "op1_decontamination": decontaminate.op1_decontamination,
         "op2_warc": warc.op2_warc,
         "op3_language_id": langid.op3_language_id,
         "op4_mixing": mixing.op4_mixing,
+        "op5_topk_search": topk.op5_topk_search,
+        "op6_toxicity": toxicity.op6_toxicity,
         "op7_chat_formatting": chat.op7_chat_formatting,
         "op8_substring_dedup": substring.op8_substring_dedup,
         "op9_minhash_near_dedup": neardup.op9_minhash_near_dedup,
@@ -18,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.SQL, "op8_substring_dedup": substring.SQL}
+    return {"op1_decontamination": decontaminate.SQL, "op2_warc": warc.SQL, "op5_topk_search": topk.SQL, "op8_substring_dedup": substring.SQL}
