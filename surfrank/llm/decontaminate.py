@@ -139,13 +139,13 @@ def op1_decontamination(spark, sf_dir):
 SQL = r"""
 WITH t AS (SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
 w AS (SELECT kind, id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM t),
-p AS (SELECT kind, id, w, len(w) AS n, unnest(range(1, greatest(len(w) - 3, 2))) AS at FROM w WHERE len(w) > 0),
-s AS (SELECT kind, id, at, array_to_string(w[at:at + 4], ' ') AS s, greatest(n - 4, 1) AS n FROM p),
+p AS (SELECT kind, id, w, len(w) AS n, unnest(range(1, greatest(len(w) - 3, 2))) AS pos FROM w WHERE len(w) > 0),
+s AS (SELECT kind, id, pos, array_to_string(w[pos:pos + 4], ' ') AS s, greatest(n - 4, 1) AS n FROM p),
 i AS (SELECT id AS item_id, s, n, count(*) AS ci FROM s WHERE kind = 1 GROUP BY ALL),
-h AS (SELECT d.id AS doc_id, d.at, d.s, d.n AS dn, i.item_id, i.n, i.ci FROM s d JOIN i ON d.s = i.s WHERE d.kind = 0),
-x AS (SELECT a.doc_id, a.item_id, a.at, a.n, least(a.n, a.dn - a.at + 1) AS m, b.s, least(count(*), b.ci) AS c
-      FROM h a JOIN h b ON a.doc_id = b.doc_id AND a.item_id = b.item_id AND b.at >= a.at AND b.at < a.at + a.n
-      GROUP BY a.doc_id, a.item_id, a.at, a.n, a.dn, b.s, b.ci),
-y AS (SELECT doc_id, item_id, sum(c) / (n + m - sum(c)) AS similarity FROM x GROUP BY doc_id, item_id, at, n, m)
+h AS (SELECT d.id AS doc_id, d.pos, d.s, d.n AS dn, i.item_id, i.n, i.ci FROM s d JOIN i ON d.s = i.s WHERE d.kind = 0),
+x AS (SELECT a.doc_id, a.item_id, a.pos, a.n, least(a.n, a.dn - a.pos + 1) AS m, b.s, least(count(*), b.ci) AS c
+      FROM h a JOIN h b ON a.doc_id = b.doc_id AND a.item_id = b.item_id AND b.pos >= a.pos AND b.pos < a.pos + a.n
+      GROUP BY a.doc_id, a.item_id, a.pos, a.n, a.dn, b.s, b.ci),
+y AS (SELECT doc_id, item_id, sum(c) / (n + m - sum(c)) AS similarity FROM x GROUP BY doc_id, item_id, pos, n, m)
 SELECT doc_id, item_id, round(max(similarity), 9) AS similarity FROM y WHERE similarity >= 0.8 GROUP BY doc_id, item_id
 """

@@ -159,11 +159,11 @@ def op8_substring_dedup(spark, sf_dir):
 
 SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-p AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 33, 1))) AS at FROM d),
-q AS (SELECT doc_id, at, md5(array_to_string(w[at:at + 34], ' ')) AS h FROM p),
+p AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 33, 1))) AS pos FROM d),
+q AS (SELECT doc_id, pos, md5(array_to_string(w[pos:pos + 34], ' ')) AS h FROM p),
 r AS (SELECT h FROM q GROUP BY h HAVING count(*) > 1),
-c AS (SELECT DISTINCT doc_id, unnest(range(at, at + 35)) AS pos FROM q WHERE h IN (SELECT h FROM r)),
-g AS (SELECT doc_id, list(pos) AS gone FROM c GROUP BY doc_id),
+c AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 35)) AS spot FROM q WHERE h IN (SELECT h FROM r)),
+g AS (SELECT doc_id, list(spot) AS gone FROM c GROUP BY doc_id),
 k AS (SELECT d.doc_id, len(w) AS n, coalesce(len(gone), 0) AS m,
              CASE WHEN gone IS NULL THEN w ELSE list_filter(list_transform(range(1, len(w) + 1), i -> CASE WHEN list_contains(gone, i) THEN NULL ELSE w[i] END), x -> x IS NOT NULL) END AS kept
       FROM d LEFT JOIN g ON d.doc_id = g.doc_id)
