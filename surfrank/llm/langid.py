@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surfrank.llm.tables import table
 
@@ -35,6 +36,8 @@ SAMPLE_DOCS = 1500
 SLICE_CHARS = 1 << 20
 EDGE = 1  # the code of a word's boundary; no letter has it
 UND = "und"
+#: Scores below say that the text is in none of the learned languages; texts in one of them score 0.4 to 0.9.
+MIN_SCORE = 0.15
 _LETTER: list[np.ndarray] = []
 
 
@@ -133,16 +136,18 @@ class Profiles:
 def predict(documents: DataFrame, profiles: dict[str, list[int]], top: int = TOP, keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default doc_id) of each row with lang_pred and score; only text is looked at."""
     keep = keep or ["doc_id"]
+    names = [f"c{k}" for k in range(len(keep))]  # so that no column clashes with the operator's own
+    rows = documents.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)], *([] if "text" in keep else [F.col("text").alias("text")]))
+    text = names[keep.index("text")] if "text" in keep else "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Profiles(profiles, top)
         for batch in batches:
-            langs, scores = zip(*(model.predict(x) for x in batch.column("_text").to_pylist())) if batch.num_rows else ((), ())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, "lang_pred", "score"])
+            langs, scores = zip(*(model.predict(x) for x in batch.column(text).to_pylist())) if batch.num_rows else ((), ())
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
 
-    rows = documents.select(*keep, F.col("text").alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    schema = T.StructType([T.StructField(n, rows.schema[n].dataType) for n in names]).add("lang_pred", T.StringType()).add("score", T.DoubleType())
+    return rows.mapInArrow(run, schema).select("lang_pred", "score", *[F.col(n).alias(c) for c, n in zip(keep, names)])
 
 
 def held_out() -> F.Column:
@@ -154,6 +159,13 @@ def identify(documents: DataFrame, top: int = TOP, sample_docs: int = SAMPLE_DOC
     return predict(documents, learn(documents.where(~held_out()), top, sample_docs), top, keep)
 
 
+def recognised(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows, with all their columns, whose text is in a learned language: not ``und``, and no farther than min_score says."""
+    columns = documents.columns
+    scored = identify(documents, keep=columns).toDF("lang_pred", "score", *[f"c{k}" for k in range(len(columns))])
+    return scored.where((F.col("lang_pred") != UND) & (F.col("score") >= min_score)).drop("lang_pred", "score").toDF(*columns)
+
+
 def op3_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id").cast("long"))
     return identify(docs).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")

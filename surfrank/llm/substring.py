@@ -165,7 +165,7 @@ r AS (SELECT h FROM q GROUP BY h HAVING count(*) > 1),
 c AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 35)) AS spot FROM q WHERE h IN (SELECT h FROM r)),
 g AS (SELECT doc_id, list(spot) AS gone FROM c GROUP BY doc_id),
 k AS (SELECT d.doc_id, len(w) AS n, coalesce(len(gone), 0) AS m,
-             CASE WHEN gone IS NULL THEN w ELSE list_filter(list_transform(range(1, len(w) + 1), i -> CASE WHEN list_contains(gone, i) THEN NULL ELSE w[i] END), x -> x IS NOT NULL) END AS kept
+             CASE WHEN gone IS NULL THEN w ELSE [w[i] for i in range(1, len(w) + 1) if NOT list_contains(gone, i)] END AS kept
       FROM d LEFT JOIN g ON d.doc_id = g.doc_id)
 SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(m AS BIGINT) AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k
 """
