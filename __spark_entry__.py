@@ -32,6 +32,12 @@ from surfrank.sources import sinks as SK  # noqa: E402
 from surfrank.sources import state as ST  # noqa: E402
 from surfrank.sources import text as TX  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from surfrank.llm import queries as training_data
+except ImportError:  # the training-data operators are optional; only this module may do without them
+    corpus_pipeline = training_data = None
+
 ALPHA = 0.15
 SCALE = float(O.RANK_SCALE)
 SEP = "\u001f"  # joins link lists into one comparable string
@@ -445,8 +451,17 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    out = dict(_QUERIES)
+    if training_data is not None:
+        out |= training_data.queries()
+        out["pipeline"] = corpus_pipeline.run
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return O.all_queries(ALPHA, SEP)
+    out = O.all_queries(ALPHA, SEP)
+    if training_data is not None:
+        out |= training_data.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
