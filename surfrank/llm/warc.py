@@ -230,8 +230,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
 
 def op2_warc(spark, sf_dir):
     archives = write_archives(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
-    # an archive is a unit of reading: spread them, as many as the writer had tasks
-    records = read_archives(archives.repartition("path"))
+    # an archive is a unit of reading: a task for each, which a shuffle of so few bytes would not give
+    records = read_archives(archives.repartition(max(1, archives.count())))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digests_ok")
 
 
