@@ -17,11 +17,13 @@ therefore never make lists, unless a document has hardly any other.
 Links: a list's members are first compared with its pivot, the member whose
 listed values are commonest (in a group of copies, the original).  Pairs pass
 by size, then by the similarity of the union's sketch, and are then confirmed
-on the full sets of shingles as text.  Links make components.  A second round
-compares members outside their pivot's component with it; in the last, every
-pair of one list that is still in two components is compared.  So no link
-that would join two components is left out, and the pairs within a group that is
-already joined are never made.
+on the full sets of shingles as text.  Links make components.  Another round
+draws another pivot for each list, from its most frequent component, and compares
+members of other components with it, each member with the few pivots that its
+sketch says are nearest; in the last, every pair of one list that is still in
+two components is compared, in short lists as a row for each pair and in long
+ones within cells of full sets, which return no more than the links that join components.  So no link that would join two components is left
+out, and the pairs within a group that is already joined are never made.
 
 Null text, or one without words, has an empty set and is linked with nothing.
 Repeated rows are exact copies.  A row with null doc_id takes no part and keeps
@@ -45,8 +47,13 @@ from surfrank.llm.text import shingles, words_of
 
 K = 64
 #: Standard deviations that an estimate may fall short of the similarity.
-MARGIN = 6.0
-PIVOT_ROUNDS = 2
+MARGIN = 5.0
+#: Rounds with drawn pivots, and pivots of a member that are confirmed in each.
+PIVOT_ROUNDS, PIVOTS_TRIED = 1, 4
+#: In the last round lists up to this length make pairs; longer ones are compared in cells.
+SHORT_LIST = 16
+#: Shingles on a side of a cell, and what a document counts besides its own (it bounds the documents).
+CELL_WEIGHT, CELL_BASE = 250_000, 100
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 
 
@@ -92,6 +99,62 @@ def _confirm(size: int, percent: int):
     return confirm
 
 
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all left with all right sets, by products of slices of their incidence matrices."""
+    values, n = np.concatenate(left + right), [len(x) for x in left + right]
+    owner = np.repeat(np.arange(len(n)), n)
+    distinct, column, count = np.unique(values, return_inverse=True, return_counts=True)
+    shared = count > 1  # a value of a single set adds nothing
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    owner, column = owner[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for at in range(0, int(shared.sum()), 2048):
+        a, b = np.searchsorted(column, [at, at + 2048])
+        m = np.zeros((len(n), 2048), dtype=np.float32)
+        m[owner[a:b], column[a:b] - at] = 1
+        out += m[: len(left)] @ m[len(left) :].T
+    return out
+
+
+def _cell(size: int, percent: int):
+    def cell(rows: pa.Table) -> pa.Table:
+        side = np.array(rows.column("side").to_pylist())
+        links: list[tuple[int, int]] = []
+        if (side == 0).any() and (side == 1).any():
+            words, offsets = words_of(rows.column("text"), lower=True)
+            sets = [np.unique(shingles(words[a:b], size)) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            node, part = rows.column("node").to_pylist(), rows.column("component").to_pylist()
+            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            both = _common([sets[i] for i in left], [sets[j] for j in right])
+            n = np.array([len(x) for x in sets], dtype=np.float64)
+            near = 100 * both >= percent * (n[left][:, None] + n[right][None, :] - both)
+            home = {p: p for p in part}
+
+            def root(p):
+                while home[p] != p:
+                    home[p] = p = home[home[p]]
+                return p
+
+            text = rows.column("text")
+            for x, y in zip(*(k.tolist() for k in np.nonzero(near))):
+                i, j = int(left[x]), int(right[y])
+                p, q = root(part[i]), root(part[j])
+                if p == q:
+                    continue
+                one, two = shingle_set(text[i].as_py(), size), shingle_set(text[j].as_py(), size)
+                common = len(one & two)
+                if 100 * common >= percent * (len(one) + len(two) - common):
+                    home[p] = q
+                    links.append((min(node[i], node[j]), max(node[i], node[j])))
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return cell
+
+
 class NearDuplicates:
     """Rows of ``documents`` (doc_id, text) with n_shingles and component_id: see the module."""
 
@@ -140,27 +203,61 @@ class NearDuplicates:
 
         first = pairs.withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("shared"), "a", "b"))).where("r = 1")
         tested = written(first.select("a", "b").distinct(), "tested")
-        links = self._confirmed(tested, nodes, texts)
-        for turn in range(PIVOT_ROUNDS):
+        links = self._confirmed(self._passing(tested, nodes), texts)
+        for turn in range(PIVOT_ROUNDS + 1):
             found = components(links)
-            last = turn == PIVOT_ROUNDS - 1
             label = lists.select("value", "node", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
             split = written(label.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("value"), "split")
             if split.isEmpty():
                 break
             rows = written(label.join(split, "value"), "open")
-            if last:
-                other = rows.select("value", F.col("node").alias("other"), F.col("n").alias("m"), F.col("component").alias("c"))
-                met = rows.join(other, "value").where("component < c").where(self._near("n", "m"))
+            if turn < PIVOT_ROUNDS:
+                top = self._largest(rows, turn)
+                met = rows.join(top.select("value", "other", "m", "c"), "value").where("component <> c")
             else:
-                home = found.select(F.col("node").alias("pivot"), F.col("component").alias("c"))
-                met = rows.join(pivots, "value").join(home, "pivot", "left").where("component <> coalesce(c, pivot)").where(self._near("n", "pivot_n")).withColumnRenamed("pivot", "other")
-            new = met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-            new = written(new.join(tested, ["a", "b"], "left_anti"), "tested")
-            links = settled(links.union(self._confirmed(new, nodes, texts)))
-            tested = tested.union(new)
+                top = written(self._largest(rows, turn), "largest")
+                links = settled(links.union(self._met_in_cells(rows, top.where(F.col("members") > SHORT_LIST), texts)))
+                short = rows.join(top.where(F.col("members") <= SHORT_LIST).select("value"), "value", "left_semi")
+                other = short.select("value", F.col("node").alias("other"), F.col("n").alias("m"), F.col("component").alias("c"))
+                met = short.join(other, "value").where("component < c")
+            new = met.where(self._near("n", "m")).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), "node").distinct()
+            passed = self._passing(new.join(tested, ["a", "b"], "left_anti"), nodes)
+            if turn < PIVOT_ROUNDS:  # each member's most similar pivots; the others come again in the last round
+                nearest = Window.partitionBy("node").orderBy(F.desc("share"), "a", "b")
+                passed = passed.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= PIVOTS_TRIED)
+            passed = written(passed.select("a", "b").distinct(), "passed")
+            links = settled(links.union(self._confirmed(passed, texts)))
+            tested = tested.union(passed)
         return links
 
+    def _largest(self, rows: DataFrame, turn: int) -> DataFrame:
+        """Each list's members, its most frequent component c, and of that a pseudorandom member, another one in each turn."""
+        drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "value", "node").alias("h"), F.col("node").alias("node"), F.col("n").alias("n")))
+        per = rows.groupBy("value", "component").agg(F.count("*").alias("size"), drawn.alias("one"))
+        per = per.groupBy("value").agg(F.sum("size").alias("members"), F.max(F.struct("size", "component", "one")).alias("best"))
+        return per.select("value", "members", F.col("best.one.node").alias("other"), F.col("best.one.n").alias("m"), F.col("best.component").alias("c"))
+
+    def _met_in_cells(self, rows: DataFrame, lists: DataFrame, texts: DataFrame) -> DataFrame:
+        """Links between components among the members of long lists, by full sets.
+
+        Lists with the same most frequent component c are taken together.  A
+        pair in two components has a member outside c; these (side 0) meet all
+        members (side 1) in cells of bounded size, and a cell returns the links that
+        join components, not those between components that it has joined.
+        """
+        members = rows.join(lists.select("value", "c"), "value").groupBy("c", "node").agg(F.first("component").alias("component"), F.first("n").alias("n"))
+        weight = F.col("n") + F.lit(CELL_BASE)
+        members = written(members.withColumn("weight", weight), "members")
+        outside = F.col("component") != F.col("c")
+        parts = members.groupBy("c").agg(F.sum(F.when(outside, F.col("weight")).otherwise(0)).alias("u"), F.sum("weight").alias("v"))
+        parts = parts.select("c", F.ceil(F.col("u") / CELL_WEIGHT).alias("us"), F.ceil(F.col("v") / CELL_WEIGHT).alias("vs"))
+        h = F.xxhash64(F.lit(13), "node")
+        dealt = members.join(settled(parts), "c").withColumn("i", F.pmod(h, F.col("us"))).withColumn("j", F.pmod(h, F.col("vs")))
+        side_0 = dealt.where(outside).select("c", "node", "component", F.col("i"), F.explode(F.expr("sequence(0L, vs - 1)")).alias("j"), F.lit(0).alias("side"))
+        side_1 = dealt.select("c", "node", "component", F.explode(F.expr("sequence(0L, us - 1)")).alias("i"), F.col("j"), F.lit(1).alias("side"))
+        both = side_0.unionByName(side_1).join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
+        return settled(both.groupBy("c", "i", "j").applyInArrow(_cell(self.size, self.percent), "a long, b long"))
+
     def _near(self, n: str, m: str) -> F.Column:
         """Sets of these sizes can be similar enough."""
         return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
@@ -170,18 +267,22 @@ class NearDuplicates:
         wanted = wanted.distinct().withColumnRenamed("node", "doc_id")
         return written(self.texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
 
-    def _confirmed(self, pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose full sets are similar, of those that the union's sketch lets pass."""
+    def _passing(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The pairs that the union's sketch lets pass, with the estimate ``share``."""
         t, k = self.percent / 100, self.k
         side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
-        union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, k)
-        share = F.size(F.array_intersect(F.array_intersect("union", "s_a"), "s_b")) / F.size("union")
-        whole = (F.col("n_a") <= k) & (F.col("n_b") <= k) & (F.size(F.array_union("s_a", "s_b")) <= k)
-        low = F.when(whole, t - 1e-9).otherwise(t - MARGIN * math.sqrt(t * (1 - t) / k))
-        passed = written(both.withColumn("union", union).where(share >= low).select("a", "b"), "passed")
+        both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("all", F.array_union("s_a", "s_b"))
+        both = both.withColumn("whole", (F.col("n_a") <= k) & (F.col("n_b") <= k) & (F.size("all") <= k))
+        both = both.withColumn("union", F.slice(F.array_sort("all"), 1, k))
+        both = both.withColumn("share", F.size(F.array_intersect(F.array_intersect("union", "s_a"), "s_b")) / F.size("union"))
+        low = F.when(F.col("whole"), t - 1e-9).otherwise(t - MARGIN * math.sqrt(t * (1 - t) / k))
+        return both.where(F.col("share") >= low).select(*pairs.columns, "share")
+
+    def _confirmed(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose full sets of shingles are similar."""
         text = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
-        return settled(passed.join(text("b"), "b").join(text("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(_confirm(self.size, self.percent), "a long, b long"))
+        met = pairs.select("a", "b").join(text("b"), "b").join(text("a"), "a").select("a", "b", "text_a", "text_b")
+        return settled(met.mapInArrow(_confirm(self.size, self.percent), "a long, b long"))
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
