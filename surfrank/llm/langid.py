@@ -92,7 +92,7 @@ def learn(labelled: DataFrame, top: int = TOP, sample_docs: int = SAMPLE_DOCS) -
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
     per = rows.groupBy("lang").agg(F.count("*").alias("n"))
     u = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    langs = {r["lang"]: r["n"] for r in per.collect()}  # a row for each language
+    langs = {r["lang"]: r["n"] for r in per.collect()}  # bounded by the number of languages
     if not langs:
         return {}
     chosen = F.lit(False)
@@ -102,7 +102,7 @@ def learn(labelled: DataFrame, top: int = TOP, sample_docs: int = SAMPLE_DOCS) -
     grams = grams.groupBy("lang", "code").agg(F.sum("n").alias("n"))
     # the sample is bounded, so a language's distinct n-grams are too
     best = grams.groupBy("lang").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "code"))), 1, top)["code"].alias("codes"))
-    return {r["lang"]: list(r["codes"]) for r in best.collect()}
+    return {r["lang"]: list(r["codes"]) for r in best.collect()}  # bounded by top and the number of languages
 
 
 class Profiles:

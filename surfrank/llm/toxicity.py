@@ -181,7 +181,7 @@ def _vectors(idf: dict[str, float]):
 
 def learn(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, n_terms: int = N_TERMS, k: int = NEIGHBOURS) -> Model:
     rows = labelled_rows(labels)
-    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # bounded by two classes
     total = sum(n.values())
     if len(n) < 2:
         model = Model(Vocabulary({}), Index(0, [], [], []), np.ones(2), k)
@@ -192,7 +192,7 @@ def learn(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     chosen = F.broadcast(rows.where(u < share).limit(4 * sample_rows))  # bounded by sample_rows
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sample = written(texts.join(chosen, "doc_id").dropDuplicates(["doc_id"]), "examples")
-    size = {0: 0, 1: 0} | {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    size = {0: 0, 1: 0} | {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # bounded by two classes
     shares = np.array([n[c] / max(size[c], 1) for c in (0, 1)])
 
     counts = sample.select("text", "toxic").mapInArrow(_count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("b"), F.sum("toxic").alias("a"))
@@ -200,7 +200,7 @@ def learn(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     a, b, every = F.col("a"), F.col("b"), pos + neg
     gap = a * neg - b * pos
     chi = gap * gap * every / ((a + b) * (F.lit(every) - a - b + 0.5) * pos * neg)
-    best = counts.where(a + b >= MIN_ROWS).select("term", (a + b).alias("df"), chi.alias("chi")).orderBy(F.desc("chi"), "term").limit(n_terms).collect()
+    best = counts.where(a + b >= MIN_ROWS).select("term", (a + b).alias("df"), chi.alias("chi")).orderBy(F.desc("chi"), "term").limit(n_terms).collect()  # bounded by n_terms
     vocabulary = Vocabulary({r["term"]: math.log(1 + every / r["df"]) for r in best})
 
     examples = sorted(sample.mapInArrow(_vectors(dict(zip(vocabulary.terms, vocabulary.idf.tolist()))), "doc_id long, toxic int, at array<long>, w array<double>").collect(), key=lambda r: r["doc_id"])  # bounded by sample_rows
