@@ -34,7 +34,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = neardup.near_duplicates(docs)
     copies = settled(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct())
-    kept = docs.join(copies, docs["doc_id"] == F.col("copy_id"), "left_anti")
+    kept = docs.join(copies, docs["doc_id"] == copies["copy_id"], "left_anti")
     repeated = settled(docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
     return kept if repeated.isEmpty() else kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id IS NULL"))
 

@@ -128,7 +128,7 @@ def find_contaminated(documents: DataFrame, benchmark: DataFrame, threshold: flo
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
     """The rows of ``documents`` that hold no benchmark item, with all their columns."""
     bad = settled(find_contaminated(documents, benchmark, threshold, radius).select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct())
-    return documents.join(_small(bad, bad.count()), F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.xxhash64("text") == F.col("bad_key")), "left_anti")
+    return documents.join(_small(bad, bad.count()), documents["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(documents["text"]) == bad["bad_key"]), "left_anti")
 
 
 def op1_decontamination(spark, sf_dir):
