@@ -132,7 +132,7 @@ def q_outlinks(spark, sf):
 
 def q_normalize_tabs(spark, sf):
     p = get_preset("mapreduce")
-    lines = _lines(spark, sf, "wd").where(F.instr("value", "\t") > 0)
+    lines = _lines(spark, sf, "wd")
     return lines.select("value", E.page_title("value", p).alias("title"), _joined(E.page_links("value", p)).alias("links"))
 
 
@@ -391,10 +391,12 @@ def q_job_rdd_py(spark, sf):
 
 def q_rank_10_hot_sources(spark, sf):
     # Same ranking with the skew layout forced on: sources above a tiny
-    # out-degree threshold go through the hot (broadcast-share) path.  At sf0.01
-    # on 8 partitions this splits WP into 6 hot and 986 regular sources, so both
+    # out-degree threshold go through the hot (broadcast-share) path.  Both
     # branches of a step are checked against the same SQL twin as rank_10.
-    res = _rank(spark, sf, "wp", "mapreduce", 10, hot_floor=1, hot_factor=64)
+    # P is pinned, so the split doesn't depend on the session.
+    res = _rank(spark, sf, "wp", "mapreduce", 10, num_partitions=8, hot_floor=20, hot_factor=10**9)
+    if not 0 < res.layout.n_hot < res.layout.n_vertices:
+        raise AssertionError(f"{res.layout.n_hot} of {res.layout.n_vertices} sources are hot: one kind is missing")
     return _ranks_out(res)
 
 

@@ -23,9 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def wp_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part graph: part P links to the part on the next line of each order it appears in.
 
-    Every linked pair of every order is used.  Only parts with ``p_size <= 25``
-    get a page line of their own; the others still occur as link targets, which
-    is how the graph gets vertices that have no page (semantics, not sampling).
+    Every linked pair of every order is used.  Every part has a page
+    line; vertices without a page come from WH and WD.
     The input format is one page per line, so a part's links are concatenated
     into its one line here (this builds the test input; the engine itself never
     gathers a page's links into a row).
@@ -50,7 +49,7 @@ def wp_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.transform("keys", lambda k: F.concat(F.lit("[[P"), k["k"].cast("string"), F.lit("]]"))), " "
         ).alias("body"),
     )
-    part = table(spark, sf_dir, "part").where(F.col("p_size") <= 25).select("p_partkey")
+    part = table(spark, sf_dir, "part").select("p_partkey")
     return part.join(bodies, part.p_partkey == bodies.src, "left").select(
         F.concat(
             F.lit("<page><title>P"),
@@ -72,7 +71,6 @@ left join (
   from lineitem a join lineitem b
     on a.l_orderkey = b.l_orderkey and a.l_linenumber + 1 = b.l_linenumber
   group by a.l_partkey) t on p_partkey = src
-where p_size <= 25
 """
 
 
@@ -89,9 +87,9 @@ from pages
 """
 
 # Dirty lines: every document yields one line; doc_id % 12 only picks which
-# parsing case that line exercises, and the other moduli pick link targets
+# parsing case that line exercises (all but the blank one carry the document's text), and the other moduli pick link targets
 # (the same CASE text runs in both engines).
-WD_CASE = """case doc_id % 12
+WD_CASE = """(case doc_id % 12
  when 0 then ''
  when 1 then 'no heading here [[D'||(doc_id+1)||']]'
  when 2 then '<title lang="x">D'||doc_id||'</title>[[D'||(doc_id%50)||']]'
@@ -103,7 +101,8 @@ WD_CASE = """case doc_id % 12
  when 8 then '<title>D'||(doc_id%50)||' t</title>[[D'||((doc_id*3)%50)||']]'
  when 9 then '<title></title>[[D'||(doc_id%50)||']]'
  else '<title>D'||(doc_id%50)||'</title>[[D'||((doc_id*7+1)%50)||']] [[D'||((doc_id*7+1)%50)||']] [[D'||((doc_id*11)%50)||'|l]] [[D'||((doc_id+13)%50)||']]'
- end"""
+ end)
+ || case when doc_id % 12 = 0 then '' else ' '||replace(replace(coalesce(text, ''), chr(10), ' '), chr(13), ' ') end"""
 
 
 def wd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,11 +66,6 @@ def nodes(pages: DataFrame, preset: Preset) -> DataFrame:
     return rows.groupBy("id").agg(F.sum("d").alias("outdeg"))
 
 
-def out_degree(edges_df: DataFrame) -> DataFrame:
-    """Out-degree per source from the weighted edges: (id, outdeg)."""
-    return edges_df.groupBy(F.col("src").alias("id")).agg(F.sum("mult").alias("outdeg"))
-
-
 def dangling_nodes(nodes_df: DataFrame) -> DataFrame:
     """Vertices with no outgoing link (F5): their mass is dropped each step."""
     return nodes_df.where(F.col("outdeg") == 0).select("id")

@@ -267,7 +267,7 @@ def all_queries(alpha: float = 0.15, sep: str = "\u001f") -> dict[str, str]:
     out["normalize_tabs"] = _q_lines_only(
         ["wd"],
         lambda fx: f"SELECT value, {title_sql(mr)} AS title, {_joined(links_sql(mr))} AS links "
-        f"FROM {fx}_lines WHERE instr(value, chr(9)) > 0",
+        f"FROM {fx}_lines",
     )
     scoped = links_sql(_plain("rdd_jvm", text_scope=True))
     out["outlinks_text_scope"] = _q_lines_only(

@@ -54,22 +54,16 @@ LINKS_PER_PARTITION = 2_000_000
 def _partitions(spark: SparkSession, num_partitions: int | None, n_links: int | None = None) -> int:
     """P for the job: explicit, else sized from the link total.
 
-    About ``LINKS_PER_PARTITION`` link occurrences per partition, at least the
-    cluster's default parallelism, at most ``spark.sql.shuffle.partitions``.
+    About ``LINKS_PER_PARTITION`` link occurrences per partition and at least the
+    cluster's default parallelism.  The session's number of shuffle partitions
+    is no limit: a graph beyond it needs more, smaller partitions.
     """
     if num_partitions is not None:
         if num_partitions < 1:
             raise ValueError("num_partitions must be >= 1")
         return int(num_partitions)
     floor = max(1, int(spark.sparkContext.defaultParallelism))
-    try:
-        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except (TypeError, ValueError):  # e.g. a non-numeric setting such as "auto"
-        cap = max(floor, 200)
-    if n_links is None:
-        return cap
-    want = max(floor, math.ceil(n_links / LINKS_PER_PARTITION))
-    return max(1, min(cap, want))
+    return max(floor, math.ceil((n_links or 0) / LINKS_PER_PARTITION))
 
 
 def job_settings(num_partitions: int) -> dict[str, str]:
@@ -254,11 +248,6 @@ class RankResult:
         return order_ranked(self.ranks())
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Text lines of files/folders/compressed files; splits at \\n, \\r and \\r\\n."""
-    return spark.read.text(path)
-
-
 def rank_pages(
     lines: DataFrame,
     iterations: int = 10,
@@ -350,6 +339,14 @@ def ranking_output(output_path: str, preset: str | Preset) -> str:
     return f"{base}/sort" if get_preset(preset).name == "mapreduce" else base
 
 
+def _refuse_existing(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        if p.getFileSystem(conf).exists(p):
+            raise FileExistsError(f"output path already exists: {path}")
+
+
 def run_job(
     spark: SparkSession,
     input_path: str | list[str],
@@ -366,33 +363,47 @@ def run_job(
 
     * ``mapreduce``: ``<output>/count`` (``Total Pages-<N>``) and ``<output>/sort``
       (``title<TAB>rank``); with ``keep_state`` also ``<output>/parse`` (initial
-      graph-state records) and ``<output>/rank-<i>`` after every step (I2).
+      graph-state records) and, after every step, ``<output>/rank-<i>``, the first
+      being ``rank-0`` (I2).
     * ``rdd_jvm`` / ``rdd_py``: the ranking itself at ``<output>`` in the pair form.
+
+    With mode ``errorifexists`` every output path is looked at before the first
+    Spark job, so a run that could not write its result does no work.  The tables
+    written for the run are deleted when it ends, also when it fails.
     """
     from surfrank.sources.sinks import write_ranked
     from surfrank.sources.state import layout_records, write_state
-    from surfrank.sources.text import write_count_value
+    from surfrank.sources.text import read_lines, write_count_value
 
     preset = get_preset(preset)
     base = output_path.rstrip("/")
     mr_layout = preset.name == "mapreduce"
     if keep_state and not mr_layout:
         raise ValueError("per-step state files belong to the mapreduce output layout")
+    outputs = [ranking_output(base, preset)] + ([f"{base}/count"] if mr_layout else [])
+    if keep_state:
+        outputs += [f"{base}/parse"] + [f"{base}/rank-{i}" for i in range(iterations)]
+    if mode in ("error", "errorifexists"):
+        _refuse_existing(spark, outputs)
     lines = read_lines(spark, input_path)
     layout_box: list[RankLayout] = []
 
     def keep(i: int, state: DataFrame) -> None:
         # written while the state is cached; the layout exists once the loop runs
-        write_state(layout_records(state, layout_box[0]), f"{base}/rank-{i}", mode)
+        write_state(layout_records(state, layout_box[0]), f"{base}/rank-{i - 1}", mode)
 
     trace: list | None = [] if keep_state else None
-    result = rank_pages(
-        lines, iterations, alpha, preset, num_partitions, checkpoint_every,
-        trace=trace, on_state=keep if keep_state else None, layout_sink=layout_box,
-    )
-    if mr_layout:
-        write_count_value(spark, result.n_lines, f"{base}/count", mode)
-        if keep_state:
-            write_state(layout_records(trace[0][1], result.layout), f"{base}/parse", mode)
-    write_ranked(result.ranked(), ranking_output(base, preset), preset.output_format, mode)
+    try:
+        result = rank_pages(
+            lines, iterations, alpha, preset, num_partitions, checkpoint_every,
+            trace=trace, on_state=keep if keep_state else None, layout_sink=layout_box,
+        )
+        if mr_layout:
+            write_count_value(spark, result.n_lines, f"{base}/count", mode)
+            if keep_state:
+                write_state(layout_records(trace[0][1], result.layout), f"{base}/parse", mode)
+        write_ranked(result.ranked(), ranking_output(base, preset), preset.output_format, mode)
+    finally:
+        for layout in layout_box:
+            layout.release()  # the final state is its own checkpoint
     return result

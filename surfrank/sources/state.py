@@ -1,12 +1,10 @@
 """Graph-state records: ``title<TAB>{"pageRank":..,"adjacencyList":[..],"isNode":..}``.
 
 This is the interchange form of a ranking in progress (K2, S2, P13, P14, A3, G5, F3).
-A record holds one page's rank and its out-links with repeats.  To keep any
-single row bounded, a page with more than ``chunk_links`` link occurrences is
-written as several records with the same title and rank, each carrying a part
-of the multiset (assigned by hashing (target, piece), so no per-title list is
-ever sorted or numbered).  Readers add the parts up again; a page of ordinary
-size is exactly one record.
+There is exactly one record for each page: its rank and its out-links with
+repeats.  A record is a line of text by definition of the form, so a page's links
+have to meet in one row here; the ranking itself works on edges and never
+makes such a row.
 """
 
 from __future__ import annotations
@@ -25,13 +23,10 @@ NODE_SCHEMA = StructType(
 )
 # ---------------------------------------------------------------------------
 
-DEFAULT_CHUNK_LINKS = 100_000
-
 
 def state_records(
     state: DataFrame,
     edges_df: DataFrame,
-    chunk_links: int = DEFAULT_CHUNK_LINKS,
     hot_edges: DataFrame | None = None,
 ) -> DataFrame:
     """(id, outdeg, rank[, hot]) + (src, dst, mult) -> (title, pageRank, adjacencyList, isNode).
@@ -39,23 +34,17 @@ def state_records(
     Each edge picks up its source's rank and out-degree by a shuffle-based join;
     ``hot_edges`` (edges of hot sources, laid out by target) pick them up from a
     broadcast of the hot sources only, whose row count is bounded like in the
-    ranking loop.  The rank travels with the edges, so the per-(source, chunk)
-    lists need no second join; vertices without links become records of their own.
+    ranking loop.  The rank travels with the edges, so the lists need no second
+    join; vertices without links become records of their own.
     """
-    c = int(chunk_links)
     info = state.select(F.col("id").alias("src"), "outdeg", "rank")
     with_info = edges_df.join(info.hint("shuffle_hash"), "src")
     if hot_edges is not None:
         hot_info = F.broadcast(info.join(state.where(F.col("hot")).select(F.col("id").alias("src")), "src", "left_semi"))
         with_info = with_info.unionByName(hot_edges.join(hot_info, "src"))
-    pieces = F.sequence(F.lit(0), ((F.col("mult") + (c - 1)) / c).cast("long").cast("int") - 1)
-    e = with_info.select("src", "dst", "mult", "outdeg", "rank", F.explode(pieces).alias("piece"))
-    reps = F.least(F.lit(c).cast("long"), F.col("mult") - F.col("piece") * c).cast("int")
-    n_chunks = F.greatest(F.lit(1).cast("long"), ((F.col("outdeg") + (c - 1)) / c).cast("long"))
-    chunk = F.pmod(F.xxhash64("dst", "piece"), n_chunks)
     linked = (
-        e.select("src", "rank", chunk.alias("chunk"), F.array_repeat("dst", reps).alias("run"))
-        .groupBy("src", "chunk")
+        with_info.select("src", "rank", F.array_repeat("dst", F.col("mult").cast("int")).alias("run"))
+        .groupBy("src")
         .agg(F.first("rank").alias("pageRank"), F.flatten(F.collect_list("run")).alias("adjacencyList"))
         .select(F.col("src").alias("title"), "pageRank", "adjacencyList", F.lit(True).alias("isNode"))
     )
@@ -68,9 +57,9 @@ def state_records(
     return linked.unionByName(dangling)
 
 
-def layout_records(state: DataFrame, layout, chunk_links: int = DEFAULT_CHUNK_LINKS) -> DataFrame:
+def layout_records(state: DataFrame, layout) -> DataFrame:
     """Graph-state records of a ranking state on its layout (cold and hot edges)."""
-    return state_records(state, layout.cold_edges, chunk_links, layout.hot_edges)
+    return state_records(state, layout.cold_edges, layout.hot_edges)
 
 
 def record_lines(records: DataFrame) -> DataFrame:
@@ -124,7 +113,7 @@ def graph_from_records(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFr
     return nodes_df, edges_df, ranks
 
 
-def tagged_state(state: DataFrame, layout, chunk_links: int = DEFAULT_CHUNK_LINKS) -> DataFrame:
+def tagged_state(state: DataFrame, layout) -> DataFrame:
     """Structure records plus messages in one tagged table (G5): (key, pageRank, adjacencyList, isNode, n).
 
     Structure rows are the graph-state records (``isNode`` true, ``n`` = 1).
@@ -137,7 +126,7 @@ def tagged_state(state: DataFrame, layout, chunk_links: int = DEFAULT_CHUNK_LINK
     from surfrank.operators.rank import join_sources, shares
 
     empty = F.array().cast("array<string>")
-    structure = layout_records(state, layout, chunk_links).select(
+    structure = layout_records(state, layout).select(
         F.col("title").alias("key"), "pageRank", "adjacencyList", "isNode", F.lit(1).cast("long").alias("n")
     )
     msgs = join_sources(layout, shares(state)).select(

@@ -59,8 +59,8 @@ def test_partition_count_rules(spark):
     floor = spark.sparkContext.defaultParallelism
     assert _partitions(spark, 5, 10**9) == 5
     with job_conf(spark, {"spark.sql.shuffle.partitions": "64"}):
-        assert _partitions(spark, None, 10) == min(64, floor)
-        assert _partitions(spark, None, 10**9) == 64  # capped by the session setting
+        assert _partitions(spark, None, 10) == floor
+        assert _partitions(spark, None, 10**9) == max(floor, 500)  # the session setting is no cap
     with pytest.raises(ValueError):
         _partitions(spark, 0, 10)
 

@@ -2,6 +2,7 @@
 
 import ast
 import glob
+import os
 
 import pytest
 
@@ -69,15 +70,15 @@ def test_state_records_roundtrip_and_resume(spark, lines_df, scratch):
     assert a == pytest.approx(b, abs=1e-15)
 
 
-def test_state_records_split_large_pages(spark, lines_df):
-    hub = "<title>H</title>" + " ".join(f"[[t{i % 7}]]" for i in range(50))
+def test_state_records_of_large_pages_are_one_record(spark, lines_df):
+    n = 100_500
+    hub = "<title>H</title>" + " ".join(f"[[t{i % 7}]]" for i in range(n))
     res = rank_pages(lines_df([hub, "<title>t1</title>[[H]]"]), 0, 0.15)
-    recs = ST.layout_records(res.state, res.layout, chunk_links=8)
+    recs = ST.layout_records(res.state, res.layout)
     h = [r for r in recs.collect() if r.title == "H"]
-    assert len(h) > 1 and all(len(r.adjacencyList) <= 30 for r in h)
-    assert sorted(x for r in h for x in r.adjacencyList) == sorted(f"t{i % 7}" for i in range(50))
+    assert len(h) == 1 and sorted(h[0].adjacencyList) == sorted(f"t{i % 7}" for i in range(n))
     nodes, edges, ranks = ST.graph_from_records(recs)
-    assert {r.id: r.outdeg for r in nodes.collect()}["H"] == 50
+    assert {r.id: r.outdeg for r in nodes.collect()}["H"] == n
 
 
 def test_run_job_mapreduce_layout(spark, lines_df, scratch):
@@ -86,13 +87,21 @@ def test_run_job_mapreduce_layout(spark, lines_df, scratch):
     out = scratch()
     run_job(spark, src, out, 2, 0.15, "mapreduce", keep_state=True)
     assert read_parts(f"{out}/count") == ["Total Pages-8"]
-    assert len(read_parts(f"{out}/parse")) == 7 and len(read_parts(f"{out}/rank-2")) == 7
+    assert len(read_parts(f"{out}/parse")) == 7 and len(read_parts(f"{out}/rank-0")) == 7 and len(read_parts(f"{out}/rank-1")) == 7
+    assert not os.path.exists(f"{out}/rank-2")
     parse = {line.split("\t", 1)[0]: line for line in read_parts(f"{out}/parse")}
     assert '"pageRank":0.125' in parse["A"]
     pairs = [(t, float(r)) for t, r in (line.split("\t") for line in read_parts(f"{out}/sort"))]
     assert len(pairs) == 7 and pairs == sorted(pairs, key=lambda p: (-p[1], p[0]))
 
 
+def test_run_job_refuses_existing_output_before_any_work(spark, lines_df, scratch):
+    out = scratch()
+    TX.write_lines(lines_df(["x"]), f"{out}/sort")
+    with pytest.raises(FileExistsError):
+        run_job(spark, scratch() + "/no-such-input", out, 2, 0.15, "mapreduce")
+
+
 def test_run_job_rdd_layout(spark, lines_df, scratch):
     src = scratch()
     TX.write_lines(lines_df(DIRTY), src)
@@ -189,14 +198,14 @@ def test_tagged_state_messages_with_hot_sources(lines_df):
         assert structure.count() == 41
 
 
-def test_resume_from_split_records(spark, lines_df, scratch):
+def test_resume_from_records_of_a_hub(spark, lines_df, scratch):
     hub = "<title>H</title>" + " ".join(f"[[t{i % 9}]]" for i in range(30))
     lines = [hub] + [f"<title>t{i}</title>[[H]] [[t{(i + 2) % 9}]]" for i in range(9)] + ["<title>lone</title>"]
     two = rank_pages(lines_df(lines), 2, 0.15)
     path = scratch()
-    ST.write_state(ST.layout_records(two.state, two.layout, chunk_links=4), path)
+    ST.write_state(ST.layout_records(two.state, two.layout), path)
     back = ST.read_state(spark, path)
-    assert back.where("title = 'H'").count() > 1  # H is split across records
+    assert back.where("title = 'H'").count() == 1
     resumed = resume_from_records(back, two.n_lines, 3, 0.15)
     direct = rank_pages(lines_df(lines), 5, 0.15)
     a = {r.title: r.rank for r in resumed.ranks().collect()}

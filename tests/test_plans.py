@@ -58,7 +58,7 @@ def test_hot_step_has_bounded_broadcast_and_no_extra_exchange(spark):
 def test_scan_prunes_to_needed_columns(spark):
     df = X.lines(spark, SF, "wd")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<doc_id:bigint>" in plan
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
 
 
 def test_graph_build_uses_partial_aggregation(spark):
