@@ -8,8 +8,8 @@ is on classes.
 
 Candidates: inverted lists of the sketch values.  Two sets with a similarity of
 t or more share at least ``least`` values of their sketches (all of t * n, if
-the sketch is the whole set of n; else t/2 of k, which fails with a
-probability under 1e-10 at k = 64).  So with values in one order, rarest first,
+the sketch is the whole set of n; else t * k less ``LIST_MARGIN`` standard
+deviations, 23 at k = 48, which fails with a probability under 2e-7).  So with values in one order, rarest first,
 they share one among the first ``length - least + 1``; only those are listed,
 and a value that a single class has needs no list.  Very common shingles
 therefore never make lists, unless a document has hardly any other.
@@ -42,12 +42,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from surfrank.llm.graph import components
-from surfrank.llm.tables import settled, table, written
+from surfrank.llm.tables import bucketed, settled, table, written
 from surfrank.llm.text import shingles, words_of
 
-K = 64
+K = 48
 #: Standard deviations that an estimate may fall short of the similarity.
-MARGIN = 5.0
+MARGIN = 5.5
+#: Standard deviations that the number of shared values may fall short of t * k.
+LIST_MARGIN = 5.7
 #: Rounds with drawn pivots, and pivots of a member that are confirmed in each.
 PIVOT_ROUNDS, PIVOTS_TRIED = 1, 4
 #: In the last round lists up to this length make pairs; longer ones are compared in cells.
@@ -164,15 +166,14 @@ class NearDuplicates:
 
     def run(self) -> DataFrame:
         sketched = written(self.texts.mapInArrow(_sketch(self.size, self.k), "doc_id long, n long, digest binary, sketch array<long>"), "sketches")
-        classes = written(sketched.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("node")), "classes")
-        joined = sketched.join(classes.select(F.col("node").alias("doc_id")).distinct(), "doc_id")
-        nodes = written(joined.groupBy(F.col("doc_id").alias("node")).agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
+        groups = sketched.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest")
+        classes = written(groups.agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
+        # rows of one doc_id may differ in text: such a node has several classes, and takes one of their sketches
+        nodes = classes.select("node", "n", "sketch")
+        if not classes.groupBy("node").count().where("count > 1").isEmpty():
+            nodes = written(nodes.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
         links = self._links(nodes)
-        named = classes
-        if links is not None:
-            found = components(links)
-            named = classes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("node"))
-        named = settled(named)
+        named = settled(classes.join(components(links), "node", "left").select("digest", F.coalesce("component", "node").alias("node")))
         # the kept table has a row for each set, and both sides have plain exchanges: a large group of copies can be split
         rows = sketched.select("doc_id", "n", "digest").join(named, "digest", "left")
         part = F.when(F.col("n") > 0, F.col("node")).otherwise(F.col("doc_id"))
@@ -185,25 +186,31 @@ class NearDuplicates:
         common = written(rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "values")
         rows = rows.join(common, "value")
         length = F.least("n", F.lit(k))
-        least = F.when(F.col("n") <= int(t * k), F.ceil(F.col("n") * self.percent / 100)).otherwise(math.ceil(k * t / 2))
+        least = F.when(F.col("n") <= int(t * k), F.ceil(F.col("n") * self.percent / 100)).otherwise(math.ceil(k * t - LIST_MARGIN * math.sqrt(k * t * (1 - t))))
         by_node = Window.partitionBy("node")
         alone = length - F.count("*").over(by_node)  # values that no other class has come first
         rows = rows.withColumn("left", length - least + 1 - alone).withColumn("place", F.row_number().over(by_node.orderBy("df", "value")))
         rows = rows.where("place <= left").withColumn("weight", F.sum("df").over(by_node))
         return written(rows.select("value", "node", "n", "weight"), "lists")
 
-    def _links(self, nodes: DataFrame) -> DataFrame | None:
+    def _links(self, nodes: DataFrame) -> DataFrame:
         lists = self._lists(nodes)
         best = F.max(F.struct("weight", (-F.col("node")).alias("neg"), F.col("n").alias("n"))).alias("best")
         pivots = written(lists.groupBy("value").agg(best, F.count("*").alias("m")).where("m > 1").select("value", (-F.col("best.neg")).alias("pivot"), F.col("best.n").alias("pivot_n")), "pivots")
         starred = lists.join(pivots, "value").where("node <> pivot").where(self._near("n", "pivot_n"))
         starred = starred.groupBy("node", "pivot").agg(F.count("*").alias("shared"))
         pairs = written(starred.select("shared", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"), "node"), "pairs")
-        texts = self._texts(lists.join(pivots.select("value"), "value", "left_semi").select("node"))
-
+        entry = self._texts(lists.join(pivots.select("value"), "value", "left_semi").select("node"))
+        try:
+            return self._joined(nodes, lists, pairs, nodes.sparkSession.table(entry))
+        finally:
+            nodes.sparkSession.sql(f"DROP TABLE IF EXISTS {entry}")
+
+    def _joined(self, nodes: DataFrame, lists: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        """Links that join all that is similar, from the first pairs and the lists."""
         first = pairs.withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("shared"), "a", "b"))).where("r = 1")
         tested = written(first.select("a", "b").distinct(), "tested")
-        links = self._confirmed(self._passing(tested, nodes), texts)
+        links = self._confirmed(written(self._passing(tested, nodes).select("a", "b"), "passed"), texts)
         for turn in range(PIVOT_ROUNDS + 1):
             found = components(links)
             label = lists.select("value", "node", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -262,10 +269,10 @@ class NearDuplicates:
         """Sets of these sizes can be similar enough."""
         return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
 
-    def _texts(self, wanted: DataFrame) -> DataFrame:
-        """Texts of the classes that lists have."""
+    def _texts(self, wanted: DataFrame) -> str:
+        """Texts of the classes that lists have, in buckets: they are shuffled this once."""
         wanted = wanted.distinct().withColumnRenamed("node", "doc_id")
-        return written(self.texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+        return bucketed(self.texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "doc_id", "texts")
 
     def _passing(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """The pairs that the union's sketch lets pass, with the estimate ``share``."""
@@ -280,7 +287,9 @@ class NearDuplicates:
 
     def _confirmed(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         """The pairs (a, b) whose full sets of shingles are similar."""
-        text = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        own = written(texts.join(ends, "doc_id"), "own")  # few of the texts; joins with these can split a pivot of many pairs
+        text = lambda x: own.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
         met = pairs.select("a", "b").join(text("b"), "b").join(text("a"), "a").select("a", "b", "text_a", "text_b")
         return settled(met.mapInArrow(_confirm(self.size, self.percent), "a long, b long"))
 

@@ -20,5 +20,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> str:
+    """``df`` written into buckets of ``key``, so that joins on it don't shuffle these rows again.
+
+    Buckets need an entry in the catalog: the name of an external table, which
+    the caller drops after use (its files stay in the scratch folder).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    entry = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", path).saveAsTable(entry)
+    return entry
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
