@@ -389,6 +389,23 @@ def q_job_rdd_py(spark, sf):
     return _job(spark, sf, "rdd_py")
 
 
+def q_job_resumed(spark, sf):
+    """Two steps kept, then two more from the kept folder."""
+    src, dst = scratch_path(spark, "input-wd"), scratch_path(spark, "job-kept")
+    TX.write_lines(_lines(spark, sf, "wd"), src)
+    run_job(spark, src, dst, 2, ALPHA, "mapreduce", keep_state=True)
+    again = scratch_path(spark, "job-resumed")
+    run_job(spark, None, again, 2, ALPHA, "mapreduce", resume_from=f"{dst}/rank-1")
+    return SK.read_ranked(spark, ranking_output(again, "mapreduce"), "tsv").select("title", _r("rank").alias("rank"))
+
+
+def q_rank_extractor(spark, sf):
+    """A caller's title and link rules: those of mapreduce, plugged into a preset that has others."""
+    mr, py = get_preset("mapreduce"), get_preset("rdd_py").with_options(blank_links="marker")
+    rule = lambda line: (E.page_title(line, mr), E.page_links(line, mr))
+    return _ranks_out(_rank(spark, sf, "wd", py, 3, extractor=rule))
+
+
 def q_rank_10_hot_sources(spark, sf):
     # Same ranking with the skew layout forced on: sources above a tiny
     # out-degree threshold go through the hot (broadcast-share) path.  Both
@@ -441,6 +458,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_rdd_jvm": q_job_rdd_jvm,
     "job_rdd_py": q_job_rdd_py,
     "rank_10_hot_sources": q_rank_10_hot_sources,
+    "job_resumed": q_job_resumed,
+    "rank_extractor": q_rank_extractor,
 }
 
 

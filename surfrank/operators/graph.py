@@ -10,6 +10,8 @@ giant row: every aggregate here is a partial/final hash aggregate.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +19,14 @@ from surfrank.functions.extract import parse_line
 from surfrank.plans.presets import Preset
 
 
-def parse_pages(lines: DataFrame, preset: Preset, column: str = "value") -> DataFrame:
+#: Line column -> (title, null when unparsable; array of link targets).
+Extractor = Callable[[Column], tuple[Column, Column]]
+
+
+def parse_pages(lines: DataFrame, preset: Preset, column: str = "value", extractor: Extractor | None = None) -> DataFrame:
     """One row per input line: ``title`` (null when unparsable) and ``outlinks``."""
-    title, links = parse_line(F.col(column), preset)
-    return lines.select(title, links)
+    title, links = parse_line(F.col(column), preset) if extractor is None else extractor(F.col(column))
+    return lines.select(title.alias("title"), links.alias("outlinks"))
 
 
 def parsed_ok(parsed: DataFrame) -> DataFrame:

@@ -173,25 +173,20 @@ def hot_shares(layout: RankLayout, state: DataFrame) -> DataFrame:
     return shares(state).join(F.broadcast(layout.hot_ids()), "src", "left_semi")
 
 
-def rank_step(
-    layout: RankLayout, state: DataFrame, consts: RankConstants, hot_share: DataFrame | None = None
-) -> DataFrame:
+def rank_step(layout: RankLayout, state: DataFrame, consts: RankConstants) -> DataFrame:
     """state(id, outdeg, hot, rank) -> the same columns after one step (J2 as a left join).
 
     The update's left side is the loop-invariant node table, so the step reads
-    its predecessor once, for the shares.  With hot sources, pass ``hot_share``
-    as a materialised leaf (``plans.job.iterate`` checkpoints it, a few rows):
-    deriving it from ``state`` as well would reference the predecessor twice and
-    double the logical plan with every step.
+    its predecessor once, for the shares.  With hot sources it reads it once more
+    for theirs, so ``state`` should be a leaf then (``plans.job.iterate``
+    checkpoints every state).
     """
     share = shares(state)
     cold = contribution_sums(contributions(layout.cold_edges, share)).withColumnRenamed("s", "s_cold")
     joined = layout.nodes.join(cold.hint("shuffle_hash"), "id", "left")
     total = F.coalesce(F.col("s_cold"), F.lit(0.0))
     if layout.hot_edges is not None:
-        if hot_share is None:
-            hot_share = hot_shares(layout, state)
-        hot = contribution_sums(contributions(layout.hot_edges, F.broadcast(hot_share), hint=None)).withColumnRenamed(
+        hot = contribution_sums(contributions(layout.hot_edges, F.broadcast(hot_shares(layout, state)), hint=None)).withColumnRenamed(
             "s", "s_hot"
         )
         joined = joined.join(hot.hint("shuffle_hash"), "id", "left")

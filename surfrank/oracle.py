@@ -373,6 +373,8 @@ ON n.id = m.key"""
     out["rank_partitions"] = _multi_ranks_sql(
         [(2, "wp", "mapreduce", 5), (7, "wp", "mapreduce", 5)], alpha, "num_partitions"
     )
+    out["job_resumed"] = ranks_sql("wd", "mapreduce", 4, alpha)
+    out["rank_extractor"] = ranks_sql("wd", "mapreduce", 3, alpha)
     out["sink_ranked_tsv"] = ranks_sql("wd", "mapreduce", 4, alpha)
     out["sink_tuple_py"] = ranks_sql("wd", "rdd_py", 4, alpha)
     out["sink_tuple_jvm"] = ranks_sql("wh", "rdd_jvm", 4, alpha)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from surfrank.operators import graph as G
 from surfrank.operators.order import order_ranked
-from surfrank.operators.rank import RankConstants, RankLayout, hot_shares, initial_rank, rank_step
+from surfrank.operators.rank import RankConstants, RankLayout, initial_rank, rank_step
 from surfrank.plans.presets import Preset, get_preset
 from surfrank.session import checkpoint_dir, job_conf, scratch_path
 
@@ -199,32 +199,29 @@ def iterate(
 ) -> Iterator[tuple[int, DataFrame]]:
     """Yield (i, state_i) for i = 0..iterations.
 
-    Every state is cached, and each step reads its predecessor exactly once (the
-    hot sources' shares are checkpointed as a small leaf first), so plans grow
-    by one step per step, never by doubling.  Reliable checkpoints every
-    ``checkpoint_every`` steps cut the lineage; cached states older than the
-    last checkpoint are released.  ``start`` (id, outdeg, hot, rank) resumes
-    from given ranks; the default is 1/N everywhere.  ``on_state(i, state)``
-    runs while state i is cached (e.g. to write it out, I2).
+    Every state is cached.  Reliable checkpoints every ``checkpoint_every`` steps
+    cut the lineage; cached states older than the last checkpoint are released.
+    With hot sources a step reads its predecessor twice (regular and hot
+    shares), so there every state is checkpointed and plans don't double with
+    each step.  ``start`` (id, outdeg, hot, rank; a leaf) resumes from given
+    ranks; the default is 1/N everywhere.  ``on_state(i, state)`` runs while
+    state i is cached (e.g. to write it out, I2), from i = 0.
     """
     state = initial_rank(layout.nodes, consts) if start is None else start
+    if on_state is not None:
+        on_state(0, state)
     yield 0, state
     cached: list[DataFrame] = []
-    shallow = True  # the initial state and a checkpointed state are leaves already
+    if layout.hot_edges is not None:
+        checkpoint_every = 1
     for i in range(1, max(0, iterations) + 1):
-        hot_share = None
-        if layout.hot_edges is not None and not shallow:
-            # a few rows (<= hot_factor * P), written so the step reads its predecessor once
-            hot_share = hot_shares(layout, state).checkpoint(eager=True)
-        state = rank_step(layout, state, consts, hot_share).persist(storage)
-        shallow = False
+        state = rank_step(layout, state, consts).persist(storage)
         cached.append(state)
         if on_state is not None:
             on_state(i, state)
         last = i == iterations
         if (checkpoint_every and i % checkpoint_every == 0) or (last and checkpoint_last):
             state = state.checkpoint(eager=True)
-            shallow = True
             for df in cached:
                 df.unpersist()
             cached = []
@@ -262,6 +259,7 @@ def rank_pages(
     on_state: Callable[[int, DataFrame], None] | None = None,
     layout_sink: list | None = None,
     reliable_graph: bool = True,
+    extractor: G.Extractor | None = None,
 ) -> RankResult:
     """Rank every vertex of the page graph described by ``lines``.
 
@@ -270,12 +268,13 @@ def rank_pages(
     ``ranked()`` is a lazy, globally ordered DataFrame.  When ``trace`` is a
     list, (iteration, state) pairs are appended to it.  ``reliable_graph``
     also writes the node and edge tables to the checkpoint folder once, so a
-    lost executor never forces a re-parse of the input.
+    lost executor never forces a re-parse of the input.  ``extractor`` replaces
+    the preset's title and link rules: line column -> (title, array of links).
     """
     preset = get_preset(preset)
     spark = lines.sparkSession
     checkpoint_dir(spark)
-    parsed = G.parse_pages(lines, preset, column).persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = G.parse_pages(lines, preset, column, extractor).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = graph_stats(parsed, preset)
         if stats.n_lines == 0 and preset.on_empty == "error":
@@ -314,8 +313,14 @@ def resume_from_records(
     hot_factor: int = DEFAULT_HOT_FACTOR,
     hot_floor: int = DEFAULT_HOT_FLOOR,
     trace: list | None = None,
+    on_state: Callable[[int, DataFrame], None] | None = None,
+    layout_sink: list | None = None,
 ) -> RankResult:
-    """Continue a ranking from graph-state records (S2 -> I1).  N is a job parameter."""
+    """Continue a ranking from graph-state records (S2 -> I1).  N is a job parameter.
+
+    The graph and the start ranks are written to the checkpoint folder once, so
+    a lost executor never forces the records to be parsed again.
+    """
     from surfrank.sources.state import graph_from_records
 
     spark = records.sparkSession
@@ -325,11 +330,14 @@ def resume_from_records(
     p = _partitions(spark, num_partitions, n_links)
     with job_conf(spark, job_settings(p)):
         nodes_df, edges_df, ranks = graph_from_records(records)
-        layout = layout_from_graph(nodes_df, edges_df, n_lines, n_links, p, hot_factor, hot_floor)
-        start = layout.nodes.join(ranks, "id", "left")
-        consts = RankConstants.of(alpha, n_lines, alpha_precision)
-        state = _run(layout, consts, iterations, checkpoint_every, trace, start=start)
+        layout = layout_from_graph(nodes_df, edges_df, n_lines, n_links, p, hot_factor, hot_floor, reliable=True)
+        if layout_sink is not None:
+            layout_sink.append(layout)
+        # a target that no record has as its title starts without a rank
+        start = layout.nodes.join(ranks, "id", "left").checkpoint(eager=True)
         records.unpersist()
+        consts = RankConstants.of(alpha, n_lines, alpha_precision)
+        state = _run(layout, consts, iterations, checkpoint_every, trace, start=start, on_state=on_state)
     return RankResult(state, layout, n_lines)
 
 
@@ -349,7 +357,7 @@ def _refuse_existing(spark: SparkSession, paths: list[str]) -> None:
 
 def run_job(
     spark: SparkSession,
-    input_path: str | list[str],
+    input_path: str | list[str] | None,
     output_path: str,
     iterations: int,
     alpha: float | str = 0.15,
@@ -358,6 +366,8 @@ def run_job(
     checkpoint_every: int | None = 5,
     keep_state: bool = False,
     mode: str = "errorifexists",
+    resume_from: str | None = None,
+    extractor: G.Extractor | None = None,
 ) -> RankResult:
     """Whole job: text in, ranking out (I6-I8), with the output layout of each preset.
 
@@ -370,38 +380,53 @@ def run_job(
     With mode ``errorifexists`` every output path is looked at before the first
     Spark job, so a run that could not write its result does no work.  The tables
     written for the run are deleted when it ends, also when it fails.
+
+    ``resume_from`` names a kept folder (``.../parse`` or ``.../rank-<i>``, with
+    ``count`` beside it): the input is not read, ``iterations`` more steps follow, and
+    their folders go on from its number.  ``extractor``: see ``rank_pages``.
     """
     from surfrank.sources.sinks import write_ranked
-    from surfrank.sources.state import layout_records, write_state
-    from surfrank.sources.text import read_lines, write_count_value
+    from surfrank.sources.state import layout_records, read_state, write_state
+    from surfrank.sources.text import read_count, read_lines, write_count_value
 
     preset = get_preset(preset)
     base = output_path.rstrip("/")
     mr_layout = preset.name == "mapreduce"
     if keep_state and not mr_layout:
         raise ValueError("per-step state files belong to the mapreduce output layout")
-    outputs = [ranking_output(base, preset)] + ([f"{base}/count"] if mr_layout else [])
+    if resume_from is not None and not mr_layout:
+        raise ValueError("only the mapreduce layout has state folders to resume from")
+    first, own_count = 0, mr_layout
+    if resume_from is not None:
+        parent, folder = resume_from.rstrip("/").rsplit("/", 1)
+        first = int(folder.removeprefix("rank-")) + 1 if folder.startswith("rank-") else 0
+        own_count = parent != base  # a run that goes on in its own folder has its count already
+    outputs = [ranking_output(base, preset)] + ([f"{base}/count"] if own_count else [])
     if keep_state:
-        outputs += [f"{base}/parse"] + [f"{base}/rank-{i}" for i in range(iterations)]
+        outputs += [f"{base}/rank-{first + i}" for i in range(iterations)] + ([] if resume_from else [f"{base}/parse"])
     if mode in ("error", "errorifexists"):
         _refuse_existing(spark, outputs)
-    lines = read_lines(spark, input_path)
     layout_box: list[RankLayout] = []
 
     def keep(i: int, state: DataFrame) -> None:
-        # written while the state is cached; the layout exists once the loop runs
-        write_state(layout_records(state, layout_box[0]), f"{base}/rank-{i - 1}", mode)
+        # written while the state is cached, and the count before the steps, so a run that dies can be resumed
+        if i == 0 and own_count:
+            write_count_value(spark, layout_box[0].n_lines, f"{base}/count", mode)
+        if keep_state and (i > 0 or resume_from is None):
+            name = f"rank-{first + i - 1}" if i > 0 else "parse"
+            write_state(layout_records(state, layout_box[0]), f"{base}/{name}", mode)
 
-    trace: list | None = [] if keep_state else None
     try:
-        result = rank_pages(
-            lines, iterations, alpha, preset, num_partitions, checkpoint_every,
-            trace=trace, on_state=keep if keep_state else None, layout_sink=layout_box,
-        )
-        if mr_layout:
-            write_count_value(spark, result.n_lines, f"{base}/count", mode)
-            if keep_state:
-                write_state(layout_records(trace[0][1], result.layout), f"{base}/parse", mode)
+        if resume_from is not None:
+            result = resume_from_records(
+                read_state(spark, resume_from), int(read_count(spark, f"{parent}/count").first()["n_lines"]), iterations, alpha,
+                preset.alpha_precision, num_partitions, checkpoint_every, on_state=keep, layout_sink=layout_box,
+            )
+        else:
+            result = rank_pages(
+                read_lines(spark, input_path), iterations, alpha, preset, num_partitions, checkpoint_every,
+                on_state=keep, layout_sink=layout_box, extractor=extractor,
+            )
         write_ranked(result.ranked(), ranking_output(base, preset), preset.output_format, mode)
     finally:
         for layout in layout_box:

@@ -95,6 +95,21 @@ def test_run_job_mapreduce_layout(spark, lines_df, scratch):
     assert len(pairs) == 7 and pairs == sorted(pairs, key=lambda p: (-p[1], p[0]))
 
 
+def test_run_job_goes_on_from_a_kept_folder(spark, lines_df, scratch):
+    src, whole, kept, other = scratch(), scratch(), scratch(), scratch()
+    TX.write_lines(lines_df(DIRTY), src)
+    run_job(spark, src, whole, 4, 0.15, "mapreduce")
+    run_job(spark, src, kept, 1, 0.15, "mapreduce", keep_state=True)
+    run_job(spark, None, other, 3, 0.15, "mapreduce", keep_state=True, resume_from=f"{kept}/rank-0")
+    assert sorted(d for d in os.listdir(other) if "." not in d) == ["count", "rank-1", "rank-2", "rank-3", "sort"]
+    ranks = lambda out: {t: float(r) for t, r in (line.split("\t") for line in read_parts(f"{out}/sort"))}
+    assert ranks(other) == pytest.approx(ranks(whole)) and read_parts(f"{other}/count") == read_parts(f"{whole}/count")
+    with pytest.raises(FileExistsError):
+        run_job(spark, None, kept, 1, 0.15, "mapreduce", keep_state=True, resume_from=f"{kept}/parse")
+    with pytest.raises(ValueError):
+        run_job(spark, None, scratch(), 1, 0.15, "rdd_py", resume_from=f"{kept}/rank-0")
+
+
 def test_run_job_refuses_existing_output_before_any_work(spark, lines_df, scratch):
     out = scratch()
     TX.write_lines(lines_df(["x"]), f"{out}/sort")
