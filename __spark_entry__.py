@@ -22,6 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from surfrank import fixtures as X  # noqa: E402
 from surfrank import oracle as O  # noqa: E402
 from surfrank.functions import extract as E  # noqa: E402
+from surfrank.functions import render as R  # noqa: E402
 from surfrank.operators import graph as G  # noqa: E402
 from surfrank.operators import rank as K  # noqa: E402
 from surfrank.operators.order import order_ranked, with_position  # noqa: E402
@@ -361,6 +362,28 @@ def q_sink_tuple_jvm(spark, sf):
     return _sink_roundtrip(spark, sf, "wh", "rdd_jvm", 4, "tuple_jvm")
 
 
+def q_sink_ranked_order(spark, sf):
+    """The order of lines in the sinks: files by name, lines as they stand (O3), in each form."""
+    ranked = order_ranked(_ranks_out(_rank(spark, sf, "wd", "mapreduce", 4)))
+    out = None
+    for fmt in SK.FORMATS:
+        path = scratch_path(spark, f"order-{fmt}")
+        SK.write_ranked(ranked, path, fmt)
+        meta = F.col("_metadata")
+        lines = spark.read.text(path).select(
+            "value", meta["file_name"].alias("f"), meta["file_block_start"].alias("b"), F.monotonically_increasing_id().alias("m")
+        )
+        placed = with_position(lines.orderBy("f", "b", "m"))
+        parsed = {"tsv": R.parse_tsv, "tuple_jvm": R.parse_tuple_jvm}
+        if fmt in parsed:
+            df = placed.select("pos", *parsed[fmt]("value"))
+        else:
+            df = placed.select("pos", R.parse_tuple_py(F.col("value")).alias("p")).select("pos", "p.title", "p.rank")
+        df = df.select(F.lit(fmt).alias("form"), "pos", "title", _r("rank").alias("rank"))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
 JOB_RUNS = O.JOB_RUNS
 
 
@@ -458,6 +481,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_rdd_jvm": q_job_rdd_jvm,
     "job_rdd_py": q_job_rdd_py,
     "rank_10_hot_sources": q_rank_10_hot_sources,
+    "sink_ranked_order": q_sink_ranked_order,
     "job_resumed": q_job_resumed,
     "rank_extractor": q_rank_extractor,
 }

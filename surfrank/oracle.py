@@ -373,6 +373,9 @@ ON n.id = m.key"""
     out["rank_partitions"] = _multi_ranks_sql(
         [(2, "wp", "mapreduce", 5), (7, "wp", "mapreduce", 5)], alpha, "num_partitions"
     )
+    wd_ranks = ranks_sql("wd", "mapreduce", 4, alpha)
+    out["sink_ranked_order"] = f"""SELECT form, row_number() OVER (PARTITION BY form ORDER BY rank DESC, title) AS pos, title, rank
+FROM ({wd_ranks}) CROSS JOIN (SELECT unnest(['tsv', 'tuple_jvm', 'tuple_py']) AS form)"""
     out["job_resumed"] = ranks_sql("wd", "mapreduce", 4, alpha)
     out["rank_extractor"] = ranks_sql("wd", "mapreduce", 3, alpha)
     out["sink_ranked_tsv"] = ranks_sql("wd", "mapreduce", 4, alpha)
