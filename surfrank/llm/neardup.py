@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from surfrank.llm.graph import components
-from surfrank.llm.tables import bucketed, settled, table, written
+from surfrank.llm.tables import bucketed, likely, settled, table, written
 from surfrank.llm.text import shingles, words_of
 
 K = 48
@@ -270,9 +270,9 @@ class NearDuplicates:
         return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
 
     def _texts(self, wanted: DataFrame) -> str:
-        """Texts of the classes that lists have, in buckets: they are shuffled this once."""
-        wanted = wanted.distinct().withColumnRenamed("node", "doc_id")
-        return bucketed(self.texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "doc_id", "texts")
+        """Texts of the classes that lists have, in buckets: they, and hardly any others, are shuffled this once."""
+        wanted = settled(wanted.distinct().withColumnRenamed("node", "doc_id"))
+        return bucketed(likely(self.texts, wanted, "doc_id").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "doc_id", "texts")
 
     def _passing(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """The pairs that the union's sketch lets pass, with the estimate ``share``."""

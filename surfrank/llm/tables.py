@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from surfrank.session import checkpoint_dir, scratch_path
 
+#: Bits of the filter in ``likely``; it is broadcast as at most one row of two longs for every 64.
+FILTER_BITS = 1 << 24
+
 
 def settled(df: DataFrame) -> DataFrame:
     """``df`` kept by a reliable checkpoint: its lineage ends in files that all executors share."""
@@ -33,5 +37,18 @@ def bucketed(df: DataFrame, key: str, name: str) -> str:
     return entry
 
 
+def likely(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` may be among ``keys``: each that is, and few others while the keys are far fewer than FILTER_BITS.
+
+    A filter before a shuffle join, which still decides.  The broadcast has one
+    bit for the hash of a key, so its size is bounded whatever the number of
+    keys; with more keys than bits it just lets most rows pass.
+    """
+    slot = f"pmod(xxhash64({key}), {FILTER_BITS}L)"
+    word, bit = F.expr(f"shiftright({slot}, 6)"), F.expr(f"shiftleft(1L, CAST({slot} & 63L AS INT))")
+    bits = keys.select(word.alias("filter_word"), bit.alias("bit")).groupBy("filter_word").agg(F.bit_or("bit").alias("filter_bits"))
+    return rows.join(F.broadcast(bits), (word == F.col("filter_word")) & (bit.bitwiseAND(F.col("filter_bits")) != 0), "left_semi")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

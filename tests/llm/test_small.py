@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from surfrank.llm import chat, decontaminate, extract_html, langid, mixing, neardup, substring, topk, toxicity, warc
+from surfrank.llm import chat, decontaminate, extract_html, langid, mixing, neardup, substring, tables, topk, toxicity, warc
 from surfrank.session import scratch_path
 
 RNG = random.Random(5)
@@ -84,6 +84,17 @@ def test_near_duplicates_against_brute_force(docs, no_docs, monkeypatch):
     assert neardup.near_duplicates(no_docs).count() == 0
 
 
+def test_filter_before_a_join_loses_no_row(spark, monkeypatch):
+    rows = spark.range(-500, 500).withColumnRenamed("id", "doc_id")
+    keys = rows.where("doc_id % 7 = 0")
+    want = {r.doc_id for r in keys.collect()}
+    for bits in (1 << 24, 128):
+        monkeypatch.setattr(tables, "FILTER_BITS", bits)
+        got = {r.doc_id for r in tables.likely(rows, keys, "doc_id").collect()}
+        assert want <= got and (len(got) < 150 or bits == 128)
+    assert tables.likely(rows, keys.limit(0), "doc_id").count() == 0
+
+
 def test_intersections_in_cells():
     sets = [np.unique(np.array([RNG.randrange(60) for _ in range(RNG.randint(0, 40))], dtype=np.uint64)) for _ in range(30)]
     got = neardup._common(sets[:12], sets[12:])
