@@ -70,6 +70,14 @@ def _ranks_out(result, title="title"):
     return out
 
 
+def _settled(df, result):
+    """``df`` written to the shared folder and read back, so that the layout it was made from can be released."""
+    path = scratch_path(df.sparkSession, "result")
+    df.write.parquet(path)
+    result.layout.release()
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _graph(spark, sf, fx, preset):
     """pages, edges, nodes and N of a fixture, straight from the graph operators."""
     p = get_preset(preset)
@@ -226,13 +234,13 @@ def q_zero_mass(spark, sf):
 def q_contributions(spark, sf):
     res = _rank(spark, sf, "wp", "mapreduce", 0)
     flows = K.join_sources(res.layout, K.shares(res.state))
-    return flows.select("src", "dst", _q(F.col("mult") * F.col("share")).alias("c"))
+    return _settled(flows.select("src", "dst", _q(F.col("mult") * F.col("share")).alias("c")), res)
 
 
 def q_adjacency_with_rank(spark, sf):
     res = _rank(spark, sf, "wp", "mapreduce", 0)
     ranks = res.state.select(F.col("id").alias("src"), "rank")
-    return K.join_sources(res.layout, ranks).select("src", "dst", "mult", _r("rank").alias("rank"))
+    return _settled(K.join_sources(res.layout, ranks).select("src", "dst", "mult", _r("rank").alias("rank")), res)
 
 
 def q_rank_sum(spark, sf):
@@ -240,7 +248,7 @@ def q_rank_sum(spark, sf):
     flows = K.join_sources(res.layout, K.shares(res.state))
     contrib = flows.select("dst", (F.col("mult") * F.col("share")).alias("c"))
     sums = K.contribution_sums_with_zero(contrib, res.layout.nodes)
-    return sums.select("id", _r("s").alias("s"))
+    return _settled(sums.select("id", _r("s").alias("s")), res)
 
 
 def q_rank_step(spark, sf):
@@ -268,21 +276,23 @@ def _records_out(records):
 
 
 def q_initial_state(spark, sf):
-    records, _ = _records(spark, sf, "wp", "mapreduce", 0)
-    return _records_out(records)
+    records, res = _records(spark, sf, "wp", "mapreduce", 0)
+    return _settled(_records_out(records), res)
 
 
 def q_state_lines(spark, sf):
-    records, _ = _records(spark, sf, "wd", "mapreduce", 0)
+    records, res = _records(spark, sf, "wd", "mapreduce", 0)
     path = scratch_path(spark, "state")
     ST.write_state(records, path)
+    res.layout.release()
     return _records_out(ST.read_state(spark, path))
 
 
 def q_ranks_from_state(spark, sf):
-    records, _ = _records(spark, sf, "wd", "mapreduce", 1)
+    records, res = _records(spark, sf, "wd", "mapreduce", 1)
     path = scratch_path(spark, "state")
     ST.write_state(records, path)
+    res.layout.release()
     return ST.ranks_from_records(ST.read_state(spark, path)).select("title", _r("rank").alias("rank"))
 
 
@@ -290,6 +300,7 @@ def q_state_roundtrip(spark, sf):
     records, res = _records(spark, sf, "wd", "mapreduce", 2)
     path = scratch_path(spark, "state")
     ST.write_state(records, path)
+    res.layout.release()
     resumed = resume_from_records(ST.read_state(spark, path), res.n_lines, 2, ALPHA)
     return _ranks_out(resumed)
 
@@ -297,7 +308,7 @@ def q_state_roundtrip(spark, sf):
 def q_rank_messages(spark, sf):
     res = _rank(spark, sf, "wd", "mapreduce", 0)
     _, msgs = ST.split_tagged(ST.tagged_state(res.state, res.layout))
-    return msgs.groupBy("key", _r("pageRank").alias("share")).agg(F.sum("n").alias("n"))
+    return _settled(msgs.groupBy("key", _r("pageRank").alias("share")).agg(F.sum("n").alias("n")), res)
 
 
 def q_split_state(spark, sf):
@@ -305,12 +316,13 @@ def q_split_state(spark, sf):
     structure, msgs = ST.split_tagged(ST.tagged_state(res.state, res.layout))
     s = structure.groupBy("key").agg(F.count(F.lit(1)).alias("n_structure"))
     m = msgs.groupBy("key").agg(F.sum("n").alias("n_messages"), F.sum(F.col("n") * F.col("pageRank")).alias("msg_sum"))
-    return s.join(m, "key", "full").select(
+    both = s.join(m, "key", "full").select(
         "key",
         F.coalesce("n_structure", F.lit(0)).alias("n_structure"),
         F.coalesce("n_messages", F.lit(0)).alias("n_messages"),
         _q(F.coalesce("msg_sum", F.lit(0.0))).alias("msg_sum"),
     )
+    return _settled(both, res)
 
 
 # ---------------------------------------------------------------- loop, order, sinks
@@ -325,13 +337,14 @@ def q_ranked(spark, sf):
 
 
 def q_rank_trace(spark, sf):
-    trace = []
-    _rank(spark, sf, "wp", "mapreduce", 3, trace=trace)
-    out = None
-    for i, st in trace:
-        df = st.select(F.lit(i).cast("long").alias("iteration"), "id", _r("rank").alias("rank"))
-        out = df if out is None else out.unionByName(df)
-    return out
+    # each state is written while it is cached, so no step runs again for the trace
+    path = scratch_path(spark, "trace")
+
+    def keep(i, state):
+        state.select(F.lit(i).cast("long").alias("iteration"), "id", _r("rank").alias("rank")).write.mode("append").parquet(path)
+
+    _rank(spark, sf, "wp", "mapreduce", 3, on_state=keep).layout.release()
+    return spark.read.parquet(path)
 
 
 def q_rank_partitions(spark, sf):
@@ -347,6 +360,7 @@ def _sink_roundtrip(spark, sf, fx, preset, iterations, fmt):
     res = _rank(spark, sf, fx, preset, iterations)
     path = scratch_path(spark, f"ranking-{fmt}")
     SK.write_ranked(res.ranked(), path, fmt)
+    res.layout.release()
     return SK.read_ranked(spark, path, fmt).select("title", _r("rank").alias("rank"))
 
 
