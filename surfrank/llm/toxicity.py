@@ -3,14 +3,17 @@
 Examples are a bounded sample of the labelled rows (about ``sample_rows`` of each
 class, chosen by a hash of the id; counts of the classes are over all labelled
 rows).  Terms are words and runs of four letters within words, lower-cased;
-the ``n_terms`` whose chi-squared statistic against the label is highest make
-the vocabulary.  A text's vector has (1 + ln tf) * idf for each, scaled to length 1.
-
-The examples are held in an inverted index: for each term its weights by
-example, cut into blocks of ``BLOCK`` examples, with each block's largest weight.  For a
-text, the bound of a block is the sum of its terms' weights times these
-maxima; blocks are scored in order of bound until it falls below the k-th
-cosine, so the ``k`` nearest are exact.  They vote with 1 / (0.05 + distance),
+the vocabulary is every term that an example has (a term of no example is no
+part of the space).  The document frequency of each is counted over all
+documents.  A text's vector has (1 + ln tf) * ln(1 + documents / frequency) for
+each term, scaled to length 1.
+
+The examples are held as postings: for each term its examples and their weights.
+Terms that many examples have are also rows of a matrix in single precision, so
+that a few texts at a time meet all examples by one product; the other terms
+are added from their postings.  Every example within a margin of the k-th
+cosine, wider than the error of these sums, is then scored again in double precision, so
+the ``k`` nearest are exact.  They vote with 1 / (0.05 + distance),
 weighed so that classes count as often as among all labelled rows; a monotone
 calibration, fitted on the examples' votes without themselves, makes
 a score of the vote.  Texts that share no term with any example, empty and
@@ -26,10 +29,9 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,11 +40,12 @@ from pyspark.sql import functions as F
 from surfrank.llm.tables import table, written
 
 SAMPLE_ROWS = 2048
-N_TERMS = 512
-MIN_ROWS = 4
 NEIGHBOURS = 15
-BLOCK = 128
 GRAM = 4
+#: Terms that more than one of so many examples have are rows of the matrix.
+DENSE = 16
+#: Texts scored by one product.
+TEXTS = 64
 _BREAK = re.compile(r"[\W\d_]+")
 
 
@@ -56,67 +59,175 @@ def terms_of(text: str | None) -> set[str]:
     return {f" {w} " for w in words} | {w[i : i + GRAM] for w in words for i in range(len(w) - GRAM + 1)}
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sums = Counter(), Counter()
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            sums[label].update(terms_of(text))
-        terms = sorted(set(sums[0]) | set(sums[1]))
-        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *(pa.array([s[t] for t in terms], pa.int64()) for s in sums)], names=["term", "clean", "toxic"])
+        terms = sorted(set().union(*map(terms_of, batch.column("text").to_pylist())))
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string())], names=["term"])
+
+
+def _letters() -> np.ndarray:
+    """By code point, whether it is part of a word."""
+    out = np.ones(0x110000, dtype=bool)
+    for m in _BREAK.finditer("".join(map(chr, range(0x110000)))):
+        out[m.start() : m.end()] = False
+    return out
 
 
 class Vocabulary:
-    """Counts of the chosen terms in a text, by one pass of an automaton."""
-
-    def __init__(self, idf: dict[str, float]):
-        self.terms = sorted(idf)
-        self.idf = np.array([idf[t] for t in self.terms])
-        self.automaton = ahocorasick.Automaton()
-        for k, t in enumerate(self.terms):
-            self.automaton.add_word(t, k)
-        if self.terms:
-            self.automaton.make_automaton()
-
-    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and counts of the known terms in a text.
+
+    Runs of letters are looked up as arrays: each letter that the terms have gets a
+    number below 2**16, so four of them make a whole key, found in an open hash table.
+    """
+
+    def __init__(self, terms: list[str]):
+        self.terms = terms
+        self.word = {t[1:-1]: k for k, t in enumerate(terms) if t[0] == " "}
+        self.letters: np.ndarray | None = None  # made where it is first needed
+
+    def __reduce__(self):
+        return Vocabulary, (self.terms,)
+
+    def _arrange(self) -> None:
+        self.letters = _letters()
+        grams = [(t, k) for k, t in enumerate(self.terms) if t[0] != " "]
+        points = np.frombuffer("".join(t for t, _ in grams).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        used = np.unique(points)
+        if len(used) >= 1 << 16:
+            raise ValueError("more than 65535 letters in the examples' terms")
+        self.code = np.zeros(0x110000, dtype=np.uint64)  # 0: in no term
+        self.code[used] = np.arange(1, len(used) + 1)
+        keys = self._keys(self.code[points])[::GRAM] if grams else np.zeros(0, dtype=np.uint64)
+        self.bits = max(10, int(4 * len(keys)).bit_length())
+        self.slots, self.found = np.zeros(1 << self.bits, dtype=np.uint64), np.full(1 << self.bits, -1, dtype=np.int64)
+        left, at = np.arange(len(keys)), self._slot(keys)
+        while len(left):  # each round, one key takes a free slot and the others go on to the next
+            free = left[self.slots[at[left]] == 0]
+            self.slots[at[free]] = keys[free]
+            self.found[at[free]] = np.array([grams[k][1] for k in free.tolist()], dtype=np.int64)
+            left = left[self.slots[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+
+    @staticmethod
+    def _keys(code: np.ndarray) -> np.ndarray:
+        out = code[: len(code) - GRAM + 1].copy()
+        for k in range(1, GRAM):
+            out = out << np.uint64(16) | code[k : len(code) - GRAM + 1 + k]
+        return out
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _grams(self, code: np.ndarray) -> np.ndarray:
+        """Term numbers of the runs of letters; ``code`` is 0 between words and for letters in no term."""
+        if len(code) < GRAM:
+            return np.zeros(0, dtype=np.int64)
+        whole = code != 0
+        keys = self._keys(code)[whole[:-3] & whole[1:-2] & whole[2:-1] & whole[3:]]
+        at, out, left = self._slot(keys), [], keys
+        while len(left):
+            there = self.slots[at]
+            out.append(self.found[at[there == left]])
+            on = (there != left) & (there != 0)
+            left, at = left[on], (at[on] + 1) & ((1 << self.bits) - 1)
+        return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(term numbers, counts), in order of the numbers."""
+        if self.letters is None:
+            self._arrange()
+        points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        points = np.where(self.letters[points], points, np.uint32(32)).astype("<u4")
+        words = points.tobytes().decode("utf-32-le", "surrogatepass").split()
+        at = np.fromiter(map(self.word.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        at, counts = np.unique(np.concatenate([at[at >= 0], self._grams(self.code[points])]), return_counts=True)
+        return at, counts.astype(np.float64)
+
+    def vector(self, text: str | None, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(term numbers, weights) of length 1; empty if the text has none of the terms."""
-        counts = Counter(k for _, k in self.automaton.iter(_spaced(text))) if text and self.terms else {}
-        if not counts:
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        at = np.array(sorted(counts), dtype=np.int64)
-        w = (1 + np.log([counts[k] for k in at.tolist()])) * self.idf[at]
+        at, counts = self.counts(text)
+        if len(at) == 0:
+            return at, counts
+        w = (1 + np.log(counts)) * idf[at]
         return at, w / math.sqrt(float(w @ w))
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, one range after the other."""
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
+
+
 class Index:
-    """Block-max inverted index of the examples, in order of doc_id."""
+    """The examples' vectors by example and by term, in order of doc_id."""
 
     def __init__(self, n_terms: int, ids: list[int], labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]]):
-        self.ids, self.labels = np.array(ids, dtype=np.int64), np.array(labels, dtype=np.int64)
-        self.weights = np.zeros((n_terms, -(-len(ids) // BLOCK) * BLOCK), dtype=np.float64)
-        for k, (at, w) in enumerate(vectors):
-            self.weights[at, k] = w
-        self.maxima = self.weights.reshape(n_terms, -1, BLOCK).max(axis=2) if len(ids) else np.zeros((n_terms, 0))
+        self.n_terms, self.ids, self.labels = n_terms, np.array(ids, dtype=np.int64), np.array(labels, dtype=np.int64)
+        self.size = np.array([len(at) for at, _ in vectors], dtype=np.int64)
+        self.at = np.concatenate([np.zeros(0, dtype=np.int32), *(at.astype(np.int32, copy=False) for at, _ in vectors)])
+        self.w = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
+        self.matrix: np.ndarray | None = None  # made where it is first needed
+
+    def _arrange(self) -> None:
+        self.start = np.cumsum(self.size) - self.size
+        who = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.size)
+        order = np.argsort(self.at, kind="stable")
+        self.had = np.bincount(self.at, minlength=self.n_terms)
+        self.first = np.cumsum(self.had) - self.had
+        self.who, self.by_term = who[order], self.w[order]
+        common = np.flatnonzero(self.had * DENSE > len(self.ids))
+        self.row = np.full(self.n_terms, -1, dtype=np.int64)
+        self.row[common] = np.arange(len(common))
+        self.query = np.zeros(self.n_terms)
+        self.matrix = np.zeros((len(common), len(self.ids)), dtype=np.float32)
+        dense = self.row[self.at] >= 0
+        self.matrix[self.row[self.at[dense]], who[dense]] = self.w[dense]
+
+    def __getstate__(self):
+        return {k: getattr(self, k) for k in ("n_terms", "ids", "labels", "size", "at", "w")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state, matrix=None)
+
+    @property
+    def weights(self) -> np.ndarray:
+        """All weights, term by example; for small indexes."""
+        out = np.zeros((self.n_terms, len(self.ids)))
+        out[self.at, np.repeat(np.arange(len(self.ids)), self.size)] = self.w
+        return out
 
     def nearest(self, at: np.ndarray, w: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k highest cosines above 0, ties to the smaller example."""
-        if len(at) == 0 or self.maxima.shape[1] == 0:
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        bounds = w @ self.maxima[at]
-        found, scores, least = [], [], 0.0
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or bounds[b] < least - 1e-12:
-                break
-            s = w @ self.weights[at, b * BLOCK : (b + 1) * BLOCK]
-            hit = np.flatnonzero((s > 0) & (s >= least - 1e-12))
-            found.append(hit + b * BLOCK)
-            scores.append(s[hit])
-            if sum(map(len, scores)) > k:
-                every = np.concatenate(scores)
-                least = float(np.partition(every, len(every) - k - 1)[-k - 1])  # one more, as ``without`` may be among them
-        if not found:
+        return next(self.nearest_of([(at, w)], k, [without]))
+
+    def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if self.matrix is None:
+            self._arrange()
+        for b in range(0, len(vectors), TEXTS):
+            some = vectors[b : b + TEXTS]
+            q = np.zeros((len(some), len(self.matrix)), dtype=np.float32)
+            for i, (at, w) in enumerate(some):
+                row = self.row[at]
+                q[i, row[row >= 0]] = w[row >= 0]
+            for i, s in enumerate(q @ self.matrix):
+                yield self._best(*some[i], s, k, without[b + i] if without else -1)
+
+    def _best(self, at: np.ndarray, w: np.ndarray, s: np.ndarray, k: int, without: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best, from the cosines' part by common terms."""
+        rare = self.row[at] < 0
+        had = self.had[at[rare]]
+        posts = _ranges(self.first[at[rare]], had)
+        s = s + np.bincount(self.who[posts], weights=self.by_term[posts] * np.repeat(w[rare], had), minlength=len(s))
+        if 0 <= without < len(s):
+            s[without] = 0.0
+        margin = (len(self.matrix) + 4) * 2.0**-22  # twice the error of two such sums
+        least = np.partition(s, len(s) - k)[-k] - margin if len(s) > k else 0.0
+        who = np.flatnonzero((s > 0) & (s >= least))
+        if len(who) == 0:
             return np.zeros(0, dtype=np.int64), np.zeros(0)
-        who, s = np.concatenate(found), np.round(np.concatenate(scores), 12)
-        who, s = who[who != without], s[who != without]
+        self.query[at] = w
+        posts = _ranges(self.start[who], self.size[who])
+        s = np.round(np.add.reduceat(self.query[self.at[posts]] * self.w[posts], np.cumsum(self.size[who]) - self.size[who]), 12)
+        self.query[at] = 0.0
         best = np.lexsort((who, -s))[:k]
         return who[best], s[best]
 
@@ -144,17 +255,17 @@ def isotonic(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tupl
 
 
 class Model:
-    """What scoring needs; its size is bounded by the sample and the vocabulary."""
+    """What scoring needs; its size is bounded by the sample's texts."""
 
-    def __init__(self, vocabulary: Vocabulary, index: Index, shares: np.ndarray, k: int):
-        self.idf = dict(zip(vocabulary.terms, vocabulary.idf.tolist()))
-        self.index, self.shares, self.k = index, shares, k
+    def __init__(self, context, vocabulary: Vocabulary, idf: np.ndarray, index: Index, shares: np.ndarray, k: int):
+        self.vocabulary, self.idf, self.index, self.shares, self.k = vocabulary, idf, index, shares, k
+        self.known = context.broadcast((vocabulary, idf, index))
         self.x, self.y, self.none = np.zeros(0), np.zeros(0), 0.0
 
-    def score(self, vote: float) -> float:
-        if vote < 0 or len(self.x) == 0:
-            return self.none
-        return float(np.interp(vote, self.x, self.y))
+    def scorer(self):
+        """The score of a vote; it holds the calibration only."""
+        x, y, none = self.x, self.y, self.none
+        return lambda vote: none if vote < 0 or len(x) == 0 else float(np.interp(vote, x, y))
 
 
 def labelled_rows(labels: DataFrame) -> DataFrame:
@@ -167,24 +278,52 @@ def held_out() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
-def _vectors(idf: dict[str, float]):
+def _vectors(known, idf):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(idf)
         for batch in batches:
-            at, w = zip(*(vocabulary.vector(x) for x in batch.column("text").to_pylist())) if batch.num_rows else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), pa.array([x.tolist() for x in at], pa.list_(pa.int64())), pa.array([x.tolist() for x in w], pa.list_(pa.float64()))], names=["doc_id", "toxic", "at", "w"]
-            )
+            got = [known.value.vector(x, idf.value) for x in batch.column("text").to_pylist()]
+            parts = [pa.array([x.astype(kind).tobytes() for x in column], pa.binary()) for column, kind in ((([g[0] for g in got]), "<i4"), (([g[1] for g in got]), "<f8"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *parts], names=["doc_id", "toxic", "at", "w"])
 
     return run
 
 
-def learn(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, n_terms: int = N_TERMS, k: int = NEIGHBOURS) -> Model:
+def _frequencies(known):
+    """A row for each known term in a partition, with the number of its texts; term -1 has the number of all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, sums = 0, np.zeros(len(known.value.terms), dtype=np.int64)
+        for batch in batches:
+            n += batch.num_rows
+            for text in batch.column("text").to_pylist():
+                sums[known.value.counts(text)[0]] += 1
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(sums[at], n))], names=["term", "n"])
+
+    return run
+
+
+def _votes(known, shares: np.ndarray, k: int):
+    """The vote of each example without itself."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index: Index = known.value[2]
+        start = np.cumsum(index.size) - index.size
+        for batch in batches:
+            which = np.searchsorted(index.ids, batch.column("doc_id").to_numpy()).tolist()
+            vectors = [(index.at[start[i] : start[i] + index.size[i]], index.w[start[i] : start[i] + index.size[i]]) for i in which]
+            votes = [index.vote(who, s, shares) for who, s in index.nearest_of(vectors, k, which)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(votes, pa.float64())], names=["doc_id", "vote"])
+
+    return run
+
+
+def learn(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, k: int = NEIGHBOURS) -> Model:
     rows = labelled_rows(labels)
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # bounded by two classes
     total = sum(n.values())
     if len(n) < 2:
-        model = Model(Vocabulary({}), Index(0, [], [], []), np.ones(2), k)
+        model = Model(documents.sparkSession.sparkContext, Vocabulary([]), np.zeros(0), Index(0, [], [], []), np.ones(2), k)
         model.none = n.get(1, 0) / total if total else 0.0
         return model
     u = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
@@ -195,20 +334,23 @@ def learn(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     size = {0: 0, 1: 0} | {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # bounded by two classes
     shares = np.array([n[c] / max(size[c], 1) for c in (0, 1)])
 
-    counts = sample.select("text", "toxic").mapInArrow(_count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("b"), F.sum("toxic").alias("a"))
-    pos, neg = float(max(size[1], 1)), float(max(size[0], 1))
-    a, b, every = F.col("a"), F.col("b"), pos + neg
-    gap = a * neg - b * pos
-    chi = gap * gap * every / ((a + b) * (F.lit(every) - a - b + 0.5) * pos * neg)
-    best = counts.where(a + b >= MIN_ROWS).select("term", (a + b).alias("df"), chi.alias("chi")).orderBy(F.desc("chi"), "term").limit(n_terms).collect()  # bounded by n_terms
-    vocabulary = Vocabulary({r["term"]: math.log(1 + every / r["df"]) for r in best})
-
-    examples = sorted(sample.mapInArrow(_vectors(dict(zip(vocabulary.terms, vocabulary.idf.tolist()))), "doc_id long, toxic int, at array<long>, w array<double>").collect(), key=lambda r: r["doc_id"])  # bounded by sample_rows
-    vectors = [(np.array(r["at"], dtype=np.int64), np.array(r["w"])) for r in examples]
-    index = Index(len(vocabulary.terms), [r["doc_id"] for r in examples], [r["toxic"] for r in examples], vectors)
-    model = Model(vocabulary, index, shares, k)
-    votes = np.array([index.vote(*index.nearest(at, w, k, without=i), shares) for i, (at, w) in enumerate(vectors)])
-    weight = shares[index.labels] if len(examples) else np.zeros(0)
+    terms = sorted(sample.select("text").mapInArrow(_terms, "term string").distinct().toArrow().column("term").to_pylist())  # bounded by the sample's texts
+    vocabulary, context = Vocabulary(terms), documents.sparkSession.sparkContext
+    known = context.broadcast(vocabulary)
+    found = texts.select("text").mapInArrow(_frequencies(known), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    found = found.toArrow()  # bounded by the sample's terms
+    n_of = np.ones(len(terms) + 1)  # the last, at -1, has the number of all texts
+    n_of[found.column("term").to_numpy()] = found.column("n").to_numpy()
+    idf = np.log1p(n_of[-1] / n_of[:-1])
+
+    examples = sample.mapInArrow(_vectors(known, context.broadcast(idf)), "doc_id long, toxic int, at binary, w binary").toArrow().sort_by("doc_id")  # bounded by the sample's texts
+    vectors = [(np.frombuffer(at.as_py(), dtype="<i4"), np.frombuffer(w.as_py(), dtype="<f8")) for at, w in zip(examples.column("at"), examples.column("w"))]
+    index = Index(len(terms), examples.column("doc_id").to_pylist(), examples.column("toxic").to_pylist(), vectors)
+    del examples, vectors, found, n_of
+    model = Model(context, vocabulary, idf, index, shares, k)
+    voted = sample.select("doc_id").mapInArrow(_votes(model.known, shares, k), "doc_id long, vote double").toArrow().sort_by("doc_id")  # bounded by sample_rows
+    votes = voted.column("vote").to_numpy()
+    weight = shares[index.labels] if len(index.ids) else np.zeros(0)
     some = votes >= 0
     if some.any():
         model.x, model.y = isotonic(votes[some], index.labels[some].astype(float), weight[some])
@@ -222,17 +364,15 @@ EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, score and evidence (the nearest examples) of each row; only text is looked at."""
-    known = documents.sparkSession.sparkContext.broadcast(model)
+    known, shares, k, score = model.known, model.shares, model.k, model.scorer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = known.value
-        vocabulary = Vocabulary(m.idf)
+        vocabulary, idf, index = known.value
         for batch in batches:
             scores, evidence = [], []
-            for text in batch.column("text").to_pylist():
-                who, s = m.index.nearest(*vocabulary.vector(text), m.k)
-                scores.append(m.score(m.index.vote(who, s, m.shares)))
-                evidence.append([{"doc_id": int(m.index.ids[i]), "toxic": int(m.index.labels[i]), "cosine": float(c)} for i, c in zip(who, s)])
+            for who, s in index.nearest_of([vocabulary.vector(x, idf) for x in batch.column("text").to_pylist()], k):
+                scores.append(score(index.vote(who, s, shares)))
+                evidence.append([{"doc_id": int(index.ids[i]), "toxic": int(index.labels[i]), "cosine": float(c)} for i, c in zip(who, s)])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(evidence, EVIDENCE)], names=["doc_id", "score", "evidence"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

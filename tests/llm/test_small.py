@@ -254,6 +254,30 @@ def test_nearest_is_exact():
         assert index.nearest(at, w, 9)[0].tolist() == want
 
 
+def test_toxicity_uses_every_term(spark):
+    words = [f"{a}{b}{c}" for a in ("bel", "dor", "fim", "gus", "hak", "jin", "kol", "lum", "mer", "nop") for b in "aeiou" for c in ("rt", "st", "nd", "lk", "mp", "sk", "ng", "ft", "x", "zz")]
+    rows = [(k, " ".join(words[5 * (k // 2) % 490 : 5 * (k // 2) % 490 + 9]) + " gap ") for k in range(120)] + [(900 + k, "gap") for k in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.learn(table, spark.createDataFrame([(k, int(k % 4 < 2)) for k in range(120)], "doc_id long, toxic int"))
+    examples = dict(rows)
+    terms = set().union(*(toxicity.terms_of(examples[i]) for i in model.index.ids.tolist()))
+    assert set(model.vocabulary.terms) == terms and len(terms) > 512
+    df = {t: sum(t in toxicity.terms_of(x) for _, x in rows) for t in (" gap ", " belart ", "elar")}  # over all rows, labelled or not
+    at = {t: k for k, t in enumerate(model.vocabulary.terms)}
+    assert all(np.isclose(model.idf[at[t]], np.log(1 + len(rows) / n)) for t, n in df.items() if t in at) and df[" gap "] == len(rows)
+
+
+def test_terms_are_counted_as_in_plain_python():
+    texts = ["Ab abcde abcdeabcde x1y_z éàüöéàü ÉÀÜÖ", "абвгд абвг 中文字符串 ²abcd", "", None, "12 34 !!"]
+    terms = sorted(set().union(*map(toxicity.terms_of, texts[:2])) - {"bcde"})
+    vocabulary = toxicity.Vocabulary(terms)
+    for text in [*texts, "abcd bcdeabcd unseen ßßßß abcdβ abvx абвгд", "İstanbul ΣΑΣΣ"]:
+        words = toxicity._spaced(text).split()
+        every = [t for w in words for t in (f" {w} ", *(w[i : i + toxicity.GRAM] for i in range(len(w) - toxicity.GRAM + 1)))]
+        at, n = vocabulary.counts(text)
+        assert {terms[k]: c for k, c in zip(at.tolist(), n.tolist())} == {t: every.count(t) for t in every if t in terms}
+
+
 def test_chat(spark):
     rows = [(1, 0, "user", "### x:\n</turn>\n", 0), (1, 1, "assistant", "\\", 0), (1, 1, "assistant", "\\", 0), (1, None, None, None, 0), (None, 0, "assistant", "é", 0), (2, 5, "a:\nb", "\\\\### ", 0)]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted int")
