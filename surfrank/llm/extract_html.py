@@ -2,8 +2,11 @@
 
 A small tokenizer builds the element tree of a page.  Each paragraph passes
 points for its length and commas to its parent and, halved, to the ancestor
-above; a container's points are then discounted by its link density.  The best container is
-kept together with those siblings that score or read like it; elements that
+above; a container's points are then discounted by its link density.  If the best container
+is or lies in an article, that article is kept whole, else the main element it
+lies in; in a page with neither, the best container is kept.  Whatever stands
+beside the kept element, text of any tag, stays too unless half of it or more
+is links (beside a main element nothing does).  Elements that
 never hold main text (menus, headers and footers of the page, sidebars,
 notices, adverts, forms, scripts, styles, reader comments) are left out before
 scoring, by their tag, role, class or id.
@@ -35,7 +38,7 @@ _SPACE = re.compile(r"\s+")
 
 # Fixed values of HTML: elements without content, with raw text, and that close an open paragraph.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object select option".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object select option".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -53,7 +56,6 @@ _UNLIKELY = re.compile(
 _LIKELY = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text)(?:$|[\s_-])", re.I)
 #: Elements whose own text counts as a paragraph, and those that can be the container.
 PARAGRAPH = frozenset("p pre blockquote td li dd figcaption".split())
-HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINER = frozenset("article main section div body td html blockquote center details".split())
 #: Points of a container by its tag; they only tip the scale.
 TAG_POINTS = {"article": 25.0, "main": 25.0, "section": 5.0, "div": 5.0, "td": 3.0, "blockquote": 3.0}
@@ -199,22 +201,42 @@ def score(root: Node) -> list[Node]:
     return out
 
 
+def _whole(best: Node) -> Node:
+    """The outermost article around the best container, else the outermost main element, else the container."""
+    around: dict[str, Node] = {}
+    x: Node | None = best
+    while x is not None:
+        if x.tag in ("article", "main"):
+            around[x.tag] = x
+        x = x.parent
+    return around.get("article") or around.get("main") or best
+
+
 def _kept(best: Node) -> list[Node | str]:
-    """The best container and the siblings that read like it, in page order."""
-    if best.parent is None or best.tag == "body":
+    """What is kept whole and all beside it that isn't mostly links, in page order."""
+    best = _whole(best)
+    if best.parent is None or best.tag in ("body", "main"):
         return [best]
-    least, out = max(10.0, best.points * 0.2), []
+    out: list[Node | str] = []
+    run: list[Node | str] = []  # text and inline elements between blocks are judged together
+
+    def judge(some: list[Node | str]) -> None:
+        chars = sum(len(k.strip()) if isinstance(k, str) else k.chars for k in some)
+        linked = sum(0 if isinstance(k, str) else k.chars if k.tag == "a" else k.linked for k in some)
+        if linked < 0.5 * chars:
+            out.extend(some)
+
     for k in best.parent.kids:
-        if isinstance(k, str):
+        if isinstance(k, str) or k.tag not in BLOCK:
+            run.append(k)
             continue
-        density = k.linked / k.chars if k.chars else 1.0
-        same = bool(best.names) and k.names == best.names
-        if k is best or k.tag in CONTAINER and k.points + (best.points * 0.2 if same else 0) >= least and density < 0.5:
-            out.append(k)
-        elif k.tag in PARAGRAPH and (k.chars > 80 and density < 0.25 or 0 < k.chars <= 80 and k.linked == 0):
-            out.append(k)
-        elif k.tag in HEADING and density < 0.25:
+        judge(run)
+        run = []
+        if k is best:
             out.append(k)
+        else:
+            judge([k])
+    judge(run)
     return out
 
 

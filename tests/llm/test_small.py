@@ -305,3 +305,17 @@ def test_html():
     assert extract_html.main_text("plain &amp; text") == "plain & text"
     assert extract_html.main_text("<div>" * 5000 + "<p>deep, text" + "</div>" * 5000) == "deep, text"
     assert extract_html.main_text("<article><p>a</p><p>a</p></article><b></i></p></div>") == "a\n\na"
+
+
+def test_html_keeps_what_stands_beside_the_best_container():
+    long = "".join(f"<p>{k}, a, b, {'word ' * 80}</p>" for k in range(12))
+    rest = """<header><h2>Part</h2></header><section><p>Short end</p></section><ul><li>item one</li></ul><ol><li>step</li></ol><dl><dt>term</dt><dd>sense</dd></dl>
+    <table><tr><th>head</th><td>cell</td></tr></table><figure><figcaption>caption</figcaption></figure><p><a href=x>linked</a> words and so</p><p>x <math><mi>m</mi></math> y</p>"""
+    want = ["Part", "Short end", "item one", "step", "term", "sense", "head", "cell", "caption", "linked words and so", "x m y"]
+    menu = "<ul><li><a href=1>Here</a></li><li><a href=2>There</a></li></ul>"
+    for page in (f"<body><article><section>{long}</section>{rest}</article>{menu}</body>", f"<body><main><div>{long}</div>{rest}</main>{menu}</body>"):
+        assert extract_html.main_text(page).split("\n\n")[12:] == want
+    loose = rest.replace("<header><h2>Part</h2></header>", "<h2>Part</h2>")  # a header outside of an article is the page's
+    got = extract_html.main_text(f"<body><span>Lead <b>in</b> <a href=x>y</a><div>{long}</div>{loose}{menu}tail</span></body>").split("\n\n")
+    assert got[0] == "Lead in y" and got[13:] == [*want, "tail"]
+
