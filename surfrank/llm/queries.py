@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from surfrank.llm import chat, decontaminate, extract_html, langid, mixing, neardup, substring, topk, toxicity, warc
+from surfrank.llm import chat, decontaminate, extract_html, langid, mixing, neardup, simhash, substring, topk, toxicity, warc
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_substring_dedup": substring.op8_substring_dedup,
         "op9_minhash_near_dedup": neardup.op9_minhash_near_dedup,
         "op10_html_extraction": extract_html.op10_html_extraction,
+        "op13_simhash_near_dedup": simhash.op13_simhash_near_dedup,
     }
 
 

@@ -9,6 +9,8 @@ from surfrank.session import checkpoint_dir, scratch_path
 
 #: Bits of the filter in ``likely``; it is broadcast as at most one row of two longs for every 64.
 FILTER_BITS = 1 << 24
+#: Largest table that ``broadcast_if_small`` broadcasts, in bytes.
+BROADCAST_BYTES = 16 << 20
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -50,5 +52,16 @@ def likely(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(bits), (word == F.col("filter_word")) & (bit.bitwiseAND(F.col("filter_bits")) != 0), "left_semi")
 
 
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its rows, measured, take ``limit`` bytes or less; else as it is, for a shuffle join.
+
+    ``df`` should be a written or settled table, as it is read here once to be measured.
+    """
+    width = 16 + 8 * len(df.columns)
+    lengths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    size = df.agg(F.sum(sum(lengths, F.lit(width)).cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df.hint("merge")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
