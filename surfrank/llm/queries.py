@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from surfrank.llm import chat, decontaminate, extract_html, langid, mixing, neardup, simhash, substring, topk, toxicity, warc
+from surfrank.llm import chat, decontaminate, divergence, extract_html, langid, mixing, neardup, simhash, substring, topk, toxicity, warc
 
 
 def queries() -> dict:
@@ -17,9 +17,16 @@ def queries() -> dict:
         "op8_substring_dedup": substring.op8_substring_dedup,
         "op9_minhash_near_dedup": neardup.op9_minhash_near_dedup,
         "op10_html_extraction": extract_html.op10_html_extraction,
+        "op12_source_divergence": divergence.op12_source_divergence,
         "op13_simhash_near_dedup": simhash.op13_simhash_near_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": decontaminate.SQL, "op2_warc": warc.SQL, "op5_topk_search": topk.SQL, "op8_substring_dedup": substring.SQL}
+    return {
+        "op1_decontamination": decontaminate.SQL,
+        "op2_warc": warc.SQL,
+        "op5_topk_search": topk.SQL,
+        "op8_substring_dedup": substring.SQL,
+        "op12_source_divergence": divergence.SQL,
+    }
