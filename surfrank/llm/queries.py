@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from surfrank.llm import chat, decontaminate, divergence, extract_html, langid, mixing, neardup, simhash, substring, topk, toxicity, warc
+from surfrank.llm import chat, decontaminate, divergence, extract_html, langid, mixing, neardup, negatives, simhash, substring, topk, toxicity, warc
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_substring_dedup": substring.op8_substring_dedup,
         "op9_minhash_near_dedup": neardup.op9_minhash_near_dedup,
         "op10_html_extraction": extract_html.op10_html_extraction,
+        "op11_hard_negatives": negatives.op11_hard_negatives,
         "op12_source_divergence": divergence.op12_source_divergence,
         "op13_simhash_near_dedup": simhash.op13_simhash_near_dedup,
     }
@@ -28,5 +29,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_warc": warc.SQL,
         "op5_topk_search": topk.SQL,
         "op8_substring_dedup": substring.SQL,
+        "op11_hard_negatives": negatives.SQL,
         "op12_source_divergence": divergence.SQL,
     }
