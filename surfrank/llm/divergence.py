@@ -49,7 +49,9 @@ from surfrank.llm.tables import broadcast_if_small, table, written
 
 MIN_DOCS, TOP = 10, 10
 #: Terms and groups of a block, and entries that a counting task holds before it passes them on.
-TERM_BLOCK, GROUP_BLOCK, HELD_TERMS = 2048, 32, 300_000
+TERM_BLOCK, GROUP_BLOCK, HELD_TERMS = 2048, 32, 500_000
+#: A document in a count that also holds the occurrences, and the documents held at once: both fit into 64 bits.
+DOC, HELD_DOCS = 1 << 40, 1 << 22
 #: The band of the cells that hold no terms: they add V times the price of two zeros.
 BASE = -1
 #: Columns of a product's operands; a group's own levels stay together.
@@ -77,28 +79,27 @@ def term_counts(text: bytes) -> Counter:
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, source, term, n, docs) of many documents at once; a group's row without a term says that it occurs."""
     names = ["lang", "source", "term", "n", "docs"]
-    groups: dict[tuple, tuple[Counter, Counter]] = {}
+    groups: dict[tuple, dict[bytes, int]] = {}  # occurrences + DOC * documents
 
     def out():
-        rows = [(lang, source, None, 0, 0) for lang, source in groups]
-        rows += [(lang, source, t, k, docs[t]) for (lang, source), (n, docs) in groups.items() for t, k in n.items()]
+        for (lang, source), counts in groups.items():
+            terms, both = [None, *counts], np.array([0, *counts.values()], dtype=np.int64)
+            for i in range(0, len(terms), 1 << 16):
+                term, n = pa.array(terms[i : i + (1 << 16)], pa.binary()).cast(pa.string()), both[i : i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array([source] * len(n), pa.string()), term, pa.array(n % DOC), pa.array(n // DOC)], names=names)
         groups.clear()
-        for i in range(0, len(rows), 1 << 16):
-            lang, source, term, n, docs = zip(*rows[i : i + (1 << 16)])
-            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(source, pa.string()), pa.array(term, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(docs, pa.int64())], names=names)
 
-    held = 0
+    held = read = 0
     for batch in batches:
         for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
-            n, docs = groups.setdefault((lang, source), (Counter(), Counter()))
-            own = term_counts(text)
-            held -= len(n)
-            n.update(own)
-            docs.update(own.keys())
-            held += len(n)
-            if held >= HELD_TERMS:
+            counts = groups.setdefault((lang, source), {})
+            get, held = counts.get, held - len(counts)
+            for term, n in term_counts(text).items():
+                counts[term] = get(term, 0) + n + DOC
+            held, read = held + len(counts), read + 1
+            if held >= HELD_TERMS or read >= HELD_DOCS:
                 yield from out()
-                held = 0
+                held = read = 0
     yield from out()
 
 
@@ -183,7 +184,8 @@ def kept_counts(documents: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFra
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     rows = documents.select(empty("lang"), empty("source"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
     counts = rows.mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
-    counts = written(counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "counts")
+    # the tasks have added up what they can, so a second sum on their side would only cost time
+    counts = written(counts.repartition("lang", "source", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "counts")
     by_term = Window.partitionBy("lang", "term")
     kept = counts.where("term IS NOT NULL").withColumn("df", F.sum("docs").over(by_term)).withColumn("lang_n", F.sum("n").over(by_term))
     kept = kept.withColumn("first", F.col("source") == F.min("source").over(by_term)).where(F.col("df") >= min_docs)
