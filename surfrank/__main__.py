@@ -26,7 +26,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--preset", default="mapreduce", choices=sorted(PRESETS))
     ap.add_argument("--partitions", type=int, default=None)
     ap.add_argument("--checkpoint-every", type=int, default=5, help="0 = only after the last step")
-    ap.add_argument("--keep-state", action="store_true", help="mapreduce layout: also write parse/ and rank-<i>/")
+    ap.add_argument("--keep-state", action="store_true", help="mapreduce layout: also write edges/, parse/ and rank-<i>/")
+    ap.add_argument("--state-format", default="parquet", choices=["parquet", "text"], help="of the kept states: tables, or a line for each page")
     ap.add_argument("--resume-from", default=None, metavar="FOLDER", help="go on from a kept parse/ or rank-<i>/; <input> is not read")
     ns = ap.parse_args(argv)
     if len(ns.args) == 5:
@@ -41,7 +42,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("surfrank").getOrCreate()
     run_job(
         spark, src, dst, int(iterations), alpha, ns.preset, partitions,
-        ns.checkpoint_every or None, ns.keep_state, resume_from=ns.resume_from,
+        ns.checkpoint_every or None, ns.keep_state, resume_from=ns.resume_from, state_format=ns.state_format,
     )
 
 

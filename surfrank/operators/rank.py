@@ -9,9 +9,11 @@ the same partition count, so the edge/share join needs no exchange; the only
 shuffle of a step is the partial-summed contributions by ``dst``, whose output
 is again laid out like the node table, so the left join that applies the update
 needs no exchange either.  Sources whose out-degree would make one join task hold a large share
-of the edges ("hot" sources) are handled apart: their edges are spread by
-``dst`` and meet a broadcast of the hot sources' shares, whose row count is
-bounded by construction (see ``surfrank.plans.job``).
+of the edges ("hot" sources) are handled apart.  They are known by a table of
+64-bit hashes, ``hot_keys``, bounded by construction (see ``surfrank.plans.layout``).
+While their shares, titles included, are few bytes, their edges are spread by ``dst``
+and meet a broadcast of the shares; beyond that their edges are spread by
+(``src``, ``salt``) and meet the shares, one row for each salt, in a shuffle join.
 """
 
 from __future__ import annotations
@@ -80,20 +82,18 @@ def shares(state: DataFrame) -> DataFrame:
     )
 
 
-def contributions(
-    edges_df: DataFrame, share_df: DataFrame, with_src: bool = False, hint: str | None = "shuffle_hash"
-) -> DataFrame:
+def contributions(edges_df: DataFrame, share_df: DataFrame, with_src: bool = False, hint: str = "shuffle_hash") -> DataFrame:
     """One row per distinct link: (dst, c) with c = mult * rank(src)/outdeg(src).
 
     Hash join with the shares as build side: a task hashes its V/P shares and
     streams its E/P edges, so the edges (the largest table) are never sorted.
-    ``hint=None`` keeps the caller's own hint (the hot path broadcasts its shares).
+    Where V/P shares are too many to hash, the layout's hint is ``merge``, a join that can spill.
     """
-    cols = ["src", "dst"] if with_src else ["dst"]
-    build = share_df.hint(hint) if hint else share_df
-    return edges_df.join(build, "src").select(
-        *cols, (F.col("mult") * F.col("share")).alias("c")
-    )
+    return _weighted(edges_df.join(share_df.hint(hint), "src"), with_src)
+
+
+def _weighted(flows: DataFrame, with_src: bool = False) -> DataFrame:
+    return flows.select(*(["src", "dst"] if with_src else ["dst"]), (F.col("mult") * F.col("share")).alias("c"))
 
 
 def zero_mass(nodes_df: DataFrame) -> DataFrame:
@@ -123,30 +123,32 @@ class RankLayout:
 
     nodes: DataFrame  # id, outdeg, hot -- hash(id, P)
     cold_edges: DataFrame  # src, dst, mult -- hash(src, P)
-    hot_edges: DataFrame | None  # src, dst, mult -- hash(dst, P); None when no hot source
+    hot_edges: DataFrame | None  # src, dst, mult -- hash(dst, P), or with salt -- hash(src, salt, P); None when no hot source
     num_partitions: int
     n_lines: int
     n_vertices: int
     n_hot: int
     written: tuple[str, ...] = ()  # tables this layout wrote to the checkpoint folder
-
-    def hot_ids(self) -> DataFrame:
-        """Ids of hot sources as ``src`` (at most hot_factor * P rows)."""
-        return self.nodes.where(F.col("hot")).select(F.col("id").alias("src"))
+    tables: tuple[str, ...] = ()  # their entries in the catalog
+    hot_keys: DataFrame | None = None  # src_hash, salts: 12 bytes for each of at most hot_factor * P sources
+    salted: bool = False
+    join_hint: str = "shuffle_hash"  # of joins between tables of this layout
 
     def edges(self) -> DataFrame:
         """All edges (src, dst, mult), cold and hot."""
         if self.hot_edges is None:
             return self.cold_edges
-        return self.cold_edges.unionByName(self.hot_edges)
+        return self.cold_edges.unionByName(self.hot_edges.select("src", "dst", "mult"))
 
     def release(self, delete_written: bool = True) -> None:
-        """Unpersist the tables and delete the copies this layout wrote (exact paths only)."""
+        """Unpersist the tables and delete the copies this layout wrote (exact names and paths only)."""
         for df in (self.nodes, self.cold_edges, self.hot_edges):
             if df is not None:
                 df.unpersist()
         if delete_written and self.written:
             spark = self.nodes.sparkSession
+            for name in self.tables:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
             jvm = spark.sparkContext._jvm
             hconf = spark.sparkContext._jsc.hadoopConfiguration()
             for path in self.written:
@@ -154,23 +156,29 @@ class RankLayout:
                 jpath.getFileSystem(hconf).delete(jpath, True)
 
 
+def source_hash(column: str = "src") -> Column:
+    """The 64-bit hash by which hot sources are known."""
+    return F.xxhash64(F.col(column))
+
+
+def hot_flows(layout: RankLayout, per_source: DataFrame) -> DataFrame:
+    """The hot sources' edges (src, dst, mult) joined with a per-source table keyed by ``src``."""
+    own = per_source.join(F.broadcast(layout.hot_keys), source_hash() == F.col("src_hash")).drop("src_hash")
+    if not layout.salted:
+        return layout.hot_edges.join(F.broadcast(own.drop("salts")), "src")
+    own = own.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    own = own.repartition(layout.num_partitions, "src", "salt")
+    return layout.hot_edges.join(own.hint(layout.join_hint), ["src", "salt"]).drop("salt")
+
+
 def join_sources(layout: RankLayout, per_source: DataFrame) -> DataFrame:
     """All edges (src, dst, mult) joined with a per-source table keyed by ``src``.
 
-    Regular sources meet their edges by a hash join on the shared layout; hot
-    sources (at most hot_factor * P of them) are broadcast to their edges, which
-    are laid out by target.  No source's edges are ever gathered into one task.
+    Regular sources meet their edges in a join on the shared layout, hot sources
+    as ``hot_flows`` says.  No source's edges are ever gathered into one task.
     """
-    out = layout.cold_edges.join(per_source.hint("shuffle_hash"), "src")
-    if layout.hot_edges is not None:
-        hot_part = F.broadcast(per_source.join(F.broadcast(layout.hot_ids()), "src", "left_semi"))
-        out = out.unionByName(layout.hot_edges.join(hot_part, "src"))
-    return out
-
-
-def hot_shares(layout: RankLayout, state: DataFrame) -> DataFrame:
-    """Shares of the hot sources only: at most hot_factor * P rows."""
-    return shares(state).join(F.broadcast(layout.hot_ids()), "src", "left_semi")
+    out = layout.cold_edges.join(per_source.hint(layout.join_hint), "src")
+    return out if layout.hot_edges is None else out.unionByName(hot_flows(layout, per_source))
 
 
 def rank_step(layout: RankLayout, state: DataFrame, consts: RankConstants) -> DataFrame:
@@ -182,13 +190,13 @@ def rank_step(layout: RankLayout, state: DataFrame, consts: RankConstants) -> Da
     checkpoints every state).
     """
     share = shares(state)
-    cold = contribution_sums(contributions(layout.cold_edges, share)).withColumnRenamed("s", "s_cold")
-    joined = layout.nodes.join(cold.hint("shuffle_hash"), "id", "left")
-    total = F.coalesce(F.col("s_cold"), F.lit(0.0))
-    if layout.hot_edges is not None:
-        hot = contribution_sums(contributions(layout.hot_edges, F.broadcast(hot_shares(layout, state)), hint=None)).withColumnRenamed(
-            "s", "s_hot"
-        )
-        joined = joined.join(hot.hint("shuffle_hash"), "id", "left")
+    sent = contributions(layout.cold_edges, share, hint=layout.join_hint)
+    if layout.hot_edges is not None and layout.salted:
+        sent = sent.unionByName(_weighted(hot_flows(layout, share)))
+    joined = layout.nodes.join(contribution_sums(sent).hint(layout.join_hint), "id", "left")
+    total = F.coalesce(F.col("s"), F.lit(0.0))
+    if layout.hot_edges is not None and not layout.salted:
+        hot = contribution_sums(_weighted(hot_flows(layout, share))).withColumnRenamed("s", "s_hot")
+        joined = joined.join(hot.hint(layout.join_hint), "id", "left")
         total = total + F.coalesce(F.col("s_hot"), F.lit(0.0))
     return joined.select("id", "outdeg", "hot", update(consts, total).alias("rank"))

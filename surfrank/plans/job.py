@@ -1,8 +1,8 @@
 """Whole ranking jobs: lines -> graph -> k steps -> ordered ranking.
 
 Jobs per run: one pass over the parsed lines for N and the link total; the
-graph build (node and edge tables written once to the checkpoint folder, read
-back hash-partitioned and cached); one job per state checkpoint; then the
+graph build (``plans.layout``: node and edge tables written once to the checkpoint folder as
+they are partitioned, and cached from there); one job per state checkpoint; then the
 caller's final action (global sort, sink).  Each step adds exactly one shuffle
 (the contribution sums by target), because the node table, the state and the
 regular edges share one hash layout.
@@ -11,15 +11,13 @@ Scale notes
 -----------
 * N counts every line, so it is taken on the parsed lines (title + links, far
   smaller than the raw text), which are cached for the graph build.
-* Hot sources: a source is hot when its out-degree exceeds
-  ``T = max(hot_floor, ceil(total_links / (hot_factor * P)))``.  Since the hot
-  out-degrees add up to at most ``total_links``, there are at most
-  ``hot_factor * P`` hot sources: the broadcast of their shares is bounded by
-  the partition count, not by the data.  The count is also checked.
+* The number of partitions follows links, lines and bytes.
 * The graph tables are written tables in ``spark.checkpoint.dir``; the state's
   lineage is cut by reliable checkpoints every ``checkpoint_every`` steps (and
   after the last one).  A lost executor costs a table re-read plus at most
   ``checkpoint_every`` replayed steps, never a re-parse of the input.
+* A kept state is a pair of Parquet tables, nodes(id, outdeg, rank) of each step and edges(src,
+  dst, mult) once for all of them; no page's links are ever one row.
 """
 
 from __future__ import annotations
@@ -35,35 +33,36 @@ from pyspark.sql import functions as F
 from surfrank.operators import graph as G
 from surfrank.operators.order import order_ranked
 from surfrank.operators.rank import RankConstants, RankLayout, initial_rank, rank_step
+from surfrank.plans.layout import DEFAULT_HOT_FACTOR, DEFAULT_HOT_FLOOR, HOT_BROADCAST_BYTES, lay_out
 from surfrank.plans.presets import Preset, get_preset
-from surfrank.session import checkpoint_dir, job_conf, scratch_path
-
-DEFAULT_HOT_FACTOR = 4
-DEFAULT_HOT_FLOOR = 1_000_000
-
+from surfrank.session import checkpoint_dir, job_conf
 
 @dataclass
 class GraphStats:
     n_lines: int
     n_links: int
+    n_bytes: int = 0  # of titles and links, each as often as it comes
 
 
-LINKS_PER_PARTITION = 2_000_000
+#: What a partition holds at most, on average: link occurrences, lines, and bytes of titles and links.
+LINKS_PER_PARTITION, LINES_PER_PARTITION, BYTES_PER_PARTITION = 2_000_000, 2_000_000, 256 << 20
 
 
-def _partitions(spark: SparkSession, num_partitions: int | None, n_links: int | None = None) -> int:
-    """P for the job: explicit, else sized from the link total.
+def _partitions(spark: SparkSession, num_partitions: int | None, stats: GraphStats) -> int:
+    """P for the job: explicit, else sized from the graph.
 
-    About ``LINKS_PER_PARTITION`` link occurrences per partition and at least the
-    cluster's default parallelism.  The session's number of shuffle partitions
-    is no limit: a graph beyond it needs more, smaller partitions.
+    Links, lines (a page without links is a vertex as well) and bytes each set a
+    number of partitions, and the largest is taken, at least the cluster's default
+    parallelism.  The session's number of shuffle partitions is no limit: a
+    graph beyond it needs more, smaller partitions.
     """
     if num_partitions is not None:
         if num_partitions < 1:
             raise ValueError("num_partitions must be >= 1")
         return int(num_partitions)
     floor = max(1, int(spark.sparkContext.defaultParallelism))
-    return max(floor, math.ceil((n_links or 0) / LINKS_PER_PARTITION))
+    sizes = ((stats.n_links, LINKS_PER_PARTITION), (stats.n_lines, LINES_PER_PARTITION), (stats.n_bytes, BYTES_PER_PARTITION))
+    return max(floor, *(math.ceil(n / most) for n, most in sizes))
 
 
 def job_settings(num_partitions: int) -> dict[str, str]:
@@ -76,9 +75,12 @@ def job_settings(num_partitions: int) -> dict[str, str]:
     * no adaptive re-planning inside the loop: the layout is planned up front (hot
       sources split, partial sums for hot targets), and a checkpoint taken under
       an adaptive plan forgets its hash layout, which would re-shuffle the state
-      twice per step.
+      twice per step;
+    * bucketed tables may have P buckets, and a task that writes one bucket needn't sort its rows.
     """
     return {
+        "spark.sql.sources.bucketing.maxBuckets": str(max(100_000, num_partitions)),
+        "spark.sql.maxConcurrentOutputFileWriters": "2",
         "spark.sql.shuffle.partitions": str(num_partitions),
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.enabled": "false",
@@ -86,105 +88,12 @@ def job_settings(num_partitions: int) -> dict[str, str]:
 
 
 def graph_stats(parsed: DataFrame, preset: Preset) -> GraphStats:
-    """N (every line, parsed or not) and the number of kept link occurrences, in one pass (A1, S3)."""
-    kept = F.when(F.col("title").isNotNull(), F.size(G.kept_links(preset))).otherwise(F.lit(0))
-    row = parsed.agg(F.count(F.lit(1)).alias("n"), F.sum(kept.cast("long")).alias("links")).first()
-    return GraphStats(int(row["n"]), int(row["links"] or 0))
-
-
-def hot_threshold(n_links: int, num_partitions: int, hot_factor: int, hot_floor: int) -> int:
-    return max(int(hot_floor), math.ceil(n_links / max(1, hot_factor * num_partitions)))
-
-
-def _cache(df: DataFrame, key: str, p: int, storage: StorageLevel) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` into P partitions and mark it cached."""
-    return df.repartition(p, key).persist(storage)
-
-
-def _write_graph(nodes_df: DataFrame, edges_df: DataFrame, written: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Write both graph tables in one job to the shared checkpoint folder and read them back.
-
-    Recovering a lost cached block then means re-reading a written table, never
-    re-parsing the input.  (A ``checkpoint()`` would also keep the layout, but a
-    checkpointed leaf stops matching its cache entry once a step joins the node
-    table with data derived from it.)  Both aggregations run as stages of the
-    same write job.
-    """
-    spark = nodes_df.sparkSession
-    path = scratch_path(spark, "graph")
-    none = F.lit(None).cast("string")
-    tagged = nodes_df.select(
-        F.col("id").alias("a"), none.alias("b"), F.col("outdeg").alias("n"), F.lit("nodes").alias("t")
-    ).unionByName(
-        edges_df.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("mult").alias("n"), F.lit("edges").alias("t"))
-    )
-    tagged.write.partitionBy("t").parquet(path)
-    written.append(path)
-    # explicit schema: an empty side writes no folder; the tag filter prunes to one folder
-    back = spark.read.schema("a string, b string, n long, t string").parquet(path)
-    nodes_back = back.where(F.col("t") == "nodes").select(F.col("a").alias("id"), F.col("n").alias("outdeg"))
-    edges_back = back.where(F.col("t") == "edges").select(
-        F.col("a").alias("src"), F.col("b").alias("dst"), F.col("n").alias("mult")
-    )
-    return nodes_back, edges_back
-
-
-def layout_from_graph(
-    nodes_df: DataFrame,
-    edges_df: DataFrame,
-    n_lines: int,
-    n_links: int,
-    num_partitions: int,
-    hot_factor: int = DEFAULT_HOT_FACTOR,
-    hot_floor: int = DEFAULT_HOT_FLOOR,
-    storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
-    reliable: bool = False,
-) -> RankLayout:
-    """Materialise ``nodes(id, outdeg, hot)`` by ``id`` and the edges by ``src`` (cold) or ``dst`` (hot).
-
-    Everything is materialised before returning, so the caller may release the
-    parsed input right after.
-    """
-    p = num_partitions
-    written: list[str] = []
-    nodes_df, edges_df = nodes_df.select("id", "outdeg"), edges_df.select("src", "dst", "mult")
-    if reliable:
-        nodes_df, edges_df = _write_graph(nodes_df, edges_df, written)
-    threshold = hot_threshold(n_links, p, hot_factor, hot_floor)
-    nodes = _cache(nodes_df, "id", p, storage).withColumn("hot", F.col("outdeg") > F.lit(threshold))
-    # this aggregate also fills the node cache
-    row = nodes.agg(F.count(F.lit(1)).alias("v"), F.sum(F.col("hot").cast("long")).alias("h")).first()
-    n_vertices, n_hot = int(row["v"]), int(row["h"] or 0)
-    # sum of hot out-degrees <= n_links and each exceeds T >= n_links / (hot_factor * P)
-    bound = hot_factor * p
-    if n_hot > bound:
-        raise AssertionError(f"hot-source bound violated: {n_hot} > {bound}")
-
-    if n_hot == 0:
-        cold, hot = _cache(edges_df, "src", p, storage), None
-        cold.count()
-    else:
-        hot_ids = F.broadcast(nodes.where(F.col("hot")).select(F.col("id").alias("src")))
-        cold = _cache(edges_df.join(hot_ids, "src", "left_anti"), "src", p, storage)
-        hot = _cache(edges_df.join(hot_ids, "src", "left_semi"), "dst", p, storage)
-        cold.select(F.lit(1)).unionByName(hot.select(F.lit(1))).count()  # fills both caches in one job
-    return RankLayout(nodes, cold, hot, p, n_lines, n_vertices, n_hot, tuple(written))
-
-
-def build_layout(
-    pages: DataFrame,
-    preset: Preset,
-    stats: GraphStats,
-    num_partitions: int,
-    hot_factor: int = DEFAULT_HOT_FACTOR,
-    hot_floor: int = DEFAULT_HOT_FLOOR,
-    reliable: bool = False,
-) -> RankLayout:
-    """Layout of the graph parsed from page lines."""
-    return layout_from_graph(
-        G.nodes(pages, preset), G.edges(pages, preset), stats.n_lines, stats.n_links,
-        num_partitions, hot_factor, hot_floor, reliable=reliable,
-    )
+    """N (every line, parsed or not), and the number and bytes of kept link occurrences and titles, in one pass (A1, S3)."""
+    kept = G.kept_links(preset)
+    here = F.col("title").isNotNull()
+    size = F.octet_length("title") + F.aggregate(kept, F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x))
+    row = parsed.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(here, F.size(kept)).cast("long")).alias("links"), F.sum(F.when(here, size)).alias("bytes")).first()
+    return GraphStats(int(row["n"]), int(row["links"] or 0), int(row["bytes"] or 0))
 
 
 def iterate(
@@ -260,6 +169,7 @@ def rank_pages(
     layout_sink: list | None = None,
     reliable_graph: bool = True,
     extractor: G.Extractor | None = None,
+    hot_broadcast_bytes: int = HOT_BROADCAST_BYTES,
 ) -> RankResult:
     """Rank every vertex of the page graph described by ``lines``.
 
@@ -270,6 +180,7 @@ def rank_pages(
     also writes the node and edge tables to the checkpoint folder once, so a
     lost executor never forces a re-parse of the input.  ``extractor`` replaces
     the preset's title and link rules: line column -> (title, array of links).
+    ``hot_factor``, ``hot_floor`` and ``hot_broadcast_bytes``: see ``plans.layout``.
     """
     preset = get_preset(preset)
     spark = lines.sparkSession
@@ -279,9 +190,13 @@ def rank_pages(
         stats = graph_stats(parsed, preset)
         if stats.n_lines == 0 and preset.on_empty == "error":
             raise ValueError("empty input: no lines to rank (page count job failed)")
-        p = _partitions(spark, num_partitions, stats.n_links)
+        p = _partitions(spark, num_partitions, stats)
         with job_conf(spark, job_settings(p)):
-            layout = build_layout(G.parsed_ok(parsed), preset, stats, p, hot_factor, hot_floor, reliable_graph)
+            pages = G.parsed_ok(parsed)
+            layout = lay_out(
+                G.nodes(pages, preset), G.link_occurrences(pages, preset), stats.n_lines, stats.n_links, p,
+                hot_factor, hot_floor, reliable=reliable_graph, hot_broadcast_bytes=hot_broadcast_bytes,
+            )
     finally:
         parsed.unpersist()
     with job_conf(spark, job_settings(p)):
@@ -302,8 +217,23 @@ def _run(layout, consts, iterations, checkpoint_every, trace, start=None, on_sta
     return state
 
 
-def resume_from_records(
-    records: DataFrame,
+def resume_from_records(records: DataFrame, n_lines: int, iterations: int, alpha: float | str = 0.15, alpha_precision: str = "double", **kw) -> RankResult:
+    """Continue a ranking from graph-state records (S2 -> I1).  N is a job parameter; ``kw`` as in ``resume_from_tables``."""
+    from surfrank.sources.state import graph_from_records
+
+    checkpoint_dir(records.sparkSession)
+    records = records.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        nodes_df, edges_df, ranks = graph_from_records(records)
+        # a target that no record has as its title starts without a rank
+        return resume_from_tables(nodes_df.join(ranks, "id", "left"), edges_df, n_lines, iterations, alpha, alpha_precision, **kw)
+    finally:
+        records.unpersist()
+
+
+def resume_from_tables(
+    nodes_df: DataFrame,
+    edges_df: DataFrame,
     n_lines: int,
     iterations: int,
     alpha: float | str = 0.15,
@@ -315,27 +245,27 @@ def resume_from_records(
     trace: list | None = None,
     on_state: Callable[[int, DataFrame], None] | None = None,
     layout_sink: list | None = None,
+    hot_broadcast_bytes: int = HOT_BROADCAST_BYTES,
 ) -> RankResult:
-    """Continue a ranking from graph-state records (S2 -> I1).  N is a job parameter.
+    """Continue a ranking from nodes(id, outdeg, rank) and edges(src, dst, mult), such as a kept state's.
 
     The graph and the start ranks are written to the checkpoint folder once, so
-    a lost executor never forces the records to be parsed again.
+    a lost executor never forces the input to be read again.
     """
-    from surfrank.sources.state import graph_from_records
-
-    spark = records.sparkSession
+    spark = nodes_df.sparkSession
     checkpoint_dir(spark)
-    records = records.persist(StorageLevel.MEMORY_AND_DISK)
-    n_links = int(records.agg(F.sum(F.size("adjacencyList")).alias("k")).first()["k"] or 0)
-    p = _partitions(spark, num_partitions, n_links)
+    size = F.octet_length("id") * 2 + 8 * F.col("outdeg")  # links weigh by their number; their targets' lengths aren't read
+    row = nodes_df.agg(F.count(F.lit(1)).alias("v"), F.sum("outdeg").alias("k"), F.sum(size.cast("long")).alias("b")).first()
+    stats = GraphStats(int(row["v"]), int(row["k"] or 0), int(row["b"] or 0))
+    p = _partitions(spark, num_partitions, stats)
     with job_conf(spark, job_settings(p)):
-        nodes_df, edges_df, ranks = graph_from_records(records)
-        layout = layout_from_graph(nodes_df, edges_df, n_lines, n_links, p, hot_factor, hot_floor, reliable=True)
+        nodes_df = nodes_df.select("id", "outdeg", "rank").repartition(p, "id")
+        layout = lay_out(
+            nodes_df, edges_df, n_lines, stats.n_links, p, hot_factor, hot_floor, reliable=True, hot_broadcast_bytes=hot_broadcast_bytes
+        )
         if layout_sink is not None:
             layout_sink.append(layout)
-        # a target that no record has as its title starts without a rank
-        start = layout.nodes.join(ranks, "id", "left").checkpoint(eager=True)
-        records.unpersist()
+        start = layout.nodes.join(nodes_df.select("id", "rank").hint(layout.join_hint), "id", "left").checkpoint(eager=True)
         consts = RankConstants.of(alpha, n_lines, alpha_precision)
         state = _run(layout, consts, iterations, checkpoint_every, trace, start=start, on_state=on_state)
     return RankResult(state, layout, n_lines)
@@ -347,11 +277,14 @@ def ranking_output(output_path: str, preset: str | Preset) -> str:
     return f"{base}/sort" if get_preset(preset).name == "mapreduce" else base
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _refuse_existing(spark: SparkSession, paths: list[str]) -> None:
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        if p.getFileSystem(conf).exists(p):
+        if _exists(spark, path):
             raise FileExistsError(f"output path already exists: {path}")
 
 
@@ -368,25 +301,30 @@ def run_job(
     mode: str = "errorifexists",
     resume_from: str | None = None,
     extractor: G.Extractor | None = None,
+    state_format: str = "parquet",
+    **layout_options,
 ) -> RankResult:
     """Whole job: text in, ranking out (I6-I8), with the output layout of each preset.
 
     * ``mapreduce``: ``<output>/count`` (``Total Pages-<N>``) and ``<output>/sort``
-      (``title<TAB>rank``); with ``keep_state`` also ``<output>/parse`` (initial
-      graph-state records) and, after every step, ``<output>/rank-<i>``, the first
-      being ``rank-0`` (I2).
+      (``title<TAB>rank``); with ``keep_state`` also ``<output>/parse`` (the initial
+      state) and, after every step, ``<output>/rank-<i>``, the first being ``rank-0``
+      (I2).  In the ``parquet`` form these are tables of nodes(id, outdeg, rank), and
+      ``<output>/edges`` has (src, dst, mult) once for all of them; in the ``text`` form each
+      folder has the graph-state records, a line for each page (``sources.state.export_state``
+      makes them from a kept state at any time).
     * ``rdd_jvm`` / ``rdd_py``: the ranking itself at ``<output>`` in the pair form.
 
     With mode ``errorifexists`` every output path is looked at before the first
     Spark job, so a run that could not write its result does no work.  The tables
     written for the run are deleted when it ends, also when it fails.
 
-    ``resume_from`` names a kept folder (``.../parse`` or ``.../rank-<i>``, with
+    ``resume_from`` names a kept folder of either form (``.../parse`` or ``.../rank-<i>``, with
     ``count`` beside it): the input is not read, ``iterations`` more steps follow, and
-    their folders go on from its number.  ``extractor``: see ``rank_pages``.
+    their folders go on from its number.  ``extractor`` and ``layout_options``: see ``rank_pages``.
     """
+    from surfrank.sources import state as ST
     from surfrank.sources.sinks import write_ranked
-    from surfrank.sources.state import layout_records, read_state, write_state
     from surfrank.sources.text import read_count, read_lines, write_count_value
 
     preset = get_preset(preset)
@@ -396,14 +334,17 @@ def run_job(
         raise ValueError("per-step state files belong to the mapreduce output layout")
     if resume_from is not None and not mr_layout:
         raise ValueError("only the mapreduce layout has state folders to resume from")
+    if state_format not in ("parquet", "text"):
+        raise ValueError(f"unknown state form {state_format!r}")
     first, own_count = 0, mr_layout
     if resume_from is not None:
         parent, folder = resume_from.rstrip("/").rsplit("/", 1)
         first = int(folder.removeprefix("rank-")) + 1 if folder.startswith("rank-") else 0
         own_count = parent != base  # a run that goes on in its own folder has its count already
     outputs = [ranking_output(base, preset)] + ([f"{base}/count"] if own_count else [])
+    own_edges = keep_state and state_format == "parquet" and not (resume_from and parent == base and _exists(spark, f"{base}/edges"))
     if keep_state:
-        outputs += [f"{base}/rank-{first + i}" for i in range(iterations)] + ([] if resume_from else [f"{base}/parse"])
+        outputs += [f"{base}/rank-{first + i}" for i in range(iterations)] + ([] if resume_from else [f"{base}/parse"]) + ([f"{base}/edges"] if own_edges else [])
     if mode in ("error", "errorifexists"):
         _refuse_existing(spark, outputs)
     layout_box: list[RankLayout] = []
@@ -412,20 +353,27 @@ def run_job(
         # written while the state is cached, and the count before the steps, so a run that dies can be resumed
         if i == 0 and own_count:
             write_count_value(spark, layout_box[0].n_lines, f"{base}/count", mode)
+        if i == 0 and own_edges:
+            layout_box[0].edges().write.mode(mode).parquet(f"{base}/edges")
         if keep_state and (i > 0 or resume_from is None):
-            name = f"rank-{first + i - 1}" if i > 0 else "parse"
-            write_state(layout_records(state, layout_box[0]), f"{base}/{name}", mode)
+            path = f"{base}/rank-{first + i - 1}" if i > 0 else f"{base}/parse"
+            if state_format == "parquet":
+                ST.write_nodes(state, path, mode)
+            else:
+                ST.write_state(ST.layout_records(state, layout_box[0]), path, mode)
 
     try:
         if resume_from is not None:
-            result = resume_from_records(
-                read_state(spark, resume_from), int(read_count(spark, f"{parent}/count").first()["n_lines"]), iterations, alpha,
-                preset.alpha_precision, num_partitions, checkpoint_every, on_state=keep, layout_sink=layout_box,
-            )
+            n_lines = int(read_count(spark, f"{parent}/count").first()["n_lines"])
+            again = dict(num_partitions=num_partitions, checkpoint_every=checkpoint_every, on_state=keep, layout_sink=layout_box, **layout_options)
+            if _exists(spark, f"{parent}/edges"):
+                result = resume_from_tables(*ST.read_kept(spark, resume_from), n_lines, iterations, alpha, preset.alpha_precision, **again)
+            else:
+                result = resume_from_records(ST.read_state(spark, resume_from), n_lines, iterations, alpha, preset.alpha_precision, **again)
         else:
             result = rank_pages(
                 read_lines(spark, input_path), iterations, alpha, preset, num_partitions, checkpoint_every,
-                on_state=keep, layout_sink=layout_box, extractor=extractor,
+                on_state=keep, layout_sink=layout_box, extractor=extractor, **layout_options,
             )
         write_ranked(result.ranked(), ranking_output(base, preset), preset.output_format, mode)
     finally:

@@ -3,8 +3,8 @@
 This is the interchange form of a ranking in progress (K2, S2, P13, P14, A3, G5, F3).
 There is exactly one record for each page: its rank and its out-links with
 repeats.  A record is a line of text by definition of the form, so a page's links
-have to meet in one row here; the ranking itself works on edges and never
-makes such a row.
+have to meet in one row here.  Jobs keep their states as tables of nodes
+and edges instead, go on from these, and never make such a row; the lines are an export.
 """
 
 from __future__ import annotations
@@ -24,26 +24,14 @@ NODE_SCHEMA = StructType(
 # ---------------------------------------------------------------------------
 
 
-def state_records(
-    state: DataFrame,
-    edges_df: DataFrame,
-    hot_edges: DataFrame | None = None,
-) -> DataFrame:
-    """(id, outdeg, rank[, hot]) + (src, dst, mult) -> (title, pageRank, adjacencyList, isNode).
+def state_records(state: DataFrame, flows: DataFrame) -> DataFrame:
+    """State (id, outdeg, rank) and its edges with their source's rank (src, dst, mult, rank) -> (title, pageRank, adjacencyList, isNode).
 
-    Each edge picks up its source's rank and out-degree by a shuffle-based join;
-    ``hot_edges`` (edges of hot sources, laid out by target) pick them up from a
-    broadcast of the hot sources only, whose row count is bounded like in the
-    ranking loop.  The rank travels with the edges, so the lists need no second
-    join; vertices without links become records of their own.
+    The rank travels with the edges, so the lists need no second join; vertices
+    without links become records of their own.
     """
-    info = state.select(F.col("id").alias("src"), "outdeg", "rank")
-    with_info = edges_df.join(info.hint("shuffle_hash"), "src")
-    if hot_edges is not None:
-        hot_info = F.broadcast(info.join(state.where(F.col("hot")).select(F.col("id").alias("src")), "src", "left_semi"))
-        with_info = with_info.unionByName(hot_edges.join(hot_info, "src"))
     linked = (
-        with_info.select("src", "rank", F.array_repeat("dst", F.col("mult").cast("int")).alias("run"))
+        flows.select("src", "rank", F.array_repeat("dst", F.col("mult").cast("int")).alias("run"))
         .groupBy("src")
         .agg(F.first("rank").alias("pageRank"), F.flatten(F.collect_list("run")).alias("adjacencyList"))
         .select(F.col("src").alias("title"), "pageRank", "adjacencyList", F.lit(True).alias("isNode"))
@@ -59,7 +47,28 @@ def state_records(
 
 def layout_records(state: DataFrame, layout) -> DataFrame:
     """Graph-state records of a ranking state on its layout (cold and hot edges)."""
-    return state_records(state, layout.cold_edges, layout.hot_edges)
+    from surfrank.operators.rank import join_sources
+
+    return state_records(state, join_sources(layout, state.select(F.col("id").alias("src"), "rank")))
+
+
+# ---------------------------------------------------------------- kept state: a pair of tables
+def write_nodes(state: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The part of a kept state that changes with a step: nodes(id, outdeg, rank)."""
+    state.select("id", "outdeg", "rank").write.mode(mode).parquet(path)
+
+
+def read_kept(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """nodes(id, outdeg, rank) of a kept folder and edges(src, dst, mult) from ``edges`` beside it."""
+    parent = folder.rstrip("/").rsplit("/", 1)[0]
+    nodes = spark.read.schema("id string, outdeg long, rank double").parquet(folder)
+    return nodes, spark.read.schema("src string, dst string, mult long").parquet(f"{parent}/edges")
+
+
+def export_state(spark: SparkSession, folder: str, path: str, mode: str = "errorifexists") -> None:
+    """The graph-state records of a kept folder, as lines (K2)."""
+    nodes, edges = read_kept(spark, folder)
+    write_state(state_records(nodes, edges.join(nodes.select(F.col("id").alias("src"), "rank"), "src")), path, mode)
 
 
 def record_lines(records: DataFrame) -> DataFrame:

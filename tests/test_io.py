@@ -85,7 +85,7 @@ def test_run_job_mapreduce_layout(spark, lines_df, scratch):
     src = scratch()
     TX.write_lines(lines_df(DIRTY), src)
     out = scratch()
-    run_job(spark, src, out, 2, 0.15, "mapreduce", keep_state=True)
+    run_job(spark, src, out, 2, 0.15, "mapreduce", keep_state=True, state_format="text")
     assert read_parts(f"{out}/count") == ["Total Pages-8"]
     assert len(read_parts(f"{out}/parse")) == 7 and len(read_parts(f"{out}/rank-0")) == 7 and len(read_parts(f"{out}/rank-1")) == 7
     assert not os.path.exists(f"{out}/rank-2")
@@ -95,19 +95,47 @@ def test_run_job_mapreduce_layout(spark, lines_df, scratch):
     assert len(pairs) == 7 and pairs == sorted(pairs, key=lambda p: (-p[1], p[0]))
 
 
-def test_run_job_goes_on_from_a_kept_folder(spark, lines_df, scratch):
+HUB = ["<title>HUB</title>" + " ".join(f"[[p{i}]]" for i in range(40)) + " [[p1]]"] + [f"<title>p{i}</title>[[HUB]] [[p{i + 1}]]" for i in range(20)]
+
+
+@pytest.mark.parametrize("form", ["parquet", "text"])
+@pytest.mark.parametrize("options", [{}, {"hot_floor": 1}, {"hot_floor": 1, "hot_broadcast_bytes": 0}])
+def test_run_job_goes_on_from_a_kept_folder(spark, lines_df, scratch, form, options):
     src, whole, kept, other = scratch(), scratch(), scratch(), scratch()
-    TX.write_lines(lines_df(DIRTY), src)
+    TX.write_lines(lines_df(DIRTY + HUB), src)
     run_job(spark, src, whole, 4, 0.15, "mapreduce")
-    run_job(spark, src, kept, 1, 0.15, "mapreduce", keep_state=True)
-    run_job(spark, None, other, 3, 0.15, "mapreduce", keep_state=True, resume_from=f"{kept}/rank-0")
-    assert sorted(d for d in os.listdir(other) if "." not in d) == ["count", "rank-1", "rank-2", "rank-3", "sort"]
+    run_job(spark, src, kept, 1, 0.15, "mapreduce", 4, keep_state=True, state_format=form, **options)
+    run_job(spark, None, other, 3, 0.15, "mapreduce", 3, keep_state=True, state_format=form, resume_from=f"{kept}/rank-0", **options)
+    folders = ["count", "rank-1", "rank-2", "rank-3", "sort"]
+    assert sorted(d for d in os.listdir(other) if "." not in d) == (folders if form == "text" else sorted([*folders, "edges"]))
     ranks = lambda out: {t: float(r) for t, r in (line.split("\t") for line in read_parts(f"{out}/sort"))}
     assert ranks(other) == pytest.approx(ranks(whole)) and read_parts(f"{other}/count") == read_parts(f"{whole}/count")
-    with pytest.raises(FileExistsError):
-        run_job(spark, None, kept, 1, 0.15, "mapreduce", keep_state=True, resume_from=f"{kept}/parse")
-    with pytest.raises(ValueError):
-        run_job(spark, None, scratch(), 1, 0.15, "rdd_py", resume_from=f"{kept}/rank-0")
+    if not options:
+        with pytest.raises(FileExistsError):
+            run_job(spark, None, kept, 1, 0.15, "mapreduce", keep_state=True, state_format=form, resume_from=f"{kept}/parse")
+        with pytest.raises(ValueError):
+            run_job(spark, None, scratch(), 1, 0.15, "rdd_py", resume_from=f"{kept}/rank-0")
+
+
+def test_kept_state_is_tables_with_the_edges_once(spark, lines_df, scratch):
+    src, kept, text = scratch(), scratch(), scratch()
+    TX.write_lines(lines_df(DIRTY + HUB), src)
+    res = run_job(spark, src, kept, 2, 0.15, "mapreduce", 4, keep_state=True, hot_floor=1)
+    assert res.layout.n_hot > 0
+    assert sorted(d for d in os.listdir(kept) if "." not in d) == ["count", "edges", "parse", "rank-0", "rank-1", "sort"]
+    for folder in ("parse", "rank-0", "rank-1"):
+        nodes, edges = ST.read_kept(spark, f"{kept}/{folder}")
+        assert spark.read.parquet(f"{kept}/{folder}").dtypes == [("id", "string"), ("outdeg", "bigint"), ("rank", "double")]
+        degrees = {r.src: r.n for r in edges.groupBy("src").agg({"mult": "sum"}).toDF("src", "n").collect()}
+        assert {r.id: r.outdeg for r in nodes.collect() if r.outdeg} == degrees and degrees["HUB"] == 41
+    assert spark.read.parquet(f"{kept}/edges").dtypes == [("src", "string"), ("dst", "string"), ("mult", "bigint")]
+    # going on in the same folder shares its edges, and the text form is an export
+    run_job(spark, None, kept, 1, 0.15, "mapreduce", 4, keep_state=True, resume_from=f"{kept}/rank-1", mode="overwrite")
+    assert "rank-2" in os.listdir(kept)
+    ST.export_state(spark, f"{kept}/rank-2", text)
+    records = {r.title: r for r in ST.read_state(spark, text).collect()}
+    assert sorted(records["HUB"].adjacencyList) == sorted([f"p{i}" for i in range(40)] + ["p1"])
+    assert {t: r.pageRank for t, r in records.items()} == {r.id: r.rank for r in ST.read_kept(spark, f"{kept}/rank-2")[0].collect()}
 
 
 def test_run_job_refuses_existing_output_before_any_work(spark, lines_df, scratch):
@@ -133,10 +161,12 @@ def test_layout_release_deletes_only_its_tables(lines_df):
 
     res = rank_pages(lines_df(CLEAN), 1, 0.15)
     paths = [p.replace("file:", "") for p in res.layout.written]
+    spark, tables = res.state.sparkSession, res.layout.tables
     assert paths and all(os.path.exists(p) for p in paths)
+    assert tables and all(spark.catalog.tableExists(t) for t in tables)
     ranks_before = {r.title: r.rank for r in res.ranks().collect()}
     res.layout.release()
-    assert not any(os.path.exists(p) for p in paths)
+    assert not any(os.path.exists(p) for p in paths) and not any(spark.catalog.tableExists(t) for t in tables)
     # the final state is its own checkpoint and stays readable
     assert {r.title: r.rank for r in res.ranks().collect()} == ranks_before
 
