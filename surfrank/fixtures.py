@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FIXTURES = ("wp", "wh", "wd")
+HUB = "HUB"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,8 +112,33 @@ def wd_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 WD_SQL = f"select {WD_CASE} as value from documents"
 
-BUILDERS = {"wp": wp_lines, "wh": wh_lines, "wd": wd_lines}
-SQL = {"wp": WP_SQL, "wh": WH_SQL, "wd": WD_SQL}
+def wk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part graph with a hot page: ``HUB`` has a line with links for each order line, about half of all links."""
+    li = table(spark, sf_dir, "lineitem")
+    hub = F.concat(F.lit(f"<title>{HUB}</title>[[P"), F.col("l_partkey").cast("string"), F.lit("]] [[S"), F.col("l_suppkey").cast("string"), F.lit("]]"))
+    return wp_lines(spark, sf_dir).unionByName(li.select(hub.alias("value")))
+
+
+WK_SQL = f"""
+select * from ({WP_SQL.strip()})
+union all
+select '<title>{HUB}</title>[[P' || l_partkey || ']] [[S' || l_suppkey || ']]' from lineitem
+"""
+
+# Lines with every character at which one of the two dot rules stops: the text decides which come inside of a link or a title.
+WS_CASE = """'<title>D' || (case doc_id % 5 when 0 then chr(133) when 1 then chr(8232) when 2 then chr(8233) when 3 then chr(12) else ' ' end) || doc_id || '</title>'
+ || '[[a' || chr(133) || doc_id || ']] [[b' || chr(8232) || 'c]] [[d]] [[e' || chr(8233) || '[[f]] [[' || chr(11) || ']] [[D' || (doc_id % 50) || ']] '
+ || replace(replace(replace(coalesce(text, ''), chr(10), ' '), chr(13), ' '), ' a ', ' [[x' || chr(8232) || ']] ')"""
+
+
+def ws_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.expr(WS_CASE.replace("chr(8232)", "'\u2028'").replace("chr(8233)", "'\u2029'").replace("chr(133)", "'\u0085'")).alias("value"))
+
+
+WS_SQL = f"select {WS_CASE} as value from documents"
+
+BUILDERS = {"wp": wp_lines, "wh": wh_lines, "wd": wd_lines, "wk": wk_lines, "ws": ws_lines}
+SQL = {"wp": WP_SQL, "wh": WH_SQL, "wd": WD_SQL, "wk": WK_SQL, "ws": WS_SQL}
 
 
 def lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

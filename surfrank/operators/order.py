@@ -15,6 +15,11 @@ def order_ranked(ranks: DataFrame, rank: str = "rank", title: str = "title") ->
     return ranks.orderBy(F.col(rank).desc(), F.col(title).asc())
 
 
+def distinct_ranked(ranks: DataFrame, rank: str = "rank", title: str = "title") -> DataFrame:
+    """One row for each (rank, title) key, for raw or repeated state (A8): a partial and a final aggregate before the sort."""
+    return ranks.groupBy(title, rank).agg(F.count(F.lit(1)).alias("n")).select(title, rank)
+
+
 def with_position(ordered: DataFrame, name: str = "pos") -> DataFrame:
     """Add a 1-based global position to a globally sorted DataFrame.
 

@@ -4,8 +4,8 @@ Each (fixture, preset) becomes a chain of CTEs: lines -> parsed -> pages ->
 edges / nodes -> one materialised CTE per iteration.  The SQL states the
 semantics independently of the Spark plans (lists, ``unnest``, plain joins and
 ``GROUP BY``), so agreement checks the Spark side.  Regex dialect note: DuckDB
-uses RE2, whose dot stops only at ``\\n``; the fixtures contain no other line
-separator, so the Java-dot and newline-dot link rules agree on them.
+uses RE2, whose dot stops only at ``\\n``.  On the fixture WS, whose lines have the other
+line separators, the Java rule is spelled as an explicit class; the others have none of them.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from surfrank.plans.presets import Preset, get_preset
 TITLE_RE = "<title.*?>(.*?)</title>"
 LINK_RE = r"\[\[(.*?)\]\]"
 LINK_RE_NEWLINE_DOT = r"\[\[([^\n]*?)\]\]"
+JAVA_DOT = r"[^\n\r\x{85}\x{2028}\x{2029}]"
 TEXT_RE = "<text.*?>(.*?)</text>"
 # ---------------------------------------------------------------------------
 
@@ -264,6 +265,12 @@ def all_queries(alpha: float = 0.15, sep: str = "\u001f") -> dict[str, str]:
         lambda fx: f"SELECT value, len({java_links})::BIGINT AS n_links, {_joined(java_links)} AS links, "
         f"len({py_links})::BIGINT AS n_links_py FROM {fx}_lines",
     )
+    out["outlinks_dot_rules"] = _q_lines_only(
+        ["ws"],
+        lambda fx: f"""SELECT value, CASE WHEN regexp_matches(value, '<title{JAVA_DOT}*?>({JAVA_DOT}*?)</title>')
+  THEN regexp_extract(value, '<title{JAVA_DOT}*?>({JAVA_DOT}*?)</title>', 1) END AS title,
+  {_joined(f"regexp_extract_all(value, '{LINK_RE.replace('.', JAVA_DOT)}', 1)")} AS links_java, {_joined(py_links)} AS links_py FROM {fx}_lines""",
+    )
     out["normalize_tabs"] = _q_lines_only(
         ["wd"],
         lambda fx: f"SELECT value, {title_sql(mr)} AS title, {_joined(links_sql(mr))} AS links "
@@ -362,7 +369,16 @@ ON n.id = m.key"""
 
     # loop, order, sinks, whole jobs
     out["rank_10"] = ranks_sql("wp", "mapreduce", 10, alpha)
-    out["rank_10_hot_sources"] = out["rank_10"]
+    out["rank_10_hot_sources"] = ranks_sql("wk", "mapreduce", 10, alpha)
+    out["rank_salted_sources"] = ranks_sql("wk", "mapreduce", 3, alpha)
+    ch = Chain()
+    last = rank_ctes(ch, "wk", "mapreduce", 2, alpha)
+    out["kept_state"] = ch.sql(
+        f"""SELECT r.id, r.outdeg, {q("r.rank")} AS rank, e.dst, e.mult FROM {last} r LEFT JOIN wk_mapreduce_edges e ON r.id = e.src"""
+    )
+    ch = Chain()
+    last = rank_ctes(ch, "wd", "mapreduce", 2, alpha)
+    out["ranked_repeated"] = ch.sql(f"SELECT row_number() OVER (ORDER BY {q("rank")} DESC, id) AS pos, id AS title, {q("rank")} AS rank FROM {last}")
     ch = Chain()
     last = rank_ctes(ch, "wp", "mapreduce", 10, alpha)
     out["ranked"] = ch.sql(
@@ -376,7 +392,8 @@ ON n.id = m.key"""
     wd_ranks = ranks_sql("wd", "mapreduce", 4, alpha)
     out["sink_ranked_order"] = f"""SELECT form, row_number() OVER (PARTITION BY form ORDER BY rank DESC, title) AS pos, title, rank
 FROM ({wd_ranks}) CROSS JOIN (SELECT unnest(['tsv', 'tuple_jvm', 'tuple_py']) AS form)"""
-    out["job_resumed"] = ranks_sql("wd", "mapreduce", 4, alpha)
+    out["job_resumed"] = ranks_sql("wk", "mapreduce", 4, alpha)
+    out["job_resumed_text"] = ranks_sql("wd", "mapreduce", 4, alpha)
     out["rank_extractor"] = ranks_sql("wd", "mapreduce", 3, alpha)
     out["sink_ranked_tsv"] = ranks_sql("wd", "mapreduce", 4, alpha)
     out["sink_tuple_py"] = ranks_sql("wd", "rdd_py", 4, alpha)

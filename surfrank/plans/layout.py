@@ -98,7 +98,7 @@ def lay_out(
         flagged = nodes.withColumn("hot", F.lit(False))
     else:
         keys = nodes.where(is_hot).groupBy(source_hash("id").alias("src_hash")).agg(F.ceil(F.max("outdeg") / threshold).cast("int").alias("salts"))
-        hot_keys = keys.coalesce(1).checkpoint(eager=True)  # at most hot_factor * P rows of 12 bytes
+        hot_keys = keys.coalesce(min(p, 4)).checkpoint(eager=True)  # at most hot_factor * P rows of 12 bytes
         flagged = nodes.join(F.broadcast(hot_keys), source_hash("id") == F.col("src_hash"), "left").select("id", "outdeg", F.col("src_hash").isNotNull().alias("hot"))
         flagged = flagged.persist(storage)
         flagged.count()

@@ -228,21 +228,6 @@ def test_state_records_with_hot_sources(spark, lines_df):
     assert all(recs[t].pageRank == ranks[t] for t in ranks)
 
 
-def test_tagged_state_messages_with_hot_sources(lines_df):
-    from pyspark.sql import functions as F
-
-    hub = "<title>H</title>" + " ".join(f"[[t{i}]]" for i in range(40)) + " [[t1]] [[t1]]"
-    lines = [hub] + [f"<title>t{i}</title>[[H]]" for i in range(40)]
-    for kw in ({}, {"hot_floor": 1}):
-        res = rank_pages(lines_df(lines), 0, 0.15, num_partitions=4, **kw)
-        structure, msgs = ST.split_tagged(ST.tagged_state(res.state, res.layout))
-        got = {r.key: (r.n, r.s) for r in msgs.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("pageRank")).alias("s")).collect()}
-        share = (1 / 41) / 42  # H's rank 1/N spread over its 42 link occurrences
-        assert got["t1"][0] == 3 and got["t1"][1] == pytest.approx(3 * share)
-        assert got["H"] == (40, pytest.approx(40 * (1 / 41)))
-        assert structure.count() == 41
-
-
 def test_resume_from_records_of_a_hub(spark, lines_df, scratch):
     hub = "<title>H</title>" + " ".join(f"[[t{i % 9}]]" for i in range(30))
     lines = [hub] + [f"<title>t{i}</title>[[H]] [[t{(i + 2) % 9}]]" for i in range(9)] + ["<title>lone</title>"]
