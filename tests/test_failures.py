@@ -53,16 +53,16 @@ def test_no_parsable_line_gives_empty_ranking(lines_df):
 
 
 def test_partition_count_rules(spark):
-    from surfrank.plans.job import _partitions
+    from surfrank.plans.job import GraphStats, _partitions
     from surfrank.session import job_conf
 
     floor = spark.sparkContext.defaultParallelism
-    assert _partitions(spark, 5, 10**9) == 5
+    assert _partitions(spark, 5, GraphStats(1, 10**9)) == 5
     with job_conf(spark, {"spark.sql.shuffle.partitions": "64"}):
-        assert _partitions(spark, None, 10) == floor
-        assert _partitions(spark, None, 10**9) == max(floor, 500)  # the session setting is no cap
+        assert _partitions(spark, None, GraphStats(1, 10)) == floor
+        assert _partitions(spark, None, GraphStats(1, 10**9)) == max(floor, 500)  # the session setting is no cap
     with pytest.raises(ValueError):
-        _partitions(spark, 0, 10)
+        _partitions(spark, 0, GraphStats(1, 10))
 
 
 def test_preset_switches_are_validated():
