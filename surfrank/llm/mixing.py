@@ -6,21 +6,26 @@ share of the output, at most ``max_repeat`` times its own size; what is above
 is shared again by weight (the level at which this ends is found in closed
 form from running sums over the sources).  The target is met by slots: whole
 passes over the blocks, then a last pass that stops within a block, so that the
-taken words equal the rounded target.  The slots of a source are dealt to the
-output shards by one multinomial draw, so each shard has multinomial counts of
-the sources and the totals still meet the targets.  Slot q of a pass takes the
+taken words equal the rounded target.  Output shards have ``shard_slots`` slots each (the
+last has the rest).  The slots of all sources are dealt to them by multinomial draws of
+the sources' counts: for the first half of the shards, then for each half of a half, down to
+a single shard, each draw with the shares of what is left for it and corrected where it
+takes more of a source than there is.  So every shard has multinomial counts, the totals
+meet the targets, and a shard's counts and first slots follow from the draws above it
+alone, without any other shard.  Slot q of a pass takes the
 block at q in the source's pseudorandom permutation for that pass (a Feistel
 network over the block numbers, walked until it stays in range), and the slots
-are joined with the blocks by (source, block).
+are joined with the blocks by (source, block), in a shuffle join whatever their size.
 
 No document is taken more than ``max_repeat`` times, as every pass has each
-block once.  Draws depend on (seed, source) alone, so reruns agree.  No step
-gathers a source: running sums go over buckets of documents, then over groups
-of buckets, and the join's keys are blocks.
+block once.  Draws depend on the seed and the sources' sizes alone, so reruns agree.  No step
+gathers a source's documents: running sums go over buckets of documents, then over groups
+of buckets, and the join's keys are blocks.  The table of sources (a row for each) is sorted in
+one task and held by the driver and the tasks that draw: 32 bytes for a source.
 
 Null source is a source of its own, sorted last; null or empty text has size 0
 and is taken 0 times; a source without words has target 0.  Repeated rows are
-rows like any other and are packed next to each other.  An empty table gives no
+rows like any other and are packed next to each other (rows of equal doc_id and text share a bucket).  An empty table gives no
 rows.  Extra columns are dropped.
 """
 
@@ -34,22 +39,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surfrank.llm.tables import settled, table
+from surfrank.llm.tables import broadcast_if_small, settled, table
 from surfrank.llm.text import WORD, mix
 
 BLOCK_WORDS = 64
-#: Slots a shard has on average.
+#: Slots of a shard.
 SHARD_SLOTS = 1 << 16
 #: Documents of a bucket on average, and buckets of a group: units of the running sums.
 BUCKET_DOCS, GROUP_BUCKETS = 256, 1024
+#: Tasks that draw and place, each for one shard or more.
+MOST_TASKS = 20_000
 WEIGHTS = (3, 1, 2)
 _U = np.uint64
 
 
 def sizes(documents: DataFrame) -> DataFrame:
-    """doc_id, source and size (number of words) of each row."""
+    """doc_id, source, size (number of words) and a hash of the text of each row."""
     n = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n.cast("long").alias("size"))
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n.cast("long").alias("size"), F.xxhash64("text").alias("text_key"))
 
 
 def targets(sized: DataFrame, weights=WEIGHTS, multiple: float = 1.5, max_repeat: int = 2) -> DataFrame:
@@ -76,8 +83,8 @@ def laid_out(sized: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
     """Each row with its source_no and the number of its source's words that lie before it (``start``)."""
     n = sized.count()
     buckets = max(1, -(-n // BUCKET_DOCS))
-    rows = sized.join(F.broadcast(sources.select(F.col("source").alias("s"), "source_no")), F.col("source").eqNullSafe(F.col("s")))
-    rows = rows.withColumn("key", F.xxhash64(F.lit(seed), "doc_id")).select("doc_id", "source_no", "size", "key", F.pmod("key", F.lit(buckets)).alias("bucket"))
+    rows = sized.join(broadcast_if_small(sources.select(F.col("source").alias("s"), "source_no")), F.col("source").eqNullSafe(F.col("s")))
+    rows = rows.withColumn("key", F.xxhash64(F.lit(seed), "doc_id", "text_key")).select("doc_id", "source_no", "size", "key", F.pmod("key", F.lit(buckets)).alias("bucket"))
     rows = rows.withColumn("group", F.expr(f"bucket DIV {GROUP_BUCKETS}"))
     before = lambda part, *order: F.coalesce(F.sum("size").over(Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     per_bucket = rows.groupBy("source_no", "group", "bucket").agg(F.sum("size").alias("size"))
@@ -137,51 +144,60 @@ def slot_plan(size: int, target: float, block_words: int, keys_of) -> tuple[int,
     return n, whole, slots, rest - before
 
 
-def _drawn(seed: int, block_words: int, shards: int):
-    """For each source its multinomial draw over the shards: (source_no, shard, first slot, slots)."""
-
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for source, size, target in zip(*(batch.column(c).to_pylist() for c in ("source_no", "source_size", "target"))):
-                n, whole, slots, _ = slot_plan(size, target, block_words, lambda t: _keys(seed, source, t))
-                rng = np.random.Generator(np.random.PCG64(_keys(seed, source, -1)))
-                counts = rng.multinomial(n * whole + slots, np.full(shards, 1 / shards))
-                first = np.cumsum(counts) - counts
-                some = np.flatnonzero(counts)
-                for at in range(0, len(some), 1 << 16):
-                    part = some[at : at + (1 << 16)]
-                    k = len(part)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(k, source, dtype=np.int32)), pa.array(np.full(k, size)), pa.array(np.full(k, target)), pa.array(part.astype(np.int64)), pa.array(first[part]), pa.array(counts[part])],
-                        names=["source_no", "source_size", "target", "shard", "first", "slots"],
-                    )
-
-    return draw
-
-
-def _placed(seed: int, block_words: int):
-    """Slots of a shard's draw mapped to blocks."""
+def dealt(shard: int, shards: int, slots: np.ndarray, shard_slots: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first slot, number of slots) of each source in a shard."""
+    first, left, low, high = np.zeros_like(slots), slots.copy(), 0, shards
+    while high - low > 1:  # ``left`` are the slots of shards low .. high - 1
+        middle = (low + high) // 2
+        part = halved(left, (middle - low) * shard_slots, _keys(seed, low, high))
+        if shard < middle:
+            left, high = part, middle
+        else:
+            first, left, low = first + part, left - part, middle
+    return first, left
+
+
+def halved(slots: np.ndarray, n: int, key: list[int]) -> np.ndarray:
+    """A multinomial draw of n of the slots; what is drawn of a source beyond its slots goes to those with most room."""
+    rng = np.random.Generator(np.random.PCG64(key))
+    part = rng.multinomial(n, slots / slots.sum())
+    over = int(np.maximum(part - slots, 0).sum())
+    part = np.minimum(part, slots)
+    for k in np.argsort(part - slots, kind="stable"):
+        if over == 0:
+            break
+        more = min(over, int(slots[k] - part[k]))
+        part[k] += more
+        over -= more
+    return part
+
+
+def _placed(sources: list[tuple[int, int, float]], shards: int, shard_slots: int, block_words: int, seed: int):
+    """The slots of shards, drawn and mapped to blocks."""
+    plans = {no: slot_plan(size, target, block_words, lambda t, no=no: _keys(seed, no, t)) for no, size, target in sources}
+    slots = np.array([n * whole + last for n, whole, last, _ in plans.values()], dtype=np.int64)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for source, size, target, shard, first, count in zip(*(c.to_pylist() for c in batch.columns)):
-                n, whole, slots, last = slot_plan(size, target, block_words, lambda t: _keys(seed, source, t))
-                for at in range(first, first + count, 1 << 16):
-                    slot = np.arange(at, min(at + (1 << 16), first + count), dtype=np.int64)
-                    turn = slot // n
-                    block = np.empty_like(slot)
-                    for t in np.unique(turn):
-                        here = turn == t
-                        block[here] = permute(slot[here] - t * n, n, _keys(seed, source, int(t)))
-                    words = np.full(len(slot), block_words, dtype=np.int64)
-                    if slots:
-                        words[slot == n * whole + slots - 1] = last
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(slot), source, dtype=np.int32)), pa.array(block), pa.array(np.full(len(slot), shard)), pa.array(slot), pa.array(words)],
-                        names=["source_no", "block", "shard", "slot", "words"],
-                    )
-
-    return place
+            for shard in batch.column("id").to_pylist():
+                for source, begin, count in zip(plans, *(x.tolist() for x in dealt(shard, shards, slots, shard_slots, seed))):
+                    n, whole, slots_of_last, last = plans[source]
+                    for at in range(begin, begin + count, 1 << 16):
+                        slot = np.arange(at, min(at + (1 << 16), begin + count), dtype=np.int64)
+                        turn = slot // n
+                        block = np.empty_like(slot)
+                        for t in np.unique(turn):
+                            here = turn == t
+                            block[here] = permute(slot[here] - t * n, n, _keys(seed, source, int(t)))
+                        words = np.full(len(slot), block_words, dtype=np.int64)
+                        if slots_of_last:
+                            words[slot == n * whole + slots_of_last - 1] = last
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(slot), source, dtype=np.int32)), pa.array(block), pa.array(np.full(len(slot), shard)), pa.array(slot), pa.array(words)],
+                            names=["source_no", "block", "shard", "slot", "words"],
+                        )
+
+    return place, int(slots.sum())
 
 
 def mix_documents(documents: DataFrame, weights=WEIGHTS, multiple: float = 1.5, max_repeat: int = 2, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = 20):
@@ -193,18 +209,20 @@ def mix_documents(documents: DataFrame, weights=WEIGHTS, multiple: float = 1.5,
     sized = settled(sizes(documents))
     sources = settled(targets(sized, weights, multiple, max_repeat))
     laid = settled(laid_out(sized, sources, seed))
-    total = sources.agg(F.sum("target")).first()[0] or 0.0
-    shards = max(1, round(total / block_words / shard_slots))
-    drawn = sources.select(F.col("source_no").cast("int").alias("source_no"), "source_size", "target").repartition("source_no")
-    drawn = drawn.mapInArrow(_drawn(seed, block_words, shards), "source_no int, source_size long, target double, shard long, first long, slots long")
-    slots = drawn.repartition("source_no", "shard").mapInArrow(_placed(seed, block_words), "source_no int, block long, shard long, slot long, words long")
+    spark = documents.sparkSession
+    known = [(int(r["source_no"]), r["source_size"], r["target"]) for r in sources.orderBy("source_no").collect()]  # a row for each source
+    known = [x for x in known if x[1] and round(x[2]) > 0]
+    n_slots = _placed(known, 1, shard_slots, block_words, seed)[1] if known else 0
+    shards = max(1, -(-n_slots // shard_slots))
+    place = _placed(known, shards, shard_slots, block_words, seed)[0]
+    slots = spark.range(0, shards if n_slots else 0, 1, min(shards, MOST_TASKS)).mapInArrow(place, "source_no int, block long, shard long, slot long, words long")
     pieces = laid.where("size > 0").select(
         "doc_id", "source_no", "size", "start", F.explode(F.expr(f"sequence(start DIV {block_words}, (start + size - 1) DIV {block_words})")).alias("block")
     )
     begin = F.greatest("start", F.col("block") * block_words)
     end = F.least(F.col("start") + F.col("size"), F.col("block") * block_words + F.col("words"))
     spans = (
-        slots.join(pieces, ["source_no", "block"])
+        slots.hint("merge").join(pieces, ["source_no", "block"])  # Spark can't tell how many slots a shard makes
         .select("shard", "slot", "source_no", "block", "doc_id", "start", (begin - F.col("start")).alias("first_word"), (end - begin).alias("n_words"))
         .where("n_words > 0")
     )
@@ -218,4 +236,4 @@ def op4_mixing(spark, sf_dir):
     rows = laid.join(taken, [laid.source_no == taken.source_no, laid.start == taken.start, laid.size > 0], "left").select(
         "doc_id", laid.source_no.alias("source_no"), "size", F.coalesce("words", F.lit(0)).alias("taken")
     )
-    return rows.join(F.broadcast(sources), "source_no").select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+    return rows.join(broadcast_if_small(sources), "source_no").select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))

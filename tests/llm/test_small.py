@@ -203,6 +203,28 @@ def test_mixing(spark, docs, no_docs):
     assert mixing.mix_documents(no_docs)[2].count() == 0
 
 
+def test_shards_have_fixed_sizes_and_meet_the_targets():
+    for slots, size in (([1000, 50, 3], 100), ([7, 0, 1], 3), ([5], 10), ([10**12, 3 * 10**11], 10**9)):
+        slots = np.array(slots)
+        shards = -(-int(slots.sum()) // size)
+        drawn = [mixing.dealt(k, shards, slots, size, 20) for k in range(min(shards, 40))]
+        assert all(int(n.sum()) == size for _, n in drawn[: shards - 1][:39])
+        at = np.zeros_like(slots)
+        for first, n in drawn:
+            assert (first == at).all() and (n >= 0).all()
+            at = at + n
+        assert shards > 40 or (at == slots).all()
+    counts = np.array([mixing.dealt(k, 40, np.array([30000, 10000]), 1000, 5)[1] for k in range(40)])
+    assert 10 < counts[:, 0].std() < 60 and abs(counts[:, 0].mean() - 750) < 1e-9  # multinomial shards: 13.7 each, more with the draws above
+
+
+def test_mixing_broadcasts_no_slots(spark, docs):
+    spans = mixing.mix_documents(docs, block_words=8, shard_slots=20)[2]
+    spans.collect()
+    plan = spans._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
 def test_permutations():
     for n in (1, 2, 3, 17, 64, 65, 1000):
         keys = mixing._keys(1, 2, n)
