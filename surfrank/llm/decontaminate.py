@@ -39,18 +39,18 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from surfrank.llm.tables import settled, table, written
+from surfrank.llm.tables import broadcast_if_small, likely, settled, table, without, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
 RADIUS, BLOCKS = 19, 4
 BLOCK_BITS = 64 // BLOCKS
-#: Rows of two or three longs up to which a table is broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 1 << 20
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def _among(rows: DataFrame, keys: DataFrame, *on: str, key: str) -> DataFrame:
+    """``rows`` joined with a written table: a broadcast if it is small, measured in bytes, else a shuffle of the rows that its column ``key`` lets pass."""
+    small = broadcast_if_small(keys)
+    return rows.join(small, list(on)) if small is not keys else likely(rows, keys, key).join(keys.hint("merge"), list(on))
 
 
 def with_shingles(texts: DataFrame, keep: list[str]) -> DataFrame:
@@ -86,21 +86,18 @@ def find_contaminated(documents: DataFrame, benchmark: DataFrame, threshold: flo
     """
     items = settled(with_shingles(benchmark.select("item_id", "text"), ["item_id"]).where("size(hs) > 0").withColumn("n", F.size("hs")))
     known = settled(items.select(F.explode("hs").alias("h"), "n").groupBy("h").agg(F.collect_set("n").alias("ns")))
-    n_known = known.count()
     docs = documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
     # windows: (doc_id, text_key) -> starts [(at, n)]
-    anchors = with_shingles(docs, ["doc_id", "text_key"]).select("doc_id", "text_key", F.posexplode("hs").alias("at", "h")).join(_small(known, n_known), "h")
-    found = anchors.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set(F.struct("at", "ns"))).alias("hits"))
+    anchors = with_shingles(docs, ["doc_id", "text_key"]).select("doc_id", "text_key", F.posexplode("hs").alias("at", "h"))
+    found = _among(anchors, known, "h", key="h")
+    found = found.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set(F.struct("at", "ns"))).alias("hits"))
     enough = f"coalesce(get(hits, i + CAST(ceil({threshold} * n) AS INT) - 1).at < x.at + n, false)"
     starts = F.expr(f"flatten(transform(hits, (x, i) -> transform(filter(x.ns, n -> {enough}), n -> struct(x.at AS at, n AS n))))")
     found = written(found.select("doc_id", "text_key", starts.alias("starts")).where("size(starts) > 0"), "windows")
 
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_key"] == b["text_key"])
-    n_found = found.count()
-    if n_found <= BROADCAST_ROWS:
-        keys = F.broadcast(found.select("doc_id", "text_key"))
-        docs = docs.join(keys, same(docs, keys), "left_semi")
+    docs = likely(docs, found.select("text_key").distinct(), "text_key")  # only texts with windows are shuffled
     docs = with_shingles(docs.dropDuplicates(["doc_id", "text_key"]), ["doc_id", "text_key"])
     windows = docs.join(found, same(docs, found)).select(docs["doc_id"], docs["text_key"], "hs", F.explode("starts").alias("s"))
     windows = windows.select("doc_id", "text_key", F.col("s.at").alias("at"), F.col("s.n").alias("n"), F.expr("slice(hs, s.at + 1, s.n)").alias("hs"))
@@ -111,15 +108,15 @@ def find_contaminated(documents: DataFrame, benchmark: DataFrame, threshold: flo
     prints = with_fingerprint(items)
     index = blocks(prints.select("n", "fp").distinct(), "n").withColumn("flip", F.explode(F.lit(flips).cast("array<bigint>")))
     index = index.select("n", "block", F.col("value").bitwiseXOR(F.col("flip")).alias("value"), F.col("fp").alias("item_fp"))
-    near = blocks(windows.select("n", "fp").distinct(), "n").join(index, ["n", "block", "value"])
+    near = blocks(windows.select("n", "fp").distinct(), "n").join(index.hint("merge"), ["n", "block", "value"])  # thousands of rows for each item: no broadcast
     near = near.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select("n", "fp", "item_fp").distinct()
     near = settled(near.join(prints.select("n", F.col("fp").alias("item_fp"), "item_id"), ["n", "item_fp"]).select("n", "fp", "item_id"))
 
     # the exact similarity; what a window and an item have in common is summed over their shingles
-    weights = items.select("item_id", F.explode("hs").alias("h")).groupBy("item_id", "h").agg(F.count("*").alias("item_weight"))
+    weights = settled(items.select("item_id", F.explode("hs").alias("h")).groupBy("item_id", "h").agg(F.count("*").alias("item_weight")))
     tested = windows.join(near, ["n", "fp"]).select("doc_id", "text_key", "at", "n", "item_id", F.size("hs").alias("m"), F.explode("hs").alias("h"))
     tested = tested.groupBy("doc_id", "text_key", "at", "n", "m", "item_id", "h").agg(F.count("*").alias("weight"))
-    common = tested.join(_small(weights, n_known), ["item_id", "h"]).groupBy("doc_id", "text_key", "at", "n", "m", "item_id")
+    common = _among(tested, weights, "item_id", "h", key="h").groupBy("doc_id", "text_key", "at", "n", "m", "item_id")
     common = common.agg(F.sum(F.least("weight", "item_weight")).alias("both"))
     common = common.withColumn("similarity", F.col("both") / (F.col("n") + F.col("m") - F.col("both")))
     return common.where(F.col("similarity") >= threshold).groupBy("doc_id", "text_key", "item_id").agg(F.max("similarity").alias("similarity"))
@@ -127,8 +124,10 @@ def find_contaminated(documents: DataFrame, benchmark: DataFrame, threshold: flo
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
     """The rows of ``documents`` that hold no benchmark item, with all their columns."""
-    bad = settled(find_contaminated(documents, benchmark, threshold, radius).select(F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")).distinct())
-    return documents.join(_small(bad, bad.count()), documents["doc_id"].eqNullSafe(bad["bad_id"]) & (F.xxhash64(documents["text"]) == bad["bad_key"]), "left_anti")
+    found = find_contaminated(documents, benchmark, threshold, radius)
+    row = lambda doc_id, text_key: F.to_json(F.struct(F.col(doc_id).alias("d"), text_key.alias("k")))  # noqa: E731  a null doc_id is a value
+    bad = settled(found.select(row("doc_id", F.col("text_key")).alias("contaminated_row")).distinct())
+    return without(documents.withColumn("contaminated_row", row("doc_id", F.xxhash64("text"))), bad, "contaminated_row").select(documents.columns)
 
 
 def op1_decontamination(spark, sf_dir):

@@ -3,8 +3,8 @@
 A document's set is its distinct shingles of ``size`` words (A-Z folded; of
 fewer words the whole sequence as one shingle).  Its sketch has the ``k``
 smallest hashes of the set.  Documents of equal sets (equal 128-bit digests of
-all their hashes) form a class, named by its smallest doc_id; all that follows
-is on classes.
+all their hashes) form a class, with a number that is its smallest doc_id where that isn't
+taken; all that follows is on classes.
 
 Candidates: inverted lists of the sketch values.  Two sets with a similarity of
 t or more share at least ``least`` values of their sketches (all of t * n, if
@@ -25,7 +25,11 @@ two components is compared, in short lists as a row for each pair and in long
 ones within cells of full sets, which return no more than the links that join components.  So no link that would join two components is left
 out, and the pairs within a group that is already joined are never made.
 
+Sketches are joined with pairs only where a filter says that a pair has them, and
+texts are read where a pair has passed the estimate; no other text is shuffled.
+
 Null text, or one without words, has an empty set and is linked with nothing.
+Rows of one doc_id are one document: if their texts differ, their classes belong together.
 Repeated rows are exact copies.  A row with null doc_id takes no part and keeps
 a null component.  No rows give no rows.  Extra columns are dropped.
 """
@@ -42,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from surfrank.llm.graph import components
-from surfrank.llm.tables import bucketed, likely, settled, table, written
+from surfrank.llm.tables import broadcast_if_small, deleted, likely, settled, table, written
 from surfrank.llm.text import shingles, words_of
 
 K = 48
@@ -71,7 +75,7 @@ def _sketch(size: int, k: int):
                 values.append(own[:k])
                 ends.append(ends[-1] + min(k, len(own)))
             sketches = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values), pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), sketches], names=["doc_id", "n", "digest", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), sketches], names=["doc_id", "text_key", "n", "digest", "sketch"])
 
     return sketch
 
@@ -162,28 +166,51 @@ class NearDuplicates:
 
     def __init__(self, documents: DataFrame, size: int, percent: int, k: int = K):
         self.size, self.percent, self.k = size, percent, k
-        self.texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        self.texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_key"), F.col("text").cast("string").alias("text"))
+        self.paths: list[str] = []  # tables that are done with when the links are known
+
+    def _written(self, df: DataFrame, name: str) -> DataFrame:
+        return written(df, name, self.paths)
 
     def run(self) -> DataFrame:
-        sketched = written(self.texts.mapInArrow(_sketch(self.size, self.k), "doc_id long, n long, digest binary, sketch array<long>"), "sketches")
-        groups = sketched.where("n > 0 AND doc_id IS NOT NULL").groupBy("digest")
-        classes = written(groups.agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
-        # rows of one doc_id may differ in text: such a node has several classes, and takes one of their sketches
-        nodes = classes.select("node", "n", "sketch")
-        if not classes.groupBy("node").count().where("count > 1").isEmpty():
-            nodes = written(nodes.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
-        links = self._links(nodes)
-        named = settled(classes.join(components(links), "node", "left").select("digest", F.coalesce("component", "node").alias("node")))
+        sketched = written(self.texts.mapInArrow(_sketch(self.size, self.k), "doc_id long, text_key long, n long, digest binary, sketch array<long>"), "sketches")
+        known = sketched.where("n > 0 AND doc_id IS NOT NULL")
+        groups = known.groupBy("digest").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        classes = self._written(groups.select("digest", "one.doc_id", "one.text_key", "n", "sketch"), "classes")
+        several = self._written(known.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("doc_id"), "several")
+        alone = several.isEmpty()
+        if alone:
+            self.classes = classes.withColumn("node", F.col("doc_id"))
+            links = self._links()
+        else:
+            links = self._linked_by_id(known, classes, several)
+        named = self.classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        if not alone:  # numbers of classes aren't doc_ids everywhere
+            least = settled(named.groupBy("component").agg(F.min("doc_id").alias("least")))
+            named = named.join(least, "component").withColumn("component", F.col("least"))
+        named = settled(named.select("digest", F.col("component").alias("node")))
+        deleted(self.texts.sparkSession, self.paths)
         # the kept table has a row for each set, and both sides have plain exchanges: a large group of copies can be split
         rows = sketched.select("doc_id", "n", "digest").join(named, "digest", "left")
         part = F.when(F.col("n") > 0, F.col("node")).otherwise(F.col("doc_id"))
         return rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), part).alias("component_id"))
 
+    def _linked_by_id(self, known: DataFrame, classes: DataFrame, several: DataFrame) -> DataFrame:
+        """Links of classes of which some share a doc_id: a class whose smallest doc_id is taken gets a number below all doc_ids."""
+        lowest = classes.agg(F.min("doc_id")).first()[0]
+        nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("digest"))  # as many as texts of a document
+        node = F.when(nth == 1, F.col("doc_id")).otherwise(F.lit(lowest - 1) - F.monotonically_increasing_id())
+        self.classes = self._written(classes.withColumn("node", node), "classes")
+        shared = known.join(broadcast_if_small(several), "doc_id").select("doc_id", "digest").distinct().join(self.classes.select("digest", "node"), "digest")
+        shared = self._written(shared.select("doc_id", "node"), "shared")
+        first = shared.groupBy("doc_id").agg(F.min("node").alias("first"))
+        return self._links().union(shared.join(first, "doc_id").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")))
+
     def _lists(self, nodes: DataFrame) -> DataFrame:
         """(value, node, n, weight): the listed values of each class; weight is the sum of their frequencies."""
         t, k = self.percent / 100, self.k
         rows = nodes.select("node", "n", F.explode("sketch").alias("value"))
-        common = written(rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "values")
+        common = self._written(rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "values")
         rows = rows.join(common, "value")
         length = F.least("n", F.lit(k))
         least = F.when(F.col("n") <= int(t * k), F.ceil(F.col("n") * self.percent / 100)).otherwise(math.ceil(k * t - LIST_MARGIN * math.sqrt(k * t * (1 - t))))
@@ -191,39 +218,33 @@ class NearDuplicates:
         alone = length - F.count("*").over(by_node)  # values that no other class has come first
         rows = rows.withColumn("left", length - least + 1 - alone).withColumn("place", F.row_number().over(by_node.orderBy("df", "value")))
         rows = rows.where("place <= left").withColumn("weight", F.sum("df").over(by_node))
-        return written(rows.select("value", "node", "n", "weight"), "lists")
+        return self._written(rows.select("value", "node", "n", "weight"), "lists")
 
-    def _links(self, nodes: DataFrame) -> DataFrame:
+    def _links(self) -> DataFrame:
+        """Links that join all that is similar."""
+        nodes = self.classes.select("node", "n", "sketch")
         lists = self._lists(nodes)
         best = F.max(F.struct("weight", (-F.col("node")).alias("neg"), F.col("n").alias("n"))).alias("best")
-        pivots = written(lists.groupBy("value").agg(best, F.count("*").alias("m")).where("m > 1").select("value", (-F.col("best.neg")).alias("pivot"), F.col("best.n").alias("pivot_n")), "pivots")
+        pivots = self._written(lists.groupBy("value").agg(best, F.count("*").alias("m")).where("m > 1").select("value", (-F.col("best.neg")).alias("pivot"), F.col("best.n").alias("pivot_n")), "pivots")
         starred = lists.join(pivots, "value").where("node <> pivot").where(self._near("n", "pivot_n"))
         starred = starred.groupBy("node", "pivot").agg(F.count("*").alias("shared"))
-        pairs = written(starred.select("shared", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"), "node"), "pairs")
-        entry = self._texts(lists.join(pivots.select("value"), "value", "left_semi").select("node"))
-        try:
-            return self._joined(nodes, lists, pairs, nodes.sparkSession.table(entry))
-        finally:
-            nodes.sparkSession.sql(f"DROP TABLE IF EXISTS {entry}")
-
-    def _joined(self, nodes: DataFrame, lists: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
-        """Links that join all that is similar, from the first pairs and the lists."""
+        pairs = self._written(starred.select("shared", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"), "node"), "pairs")
         first = pairs.withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("shared"), "a", "b"))).where("r = 1")
-        tested = written(first.select("a", "b").distinct(), "tested")
-        links = self._confirmed(written(self._passing(tested, nodes).select("a", "b"), "passed"), texts)
+        tested = self._written(first.select("a", "b").distinct(), "tested")
+        links = self._confirmed(self._written(self._passing(tested, nodes).select("a", "b"), "passed"))
         for turn in range(PIVOT_ROUNDS + 1):
             found = components(links)
             label = lists.select("value", "node", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            split = written(label.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("value"), "split")
+            split = self._written(label.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("value"), "split")
             if split.isEmpty():
                 break
-            rows = written(label.join(split, "value"), "open")
+            rows = self._written(label.join(split, "value"), "open")
             if turn < PIVOT_ROUNDS:
                 top = self._largest(rows, turn)
                 met = rows.join(top.select("value", "other", "m", "c"), "value").where("component <> c")
             else:
-                top = written(self._largest(rows, turn), "largest")
-                links = settled(links.union(self._met_in_cells(rows, top.where(F.col("members") > SHORT_LIST), texts)))
+                top = self._written(self._largest(rows, turn), "largest")
+                links = settled(links.union(self._met_in_cells(rows, top.where(F.col("members") > SHORT_LIST))))
                 short = rows.join(top.where(F.col("members") <= SHORT_LIST).select("value"), "value", "left_semi")
                 other = short.select("value", F.col("node").alias("other"), F.col("n").alias("m"), F.col("component").alias("c"))
                 met = short.join(other, "value").where("component < c")
@@ -232,8 +253,8 @@ class NearDuplicates:
             if turn < PIVOT_ROUNDS:  # each member's most similar pivots; the others come again in the last round
                 nearest = Window.partitionBy("node").orderBy(F.desc("share"), "a", "b")
                 passed = passed.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= PIVOTS_TRIED)
-            passed = written(passed.select("a", "b").distinct(), "passed")
-            links = settled(links.union(self._confirmed(passed, texts)))
+            passed = self._written(passed.select("a", "b").distinct(), "passed")
+            links = settled(links.union(self._confirmed(passed)))
             tested = tested.union(passed)
         return links
 
@@ -244,7 +265,7 @@ class NearDuplicates:
         per = per.groupBy("value").agg(F.sum("size").alias("members"), F.max(F.struct("size", "component", "one")).alias("best"))
         return per.select("value", "members", F.col("best.one.node").alias("other"), F.col("best.one.n").alias("m"), F.col("best.component").alias("c"))
 
-    def _met_in_cells(self, rows: DataFrame, lists: DataFrame, texts: DataFrame) -> DataFrame:
+    def _met_in_cells(self, rows: DataFrame, lists: DataFrame) -> DataFrame:
         """Links between components among the members of long lists, by full sets.
 
         Lists with the same most frequent component c are taken together.  A
@@ -254,7 +275,7 @@ class NearDuplicates:
         """
         members = rows.join(lists.select("value", "c"), "value").groupBy("c", "node").agg(F.first("component").alias("component"), F.first("n").alias("n"))
         weight = F.col("n") + F.lit(CELL_BASE)
-        members = written(members.withColumn("weight", weight), "members")
+        members = self._written(members.withColumn("weight", weight), "members")
         outside = F.col("component") != F.col("c")
         parts = members.groupBy("c").agg(F.sum(F.when(outside, F.col("weight")).otherwise(0)).alias("u"), F.sum("weight").alias("v"))
         parts = parts.select("c", F.ceil(F.col("u") / CELL_WEIGHT).alias("us"), F.ceil(F.col("v") / CELL_WEIGHT).alias("vs"))
@@ -262,21 +283,23 @@ class NearDuplicates:
         dealt = members.join(settled(parts), "c").withColumn("i", F.pmod(h, F.col("us"))).withColumn("j", F.pmod(h, F.col("vs")))
         side_0 = dealt.where(outside).select("c", "node", "component", F.col("i"), F.explode(F.expr("sequence(0L, vs - 1)")).alias("j"), F.lit(0).alias("side"))
         side_1 = dealt.select("c", "node", "component", F.explode(F.expr("sequence(0L, us - 1)")).alias("i"), F.col("j"), F.lit(1).alias("side"))
-        both = side_0.unionByName(side_1).join(texts.select(F.col("doc_id").alias("node"), "text"), "node")
+        both = side_0.unionByName(side_1).join(self._texts_of(members.select("node")), "node")
         return settled(both.groupBy("c", "i", "j").applyInArrow(_cell(self.size, self.percent), "a long, b long"))
 
     def _near(self, n: str, m: str) -> F.Column:
         """Sets of these sizes can be similar enough."""
         return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
 
-    def _texts(self, wanted: DataFrame) -> str:
-        """Texts of the classes that lists have, in buckets: they, and hardly any others, are shuffled this once."""
-        wanted = settled(wanted.distinct().withColumnRenamed("node", "doc_id"))
-        return bucketed(likely(self.texts, wanted, "doc_id").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "doc_id", "texts")
+    def _texts_of(self, nodes: DataFrame) -> DataFrame:
+        """(node, text) of classes; of all texts, hardly any others are shuffled."""
+        wanted = self._written(self.classes.select("node", "doc_id", "text_key").join(nodes.distinct(), "node", "left_semi"), "wanted")
+        rows = likely(self.texts, wanted.select("text_key"), "text_key")
+        return self._written(rows.join(wanted, ["doc_id", "text_key"]).dropDuplicates(["node"]).select("node", "text"), "texts")
 
     def _passing(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """The pairs that the union's sketch lets pass, with the estimate ``share``."""
         t, k = self.percent / 100, self.k
+        nodes = likely(nodes, pairs.select(F.explode(F.array("a", "b")).alias("node")), "node")
         side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
         both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("all", F.array_union("s_a", "s_b"))
         both = both.withColumn("whole", (F.col("n_a") <= k) & (F.col("n_b") <= k) & (F.size("all") <= k))
@@ -285,11 +308,10 @@ class NearDuplicates:
         low = F.when(F.col("whole"), t - 1e-9).otherwise(t - MARGIN * math.sqrt(t * (1 - t) / k))
         return both.where(F.col("share") >= low).select(*pairs.columns, "share")
 
-    def _confirmed(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    def _confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose full sets of shingles are similar."""
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        own = written(texts.join(ends, "doc_id"), "own")  # few of the texts; joins with these can split a pivot of many pairs
-        text = lambda x: own.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
+        own = self._texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))  # few of the texts; joins with these can split a pivot of many pairs
+        text = lambda x: own.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
         met = pairs.select("a", "b").join(text("b"), "b").join(text("a"), "a").select("a", "b", "text_a", "text_b")
         return settled(met.mapInArrow(_confirm(self.size, self.percent), "a long, b long"))
 

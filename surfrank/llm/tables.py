@@ -19,24 +19,33 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared scratch folder (compact, pruned by column when reread)."""
+def written(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared scratch folder (compact, pruned by column when reread).
+
+    ``paths`` gets its path, for ``deleted`` when the table is done with.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, key: str, name: str) -> str:
-    """``df`` written into buckets of ``key``, so that joins on it don't shuffle these rows again.
+def deleted(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes tables that ``written`` made, by their exact paths, and empties the list."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    paths.clear()
 
-    Buckets need an entry in the catalog: the name of an external table, which
-    the caller drops after use (its files stay in the scratch folder).
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    entry = path.rsplit("/", 1)[1].replace("-", "_")
-    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", path).saveAsTable(entry)
-    return entry
+
+def _filter(keys: DataFrame, key: str) -> tuple[DataFrame, F.Column]:
+    """A bit for the hash of each key, to be broadcast, and the condition that a row's key has its bit."""
+    slot = f"pmod(xxhash64({key}), {FILTER_BITS}L)"
+    word, bit = F.expr(f"shiftright({slot}, 6)"), F.expr(f"shiftleft(1L, CAST({slot} & 63L AS INT))")
+    bits = keys.select(word.alias("filter_word"), bit.alias("bit")).groupBy("filter_word").agg(F.bit_or("bit").alias("filter_bits"))
+    return F.broadcast(bits), (word == F.col("filter_word")) & (bit.bitwiseAND(F.col("filter_bits")) != 0)
 
 
 def likely(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -46,21 +55,31 @@ def likely(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     bit for the hash of a key, so its size is bounded whatever the number of
     keys; with more keys than bits it just lets most rows pass.
     """
-    slot = f"pmod(xxhash64({key}), {FILTER_BITS}L)"
-    word, bit = F.expr(f"shiftright({slot}, 6)"), F.expr(f"shiftleft(1L, CAST({slot} & 63L AS INT))")
-    bits = keys.select(word.alias("filter_word"), bit.alias("bit")).groupBy("filter_word").agg(F.bit_or("bit").alias("filter_bits"))
-    return rows.join(F.broadcast(bits), (word == F.col("filter_word")) & (bit.bitwiseAND(F.col("filter_bits")) != 0), "left_semi")
+    return rows.join(*_filter(keys, key), "left_semi")
+
+
+def without(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` isn't among ``keys`` (a written or settled table with this column); null keys stay.
+
+    Few keys are broadcast.  Otherwise only the rows whose key may be among them
+    are shuffled; the others, most of them, pass by the filter alone.
+    """
+    small = broadcast_if_small(keys)
+    if small is not keys:
+        return rows.join(small, key, "left_anti")
+    return rows.join(*_filter(keys, key), "left_anti").unionByName(likely(rows, keys, key).join(keys.hint("merge"), key, "left_anti"))
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its rows, measured, take ``limit`` bytes or less; else as it is, for a shuffle join.
+def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its rows, measured, take ``limit`` bytes or less (BROADCAST_BYTES); else ``df`` itself, for a shuffle join.
 
     ``df`` should be a written or settled table, as it is read here once to be measured.
     """
     width = 16 + 8 * len(df.columns)
-    lengths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    lengths = [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    lengths += [F.coalesce(F.size(f"`{c}`"), F.lit(0)) * 8 for c, kind in df.dtypes if kind.startswith("array")]
     size = df.agg(F.sum(sum(lengths, F.lit(width)).cast("long"))).first()[0] or 0
-    return F.broadcast(df) if size <= limit else df.hint("merge")
+    return F.broadcast(df) if size <= (BROADCAST_BYTES if limit is None else limit) else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

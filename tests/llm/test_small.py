@@ -84,6 +84,24 @@ def test_near_duplicates_against_brute_force(docs, no_docs, monkeypatch):
     assert neardup.near_duplicates(no_docs).count() == 0
 
 
+def test_rows_of_one_document_join_their_groups(spark):
+    a, b = prose(40), prose(40)
+    rows = [(1, a), (5, b), (5, a), (9, b), (20, prose(40)), (21, a + " x"), (22, b + " y"), (30, prose(9)), (30, prose(9)), (31, prose(9))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.component_id) for r in neardup.near_duplicates(table).collect())
+    assert got == Counter({(1, 1): 1, (5, 1): 2, (9, 1): 1, (20, 20): 1, (21, 1): 1, (22, 1): 1, (30, 30): 2, (31, 31): 1})
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_rows_without_keys(spark, monkeypatch, limit):
+    monkeypatch.setattr(tables, "BROADCAST_BYTES", limit)
+    rows = spark.createDataFrame([(k if k % 9 else None, f"t{k}") for k in range(300)], "doc_id long, text string")
+    got = tables.without(rows, spark.range(0, 300, 7).toDF("doc_id"), "doc_id")
+    assert sorted(r.text for r in got.collect()) == sorted(f"t{k}" for k in range(300) if k % 9 == 0 or k % 7)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("SortMergeJoin" in plan) == (limit == 0)
+
+
 def test_filter_before_a_join_loses_no_row(spark, monkeypatch):
     rows = spark.range(-500, 500).withColumnRenamed("id", "doc_id")
     keys = rows.where("doc_id % 7 = 0")
@@ -101,7 +119,9 @@ def test_intersections_in_cells():
     assert got.tolist() == [[len(set(a) & set(b)) for b in sets[12:]] for a in sets[:12]]
 
 
-def test_decontamination(spark, docs, no_docs):
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_decontamination(spark, docs, no_docs, monkeypatch, limit):
+    monkeypatch.setattr(tables, "BROADCAST_BYTES", limit)
     item, short = prose(30), "Lona, VIX"
     bench = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, short), (5, item), (6, prose(12))], "item_id long, text string")
     near = item.split()
