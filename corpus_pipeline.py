@@ -6,7 +6,8 @@ of ``surfrank.llm``, and what it decides takes effect:
 1. language_id drops documents without a letter and those in none of the
    learned languages.
 2. near_dedup keeps the document with the smallest id of each group of near
-   duplicates (five-word shingles, similarity 0.8); rows with a null doc_id stay.
+   duplicates (five-word shingles, similarity 0.8), with each of its texts once if
+   it has several; rows with a null doc_id stay.
 3. substring_dedup cuts passages of 35 words or more that come twice; n_chars
    follows the text.
 4. decontamination drops documents that hold a benchmark item.
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surfrank.llm import decontaminate, langid, mixing, neardup, substring
-from surfrank.llm.tables import settled, table, written
+from surfrank.llm.tables import broadcast_if_small, settled, table, without, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,10 +34,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = neardup.near_duplicates(docs)
-    copies = settled(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("copy_id")).distinct())
-    kept = docs.join(copies, docs["doc_id"] == copies["copy_id"], "left_anti")
+    copies = settled(groups.where("doc_id <> component_id").select("doc_id").distinct())
+    kept = without(docs, copies, "doc_id")
     repeated = settled(docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
-    return kept if repeated.isEmpty() else kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id IS NULL"))
+    if repeated.isEmpty():
+        return kept.select(docs.columns)
+    again = kept.join(broadcast_if_small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return without(kept, repeated, "doc_id").select(docs.columns).unionByName(again.select(docs.columns))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +60,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _, sources, spans = mixing.mix_documents(docs)
-    return spans.join(F.broadcast(sources.select("source_no", "source")), "source_no").select("shard", "slot", "source", "block", "doc_id", "first_word", "n_words")
+    return spans.join(broadcast_if_small(sources.select("source_no", "source")), "source_no").select("shard", "slot", "source", "block", "doc_id", "first_word", "n_words")
 
 
 STAGES = [
