@@ -10,7 +10,7 @@ Candidates: inverted lists of the sketch values.  Two sets with a similarity of
 t or more share at least ``least`` values of their sketches (all of t * n, if
 the sketch is the whole set of n; else t * k less ``LIST_MARGIN`` standard
 deviations, 23 at k = 48, which fails with a probability under 2e-7).  So with values in one order, rarest first,
-they share one among the first ``length - least + 1``; only those are listed,
+they share ``SHARED`` among the first ``length - least + SHARED`` (all that they share, if fewer); only those are listed,
 and a value that a single class has needs no list.  Very common shingles
 therefore never make lists, unless a document has hardly any other.
 
@@ -21,8 +21,8 @@ on the full sets of shingles as text.  Links make components.  Another round
 draws another pivot for each list, from its most frequent component, and compares
 members of other components with it, each member with the few pivots that its
 sketch says are nearest; in the last, every pair of one list that is still in
-two components is compared, in short lists as a row for each pair and in long
-ones within cells of full sets, which return no more than the links that join components.  So no link that would join two components is left
+two components is compared, in short lists as a row for each pair, which must share
+``SHARED`` of them, and in long ones within cells of full sets, which return no more than the links that join components.  So no link that would join two components is left
 out, and the pairs within a group that is already joined are never made.
 
 Sketches are joined with pairs only where a filter says that a pair has them, and
@@ -54,6 +54,8 @@ K = 48
 MARGIN = 5.5
 #: Standard deviations that the number of shared values may fall short of t * k.
 LIST_MARGIN = 5.7
+#: Listed values that a pair of short lists shares at least, unless its sets are too small.
+SHARED = 3
 #: Rounds with drawn pivots, and pivots of a member that are confirmed in each.
 PIVOT_ROUNDS, PIVOTS_TRIED = 1, 4
 #: In the last round lists up to this length make pairs; longer ones are compared in cells.
@@ -178,14 +180,14 @@ class NearDuplicates:
         groups = known.groupBy("digest").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
         classes = self._written(groups.select("digest", "one.doc_id", "one.text_key", "n", "sketch"), "classes")
         several = self._written(known.groupBy("doc_id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo <> hi").select("doc_id"), "several")
-        alone = several.isEmpty()
-        if alone:
+        self.plain = several.isEmpty()  # each doc_id has one text, and classes are numbered by doc_ids
+        if self.plain:
             self.classes = classes.withColumn("node", F.col("doc_id"))
             links = self._links()
         else:
             links = self._linked_by_id(known, classes, several)
         named = self.classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-        if not alone:  # numbers of classes aren't doc_ids everywhere
+        if not self.plain:  # numbers of classes aren't doc_ids everywhere
             least = settled(named.groupBy("component").agg(F.min("doc_id").alias("least")))
             named = named.join(least, "component").withColumn("component", F.col("least"))
         named = settled(named.select("digest", F.col("component").alias("node")))
@@ -208,15 +210,15 @@ class NearDuplicates:
 
     def _lists(self, nodes: DataFrame) -> DataFrame:
         """(value, node, n, weight): the listed values of each class; weight is the sum of their frequencies."""
-        t, k = self.percent / 100, self.k
+        k = self.k
         rows = nodes.select("node", "n", F.explode("sketch").alias("value"))
         common = self._written(rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "values")
         rows = rows.join(common, "value")
         length = F.least("n", F.lit(k))
-        least = F.when(F.col("n") <= int(t * k), F.ceil(F.col("n") * self.percent / 100)).otherwise(math.ceil(k * t - LIST_MARGIN * math.sqrt(k * t * (1 - t))))
+        least = self._least("n")
         by_node = Window.partitionBy("node")
         alone = length - F.count("*").over(by_node)  # values that no other class has come first
-        rows = rows.withColumn("left", length - least + 1 - alone).withColumn("place", F.row_number().over(by_node.orderBy("df", "value")))
+        rows = rows.withColumn("left", length - least + F.least(F.lit(SHARED), least) - alone).withColumn("place", F.row_number().over(by_node.orderBy("df", "value")))
         rows = rows.where("place <= left").withColumn("weight", F.sum("df").over(by_node))
         return self._written(rows.select("value", "node", "n", "weight"), "lists")
 
@@ -235,20 +237,19 @@ class NearDuplicates:
         for turn in range(PIVOT_ROUNDS + 1):
             found = components(links)
             label = lists.select("value", "node", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            split = self._written(label.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("value"), "split")
+            split = label.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members"))
+            split = self._written(split.where("lo <> hi").select("value", "members"), "split")
             if split.isEmpty():
                 break
             rows = self._written(label.join(split, "value"), "open")
             if turn < PIVOT_ROUNDS:
                 top = self._largest(rows, turn)
-                met = rows.join(top.select("value", "other", "m", "c"), "value").where("component <> c")
+                met = rows.join(top.select("value", "other", "m", "c"), "value").where("component <> c").where(self._near("n", "m"))
+                new = met.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), "node").distinct()
             else:
-                top = self._written(self._largest(rows, turn), "largest")
-                links = settled(links.union(self._met_in_cells(rows, top.where(F.col("members") > SHORT_LIST))))
-                short = rows.join(top.where(F.col("members") <= SHORT_LIST).select("value"), "value", "left_semi")
-                other = short.select("value", F.col("node").alias("other"), F.col("n").alias("m"), F.col("component").alias("c"))
-                met = short.join(other, "value").where("component < c")
-            new = met.where(self._near("n", "m")).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), "node").distinct()
+                long = rows.where(F.col("members") > SHORT_LIST)
+                links = settled(links.union(self._met_in_cells(long, self._written(self._largest(long, turn), "largest"))))
+                new = self._pairs_of_short(rows.where(F.col("members") <= SHORT_LIST))
             passed = self._passing(new.join(tested, ["a", "b"], "left_anti"), nodes)
             if turn < PIVOT_ROUNDS:  # each member's most similar pivots; the others come again in the last round
                 nearest = Window.partitionBy("node").orderBy(F.desc("share"), "a", "b")
@@ -258,6 +259,19 @@ class NearDuplicates:
             tested = tested.union(passed)
         return links
 
+    def _pairs_of_short(self, rows: DataFrame) -> DataFrame:
+        """(a, b, node) of pairs in two components that share enough of these lists.
+
+        A pair that shares a longer list as well meets there in any case, so for
+        the others these are all the lists that they share.
+        """
+        members = rows.groupBy("value").agg(F.sort_array(F.collect_list(F.struct("node", "n", "component"))).alias("m"))  # SHORT_LIST at most
+        near = f"least(x.n, y.n) * 100 >= greatest(x.n, y.n) * {self.percent}"
+        others = f"filter(slice(m, i + 2, {SHORT_LIST}), y -> y.component <> x.component AND {near})"
+        pairs = F.explode(F.expr(f"flatten(transform(m, (x, i) -> transform({others}, y -> struct(x.node AS a, y.node AS b, least(x.n, y.n) AS n))))")).alias("p")
+        pairs = members.select(pairs).groupBy("p.a", "p.b").agg(F.count("*").alias("shared"), F.first("p.n").alias("n"))
+        return pairs.where(F.col("shared") >= F.least(F.lit(SHARED), self._least("n"))).select("a", "b", F.col("a").alias("node"))
+
     def _largest(self, rows: DataFrame, turn: int) -> DataFrame:
         """Each list's members, its most frequent component c, and of that a pseudorandom member, another one in each turn."""
         drawn = F.min(F.struct(F.xxhash64(F.lit(turn), "value", "node").alias("h"), F.col("node").alias("node"), F.col("n").alias("n")))
@@ -286,12 +300,21 @@ class NearDuplicates:
         both = side_0.unionByName(side_1).join(self._texts_of(members.select("node")), "node")
         return settled(both.groupBy("c", "i", "j").applyInArrow(_cell(self.size, self.percent), "a long, b long"))
 
+    def _least(self, n: str) -> F.Column:
+        """Values that the sketch of a set of this size shares with that of a similar one, at least."""
+        t, k = self.percent / 100, self.k
+        return F.when(F.col(n) <= int(t * k), F.ceil(F.col(n) * self.percent / 100)).otherwise(math.ceil(k * t - LIST_MARGIN * math.sqrt(k * t * (1 - t))))
+
     def _near(self, n: str, m: str) -> F.Column:
         """Sets of these sizes can be similar enough."""
         return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
 
     def _texts_of(self, nodes: DataFrame) -> DataFrame:
         """(node, text) of classes; of all texts, hardly any others are shuffled."""
+        if self.plain:
+            wanted = nodes.select(F.col("node").alias("doc_id")).distinct()
+            rows = likely(self.texts, wanted, "doc_id").join(wanted, "doc_id", "left_semi")
+            return self._written(rows.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "text"), "texts")
         wanted = self._written(self.classes.select("node", "doc_id", "text_key").join(nodes.distinct(), "node", "left_semi"), "wanted")
         rows = likely(self.texts, wanted.select("text_key"), "text_key")
         return self._written(rows.join(wanted, ["doc_id", "text_key"]).dropDuplicates(["node"]).select("node", "text"), "texts")
