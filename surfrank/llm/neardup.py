@@ -48,6 +48,7 @@ from pyspark.sql import functions as F
 from surfrank.llm.graph import components
 from surfrank.llm.tables import broadcast_if_small, deleted, likely, settled, table, written
 from surfrank.llm.text import shingles, words_of
+from surfrank.session import job_conf
 
 K = 48
 #: Standard deviations that an estimate may fall short of the similarity.
@@ -62,6 +63,8 @@ PIVOT_ROUNDS, PIVOTS_TRIED = 1, 4
 SHORT_LIST = 16
 #: Shingles on a side of a cell, and what a document counts besides its own (it bounds the documents).
 CELL_WEIGHT, CELL_BASE = 250_000, 100
+#: Texts that a Python worker has at once.
+BATCH_TEXTS = 1000
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 
 
@@ -341,7 +344,8 @@ class NearDuplicates:
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id of each row; by default five words and 0.8."""
-    return NearDuplicates(documents, size, percent).run()
+    with job_conf(documents.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_TEXTS)}):
+        return NearDuplicates(documents, size, percent).run()
 
 
 def op9_minhash_near_dedup(spark, sf_dir):
