@@ -36,7 +36,7 @@ from surfrank.sources import text as TX  # noqa: E402
 try:
     import corpus_pipeline
     from surfrank.llm import queries as training_data
-except ModuleNotFoundError as e:  # the training-data operators are optional; only this module may do without them
+except ImportError as e:  # the training-data operators are optional; only this module may do without them
     if e.name not in ("corpus_pipeline", "surfrank.llm"):
         raise  # anything else that they lack is an error
     corpus_pipeline = training_data = None
