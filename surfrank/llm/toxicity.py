@@ -8,10 +8,13 @@ part of the space).  The document frequency of each is counted over all
 documents.  A text's vector has (1 + ln tf) * ln(1 + documents / frequency) for
 each term, scaled to length 1.
 
-The examples are held as postings: for each term its examples and their weights.
-Terms that many examples have are also rows of a matrix in single precision, so
-that a few texts at a time meet all examples by one product; the other terms
-are added from their postings.  Every example within a margin of the k-th
+The examples form an inverted index in blocks of ``BLOCK``, alike ones and ones of
+like length side by side.  Rare terms have postings (their examples and weights).  For terms
+that many examples have, a block holds their weights in single precision and each
+one's largest weight.  A text's rare terms are scored first; a block's bound is its best score so far plus
+the text's weights times the block's largest ones.  Blocks are
+scored from the highest bound on, for a few texts at once, and those whose bound
+falls below the k-th cosine are skipped.  Every example within a margin of the k-th
 cosine, wider than the error of these sums, is then scored again in double precision, so
 the ``k`` nearest are exact.  They vote with 1 / (0.05 + distance),
 weighed so that classes count as often as among all labelled rows; a monotone
@@ -30,7 +33,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,14 +40,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surfrank.llm.tables import table, written
+from surfrank.llm.text import mix, run_sums
 
 SAMPLE_ROWS = 2048
 NEIGHBOURS = 15
 GRAM = 4
 #: Terms that more than one of so many examples have are rows of the matrix.
 DENSE = 16
-#: Texts scored by one product.
+#: Examples of a block; blocks that a text meets before its k-th cosine is looked at again.
+BLOCK = 64
+ROUNDS = (3, 10)
+#: Groups of alike examples that the blocks are cut from.
+GROUPS = 16
+#: Texts, and characters of texts beyond the first, that are handled together.
 TEXTS = 64
+CHARACTERS = 1 << 18
 _BREAK = re.compile(r"[\W\d_]+")
 
 
@@ -73,16 +82,44 @@ def _letters() -> np.ndarray:
     return out
 
 
+class Numbers:
+    """An open hash table from nonzero 64-bit keys to numbers, looked up for whole arrays."""
+
+    def __init__(self, keys: np.ndarray, numbers: np.ndarray):
+        self.bits = max(10, int(4 * len(keys)).bit_length())
+        self.slots, self.found = np.zeros(1 << self.bits, dtype=np.uint64), np.full(1 << self.bits, -1, dtype=np.int64)
+        left, at = np.arange(len(keys)), self._slot(keys)
+        while len(left):  # each round, one key takes a free slot and the others go on to the next
+            free = left[self.slots[at[left]] == 0]
+            self.slots[at[free]] = keys[free]
+            self.found[at[free]] = numbers[free]
+            left = left[self.slots[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, numbers) of the keys that the table has."""
+        left, at, out = keys, self._slot(keys), [(places[:0], places[:0])]
+        while len(left):
+            there = self.slots[at]
+            same = there == left
+            out.append((places[same], self.found[at[same]]))
+            on = np.flatnonzero(~same & (there != 0))
+            left, at, places = left[on], (at[on] + 1) & ((1 << self.bits) - 1), places[on]
+        return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
+
+
 class Vocabulary:
     """Numbers and counts of the known terms in a text.
 
-    Runs of letters are looked up as arrays: each letter that the terms have gets a
-    number below 2**16, so four of them make a whole key, found in an open hash table.
+    Terms are looked up as arrays.  Each letter that the terms have gets a number
+    below 2**16, so a run of four is a whole key; a word's key is a 64-bit hash of its letters.
     """
 
     def __init__(self, terms: list[str]):
         self.terms = terms
-        self.word = {t[1:-1]: k for k, t in enumerate(terms) if t[0] == " "}
         self.letters: np.ndarray | None = None  # made where it is first needed
 
     def __reduce__(self):
@@ -90,23 +127,19 @@ class Vocabulary:
 
     def _arrange(self) -> None:
         self.letters = _letters()
-        grams = [(t, k) for k, t in enumerate(self.terms) if t[0] != " "]
-        points = np.frombuffer("".join(t for t, _ in grams).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        self.value = mix(np.arange(1, 0x110001, dtype=np.uint64))
+        runs = [(t, k) for k, t in enumerate(self.terms) if t[0] != " "]
+        words = [(t, k) for k, t in enumerate(self.terms) if t[0] == " "]
+        points = np.frombuffer("".join(t for t, _ in runs).encode("utf-32-le", "surrogatepass"), dtype="<u4")
         used = np.unique(points)
         if len(used) >= 1 << 16:
             raise ValueError("more than 65535 letters in the examples' terms")
         self.code = np.zeros(0x110000, dtype=np.uint64)  # 0: in no term
         self.code[used] = np.arange(1, len(used) + 1)
-        keys = self._keys(self.code[points])[::GRAM] if grams else np.zeros(0, dtype=np.uint64)
-        self.bits = max(10, int(4 * len(keys)).bit_length())
-        self.slots, self.found = np.zeros(1 << self.bits, dtype=np.uint64), np.full(1 << self.bits, -1, dtype=np.int64)
-        left, at = np.arange(len(keys)), self._slot(keys)
-        while len(left):  # each round, one key takes a free slot and the others go on to the next
-            free = left[self.slots[at[left]] == 0]
-            self.slots[at[free]] = keys[free]
-            self.found[at[free]] = np.array([grams[k][1] for k in free.tolist()], dtype=np.int64)
-            left = left[self.slots[at[left]] != keys[left]]
-            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+        keys = self._keys(self.code[points])[::GRAM] if runs else np.zeros(0, dtype=np.uint64)
+        self.runs = Numbers(keys, np.array([k for _, k in runs], dtype=np.int64))
+        points = np.frombuffer("".join(t for t, _ in words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        self.words = Numbers(self._words(points, points != 32)[0], np.array([k for _, k in words], dtype=np.int64))
 
     @staticmethod
     def _keys(code: np.ndarray) -> np.ndarray:
@@ -115,41 +148,56 @@ class Vocabulary:
             out = out << np.uint64(16) | code[k : len(code) - GRAM + 1 + k]
         return out
 
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+    def _words(self, points: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, places) of the words, the runs of points ``inside``."""
+        edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        first, end = edge[::2], edge[1::2]
+        keys = mix(run_sums(self.value[points], first, end) + (end - first).astype(np.uint64))
+        return np.where(keys == 0, np.uint64(1), keys), first
 
-    def _grams(self, code: np.ndarray) -> np.ndarray:
-        """Term numbers of the runs of letters; ``code`` is 0 between words and for letters in no term."""
-        if len(code) < GRAM:
-            return np.zeros(0, dtype=np.int64)
-        whole = code != 0
-        keys = self._keys(code)[whole[:-3] & whole[1:-2] & whole[2:-1] & whole[3:]]
-        at, out, left = self._slot(keys), [], keys
-        while len(left):
-            there = self.slots[at]
-            out.append(self.found[at[there == left]])
-            on = (there != left) & (there != 0)
-            left, at = left[on], (at[on] + 1) & ((1 << self.bits) - 1)
-        return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+    def found_in(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term number, count) of the known terms of some texts, in order of both."""
+        if self.letters is None:
+            self._arrange()
+        lower = [(x or "").lower() for x in texts]
+        points = np.frombuffer((" ".join(lower) + " ").encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        word_places, words = self.words.find(*self._words(points, self.letters[points]))
+        code = self.code[points]
+        whole = code != 0  # false between words and for letters in no term
+        starts = np.flatnonzero(whole[:-3] & whole[1:-2] & whole[2:-1] & whole[3:]) if len(points) >= GRAM else np.zeros(0, dtype=np.int64)
+        run_places, runs = self.runs.find(self._keys(code)[starts] if len(starts) else np.zeros(0, dtype=np.uint64), starts)
+        text = np.repeat(np.arange(len(texts)), [len(x) + 1 for x in lower])[np.concatenate([word_places, run_places])]
+        keys = np.sort(text << 32 | np.concatenate([words, runs]))
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        return keys[first] >> 32, keys[first] & 0xFFFFFFFF, np.diff(first, append=len(keys)).astype(np.float64)
 
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(term numbers, counts), in order of the numbers."""
-        if self.letters is None:
-            self._arrange()
-        points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        points = np.where(self.letters[points], points, np.uint32(32)).astype("<u4")
-        words = points.tobytes().decode("utf-32-le", "surrogatepass").split()
-        at = np.fromiter(map(self.word.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        at, counts = np.unique(np.concatenate([at[at >= 0], self._grams(self.code[points])]), return_counts=True)
-        return at, counts.astype(np.float64)
-
-    def vector(self, text: str | None, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(term numbers, weights) of length 1; empty if the text has none of the terms."""
-        at, counts = self.counts(text)
-        if len(at) == 0:
-            return at, counts
-        w = (1 + np.log(counts)) * idf[at]
-        return at, w / math.sqrt(float(w @ w))
+        return self.found_in([text])[1:]
+
+    def vectors(self, texts: list[str | None], idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(term numbers, weights) of length 1 of each text; empty if it has none of the terms."""
+        for some in together(texts):
+            text, at, counts = self.found_in(some)
+            w = (1 + np.log(counts)) * idf[at]
+            ends = np.searchsorted(text, np.arange(len(some) + 1))
+            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+                yield at[a:b], w[a:b] / (math.sqrt(float(w[a:b] @ w[a:b])) if b > a else 1.0)
+
+
+def together(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """The texts in runs of at most TEXTS, and CHARACTERS unless a run is one text."""
+    run: list[str | None] = []
+    size = 0
+    for x in texts:
+        n = len(x or "")
+        if run and (len(run) == TEXTS or size + n > CHARACTERS):
+            yield run
+            run, size = [], 0
+        run.append(x)
+        size += n
+    if run:
+        yield run
 
 
 def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -157,36 +205,60 @@ def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
 
 
+def _groups(rows: np.ndarray) -> np.ndarray:
+    """A group of alike examples for each row: the nearest of a few means, in a few turns."""
+    means = rows[np.linspace(0, len(rows) - 1, min(GROUPS, len(rows))).astype(np.int64)]
+    group = np.zeros(len(rows), dtype=np.int64)
+    for _ in range(4 if len(rows) else 0):
+        group = (rows @ means.T).argmax(axis=1)
+        means = np.stack([rows[group == g].sum(axis=0) if (group == g).any() else means[g] for g in range(len(means))])
+        means /= np.maximum(np.linalg.norm(means, axis=1, keepdims=True), 1e-9)
+    return group
+
+
 class Index:
-    """The examples' vectors by example and by term, in order of doc_id."""
+    """The examples' vectors, and an inverted index of them in blocks with the largest weights."""
 
     def __init__(self, n_terms: int, ids: list[int], labels: list[int], vectors: list[tuple[np.ndarray, np.ndarray]]):
         self.n_terms, self.ids, self.labels = n_terms, np.array(ids, dtype=np.int64), np.array(labels, dtype=np.int64)
         self.size = np.array([len(at) for at, _ in vectors], dtype=np.int64)
         self.at = np.concatenate([np.zeros(0, dtype=np.int32), *(at.astype(np.int32, copy=False) for at, _ in vectors)])
         self.w = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
-        self.matrix: np.ndarray | None = None  # made where it is first needed
+        self.blocks: np.ndarray | None = None  # made where it is first needed
+        self.scored, self.met = 0, 0  # pairs of a text and a block: scored, and all
 
     def _arrange(self) -> None:
+        n = len(self.ids)
         self.start = np.cumsum(self.size) - self.size
-        who = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.size)
-        order = np.argsort(self.at, kind="stable")
+        who = np.repeat(np.arange(n, dtype=np.int32), self.size)
         self.had = np.bincount(self.at, minlength=self.n_terms)
-        self.first = np.cumsum(self.had) - self.had
-        self.who, self.by_term = who[order], self.w[order]
-        common = np.flatnonzero(self.had * DENSE > len(self.ids))
+        common = np.flatnonzero(self.had * DENSE > n)
         self.row = np.full(self.n_terms, -1, dtype=np.int64)
         self.row[common] = np.arange(len(common))
         self.query = np.zeros(self.n_terms)
-        self.matrix = np.zeros((len(common), len(self.ids)), dtype=np.float32)
         dense = self.row[self.at] >= 0
-        self.matrix[self.row[self.at[dense]], who[dense]] = self.w[dense]
+        rows = np.zeros((n, len(common)), dtype=np.float32)
+        rows[who[dense], self.row[self.at[dense]]] = self.w[dense]
+        # the example at each place of the blocks; -1 after the last
+        n_blocks = -(-n // BLOCK)
+        self.example = np.full(n_blocks * BLOCK, -1, dtype=np.int64)
+        self.example[:n] = np.lexsort((self.size, _groups(rows)))
+        self.place = np.zeros(n, dtype=np.int64)
+        self.place[self.example[:n]] = np.arange(n)
+        padded = np.concatenate([rows[self.example[:n]], np.zeros((len(self.example) - n, len(common)), dtype=np.float32)])
+        self.blocks = np.ascontiguousarray(padded.reshape(n_blocks, BLOCK, len(common)).transpose(0, 2, 1))
+        self.largest = np.ascontiguousarray(self.blocks.max(axis=2, initial=0.0).T)
+        rare = np.flatnonzero(~dense)
+        rare = rare[np.argsort(self.at[rare], kind="stable")]
+        self.had[common] = 0
+        self.first = np.cumsum(self.had) - self.had
+        self.posted, self.posted_w = self.place[who[rare]].astype(np.int32), self.w[rare].astype(np.float32)
 
     def __getstate__(self):
         return {k: getattr(self, k) for k in ("n_terms", "ids", "labels", "size", "at", "w")}
 
     def __setstate__(self, state):
-        self.__dict__.update(state, matrix=None)
+        self.__dict__.update(state, blocks=None, scored=0, met=0)
 
     @property
     def weights(self) -> np.ndarray:
@@ -200,33 +272,54 @@ class Index:
         return next(self.nearest_of([(at, w)], k, [without]))
 
     def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        if self.matrix is None:
+        if self.blocks is None:
             self._arrange()
         for b in range(0, len(vectors), TEXTS):
             some = vectors[b : b + TEXTS]
-            q = np.zeros((len(some), len(self.matrix)), dtype=np.float32)
-            for i, (at, w) in enumerate(some):
-                row = self.row[at]
-                q[i, row[row >= 0]] = w[row >= 0]
-            for i, s in enumerate(q @ self.matrix):
-                yield self._best(*some[i], s, k, without[b + i] if without else -1)
-
-    def _best(self, at: np.ndarray, w: np.ndarray, s: np.ndarray, k: int, without: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best, from the cosines' part by common terms."""
-        rare = self.row[at] < 0
-        had = self.had[at[rare]]
-        posts = _ranges(self.first[at[rare]], had)
-        s = s + np.bincount(self.who[posts], weights=self.by_term[posts] * np.repeat(w[rare], had), minlength=len(s))
-        if 0 <= without < len(s):
-            s[without] = 0.0
-        margin = (len(self.matrix) + 4) * 2.0**-22  # twice the error of two such sums
-        least = np.partition(s, len(s) - k)[-k] - margin if len(s) > k else 0.0
-        who = np.flatnonzero((s > 0) & (s >= least))
+            near = self._near(some, k, without[b : b + TEXTS] if without else [-1] * len(some))
+            for (at, w), who in zip(some, near):
+                yield self._best(at, w, who, k)
+
+    def _near(self, some: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int]) -> list[np.ndarray]:
+        """For each text the examples that may be among its k best, block by block."""
+        n_blocks, n_common, _ = self.blocks.shape
+        q = np.zeros((len(some), n_common), dtype=np.float32)
+        s = np.zeros((len(some), n_blocks * BLOCK))
+        for i, (at, w) in enumerate(some):
+            row = self.row[at]
+            q[i, row[row >= 0]] = w[row >= 0]
+            had = self.had[at]
+            posts = _ranges(self.first[at], had)
+            s[i] = np.bincount(self.posted[posts], weights=self.posted_w[posts] * np.repeat(w, had), minlength=s.shape[1])
+            if without[i] >= 0:
+                s[i, self.place[without[i]]] = -np.inf
+        s[:, self.example < 0] = -np.inf
+        s = s.reshape(len(some), n_blocks, BLOCK)
+        bounds = s.max(axis=2, initial=-np.inf) + q @ self.largest
+        margin = (n_common + 4) * 2.0**-22  # twice the error of two such sums
+        floor, seen, most = np.zeros(len(some)), np.full(s.shape, -np.inf), s.shape[1] * BLOCK
+        for n in (*ROUNDS, n_blocks):
+            going = (bounds > 0) & (bounds >= floor[:, None] - margin)
+            if n < n_blocks:
+                going &= bounds >= -np.partition(-bounds, n - 1, axis=1)[:, n - 1 : n]
+            for block in np.flatnonzero(going.any(axis=0)):
+                who = np.flatnonzero(going[:, block])
+                seen[who, block] = s[who, block] + q[who] @ self.blocks[block]
+            bounds[going] = -np.inf
+            self.scored += int(going.sum())
+            if most > k:
+                floor = np.maximum(0.0, np.partition(seen.reshape(len(some), most), most - k, axis=1)[:, most - k])
+        self.met += bounds.size
+        out = (seen > 0) & (seen >= floor[:, None, None] - margin)
+        return [np.sort(self.example[x]) for x in out.reshape(len(some), most)]
+
+    def _best(self, at: np.ndarray, w: np.ndarray, who: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of some examples that share a term with the text."""
         if len(who) == 0:
             return np.zeros(0, dtype=np.int64), np.zeros(0)
         self.query[at] = w
-        posts = _ranges(self.start[who], self.size[who])
-        s = np.round(np.add.reduceat(self.query[self.at[posts]] * self.w[posts], np.cumsum(self.size[who]) - self.size[who]), 12)
+        spans = zip(self.start[who].tolist(), (self.start[who] + self.size[who]).tolist())
+        s = np.round([self.query[self.at[a:b]] @ self.w[a:b] for a, b in spans], 12)
         self.query[at] = 0.0
         best = np.lexsort((who, -s))[:k]
         return who[best], s[best]
@@ -281,7 +374,7 @@ def held_out() -> F.Column:
 def _vectors(known, idf):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [known.value.vector(x, idf.value) for x in batch.column("text").to_pylist()]
+            got = list(known.value.vectors(batch.column("text").to_pylist(), idf.value))
             parts = [pa.array([x.astype(kind).tobytes() for x in column], pa.binary()) for column, kind in ((([g[0] for g in got]), "<i4"), (([g[1] for g in got]), "<f8"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *parts], names=["doc_id", "toxic", "at", "w"])
 
@@ -295,8 +388,8 @@ def _frequencies(known):
         n, sums = 0, np.zeros(len(known.value.terms), dtype=np.int64)
         for batch in batches:
             n += batch.num_rows
-            for text in batch.column("text").to_pylist():
-                sums[known.value.counts(text)[0]] += 1
+            for some in together(batch.column("text").to_pylist()):
+                sums += np.bincount(known.value.found_in(some)[1], minlength=len(sums))
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(sums[at], n))], names=["term", "n"])
 
@@ -370,7 +463,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
         vocabulary, idf, index = known.value
         for batch in batches:
             scores, evidence = [], []
-            for who, s in index.nearest_of([vocabulary.vector(x, idf) for x in batch.column("text").to_pylist()], k):
+            for who, s in index.nearest_of(list(vocabulary.vectors(batch.column("text").to_pylist(), idf)), k):
                 scores.append(score(index.vote(who, s, shares)))
                 evidence.append([{"doc_id": int(index.ids[i]), "toxic": int(index.labels[i]), "cosine": float(c)} for i, c in zip(who, s)])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(evidence, EVIDENCE)], names=["doc_id", "score", "evidence"])

@@ -361,3 +361,29 @@ def test_html_keeps_what_stands_beside_the_best_container():
     got = extract_html.main_text(f"<body><span>Lead <b>in</b> <a href=x>y</a><div>{long}</div>{loose}{menu}tail</span></body>").split("\n\n")
     assert got[0] == "Lead in y" and got[13:] == [*want, "tail"]
 
+
+
+def test_nearest_skips_blocks():
+    rng = np.random.default_rng(3)
+    vectors = []
+    for k in range(640):  # ten groups of examples with terms of their own, and a few common ones
+        at = np.sort(np.concatenate([rng.choice(20, 3, replace=False), 20 + 30 * (k % 10) + rng.choice(30, 12, replace=False)]))
+        w = rng.random(len(at)) + 0.5
+        vectors.append((at, w / np.sqrt(w @ w)))
+    index = toxicity.Index(320, list(range(640)), [0] * 640, vectors)
+    dense = index.weights.T
+    got = list(index.nearest_of(vectors, 9, list(range(640))))
+    for i, (at, w) in enumerate(vectors):
+        q = np.zeros(320)
+        q[at] = w
+        s = np.round(dense @ q, 12)
+        s[i] = 0
+        assert got[i][0].tolist() == np.lexsort((np.arange(640), -s))[:9].tolist()
+    assert 0 < index.scored < index.met / 2
+
+
+def test_texts_handled_together():
+    texts = ["a" * toxicity.CHARACTERS, None, "", "b", "c" * (toxicity.CHARACTERS + 5), *["d"] * (toxicity.TEXTS + 1)]
+    runs = list(toxicity.together(texts))
+    assert sum(runs, []) == texts and all(len(r) <= toxicity.TEXTS for r in runs)
+    assert all(len(r) == 1 or sum(len(x or "") for x in r) <= toxicity.CHARACTERS for r in runs)
