@@ -366,15 +366,15 @@ def test_html_keeps_what_stands_beside_the_best_container():
 def test_nearest_skips_blocks():
     rng = np.random.default_rng(3)
     vectors = []
-    for k in range(640):  # ten groups of examples with terms of their own, and a few common ones
-        at = np.sort(np.concatenate([rng.choice(20, 3, replace=False), 20 + 30 * (k % 10) + rng.choice(30, 12, replace=False)]))
-        w = rng.random(len(at)) + 0.5
+    for k in range(640):  # five groups of examples with terms of their own, and a few shared by all
+        at = np.sort(np.concatenate([rng.choice(20, 3, replace=False), 20 + 20 * (k % 5) + rng.choice(20, 12, replace=False)]))
+        w = (rng.random(len(at)) + 0.5) * np.where(at < 20, 0.3, 1.0)
         vectors.append((at, w / np.sqrt(w @ w)))
-    index = toxicity.Index(320, list(range(640)), [0] * 640, vectors)
+    index = toxicity.Index(120, list(range(640)), [0] * 640, vectors)
     dense = index.weights.T
     got = list(index.nearest_of(vectors, 9, list(range(640))))
     for i, (at, w) in enumerate(vectors):
-        q = np.zeros(320)
+        q = np.zeros(120)
         q[at] = w
         s = np.round(dense @ q, 12)
         s[i] = 0
