@@ -9,7 +9,9 @@ beside the kept element, text of any tag, stays too unless half of it or more
 is links (beside a main element nothing does).  Elements that
 never hold main text (menus, headers and footers of the page, sidebars,
 notices, adverts, forms, scripts, styles, reader comments) are left out before
-scoring, by their tag, role, class or id.
+scoring, by their tag, role, class or id.  Names are split at humps, hyphens and white space; names such
+as no-sidebar or has-ads say nothing.  A form that holds an article, main or h1 element is no form but
+the page, and a header within an article or main element stays whatever its class.
 
 Null and empty html give an empty text.  Character references are decoded,
 white space inside a block is one space, blocks are joined by two line feeds in
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -54,6 +57,12 @@ _UNLIKELY = re.compile(
     re.I,
 )
 _LIKELY = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body|text)(?:$|[\s_-])", re.I)
+#: Names that a likely one beside them doesn't make up for.
+_NEVER = re.compile(r"(?:^|[\s_-])(?:ads?|adbox|adsense|advert\w*|sponsor\w*|comments?|commentlist|cookies?|cookiebar)(?:$|[\s_-])", re.I)
+#: Where a name in camel case is split, and names that say what an element has or lacks, not what it is.
+_HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+_ABOUT = re.compile(r"(?:^|(?<=\s))(?:no|not|has|have|with|without|show|hide)[_-][^\s]*", re.I)
+_FORM_END, _HOLDS = re.compile(r"</form\s*>", re.I), re.compile(r"<(?:article|main|h1)[\s>]", re.I)
 #: Elements whose own text counts as a paragraph, and those that can be the container.
 PARAGRAPH = frozenset("p pre blockquote td li dd figcaption".split())
 CONTAINER = frozenset("article main section div body td html blockquote center details".split())
@@ -70,21 +79,36 @@ class Node:
         self.points, self.chars, self.linked, self.commas = 0.0, 0, 0, 0
 
 
-def _dropped(tag: str, attrs: str, inside: bool) -> tuple[str, bool]:
-    """(class and id, whether the element is left out)."""
-    if tag in DROPPED or tag == "header" and not inside:
+class _Forms:
+    """Whether a form that begins at a place holds an article, main or h1 element; a page is searched once."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.ends: list[int] | None = None
+
+    def holds(self, at: int) -> bool:
+        if self.ends is None:
+            self.ends = [m.start() for m in _FORM_END.finditer(self.page)]
+            self.starts = [m.start() for m in _HOLDS.finditer(self.page)]
+        first, end = bisect_left(self.starts, at), bisect_left(self.ends, at)
+        return first < len(self.starts) and (end == len(self.ends) or self.starts[first] < self.ends[end])
+
+
+def _dropped(tag: str, attrs: str, inside: bool, holds: bool = False) -> tuple[str, bool]:
+    """(class and id, whether the element is left out); a form that ``holds`` main text isn't."""
+    if tag in DROPPED and not holds or tag == "header" and not inside:
         return "", True
     if not attrs.strip():
         return "", False
     got = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
-    names = f"{got.get('class', '')} {got.get('id', '')}".strip()
+    names = _ABOUT.sub("", _HUMP.sub("-", f"{got.get('class', '')} {got.get('id', '')}")).strip()
     style = got.get("style", "").replace(" ", "").lower()
     off = (
         got.get("role", "").lower() in ROLES
         or "hidden" in got
         or got.get("aria-hidden", "").lower() == "true"
         or "display:none" in style
-        or tag not in ("html", "body", "article", "main") and bool(_UNLIKELY.search(names)) and not _LIKELY.search(names)
+        or tag not in ("html", "body", "article", "main", "header") and not holds and bool(_UNLIKELY.search(names) and not _LIKELY.search(names) or _NEVER.search(names))
     )
     return names, off
 
@@ -94,6 +118,7 @@ def build(page: str) -> Node:
     root = now = Node("html", None)
     at, n, inside = 0, len(page), 0  # inside: open article or main elements
     open_tags: dict[str, int] = {}
+    forms = _Forms(page)
 
     def close(upto: Node) -> Node:
         nonlocal inside
@@ -142,7 +167,7 @@ def build(page: str) -> Node:
                 x = x.parent
             if x.tag in CLOSES[tag]:
                 now = close(x)
-        names, off = _dropped(tag, m[3], inside > 0)
+        names, off = _dropped(tag, m[3], inside > 0, tag == "form" and forms.holds(at))
         if tag in VOID:
             if not now.dropped:
                 now.kids.append(Node(tag, now) if tag in ("br", "hr") else " ")

@@ -387,3 +387,19 @@ def test_texts_handled_together():
     runs = list(toxicity.together(texts))
     assert sum(runs, []) == texts and all(len(r) <= toxicity.TEXTS for r in runs)
     assert all(len(r) == 1 or sum(len(x or "") for x in r) <= toxicity.CHARACTERS for r in runs)
+
+
+def test_html_names_and_forms():
+    article = "<h1>Head</h1><p>First, second, third, and more text here.</p>"
+    text = "Head\n\nFirst, second, third, and more text here."
+    side = '<div class="sidebar"><p>Latest, news, of, the, day, and, some, more, words.</p></div>'
+    for page in (
+        f'<div class="no-sidebar">{article}</div>{side}',
+        f"<form action=x><article>{article}</article><input></form>{side}",
+        f'<article><header class="header"><h1>Head</h1></header>{article[13:]}</article>',
+        f'<article>{article}<div class="userComment"><p>I, too, think, so.</p></div></article>',
+        f'<article>{article}<div class="article-comments"><p>I, too, think, so.</p></div></article>',
+        f'<article>{article}</article><div class="cookiebar">We use cookies, yes.</div><div id="adbox">Buy, now.</div><div class="sponsored-content">Buy, this.</div>',
+        f"<article>{article}<form><p>Subscribe, now</p></form></article>",
+    ):
+        assert extract_html.main_text(f"<html><body>{page}</body></html>") == text, page
