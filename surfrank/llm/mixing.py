@@ -210,7 +210,7 @@ def mix_documents(documents: DataFrame, weights=WEIGHTS, multiple: float = 1.5,
     sources = settled(targets(sized, weights, multiple, max_repeat))
     laid = settled(laid_out(sized, sources, seed))
     spark = documents.sparkSession
-    known = [(int(r["source_no"]), r["source_size"], r["target"]) for r in sources.orderBy("source_no").collect()]  # a row for each source
+    known = [(int(r["source_no"]), r["source_size"], r["target"]) for r in sources.orderBy("source_no").collect()]  # bounded by the number of sources, a row for each
     known = [x for x in known if x[1] and round(x[2]) > 0]
     n_slots = _placed(known, 1, shard_slots, block_words, seed)[1] if known else 0
     shards = max(1, -(-n_slots // shard_slots))
