@@ -498,6 +498,19 @@ def q_rank_salted_sources(spark, sf):
     return _ranks_out(res)
 
 
+def q_rank_dictionary(spark, sf):
+    """Steps on numbers; the hot page's links get theirs by salted joins."""
+    res = _hot_rank(spark, sf, 3, dictionary=True)
+    if dict(res.layout.cold_edges.dtypes)["src"] != "bigint":
+        raise AssertionError("the edges hold titles")
+    return _ranks_out(res)
+
+
+def q_job_resumed_dictionary(spark, sf):
+    """Through kept tables of numbers, with the titles beside them."""
+    return _resumed(spark, sf, "wk", "parquet", hot_floor=HOT_FLOOR, dictionary=True)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_lines": q_scan_lines,
     "page_count": q_page_count,
@@ -547,6 +560,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kept_state": q_kept_state,
     "job_resumed_text": q_job_resumed_text,
     "ranked_repeated": q_ranked_repeated,
+    "rank_dictionary": q_rank_dictionary,
+    "job_resumed_dictionary": q_job_resumed_dictionary,
 }
 
 

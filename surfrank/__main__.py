@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--keep-state", action="store_true", help="mapreduce layout: also write edges/, parse/ and rank-<i>/")
     ap.add_argument("--state-format", default="parquet", choices=["parquet", "text"], help="of the kept states: tables, or a line for each page")
     ap.add_argument("--resume-from", default=None, metavar="FOLDER", help="go on from a kept parse/ or rank-<i>/; <input> is not read")
+    ap.add_argument("--dictionary", action="store_true", help="run the steps on numbers in place of titles")
     ns = ap.parse_args(argv)
     if len(ns.args) == 5:
         src, dst, iterations, reducers, alpha = ns.args
@@ -42,7 +43,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("surfrank").getOrCreate()
     run_job(
         spark, src, dst, int(iterations), alpha, ns.preset, partitions,
-        ns.checkpoint_every or None, ns.keep_state, resume_from=ns.resume_from, state_format=ns.state_format,
+        ns.checkpoint_every or None, ns.keep_state, resume_from=ns.resume_from, state_format=ns.state_format, dictionary=ns.dictionary,
     )
 
 

@@ -133,6 +133,7 @@ class RankLayout:
     hot_keys: DataFrame | None = None  # src_hash, salts: 12 bytes for each of at most hot_factor * P sources
     salted: bool = False
     join_hint: str = "shuffle_hash"  # of joins between tables of this layout
+    titles: DataFrame | None = None  # id, title, where ids are numbers
 
     def edges(self) -> DataFrame:
         """All edges (src, dst, mult), cold and hot."""

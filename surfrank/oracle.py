@@ -371,6 +371,7 @@ ON n.id = m.key"""
     out["rank_10"] = ranks_sql("wp", "mapreduce", 10, alpha)
     out["rank_10_hot_sources"] = ranks_sql("wk", "mapreduce", 10, alpha)
     out["rank_salted_sources"] = ranks_sql("wk", "mapreduce", 3, alpha)
+    out["rank_dictionary"] = ranks_sql("wk", "mapreduce", 3, alpha)
     ch = Chain()
     last = rank_ctes(ch, "wk", "mapreduce", 2, alpha)
     out["kept_state"] = ch.sql(
@@ -393,6 +394,7 @@ ON n.id = m.key"""
     out["sink_ranked_order"] = f"""SELECT form, row_number() OVER (PARTITION BY form ORDER BY rank DESC, title) AS pos, title, rank
 FROM ({wd_ranks}) CROSS JOIN (SELECT unnest(['tsv', 'tuple_jvm', 'tuple_py']) AS form)"""
     out["job_resumed"] = ranks_sql("wk", "mapreduce", 4, alpha)
+    out["job_resumed_dictionary"] = ranks_sql("wk", "mapreduce", 4, alpha)
     out["job_resumed_text"] = ranks_sql("wd", "mapreduce", 4, alpha)
     out["rank_extractor"] = ranks_sql("wd", "mapreduce", 3, alpha)
     out["sink_ranked_tsv"] = ranks_sql("wd", "mapreduce", 4, alpha)

@@ -33,9 +33,10 @@ from pyspark.sql import functions as F
 from surfrank.operators import graph as G
 from surfrank.operators.order import order_ranked
 from surfrank.operators.rank import RankConstants, RankLayout, initial_rank, rank_step
-from surfrank.plans.layout import DEFAULT_HOT_FACTOR, DEFAULT_HOT_FLOOR, HOT_BROADCAST_BYTES, lay_out
+from surfrank.plans.dictionary import number_graph, with_titles
+from surfrank.plans.layout import DEFAULT_HOT_FACTOR, DEFAULT_HOT_FLOOR, HOT_BROADCAST_BYTES, id_bytes, lay_out
 from surfrank.plans.presets import Preset, get_preset
-from surfrank.session import checkpoint_dir, job_conf
+from surfrank.session import checkpoint_dir, job_conf, path_exists
 
 @dataclass
 class GraphStats:
@@ -170,6 +171,7 @@ def rank_pages(
     reliable_graph: bool = True,
     extractor: G.Extractor | None = None,
     hot_broadcast_bytes: int = HOT_BROADCAST_BYTES,
+    dictionary: bool = False,
 ) -> RankResult:
     """Rank every vertex of the page graph described by ``lines``.
 
@@ -181,6 +183,9 @@ def rank_pages(
     lost executor never forces a re-parse of the input.  ``extractor`` replaces
     the preset's title and link rules: line column -> (title, array of links).
     ``hot_factor``, ``hot_floor`` and ``hot_broadcast_bytes``: see ``plans.layout``.
+    ``dictionary`` runs the steps on numbers in place of titles (``plans.dictionary``);
+    the result has titles, ``trace`` and ``on_state`` get the numbered states, whose titles
+    are in the layout's ``titles``.
     """
     preset = get_preset(preset)
     spark = lines.sparkSession
@@ -193,10 +198,14 @@ def rank_pages(
         p = _partitions(spark, num_partitions, stats)
         with job_conf(spark, job_settings(p)):
             pages = G.parsed_ok(parsed)
+            numbered = number_graph(pages, preset, stats.n_links, p, hot_factor, hot_floor) if dictionary else None
+            nodes, links = (numbered.nodes, numbered.links) if dictionary else (G.nodes(pages, preset), G.link_occurrences(pages, preset))
             layout = lay_out(
-                G.nodes(pages, preset), G.link_occurrences(pages, preset), stats.n_lines, stats.n_links, p,
+                nodes, links, stats.n_lines, stats.n_links, p,
                 hot_factor, hot_floor, reliable=reliable_graph, hot_broadcast_bytes=hot_broadcast_bytes,
             )
+            if dictionary:
+                layout = numbered.attach(layout)
     finally:
         parsed.unpersist()
     with job_conf(spark, job_settings(p)):
@@ -212,6 +221,8 @@ def _run(layout, consts, iterations, checkpoint_every, trace, start=None, on_sta
     for i, state in iterate(layout, consts, iterations, checkpoint_every, start=start, on_state=on_state):
         if trace is not None:
             trace.append((i, state))
+    if layout.titles is not None:
+        return with_titles(state, layout).checkpoint(eager=True)
     if iterations <= 0:
         state = state.checkpoint(eager=True)
     return state
@@ -246,15 +257,18 @@ def resume_from_tables(
     on_state: Callable[[int, DataFrame], None] | None = None,
     layout_sink: list | None = None,
     hot_broadcast_bytes: int = HOT_BROADCAST_BYTES,
+    titles: DataFrame | None = None,
 ) -> RankResult:
     """Continue a ranking from nodes(id, outdeg, rank) and edges(src, dst, mult), such as a kept state's.
 
+    Where ids are numbers, ``titles`` (id, title) has their titles.
+
     The graph and the start ranks are written to the checkpoint folder once, so
     a lost executor never forces the input to be read again.
     """
     spark = nodes_df.sparkSession
     checkpoint_dir(spark)
-    size = F.octet_length("id") * 2 + 8 * F.col("outdeg")  # links weigh by their number; their targets' lengths aren't read
+    size = id_bytes(nodes_df) * 2 + 8 * F.col("outdeg")  # links weigh by their number; their targets' lengths aren't read
     row = nodes_df.agg(F.count(F.lit(1)).alias("v"), F.sum("outdeg").alias("k"), F.sum(size.cast("long")).alias("b")).first()
     stats = GraphStats(int(row["v"]), int(row["k"] or 0), int(row["b"] or 0))
     p = _partitions(spark, num_partitions, stats)
@@ -263,6 +277,7 @@ def resume_from_tables(
         layout = lay_out(
             nodes_df, edges_df, n_lines, stats.n_links, p, hot_factor, hot_floor, reliable=True, hot_broadcast_bytes=hot_broadcast_bytes
         )
+        layout.titles = titles
         if layout_sink is not None:
             layout_sink.append(layout)
         start = layout.nodes.join(nodes_df.select("id", "rank").hint(layout.join_hint), "id", "left").checkpoint(eager=True)
@@ -277,14 +292,9 @@ def ranking_output(output_path: str, preset: str | Preset) -> str:
     return f"{base}/sort" if get_preset(preset).name == "mapreduce" else base
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def _refuse_existing(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
-        if _exists(spark, path):
+        if path_exists(spark, path):
             raise FileExistsError(f"output path already exists: {path}")
 
 
@@ -302,6 +312,7 @@ def run_job(
     resume_from: str | None = None,
     extractor: G.Extractor | None = None,
     state_format: str = "parquet",
+    dictionary: bool = False,
     **layout_options,
 ) -> RankResult:
     """Whole job: text in, ranking out (I6-I8), with the output layout of each preset.
@@ -321,7 +332,9 @@ def run_job(
 
     ``resume_from`` names a kept folder of either form (``.../parse`` or ``.../rank-<i>``, with
     ``count`` beside it): the input is not read, ``iterations`` more steps follow, and
-    their folders go on from its number.  ``extractor`` and ``layout_options``: see ``rank_pages``.
+    their folders go on from its number.  With ``dictionary`` (see ``rank_pages``) the kept tables
+    have numbers and ``<output>/titles`` has their titles, once; a job that goes on from
+    them has numbers too.  ``extractor`` and ``layout_options``: see ``rank_pages``.
     """
     from surfrank.sources import state as ST
     from surfrank.sources.sinks import write_ranked
@@ -342,7 +355,13 @@ def run_job(
         first = int(folder.removeprefix("rank-")) + 1 if folder.startswith("rank-") else 0
         own_count = parent != base  # a run that goes on in its own folder has its count already
     outputs = [ranking_output(base, preset)] + ([f"{base}/count"] if own_count else [])
-    own_edges = keep_state and state_format == "parquet" and not (resume_from and parent == base and _exists(spark, f"{base}/edges"))
+    own_edges = keep_state and state_format == "parquet" and not (resume_from and parent == base and path_exists(spark, f"{base}/edges"))
+    if resume_from is not None:
+        dictionary = path_exists(spark, f"{parent}/titles")
+    if dictionary and keep_state and state_format == "text":
+        raise ValueError("records hold titles: keep numbered states as tables and export them")
+    if own_edges and dictionary:
+        outputs.append(f"{base}/titles")
     if keep_state:
         outputs += [f"{base}/rank-{first + i}" for i in range(iterations)] + ([] if resume_from else [f"{base}/parse"]) + ([f"{base}/edges"] if own_edges else [])
     if mode in ("error", "errorifexists"):
@@ -355,6 +374,8 @@ def run_job(
             write_count_value(spark, layout_box[0].n_lines, f"{base}/count", mode)
         if i == 0 and own_edges:
             layout_box[0].edges().write.mode(mode).parquet(f"{base}/edges")
+            if layout_box[0].titles is not None:
+                layout_box[0].titles.write.mode(mode).parquet(f"{base}/titles")
         if keep_state and (i > 0 or resume_from is None):
             path = f"{base}/rank-{first + i - 1}" if i > 0 else f"{base}/parse"
             if state_format == "parquet":
@@ -366,14 +387,14 @@ def run_job(
         if resume_from is not None:
             n_lines = int(read_count(spark, f"{parent}/count").first()["n_lines"])
             again = dict(num_partitions=num_partitions, checkpoint_every=checkpoint_every, on_state=keep, layout_sink=layout_box, **layout_options)
-            if _exists(spark, f"{parent}/edges"):
-                result = resume_from_tables(*ST.read_kept(spark, resume_from), n_lines, iterations, alpha, preset.alpha_precision, **again)
+            if path_exists(spark, f"{parent}/edges"):
+                result = resume_from_tables(*ST.read_kept(spark, resume_from), n_lines, iterations, alpha, preset.alpha_precision, titles=ST.read_titles(spark, resume_from), **again)
             else:
                 result = resume_from_records(ST.read_state(spark, resume_from), n_lines, iterations, alpha, preset.alpha_precision, **again)
         else:
             result = rank_pages(
                 read_lines(spark, input_path), iterations, alpha, preset, num_partitions, checkpoint_every,
-                on_state=keep, layout_sink=layout_box, extractor=extractor, **layout_options,
+                on_state=keep, layout_sink=layout_box, extractor=extractor, dictionary=dictionary, **layout_options,
             )
         write_ranked(result.ranked(), ranking_output(base, preset), preset.output_format, mode)
     finally:

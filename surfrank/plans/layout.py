@@ -22,8 +22,9 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from surfrank.operators.rank import RankLayout, source_hash
 from surfrank.session import scratch_path
@@ -36,10 +37,30 @@ HOT_BROADCAST_BYTES = 64 << 20
 HASHED_VERTICES = 4_000_000
 
 
+def id_bytes(nodes: DataFrame) -> Column:
+    """Bytes of a vertex's id, a title or a number."""
+    return F.octet_length("id") if nodes.schema["id"].dataType == StringType() else F.lit(8)
+
+
 def hot_threshold(n_links: int, num_partitions: int, hot_factor: int, hot_floor: int) -> int:
     return max(int(hot_floor), math.ceil(n_links / max(1, hot_factor * num_partitions)))
 
 
+def joined_by(n_vertices: int, p: int) -> str:
+    """The hint of joins with tables that have a row for each vertex."""
+    return "shuffle_hash" if n_vertices <= HASHED_VERTICES * p else "merge"
+
+
+def write_bucketed(df: DataFrame, p: int, keys: tuple[str, ...], paths: list[str], names: list[str]) -> DataFrame:
+    """``df``, which is hash-partitioned by ``keys`` into P partitions, as a bucketed table; its path and catalog entry go to the lists."""
+    path = scratch_path(df.sparkSession, "graph")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    paths.append(path)
+    names.append(name)
+    df.write.format("parquet").bucketBy(p, *keys).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 class _Tables:
     """Cached tables, with or without a written copy."""
 
@@ -51,12 +72,7 @@ class _Tables:
     def keep(self, df: DataFrame, *keys: str) -> DataFrame:
         """``df``, which is hash-partitioned by ``keys`` into P partitions, marked cached."""
         if self.reliable:
-            path = scratch_path(df.sparkSession, "graph")
-            name = path.rsplit("/", 1)[1].replace("-", "_")
-            self.paths.append(path)
-            self.names.append(name)
-            df.write.format("parquet").bucketBy(self.p, *keys).option("path", path).saveAsTable(name)
-            df = df.sparkSession.table(name)
+            df = write_bucketed(df, self.p, keys, self.paths, self.names)
         return df.persist(self.storage)
 
 
@@ -83,7 +99,7 @@ def lay_out(
     threshold = hot_threshold(n_links, p, hot_factor, hot_floor)
     nodes = tables.keep(nodes_df.select("id", "outdeg"), "id")
     is_hot = F.col("outdeg") > F.lit(threshold)
-    size = F.when(is_hot, F.octet_length("id") + 24).cast("long")
+    size = F.when(is_hot, id_bytes(nodes) + 24).cast("long")
     row = nodes.agg(F.count(F.lit(1)).alias("v"), F.count(F.when(is_hot, 1)).alias("h"), F.sum(size).alias("b")).first()
     n_vertices, n_hot, hot_bytes = int(row["v"]), int(row["h"]), int(row["b"] or 0)
     if n_hot > hot_factor * p:  # the hot out-degrees add up to at most n_links, and each exceeds n_links / (hot_factor * P)
@@ -117,5 +133,5 @@ def lay_out(
     if not reliable:
         filled = cold.select(F.lit(1)) if hot is None else cold.select(F.lit(1)).unionByName(hot.select(F.lit(1)))
         filled.count()
-    hint = "shuffle_hash" if n_vertices <= HASHED_VERTICES * p else "merge"
+    hint = joined_by(n_vertices, p)
     return RankLayout(flagged, cold, hot, p, n_lines, n_vertices, n_hot, tuple(tables.paths), tuple(tables.names), hot_keys, salted, hint)

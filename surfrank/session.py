@@ -41,6 +41,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/surfrank-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 @contextlib.contextmanager
 def job_conf(spark: SparkSession, settings: dict[str, str | None]):
     """Apply session SQL settings for the duration of a job and restore them after."""

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType, StructField, StructType
 
+from surfrank.session import path_exists
+
 # --- fixed values: field names of the graph-state record ------------------
 NODE_SCHEMA = StructType(
     [
@@ -61,13 +63,31 @@ def write_nodes(state: DataFrame, path: str, mode: str = "errorifexists") -> Non
 def read_kept(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """nodes(id, outdeg, rank) of a kept folder and edges(src, dst, mult) from ``edges`` beside it."""
     parent = folder.rstrip("/").rsplit("/", 1)[0]
-    nodes = spark.read.schema("id string, outdeg long, rank double").parquet(folder)
-    return nodes, spark.read.schema("src string, dst string, mult long").parquet(f"{parent}/edges")
+    kind = "string" if read_titles(spark, folder) is None else "long"
+    nodes = spark.read.schema(f"id {kind}, outdeg long, rank double").parquet(folder)
+    return nodes, spark.read.schema(f"src {kind}, dst {kind}, mult long").parquet(f"{parent}/edges")
+
+
+def read_titles(spark: SparkSession, folder: str) -> DataFrame | None:
+    """titles(id, title) beside a kept folder whose ids are numbers, else None."""
+    path = folder.rstrip("/").rsplit("/", 1)[0] + "/titles"
+    return spark.read.schema("id long, title string").parquet(path) if path_exists(spark, path) else None
+
+
+def read_titled(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """``read_kept`` with titles as ids, whichever ids were kept."""
+    nodes, edges = read_kept(spark, folder)
+    titles = read_titles(spark, folder)
+    if titles is None:
+        return nodes, edges
+    for end in ("src", "dst"):  # a target with very many links is split by adaptive execution
+        edges = edges.join(titles.select(F.col("id").alias(end), F.col("title").alias(f"{end}_title")), end)
+    return nodes.join(titles, "id").select(F.col("title").alias("id"), "outdeg", "rank"), edges.select(F.col("src_title").alias("src"), F.col("dst_title").alias("dst"), "mult")
 
 
 def export_state(spark: SparkSession, folder: str, path: str, mode: str = "errorifexists") -> None:
     """The graph-state records of a kept folder, as lines (K2)."""
-    nodes, edges = read_kept(spark, folder)
+    nodes, edges = read_titled(spark, folder)
     write_state(state_records(nodes, edges.join(nodes.select(F.col("id").alias("src"), "rank"), "src")), path, mode)
 
 
