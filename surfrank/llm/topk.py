@@ -7,17 +7,21 @@ bound is the sum over the components of the larger product of the query's value
 Blocks are taken in order of bound and scored through their forward index
 until the next bound falls below the query's k-th score; ties are still scored.
 
+To start with a useful k-th score, each query is first scored against a pilot, a bounded sample of
+``pilot_rows`` vectors chosen by a hash of the id: its k-th score there is a lower limit of the final one.
+Queries then meet the bounds of groups of blocks only, and go on just to the groups whose bound reaches
+that limit; groups that no query reaches are left where they are.
 Queries meet the blocks in cells of (part of the queries, group of blocks),
-which are the units of the shuffle, so no task holds all queries or all blocks.
-To start with a useful k-th score in every cell, each query is first scored
-against a pilot, a bounded sample of ``pilot_rows`` vectors chosen by a hash of
-the id: its k-th score there is a lower limit of the final one.
+which are the units of the shuffle, so no task holds all queries or all blocks.  Cells grow
+with the input up to LARGEST_RANGE rows and LARGEST_PART queries; beyond, where bounds
+prune nothing, the shuffle grows with rows times parts and queries times groups.
 
 Each component x of a vector counts as floor(64 * x).  Vectors that are null or
 hold a null or non-finite component take no part, as queries neither; rows with a null
 id are left out.  Vectors of different lengths are compared as if the
-shorter one ended in zeros.  Repeated rows count once; rows of one id with different
-vectors are candidates each, and queries each, but never each other's.  Ties go to the smaller vec_id.
+shorter one ended in zeros.  Every row is a candidate, repeated rows as often as they come, but rows of
+one id are never each other's.  Query rows of one id share one list of k: the
+highest of all their scores.  Ties go to the smaller vec_id.
 Scores are exact: sums beyond 2**53 use 64-bit integers.  No rows or no queries
 give no rows.  Extra columns are dropped.
 """
@@ -37,6 +41,10 @@ TOP = 20
 BLOCK_ROWS = 256
 #: Vectors of a range (a group of blocks), queries of a part, vectors of the pilot.
 RANGE_ROWS, PART_ROWS, PILOT_ROWS = 4096, 1024, 4096
+#: How far ranges and parts grow with the input, and the ranges and parts that there should be before they do.
+LARGEST_RANGE, LARGEST_PART, MANY_RANGES, MANY_PARTS = 32768, 16384, 8, 4
+#: Queries scored at once in a cell, and groups whose bounds are tested in one task.
+SLICE, GROUPS_TESTED = 1024, 1024
 
 
 def _quantised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,21 +75,24 @@ def _matrix(rows: list[bytes], dim: int) -> np.ndarray:
     return out
 
 
+BLOCK = ["ids", "times", "vectors", "largest", "least"]
+
+
 def _blocks(dim: int, block_rows: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
+        times: list[int] = []
         rows: list[bytes] = []
 
         def block(k):
             m = _matrix(rows[:k], dim)
-            out = pa.RecordBatch.from_arrays(
-                [pa.array([np.array(ids[:k], dtype="<i8").tobytes()]), pa.array([m.tobytes()]), pa.array([m.max(axis=0).tobytes()]), pa.array([m.min(axis=0).tobytes()])], names=["ids", "vectors", "largest", "least"]
-            )
-            del ids[:k], rows[:k]
-            return out
+            own = (np.array(ids[:k], dtype="<i8"), np.array(times[:k], dtype="<i8"), m, m.max(axis=0), m.min(axis=0))
+            del ids[:k], times[:k], rows[:k]
+            return pa.RecordBatch.from_arrays([pa.array([a.tobytes()]) for a in own], names=BLOCK)
 
         for batch in batches:
             ids += batch.column("vec_id").to_pylist()
+            times += batch.column("n").to_pylist()
             rows += batch.column("v").to_pylist()
             while len(ids) >= block_rows:
                 yield block(block_rows)
@@ -106,12 +117,12 @@ def _bounds(q: np.ndarray, largest: np.ndarray, least: np.ndarray) -> np.ndarray
 LOWEST = np.iinfo(np.int64).min
 
 
-def search(q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, blocks: list[tuple], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query index, vec_id, score) of all scores of these blocks that can still be among the k highest.
+def search(q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, blocks: list[tuple], k: int) -> tuple[np.ndarray, ...]:
+    """(query index, vec_id, times, score) of all scores of these blocks (ids, times, vectors, largest, least) that can still be among the k highest.
 
     floor: a k-th score that each query already has elsewhere.
     """
-    bounds = _bounds(q, np.stack([b[2] for b in blocks]), np.stack([b[3] for b in blocks]))
+    bounds = _bounds(q, np.stack([b[3] for b in blocks]), np.stack([b[4] for b in blocks]))
     order = np.argsort(-bounds, axis=1, kind="stable")
     kept = np.full((len(q), k), LOWEST)  # the k highest scores so far, in no order
     floor = floor.copy()
@@ -125,45 +136,71 @@ def search(q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, blocks: list[tup
             break
         for b in np.unique(mine):
             who = active[mine == b]
-            ids, m = blocks[b][0], blocks[b][1]
+            ids, times, m = blocks[b][:3]
             s = dot(q[who], m)
             other = ids[None, :] != q_ids[who][:, None]
             s = np.where(other, s, LOWEST)
             at, col = np.nonzero((s >= floor[who][:, None]) & other)
-            hits.append((who[at], ids[col], s[at, col]))
+            hits.append((who[at], ids[col], times[col], s[at, col]))
             both = np.concatenate([kept[who], s], axis=1)
             kept[who] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
             floor[who] = np.maximum(floor[who], kept[who].min(axis=1))
     if not hits:
         empty = np.zeros(0, dtype=np.int64)
-        return empty, empty, empty
-    query, ids, scores = (np.concatenate(x) for x in zip(*hits))
-    fit = scores >= floor[query]
-    query, ids, scores = query[fit], ids[fit], scores[fit]
+        return empty, empty, empty, empty
+    query, ids, times, scores = (np.concatenate(x) for x in zip(*hits))
     by = np.lexsort((ids, -scores, query))
-    query, ids, scores = query[by], ids[by], scores[by]
-    first = np.searchsorted(query, query, side="left")
-    best = np.arange(len(query)) - first < k
-    return query[best], ids[best], scores[best]
+    by = by[scores[by] >= floor[query[by]]]
+    first = np.searchsorted(query[by], query[by], side="left")
+    by = by[np.arange(len(by)) - first < k]
+    return query[by], ids[by], times[by], scores[by]
 
 
 def _cell(dim: int, k: int):
     def cell(queries: pa.Table, blocks: pa.Table) -> pa.Table:
-        rows = [
-            (np.frombuffer(i, dtype="<i8"), np.frombuffer(v, dtype="<i8").reshape(-1, dim), np.frombuffer(hi, dtype="<i8"), np.frombuffer(lo, dtype="<i8"))
-            for i, v, hi, lo in zip(*(blocks.column(c).to_pylist() for c in ("ids", "vectors", "largest", "least")))
-        ]
-        q_ids = np.array(queries.column("vec_id").to_pylist(), dtype=np.int64)
-        if rows and len(q_ids):
-            at, ids, scores = search(q_ids, _matrix(queries.column("v").to_pylist(), dim), np.array(queries.column("floor").to_pylist(), dtype=np.int64), rows, k)
-        else:
-            at = ids = scores = np.zeros(0, dtype=np.int64)
-        row = np.array(queries.column("row").to_pylist(), dtype=np.int64)
-        return pa.table({"query_id": pa.array(q_ids[at]), "row": pa.array(row[at]), "vec_id": pa.array(ids), "score": pa.array(scores)})
+        rows = []
+        for own in zip(*(blocks.column(c).to_pylist() for c in BLOCK)):
+            ids, times, m, hi, lo = (np.frombuffer(x, dtype="<i8") for x in own)
+            rows.append((ids, times, m.reshape(-1, dim), hi, lo))
+        found = [pa.table({c: pa.array([], pa.int64()) for c in FOUND})]
+        for a in range(0, queries.num_rows if rows else 0, SLICE):
+            some = queries.slice(a, SLICE)
+            q_ids, n, floor = (np.array(some.column(c).to_pylist(), dtype=np.int64) for c in ("vec_id", "n", "floor"))
+            at, ids, times, scores = search(q_ids, _matrix(some.column("v").to_pylist(), dim), floor, rows, k)
+            found.append(pa.table(dict(zip(FOUND, (q_ids[at], ids, scores, np.minimum(n[at], k) * np.minimum(times, k))))))
+        return pa.concat_tables(found)
 
     return cell
 
 
+FOUND = ["query_id", "vec_id", "score", "times"]
+
+
+def _group_bounds(dim: int):
+    def bounds(blocks: pa.Table) -> pa.Table:
+        largest, least = (_matrix(blocks.column(c).to_pylist(), dim) for c in ("largest", "least"))
+        return pa.table({"group": blocks.column("group")[:1], "largest": pa.array([largest.max(axis=0).tobytes()]), "least": pa.array([least.min(axis=0).tobytes()])})
+
+    return bounds
+
+
+def _reached(dim: int):
+    """The queries that reach a group of these, with the groups that they reach."""
+
+    def reached(queries: pa.Table, groups: pa.Table) -> pa.Table:
+        largest, least = (_matrix(groups.column(c).to_pylist(), dim) for c in ("largest", "least"))
+        numbers = np.array(groups.column("group").to_pylist(), dtype=np.int64)
+        lists = []
+        for a in range(0, queries.num_rows, SLICE):
+            some = queries.slice(a, SLICE)
+            can = _bounds(_matrix(some.column("v").to_pylist(), dim), largest, least) >= np.array(some.column("floor").to_pylist(), dtype=np.int64)[:, None]
+            lists += [numbers[c] for c in can]
+        out = queries.select(["vec_id", "v", "n", "floor", "part"]).append_column("groups", pa.array(lists, pa.list_(pa.int64())))
+        return out.filter(pa.array([len(x) > 0 for x in lists], pa.bool_()))
+
+    return reached
+
+
 def _floors(pilot_ids: np.ndarray, pilot: np.ndarray, dim: int, k: int):
     def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,34 +211,49 @@ def _floors(pilot_ids: np.ndarray, pilot: np.ndarray, dim: int, k: int):
                     s = dot(_matrix(batch.column("v").to_pylist()[a : a + PART_ROWS], dim), pilot)
                     s[pilot_ids[None, :] == ids[a : a + PART_ROWS, None]] = LOWEST
                     out[a : a + PART_ROWS] = np.partition(s, s.shape[1] - k, axis=1)[:, -k]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=["vec_id", "v", "row", "floor"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=["vec_id", "v", "n", "floor"])
 
     return floors
 
 
-def top_k(vectors: DataFrame, is_query, k: int = TOP, block_rows: int = BLOCK_ROWS, range_rows: int = RANGE_ROWS, part_rows: int = PART_ROWS, pilot_rows: int = PILOT_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k highest inner products; ``is_query`` is a condition on vec_id."""
+def top_k(vectors: DataFrame, is_query, k: int = TOP, block_rows: int = BLOCK_ROWS, range_rows: int | None = None, part_rows: int | None = None, pilot_rows: int = PILOT_ROWS) -> DataFrame:
+    """(query_id, rank, vec_id, score): each query's k highest inner products; ``is_query`` is a condition on vec_id.
+
+    ``range_rows`` and ``part_rows``, rows and queries of a cell, follow the input where they aren't given.
+    """
     spark = vectors.sparkSession
-    rows = written(quantise(vectors).distinct(), "vectors")
+    rows = written(quantise(vectors).groupBy("vec_id", "v").agg(F.count("*").alias("n")), "vectors")
     n, dim = rows.agg(F.count("*"), F.coalesce(F.max(F.octet_length("v")), F.lit(0))).first()
     dim = max(1, dim // 8)
     n_queries = rows.where(is_query).count()
     if not n_queries:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    range_rows = range_rows or min(LARGEST_RANGE, max(RANGE_ROWS, n // MANY_RANGES))
+    part_rows = part_rows or min(LARGEST_PART, max(PART_ROWS, n_queries // MANY_PARTS))
     ranges, parts = max(1, -(-n // range_rows)), max(1, -(-n_queries // part_rows))
 
     share = min(1.0, pilot_rows / n)
     pilot = rows.where(F.pmod(F.xxhash64(F.lit(11), "vec_id", "v"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).limit(2 * pilot_rows).collect()  # bounded by pilot_rows
     pilot_ids, pilot_m = np.array([r["vec_id"] for r in pilot], dtype=np.int64), _matrix([r["v"] for r in pilot], dim)
-    queries = rows.where(is_query).withColumn("row", F.xxhash64("vec_id", "v")).mapInArrow(_floors(pilot_ids, pilot_m, dim, k), "vec_id long, v binary, row long, floor long")
-    queries = written(queries.withColumn("part", F.pmod(F.xxhash64(F.lit(5), "vec_id", "v"), F.lit(parts))), "queries")
-
-    packed = rows.repartitionByRange(ranges, "vec_id").sortWithinPartitions("vec_id").mapInArrow(_blocks(dim, block_rows), "ids binary, vectors binary, largest binary, least binary")
-    packed = written(packed, "blocks").withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(ranges)))
-    left = queries.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(ranges - 1).cast("long"))))
-    right = packed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-    cells = left.groupBy("part", "group").cogroup(right.groupBy("part", "group")).applyInArrow(_cell(dim, k), "query_id long, row long, vec_id long, score long")
-    best = cells.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "row").orderBy(F.desc("score"), "vec_id")))
+    queries = rows.where(is_query).select("vec_id", "v", "n").mapInArrow(_floors(pilot_ids, pilot_m, dim, k), "vec_id long, v binary, n long, floor long")
+    queries = queries.withColumn("part", F.pmod(F.xxhash64(F.lit(5), "vec_id", "v"), F.lit(parts)))
+
+    packed = rows.repartitionByRange(ranges, "vec_id", "v").sortWithinPartitions("vec_id", "v").mapInArrow(_blocks(dim, block_rows), ", ".join(f"{c} binary" for c in BLOCK))
+    packed = written(packed.withColumn("group", F.spark_partition_id().cast("long")), "blocks")
+    bounds = packed.select("group", "largest", "least").groupBy("group").applyInArrow(_group_bounds(dim), "group long, largest binary, least binary")
+
+    tests = -(-ranges // GROUPS_TESTED)
+    each = lambda most: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(most - 1).cast("long")))
+    left = queries.withColumn("test", each(tests))
+    right = bounds.withColumn("test", F.col("group") % tests).withColumn("part", each(parts))
+    reach = left.groupBy("part", "test").cogroup(right.groupBy("part", "test")).applyInArrow(_reached(dim), "vec_id long, v binary, n long, floor long, part long, groups array<long>")
+    reach = written(reach, "reach")
+
+    left = reach.withColumn("group", F.explode("groups")).drop("groups")
+    cells = reach.select(F.col("part").alias("part"), F.explode("groups").alias("group")).distinct()
+    found = left.groupBy("part", "group").cogroup(packed.join(cells, "group").groupBy("part", "group")).applyInArrow(_cell(dim, k), "query_id long, vec_id long, score long, times long")
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least("times", F.lit(k)))))
+    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return best.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
