@@ -127,8 +127,10 @@ def write_archives(pages: DataFrame, folder: str, min_payload: int = MIN_PAYLOAD
     repeated = settled(
         keyed.where("digest IS NOT NULL").groupBy("digest").agg(F.max("page_id").alias("response_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     )
-    role = keyed.join(repeated, "digest", "left").select(
-        "page_id", "url", "html", "response_id", (F.col("digest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id")) & F.col("response_id").isNotNull()).alias("revisit")
+    # payloads too short for a digest match nothing; keys of their own keep them from sharing a partition
+    keyed = keyed.withColumn("key", F.coalesce("digest", F.concat(F.lit("-"), F.xxhash64("page_id", "url", "html").cast("string")))).drop("digest", "size")
+    role = keyed.join(repeated.withColumnRenamed("digest", "key"), "key", "left").select(
+        "page_id", "url", "html", "response_id", (F.col("response_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id"))).alias("revisit")
     )
     return settled(role.mapInArrow(_writer(_uri(folder), archive_bytes), ARCHIVES).where("records > 0"))
 
