@@ -71,10 +71,10 @@ TAG_POINTS = {"article": 25.0, "main": 25.0, "section": 5.0, "div": 5.0, "td": 3
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "points", "chars", "linked", "commas", "names", "dropped")
+    __slots__ = ("tag", "parent", "kids", "points", "chars", "linked", "commas", "names", "dropped", "doubtful")
 
-    def __init__(self, tag: str, parent: Node | None, names: str = "", dropped: bool = False):
-        self.tag, self.parent, self.names, self.dropped = tag, parent, names, dropped
+    def __init__(self, tag: str, parent: Node | None, names: str = "", dropped: bool = False, doubtful: bool = False):
+        self.tag, self.parent, self.names, self.dropped, self.doubtful = tag, parent, names, dropped, doubtful
         self.kids: list[Node | str] = []
         self.points, self.chars, self.linked, self.commas = 0.0, 0, 0, 0
 
@@ -94,12 +94,12 @@ class _Forms:
         return first < len(self.starts) and (end == len(self.ends) or self.starts[first] < self.ends[end])
 
 
-def _dropped(tag: str, attrs: str, inside: bool, holds: bool = False) -> tuple[str, bool]:
-    """(class and id, whether the element is left out); a form that ``holds`` main text isn't."""
+def _dropped(tag: str, attrs: str, inside: bool, holds: bool = False) -> tuple[str, bool, bool]:
+    """(class and id, whether the element is left out, whether only a name within an article speaks against it); a form that ``holds`` main text stays."""
     if tag in DROPPED and not holds or tag == "header" and not inside:
-        return "", True
+        return "", True, False
     if not attrs.strip():
-        return "", False
+        return "", False, False
     got = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
     names = _ABOUT.sub("", _HUMP.sub("-", f"{got.get('class', '')} {got.get('id', '')}")).strip()
     style = got.get("style", "").replace(" ", "").lower()
@@ -108,9 +108,14 @@ def _dropped(tag: str, attrs: str, inside: bool, holds: bool = False) -> tuple[s
         or "hidden" in got
         or got.get("aria-hidden", "").lower() == "true"
         or "display:none" in style
-        or tag not in ("html", "body", "article", "main", "header") and not holds and bool(_UNLIKELY.search(names) and not _LIKELY.search(names) or _NEVER.search(names))
     )
-    return names, off
+    if off or holds or tag in ("html", "body", "article", "main", "header"):
+        return names, off, False
+    if _NEVER.search(names):
+        return names, True, False
+    unlikely = bool(_UNLIKELY.search(names) and not _LIKELY.search(names))
+    doubtful = unlikely and inside and tag in ("section", "div")
+    return names, unlikely and not doubtful, doubtful
 
 
 def build(page: str) -> Node:
@@ -167,14 +172,14 @@ def build(page: str) -> Node:
                 x = x.parent
             if x.tag in CLOSES[tag]:
                 now = close(x)
-        names, off = _dropped(tag, m[3], inside > 0, tag == "form" and forms.holds(at))
+        names, off, doubtful = _dropped(tag, m[3], inside > 0, tag == "form" and forms.holds(at))
         if tag in VOID:
             if not now.dropped:
                 now.kids.append(Node(tag, now) if tag in ("br", "hr") else " ")
             continue
         if m[3].endswith("/") and tag not in BLOCK and tag not in ("a", "b", "i", "span"):
             continue
-        kid = Node(tag, now, names, now.dropped or off)
+        kid = Node(tag, now, names, now.dropped or off, doubtful)
         if not kid.dropped:
             now.kids.append(kid)
         open_tags[tag] = open_tags.get(tag, 0) + 1
@@ -193,6 +198,23 @@ def _walk(root: Node) -> list[Node]:
     return out
 
 
+def settle_doubts(root: Node) -> None:
+    """Leave out the doubtful sections that hold half of the text of their article (the outermost article or main element) or less."""
+    nodes = _walk(root)
+    if not any(x.doubtful for x in nodes):
+        return
+    size = {id(x): sum(len(k.strip()) for k in x.kids if isinstance(k, str)) for x in nodes}
+    for x in reversed(nodes):
+        if x.parent is not None:
+            size[id(x.parent)] += size[id(x)]
+    article: dict[int, Node | None] = {}
+    for x in nodes:
+        above = article.get(id(x.parent)) if x.parent is not None else None
+        article[id(x)] = above or (x if x.tag in ("article", "main") else None)
+        if x.doubtful and 2 * size[id(x)] <= size[id(above)]:
+            x.parent.kids = [k for k in x.parent.kids if k is not x]
+
+
 def score(root: Node) -> list[Node]:
     """Give points to the containers; return them in page order."""
     nodes = _walk(root)
@@ -238,8 +260,12 @@ def _whole(best: Node) -> Node:
 
 
 def _kept(best: Node) -> list[Node | str]:
-    """What is kept whole and all beside it that isn't mostly links, in page order."""
-    best = _whole(best)
+    """What is kept whole and what beside it isn't mostly links, in page order.
+
+    Where the page itself marks an article, what stands beside it is kept only if it
+    earns that: by points, as a long paragraph, or as a heading.
+    """
+    points, best = best.points, _whole(best)
     if best.parent is None or best.tag in ("body", "main"):
         return [best]
     out: list[Node | str] = []
@@ -248,9 +274,16 @@ def _kept(best: Node) -> list[Node | str]:
     def judge(some: list[Node | str]) -> None:
         chars = sum(len(k.strip()) if isinstance(k, str) else k.chars for k in some)
         linked = sum(0 if isinstance(k, str) else k.chars if k.tag == "a" else k.linked for k in some)
-        if linked < 0.5 * chars:
+        if linked < 0.5 * chars and (best.tag != "article" or any(not isinstance(k, str) and earns(k) for k in some)):
             out.extend(some)
 
+    def earns(k: Node) -> bool:
+        if k.tag in ("article", "h1", "h2"):
+            return True
+        if k.tag == "p":
+            return k.chars > 80 and k.linked < 0.25 * k.chars
+        return k.points >= max(10.0, 0.2 * points)
+
     for k in best.parent.kids:
         if isinstance(k, str) or k.tag not in BLOCK:
             run.append(k)
@@ -300,6 +333,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = build(page)
+    settle_doubts(root)
     containers = score(root)
     best = max(containers, key=lambda x: x.points)  # the first of tied ones
     if best.points <= 0:

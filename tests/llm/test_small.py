@@ -414,6 +414,22 @@ def test_texts_handled_together():
     assert all(len(r) == 1 or sum(len(x or "") for x in r) <= toxicity.CHARACTERS for r in runs)
 
 
+def test_html_sections_of_an_article_and_text_beside_it():
+    body = "<p>First, second, third, and more text here, of the history.</p><p>Another, longer, paragraph, of, the, text.</p>"
+    text = "First, second, third, and more text here, of the history.\n\nAnother, longer, paragraph, of, the, text."
+    # a section named like a widget that holds the article stays; one that holds little goes
+    assert extract_html.main_text(f'<article><section class="social history">{body}</section></article>') == text
+    assert extract_html.main_text(f'<main><article><div class="related"><p>See, also</p></div>{body}<div id="share"><p>Share it</p></div></article></main>') == text
+    assert extract_html.main_text(f'<article>{body}<div class="comments">{body}{body}{body}</div></article>') == text
+    # unlabelled lines beside an article go; a heading, a long paragraph and a second article stay
+    assert extract_html.main_text(f"<body><p>Your daily source</p><article>{body}</article><p>Posted by Jo</p><div>Copyright 2020 The Site</div></body>") == text
+    more = "A long paragraph that belongs to the page, with words enough to be more than eighty characters."
+    got = extract_html.main_text(f"<body><h1>Title</h1><article>{body}</article><p>{more}</p><article><p>Second, one.</p></article></body>")
+    assert got == f"Title\n\n{text}\n\n{more}\n\nSecond, one."
+    # without an article element all beside the best container stays
+    assert extract_html.main_text(f"<body><div>{body}</div><p>Short end</p></body>") == f"{text}\n\nShort end"
+
+
 def test_html_names_and_forms():
     article = "<h1>Head</h1><p>First, second, third, and more text here.</p>"
     text = "Head\n\nFirst, second, third, and more text here."
