@@ -42,7 +42,7 @@ BLOCK_ROWS = 256
 #: Vectors of a range (a group of blocks), queries of a part, vectors of the pilot.
 RANGE_ROWS, PART_ROWS, PILOT_ROWS = 4096, 1024, 4096
 #: How far ranges and parts grow with the input, and the ranges and parts that there should be before they do.
-LARGEST_RANGE, LARGEST_PART, MANY_RANGES, MANY_PARTS = 32768, 16384, 8, 4
+LARGEST_RANGE, LARGEST_PART, MANY_RANGES, MANY_PARTS = 32768, 16384, 8, 1
 #: Queries scored at once in a cell, and groups whose bounds are tested in one task.
 SLICE, GROUPS_TESTED = 1024, 1024
 
