@@ -177,6 +177,12 @@ class NearDuplicates:
     def _written(self, df: DataFrame, name: str) -> DataFrame:
         return written(df, name, self.paths)
 
+    def _done_since(self, mark: int, keep: int = 0) -> None:
+        """Deletes the tables written since ``mark`` of them were there, but for the last ``keep``."""
+        done = self.paths[mark : len(self.paths) - keep]
+        del self.paths[mark : len(self.paths) - keep]
+        deleted(self.texts.sparkSession, done)
+
     def run(self) -> DataFrame:
         sketched = written(self.texts.mapInArrow(_sketch(self.size, self.k), "doc_id long, text_key long, n long, digest binary, sketch array<long>"), "sketches")
         known = sketched.where("n > 0 AND doc_id IS NOT NULL")
@@ -213,7 +219,7 @@ class NearDuplicates:
 
     def _lists(self, nodes: DataFrame) -> DataFrame:
         """(value, node, n, weight): the listed values of each class; weight is the sum of their frequencies."""
-        k = self.k
+        k, mark = self.k, len(self.paths)
         rows = nodes.select("node", "n", F.explode("sketch").alias("value"))
         common = self._written(rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "values")
         rows = rows.join(common, "value")
@@ -223,12 +229,15 @@ class NearDuplicates:
         alone = length - F.count("*").over(by_node)  # values that no other class has come first
         rows = rows.withColumn("left", length - least + F.least(F.lit(SHARED), least) - alone).withColumn("place", F.row_number().over(by_node.orderBy("df", "value")))
         rows = rows.where("place <= left").withColumn("weight", F.sum("df").over(by_node))
-        return self._written(rows.select("value", "node", "n", "weight"), "lists")
+        lists = self._written(rows.select("value", "node", "n", "weight"), "lists")
+        self._done_since(mark, keep=1)
+        return lists
 
     def _links(self) -> DataFrame:
         """Links that join all that is similar."""
         nodes = self.classes.select("node", "n", "sketch")
         lists = self._lists(nodes)
+        mark = len(self.paths)
         best = F.max(F.struct("weight", (-F.col("node")).alias("neg"), F.col("n").alias("n"))).alias("best")
         pivots = self._written(lists.groupBy("value").agg(best, F.count("*").alias("m")).where("m > 1").select("value", (-F.col("best.neg")).alias("pivot"), F.col("best.n").alias("pivot_n")), "pivots")
         starred = lists.join(pivots, "value").where("node <> pivot").where(self._near("n", "pivot_n"))
@@ -236,8 +245,10 @@ class NearDuplicates:
         pairs = self._written(starred.select("shared", F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"), "node"), "pairs")
         first = pairs.withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("shared"), "a", "b"))).where("r = 1")
         tested = self._written(first.select("a", "b").distinct(), "tested")
+        self._done_since(mark, keep=1)
         links = self._confirmed(self._written(self._passing(tested, nodes).select("a", "b"), "passed"))
         for turn in range(PIVOT_ROUNDS + 1):
+            mark = len(self.paths)
             found = components(links)
             label = lists.select("value", "node", "n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
             split = label.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members"))
@@ -258,6 +269,7 @@ class NearDuplicates:
                 nearest = Window.partitionBy("node").orderBy(F.desc("share"), "a", "b")
                 passed = passed.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= PIVOTS_TRIED)
             passed = self._written(passed.select("a", "b").distinct(), "passed")
+            self._done_since(mark, keep=1)
             links = settled(links.union(self._confirmed(passed)))
             tested = tested.union(passed)
         return links
@@ -290,6 +302,7 @@ class NearDuplicates:
         members (side 1) in cells of bounded size, and a cell returns the links that
         join components, not those between components that it has joined.
         """
+        mark = len(self.paths)
         members = rows.join(lists.select("value", "c"), "value").groupBy("c", "node").agg(F.first("component").alias("component"), F.first("n").alias("n"))
         weight = F.col("n") + F.lit(CELL_BASE)
         members = self._written(members.withColumn("weight", weight), "members")
@@ -301,7 +314,9 @@ class NearDuplicates:
         side_0 = dealt.where(outside).select("c", "node", "component", F.col("i"), F.explode(F.expr("sequence(0L, vs - 1)")).alias("j"), F.lit(0).alias("side"))
         side_1 = dealt.select("c", "node", "component", F.explode(F.expr("sequence(0L, us - 1)")).alias("i"), F.col("j"), F.lit(1).alias("side"))
         both = side_0.unionByName(side_1).join(self._texts_of(members.select("node")), "node")
-        return settled(both.groupBy("c", "i", "j").applyInArrow(_cell(self.size, self.percent), "a long, b long"))
+        links = settled(both.groupBy("c", "i", "j").applyInArrow(_cell(self.size, self.percent), "a long, b long"))
+        self._done_since(mark)
+        return links
 
     def _least(self, n: str) -> F.Column:
         """Values that the sketch of a set of this size shares with that of a similar one, at least."""
@@ -326,7 +341,8 @@ class NearDuplicates:
         """The pairs that the union's sketch lets pass, with the estimate ``share``."""
         t, k = self.percent / 100, self.k
         nodes = likely(nodes, pairs.select(F.explode(F.array("a", "b")).alias("node")), "node")
-        side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+        halves = F.transform("sketch", lambda x: F.shiftright(x, 32).cast("int"))  # in the same order; values of two sets rarely agree in these bits alone
+        side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), halves.alias(f"s_{x}"))
         both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("all", F.array_union("s_a", "s_b"))
         both = both.withColumn("whole", (F.col("n_a") <= k) & (F.col("n_b") <= k) & (F.size("all") <= k))
         both = both.withColumn("union", F.slice(F.array_sort("all"), 1, k))
@@ -336,15 +352,20 @@ class NearDuplicates:
 
     def _confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose full sets of shingles are similar."""
+        mark = len(self.paths)
         own = self._texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")))  # few of the texts; joins with these can split a pivot of many pairs
         text = lambda x: own.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
         met = pairs.select("a", "b").join(text("b"), "b").join(text("a"), "a").select("a", "b", "text_a", "text_b")
-        return settled(met.mapInArrow(_confirm(self.size, self.percent), "a long, b long"))
+        links = settled(met.mapInArrow(_confirm(self.size, self.percent), "a long, b long"))
+        self._done_since(mark)
+        return links
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id of each row; by default five words and 0.8."""
-    with job_conf(documents.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_TEXTS)}):
+    settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_TEXTS)}
+    settings["spark.sql.classic.shuffleDependency.fileCleanup.enabled"] = "true"  # every table is written or checkpointed, so a job's shuffles end with it
+    with job_conf(documents.sparkSession, settings):
         return NearDuplicates(documents, size, percent).run()
 
 
