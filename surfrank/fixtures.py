@@ -44,12 +44,11 @@ def wp_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("b.l_partkey").alias("k"),
         ).alias("key"),
     )
-    bodies = pairs.groupBy("src").agg(F.array_sort(F.collect_list("key")).alias("keys")).select(
-        "src",
-        F.array_join(
-            F.transform("keys", lambda k: F.concat(F.lit("[[P"), k["k"].cast("string"), F.lit("]]"))), " "
-        ).alias("body"),
+    # links of a part come from orders everywhere, so gathering them before the shuffle would only cost
+    bodies = pairs.repartition("src").groupBy("src").agg(F.sort_array(F.collect_list("key"))["k"].cast("array<string>").alias("parts")).select(
+        "src", F.array_join("parts", "]] [[P").alias("parts")
     )
+    bodies = bodies.select("src", F.when(F.col("parts") != "", F.concat(F.lit("[[P"), "parts", F.lit("]]"))).alias("body"))
     part = table(spark, sf_dir, "part").select("p_partkey")
     return part.join(bodies, part.p_partkey == bodies.src, "left").select(
         F.concat(

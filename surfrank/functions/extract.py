@@ -107,8 +107,9 @@ def page_title(line: Column | str, preset: Preset) -> Column:
 
 def page_links(line: Column | str, preset: Preset) -> Column:
     line = _col(line)
-    links = outlinks_text_scope(line, preset.link_dot) if preset.text_scope else outlinks(line, preset.link_dot)
-    return normalize_tabs_array(links) if preset.normalize_tabs else links
+    if preset.normalize_tabs:
+        line = F.replace(line, F.lit("\t"), F.lit(" "))  # the patterns match either, so no link need be looked at again
+    return outlinks_text_scope(line, preset.link_dot) if preset.text_scope else outlinks(line, preset.link_dot)
 
 
 def parse_line(line: Column | str, preset: Preset) -> tuple[Column, Column]:

@@ -50,10 +50,8 @@ class Numbered:
 
 def degrees(pages: DataFrame, preset: Preset) -> DataFrame:
     """(title, outdeg, indeg) of every vertex: link occurrences from it and to it, in one aggregate."""
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    own = F.array(F.struct(F.col("title"), F.size(G.kept_links(preset)).cast("long").alias("o"), zero.alias("i")))
-    targets = F.transform(F.col("outlinks"), lambda x: F.struct(x.alias("title"), zero.alias("o"), one.alias("i")))
-    rows = pages.select(F.explode(F.concat(own, targets)).alias("r")).select("r.title", "r.o", "r.i")
+    own = F.col("pos") == 0
+    rows = G.title_and_targets(pages, preset).select(F.col("id").alias("title"), F.when(own, F.col("d")).otherwise(0).alias("o"), F.when(own, 0).otherwise(1).alias("i"))
     return rows.groupBy("title").agg(F.sum("o").alias("outdeg"), F.sum("i").alias("indeg"))
 
 

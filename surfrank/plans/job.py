@@ -50,20 +50,22 @@ LINKS_PER_PARTITION, LINES_PER_PARTITION, BYTES_PER_PARTITION = 2_000_000, 2_000
 
 
 def _partitions(spark: SparkSession, num_partitions: int | None, stats: GraphStats) -> int:
-    """P for the job: explicit, else sized from the graph.
+    """P for the job: explicit, else sized from the graph, at least the cluster's default parallelism.
 
-    Links, lines (a page without links is a vertex as well) and bytes each set a
-    number of partitions, and the largest is taken, at least the cluster's default
-    parallelism.  The session's number of shuffle partitions is no limit: a
+    The session's number of shuffle partitions is no limit: a
     graph beyond it needs more, smaller partitions.
     """
     if num_partitions is not None:
         if num_partitions < 1:
             raise ValueError("num_partitions must be >= 1")
         return int(num_partitions)
-    floor = max(1, int(spark.sparkContext.defaultParallelism))
+    return max(1, int(spark.sparkContext.defaultParallelism), sized_partitions(stats))
+
+
+def sized_partitions(stats: GraphStats) -> int:
+    """Links, lines (a page without links is a vertex as well) and bytes each set a number of partitions, and the largest is taken."""
     sizes = ((stats.n_links, LINKS_PER_PARTITION), (stats.n_lines, LINES_PER_PARTITION), (stats.n_bytes, BYTES_PER_PARTITION))
-    return max(floor, *(math.ceil(n / most) for n, most in sizes))
+    return max(math.ceil(n / most) for n, most in sizes)
 
 
 def job_settings(num_partitions: int) -> dict[str, str]:
@@ -92,7 +94,7 @@ def graph_stats(parsed: DataFrame, preset: Preset) -> GraphStats:
     """N (every line, parsed or not), and the number and bytes of kept link occurrences and titles, in one pass (A1, S3)."""
     kept = G.kept_links(preset)
     here = F.col("title").isNotNull()
-    size = F.octet_length("title") + F.aggregate(kept, F.lit(0).cast("long"), lambda n, x: n + F.octet_length(x))
+    size = F.octet_length("title").cast("long") + F.octet_length(F.array_join("outlinks", ""))
     row = parsed.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(here, F.size(kept)).cast("long")).alias("links"), F.sum(F.when(here, size)).alias("bytes")).first()
     return GraphStats(int(row["n"]), int(row["links"] or 0), int(row["bytes"] or 0))
 
@@ -182,6 +184,8 @@ def rank_pages(
     also writes the node and edge tables to the checkpoint folder once, so a
     lost executor never forces a re-parse of the input.  ``extractor`` replaces
     the preset's title and link rules: line column -> (title, array of links).
+    With an explicit ``num_partitions`` that is small for the graph, links are still counted in as many
+    parts as their number needs.
     ``hot_factor``, ``hot_floor`` and ``hot_broadcast_bytes``: see ``plans.layout``.
     ``dictionary`` runs the steps on numbers in place of titles (``plans.dictionary``);
     the result has titles, ``trace`` and ``on_state`` get the numbered states, whose titles
@@ -199,11 +203,13 @@ def rank_pages(
         with job_conf(spark, job_settings(p)):
             pages = G.parsed_ok(parsed)
             numbered = number_graph(pages, preset, stats.n_links, p, hot_factor, hot_floor) if dictionary else None
-            nodes, links = (numbered.nodes, numbered.links) if dictionary else (G.nodes(pages, preset), G.link_occurrences(pages, preset))
-            layout = lay_out(
-                nodes, links, stats.n_lines, stats.n_links, p,
-                hot_factor, hot_floor, reliable=reliable_graph, hot_broadcast_bytes=hot_broadcast_bytes,
-            )
+            options = dict(hot_factor=hot_factor, hot_floor=hot_floor, reliable=reliable_graph, hot_broadcast_bytes=hot_broadcast_bytes)
+            if dictionary:
+                layout = lay_out(numbered.nodes, numbered.links, stats.n_lines, stats.n_links, p, **options)
+            else:
+                sources = pages.withColumnRenamed("title", "src")
+                each = lambda rows: G.link_occurrences(rows.withColumnRenamed("src", "title"), preset)
+                layout = lay_out(G.nodes(pages, preset), sources, stats.n_lines, stats.n_links, p, each=each, count_parts=sized_partitions(stats), **options)
             if dictionary:
                 layout = numbered.attach(layout)
     finally:

@@ -20,6 +20,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -87,10 +88,15 @@ def lay_out(
     storage: StorageLevel = StorageLevel.MEMORY_AND_DISK,
     reliable: bool = False,
     hot_broadcast_bytes: int = HOT_BROADCAST_BYTES,
+    each: Callable[[DataFrame], DataFrame] | None = None,
+    count_parts: int = 1,
 ) -> RankLayout:
     """Layout of ``nodes_df`` (id, outdeg), hash-partitioned by ``id`` into P partitions, and ``links``.
 
-    ``links`` has a row for each link occurrence (src, dst), or is counted already (src, dst, mult).
+    ``links`` has a row for each link occurrence (src, dst), or is counted already (src, dst, mult).  With
+    ``each`` it has a row for each page (src, ...) and ``each`` makes the links of such rows, so hot and
+    regular sources are told apart once for a page, not for each of its links.  They are counted in ``count_parts``
+    partitions if these are more than P, so what a task counts doesn't grow where P is held low.
     It runs in the settings of ``plans.job.job_settings``.  The caller may release
     its input right after: without a written copy, everything is materialised here.
     """
@@ -105,8 +111,9 @@ def lay_out(
     if n_hot > hot_factor * p:  # the hot out-degrees add up to at most n_links, and each exceeds n_links / (hot_factor * P)
         raise AssertionError(f"hot-source bound violated: {n_hot} > {hot_factor * p}")
 
-    counted = "mult" in links.columns
-    links = links.select("src", "dst", *(["mult"] if counted else []))
+    counted = each is None and "mult" in links.columns
+    if each is None:
+        links, each = links.select("src", "dst", *(["mult"] if counted else [])), lambda rows: rows
     total = F.sum("mult") if counted else F.count(F.lit(1))
     hot_keys, hot, salted = None, None, hot_bytes > hot_broadcast_bytes
     cold = links
@@ -119,16 +126,21 @@ def lay_out(
         flagged = flagged.persist(storage)
         flagged.count()
         nodes.unpersist()
-        cold = links.join(F.broadcast(hot_keys), source_hash() == F.col("src_hash"), "left_anti")
-        hot = links.join(F.broadcast(hot_keys), source_hash() == F.col("src_hash")).groupBy("src", "dst", "salts").agg(total.alias("mult"))
+        is_key = source_hash() == F.col("src_hash")
+        cold = links.join(F.broadcast(hot_keys), is_key, "left_anti")
+        hot = each(links.join(F.broadcast(hot_keys), is_key, "left_semi")).groupBy("src", "dst").agg(total.alias("mult"))
         if salted:
-            hot = hot.select("src", "dst", "mult", F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt"))
+            salt = F.pmod(F.xxhash64("dst"), F.col("salts")).cast("int").alias("salt")
+            hot = hot.join(F.broadcast(hot_keys), is_key).select("src", "dst", "mult", salt)
             hot = tables.keep(hot.repartition(p, "src", "salt"), "src", "salt")
         else:
             hot = tables.keep(hot.select("src", "dst", "mult").repartition(p, "dst"), "dst")
-    cold = cold.repartition(p, "src")
+    parts = max(p, count_parts)
+    cold = each(cold).repartition(p if counted else parts, "src")
     if not counted:
         cold = cold.groupBy("src", "dst").agg(total.alias("mult"))  # in place: equal sources are together
+        if parts > p:
+            cold = cold.repartition(p, "src")
     cold = tables.keep(cold, "src")
     if not reliable:
         filled = cold.select(F.lit(1)) if hot is None else cold.select(F.lit(1)).unionByName(hot.select(F.lit(1)))
