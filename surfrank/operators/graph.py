@@ -63,9 +63,9 @@ def vertices(pages: DataFrame) -> DataFrame:
 
 
 def title_and_targets(pages: DataFrame, preset: Preset) -> DataFrame:
-    """(d, pos, id): each page's title at pos 0 and its link targets after it, all with d, its number of kept links."""
-    counted = pages.select(F.size(kept_links(preset)).cast("long").alias("d"), F.concat(F.array("title"), "outlinks").alias("ids"))
-    return counted.select("d", F.posexplode("ids").alias("pos", "id"))
+    """(id, d): each page's title with its number of kept links, and each of its link targets with null."""
+    ids = F.concat(F.array("title"), "outlinks")
+    return pages.select(F.inline(F.arrays_zip(ids, F.array(F.size(kept_links(preset)).cast("long")))).alias("id", "d"))
 
 
 def nodes(pages: DataFrame, preset: Preset) -> DataFrame:
@@ -74,7 +74,7 @@ def nodes(pages: DataFrame, preset: Preset) -> DataFrame:
     Each page row contributes (title, #kept links) and (target, 0) per link, so the
     vertex closure and the out-degree come out of a single partial/final sum.
     """
-    rows = title_and_targets(pages, preset).select("id", F.when(F.col("pos") == 0, F.col("d")).otherwise(F.lit(0)).alias("d"))
+    rows = title_and_targets(pages, preset).select("id", F.coalesce("d", F.lit(0)).alias("d"))
     return rows.groupBy("id").agg(F.sum("d").alias("outdeg"))
 
 

@@ -50,8 +50,7 @@ class Numbered:
 
 def degrees(pages: DataFrame, preset: Preset) -> DataFrame:
     """(title, outdeg, indeg) of every vertex: link occurrences from it and to it, in one aggregate."""
-    own = F.col("pos") == 0
-    rows = G.title_and_targets(pages, preset).select(F.col("id").alias("title"), F.when(own, F.col("d")).otherwise(0).alias("o"), F.when(own, 0).otherwise(1).alias("i"))
+    rows = G.title_and_targets(pages, preset).select(F.col("id").alias("title"), F.coalesce("d", F.lit(0)).alias("o"), F.col("d").isNull().cast("int").alias("i"))
     return rows.groupBy("title").agg(F.sum("o").alias("outdeg"), F.sum("i").alias("indeg"))
 
 
