@@ -35,12 +35,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surfrank.llm.tables import table
-from surfrank.llm.text import mix, run_sums, words_of
+from surfrank.llm.text import mix, run_sums, text_buffers, words_of
 
 WINDOW = 35
 CHUNK_BYTES = 4 << 20
 #: Bytes of text whose window hashes meet in a bucket (a window for about six bytes).
 BUCKET_BYTES = 12 << 20
+#: Windows hashed in one go.
+SLICE_WINDOWS = 1 << 15
 _WINDOW_BASE = 0xC2B2AE3D27D4EB4F
 _U = np.uint64
 
@@ -51,7 +53,13 @@ def _windows(texts: pa.ChunkedArray, window: int) -> tuple[np.ndarray, np.ndarra
     starts = np.arange(len(words), dtype=np.int64)
     left = np.repeat(offsets[1:], np.diff(offsets)) - starts
     starts = starts[left >= window]
-    return mix(run_sums(words, starts, starts + window, _WINDOW_BASE)), starts, offsets
+    del left
+    hashes = np.empty(len(starts), dtype=np.uint64)
+    for k in range(0, len(starts), SLICE_WINDOWS):  # a window's hash doesn't depend on where its slice begins
+        some = starts[k : k + SLICE_WINDOWS]
+        first, end = int(some[0]), int(some[-1]) + window
+        hashes[k : k + SLICE_WINDOWS] = mix(run_sums(words[first:end], some - first, some - first + window, _WINDOW_BASE))
+    return hashes, starts, offsets
 
 
 def _bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -80,11 +88,14 @@ def _send(window: int, buckets: int):
 
 
 def _meet(bucket: pa.Table) -> pa.Table:
-    sent = [np.frombuffer(x, dtype=np.uint64) for x in bucket.column("hashes").to_pylist()]
-    here = [np.unpackbits(np.frombuffer(x, dtype=np.uint8), count=len(s)).astype(bool) for x, s in zip(bucket.column("again").to_pylist(), sent)]
-    together = np.sort(np.concatenate(sent))
-    repeated = np.unique(np.concatenate([together[1:][together[1:] == together[:-1]], *[s[a] for s, a in zip(sent, here)]]))
+    data, offsets = text_buffers(bucket.column("hashes"))
+    hashes = data.view(np.uint64)  # all that was sent, where Arrow has it
+    sent = [hashes[a:b] for a, b in zip(offsets[:-1] // 8, offsets[1:] // 8)]
+    here = [s[np.unpackbits(np.frombuffer(x, dtype=np.uint8), count=len(s)).astype(bool)] for x, s in zip(bucket.column("again").to_pylist(), sent)]
+    together = np.sort(hashes)
+    repeated = together[1:][together[1:] == together[:-1]]
     del together
+    repeated = np.unique(np.concatenate([repeated, *here]))
     return pa.table(
         {
             "chunk": bucket.column("chunk"),

@@ -17,8 +17,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Bytes hashed in one go; bounds the working arrays to a few dozen MB.
-SLICE_BYTES = 1 << 20
+#: Bytes hashed in one go; bounds the working arrays, and the kept powers, to a few MB in each Python worker.
+SLICE_BYTES = 1 << 17
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -61,12 +61,12 @@ def run_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a string column; nulls are empty texts."""
+    """(bytes, offsets) of a string or binary column, without a copy; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
         column = pc.fill_null(column, "")
-    wide = pa.types.is_large_string(column.type)
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offs, data = column.buffers()
     if len(column) == 0 or offs is None:
         return np.zeros(0, dtype=np.uint8), np.zeros(len(column) + 1, dtype=np.int64)
