@@ -236,8 +236,12 @@ class Index:
         common = np.flatnonzero(self.had * DENSE > n)
         self.row = np.full(self.n_terms, -1, dtype=np.int64)
         self.row[common] = np.arange(len(common))
-        self.query = np.zeros(self.n_terms)
+        self.query = np.zeros(len(common))
         dense = self.row[self.at] >= 0
+        # the examples' common terms once more, in double precision, by row; the postings have the rare ones
+        self.common_size = np.bincount(who[dense], minlength=n)
+        self.common_start = np.cumsum(self.common_size) - self.common_size
+        self.common_row, self.common_w = self.row[self.at[dense]], self.w[dense]
         rows = np.zeros((n, len(common)), dtype=np.float32)
         rows[who[dense], self.row[self.at[dense]]] = self.w[dense]
         # the example at each place of the blocks; -1 after the last
@@ -253,7 +257,7 @@ class Index:
         rare = rare[np.argsort(self.at[rare], kind="stable")]
         self.had[common] = 0
         self.first = np.cumsum(self.had) - self.had
-        self.posted, self.posted_w = self.place[who[rare]].astype(np.int32), self.w[rare].astype(np.float32)
+        self.posted, self.posted_w = self.place[who[rare]].astype(np.int32), self.w[rare]
 
     def __getstate__(self):
         return {k: getattr(self, k) for k in ("n_terms", "ids", "labels", "size", "at", "w")}
@@ -278,11 +282,11 @@ class Index:
         for b in range(0, len(vectors), TEXTS):
             some = vectors[b : b + TEXTS]
             near = self._near(some, k, without[b : b + TEXTS] if without else [-1] * len(some))
-            for (at, w), who in zip(some, near):
-                yield self._best(at, w, who, k)
+            for (at, w), (who, rare) in zip(some, near):
+                yield self._best(at, w, who, rare, k)
 
-    def _near(self, some: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int]) -> list[np.ndarray]:
-        """For each text the examples that may be among its k best, block by block."""
+    def _near(self, some: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text the examples that may be among its k best, found block by block, and what its rare terms add to their cosines."""
         n_blocks, n_common, _ = self.blocks.shape
         q = np.zeros((len(some), n_common), dtype=np.float32)
         s = np.zeros((len(some), n_blocks * BLOCK))
@@ -312,16 +316,19 @@ class Index:
                 floor = np.maximum(0.0, np.partition(seen.reshape(len(some), most), most - k, axis=1)[:, most - k])
         self.met += bounds.size
         out = (seen > 0) & (seen >= floor[:, None, None] - margin)
-        return [np.sort(self.example[x]) for x in out.reshape(len(some), most)]
+        found = [np.sort(self.example[x]) for x in out.reshape(len(some), most)]
+        return [(who, rare[self.place[who]]) for who, rare in zip(found, s.reshape(len(some), most))]
 
-    def _best(self, at: np.ndarray, w: np.ndarray, who: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best of some examples that share a term with the text."""
+    def _best(self, at: np.ndarray, w: np.ndarray, who: np.ndarray, rare: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of some examples that share a term with the text; ``rare``: what its rare terms add to their cosines."""
         if len(who) == 0:
             return np.zeros(0, dtype=np.int64), np.zeros(0)
-        self.query[at] = w
-        spans = zip(self.start[who].tolist(), (self.start[who] + self.size[who]).tolist())
-        s = np.round([self.query[self.at[a:b]] @ self.w[a:b] for a, b in spans], 12)
-        self.query[at] = 0.0
+        row = self.row[at]
+        row, w = row[row >= 0], w[row >= 0]
+        self.query[row] = w
+        spans = zip(self.common_start[who].tolist(), (self.common_start[who] + self.common_size[who]).tolist())
+        s = np.round(rare + [self.query.take(self.common_row[a:b]) @ self.common_w[a:b] for a, b in spans], 12)
+        self.query[row] = 0.0
         best = np.lexsort((who, -s))[:k]
         return who[best], s[best]
 
@@ -453,7 +460,16 @@ def learn(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     return model
 
 
-EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
+EVIDENCE = pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())])
+
+
+def _evidence(index: Index, near: list[tuple[np.ndarray, np.ndarray]]) -> pa.ListArray:
+    """The examples and cosines that were found for each text of a batch."""
+    offsets = np.cumsum([0, *(len(who) for who, _ in near)]).astype(np.int32)
+    who = np.concatenate([np.zeros(0, dtype=np.int64), *(who for who, _ in near)])
+    cosine = np.concatenate([np.zeros(0), *(s for _, s in near)])
+    columns = [pa.array(index.ids[who]), pa.array(index.labels[who].astype(np.int32)), pa.array(cosine)]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(columns, fields=list(EVIDENCE)))
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
@@ -463,11 +479,11 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, idf, index = known.value
         for batch in batches:
-            scores, evidence = [], []
-            for who, s in index.nearest_of(list(vocabulary.vectors(batch.column("text").to_pylist(), idf)), k):
-                scores.append(score(index.vote(who, s, shares)))
-                evidence.append([{"doc_id": int(index.ids[i]), "toxic": int(index.labels[i]), "cosine": float(c)} for i, c in zip(who, s)])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(evidence, EVIDENCE)], names=["doc_id", "score", "evidence"])
+            texts, near = batch.column("text").to_pylist(), []
+            for a in range(0, len(texts), TEXTS):  # a batch's vectors at once would be over 100 MB
+                near += index.nearest_of(list(vocabulary.vectors(texts[a : a + TEXTS], idf)), k)
+            scores = [score(index.vote(who, s, shares)) for who, s in near]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), _evidence(index, near)], names=["doc_id", "score", "evidence"])
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, score double, evidence array<struct<doc_id:long,toxic:int,cosine:double>>")
